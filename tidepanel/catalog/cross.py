@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepanel.catalog.registry import query, rounded
-from tidepanel.catalog.sql import average_rank, inverse_normal, over
+from tidepanel.catalog.sql import average_rank, edges, inverse_normal, over
 from tidepanel.functions.columns import null_counts
 from tidepanel.functions.scalar import rescale
 from tidepanel.operators import cross_section as CS
@@ -79,8 +79,8 @@ def _quintile_sql(value: str) -> str:
         "panel",
         body=f"""@w as (select *, cast(date_trunc('week', date) as date) as week from panel),
         e as (select week,
-              list_sort(list_distinct(quantile_cont(close, [0, 0.2, 0.4, 0.6, 0.8, 1]))) as e_close,
-              list_sort(list_distinct(quantile_cont(volume, [0, 0.2, 0.4, 0.6, 0.8, 1]))) as e_volume
+              {edges("close")} as e_close,
+              {edges("volume")} as e_volume
               from w group by week)
         select ticker, date, {_quintile_sql("close")}, {_quintile_sql("volume")}
         from w join e using (week)""",

@@ -91,7 +91,7 @@ def vector_neutralization(spark, sf_dir):
 
 def parts(spark, sf_dir):
     """Train, validation and test rows of the matrix, staged once for the fits that reread them."""
-    matrix = stage(X.matrix(spark, sf_dir), "matrix")
+    matrix = stage(X.matrix(spark, sf_dir).drop("prediction"), "matrix")
     return tuple(by_label(matrix, "data_type", v) for v in ("train", "validation", "test"))
 
 
@@ -108,15 +108,15 @@ def boosted_early_stop(spark, sf_dir):
 @query("l2_boosted")
 def boosted(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", prediction="score", **QUICK)
-    return model.transform(test).select("id", F.col("score").alias("prediction"))
+    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    return model.transform(test).select("id", "prediction")
 
 
 @query("l3_two_targets")
 def two_targets(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
     model = M.fit_targets(train, FEATURES, ["target", "target_late"], **QUICK)
-    scored = model.transform(test.drop("prediction"))
+    scored = model.transform(test)
     return scored.select("id", "prediction_target", "prediction_target_late")
 
 
@@ -140,7 +140,7 @@ def random_search(spark, sf_dir):
     train, validation, _ = parts(spark, sf_dir)
     table, _ = M.search(
         train,
-        validation.drop("prediction"),
+        validation,
         FEATURES,
         "target",
         staging_path(spark, "trials"),
@@ -153,14 +153,14 @@ def random_search(spark, sf_dir):
 @query("l7_batch_scoring")
 def batch_scoring(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", prediction="score", **QUICK)
-    return model.transform(X.matrix(spark, sf_dir)).select("id", "score")
+    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    return model.transform(X.matrix(spark, sf_dir)).select("id", "prediction")
 
 
 @query("l8_feature_importance")
 def feature_importance(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", prediction="score", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
     ranked = M.importance(model.stages[-1], FEATURES)
     return spark.createDataFrame(ranked, "feature string, importance double")
 
@@ -168,7 +168,7 @@ def feature_importance(spark, sf_dir):
 @query("t5_top_by_importance")
 def top_by_importance(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    sample = M.assemble(hashed_sample(train.drop("prediction"), ["id"], 5000), FEATURES)
+    sample = M.assemble(hashed_sample(train, ["id"], 5000), FEATURES)
     model = M.boosted("target", **QUICK).fit(sample)
     sliced = M.slice_top(M.assemble(test, FEATURES), model, 3)
     from pyspark.ml.functions import vector_to_array
@@ -179,18 +179,17 @@ def top_by_importance(spark, sf_dir):
 @query("a10_saved_scorer")
 def saved_scorer(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", prediction="score", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
     path = staging_path(spark, "scorer")
     sinks.save_scorer(model, path)
     M.write_scorer_card(test, f"{path}-card", {"features": FEATURES, "target": "target"})
-    return sinks.load_scorer(path).transform(test).select("id", "score")
+    return sinks.load_scorer(path).transform(test).select("id", "prediction")
 
 
 @query("a11_search_history")
 def search_history(spark, sf_dir):
     train, validation, _ = parts(spark, sf_dir)
     path = staging_path(spark, "trials")
-    held = validation.drop("prediction")
-    M.search(train, held, FEATURES, "target", path, trials=1, rounds=2)
-    table, _ = M.search(train, held, FEATURES, "target", path, trials=1, rounds=2)
+    M.search(train, validation, FEATURES, "target", path, trials=1, rounds=2)
+    table, _ = M.search(train, validation, FEATURES, "target", path, trials=1, rounds=2)
     return table.select("trial", "score")

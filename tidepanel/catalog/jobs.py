@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.catalog.cross import rank_corr_sql
 from tidepanel.catalog.registry import query, rounded
-from tidepanel.catalog.sql import CANONICAL, average_rank, ema, over, trailing
+from tidepanel.catalog.sql import CANONICAL, average_rank, edges, ema, over, trailing
 from tidepanel.catalog.fits import parts, two_factor_sql
 from tidepanel.functions.scalar import canonical_ticker
 from tidepanel.operators.cross_section import quintiles
@@ -32,10 +32,7 @@ def quintile_of(column: str, edges: str) -> str:
 
 
 def edges_of(column: str) -> str:
-    return (
-        f'list_sort(list_distinct(quantile_cont("{column}", [0, 0.2, 0.4, 0.6, 0.8, 1]))) '
-        f'as "e_{column}"'
-    )
+    return edges(f'"{column}"') + f' as "e_{column}"'
 
 
 def windows_sql(kinds: list[str]) -> str:
@@ -302,8 +299,8 @@ def _reference_sql(final: str) -> str:
     tail = "select id, round(r, 6) as prediction from r"
     return two_factor_sql("", 0.5, False, False).replace(
         tail,
-        """, m as (select id, (round(r, 6) - avg(round(r, 6)) over ()) /
-             stddev_samp(round(r, 6)) over () * s + a as m from r, (select
+        """, m as (select id, (r - avg(r) over ()) / stddev_samp(r) over () * s + a as m
+             from r, (select
              avg(o_totalprice / 1000) as a, stddev_samp(o_totalprice / 1000) as s from orders)) """
         + final,
     )

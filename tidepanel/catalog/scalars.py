@@ -182,13 +182,13 @@ def standardized_whole(spark, sf_dir):
     "e4_population_standardize",
     over(
         "matrix",
-        body="""select id, round((price - avg(price) over ()) / stddev_pop(price) over (), 9) as unit
+        body="""select id, round((price - avg(price) over ()) / stddev_pop(price) over (), 6) as unit
                 from matrix""",
     ),
 )
 def population_standardize(spark, sf_dir):
     made = self_standardize(X.matrix(spark, sf_dir).select("id", "price"), "price")
-    return made.select("id", F.round("price", 9).alias("unit"))
+    return made.select("id", F.round("price", 6).alias("unit"))
 
 
 @query(

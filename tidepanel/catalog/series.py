@@ -155,9 +155,9 @@ def momentum(spark, sf_dir):
     return windows(spark, sf_dir, "MOM")
 
 
-def _join_sql(columns: dict[str, str], tables: list[str]) -> str:
+def _join_sql(columns: dict[str, str], tables: list[str], digits: int) -> str:
     """Left-join recurrence results to all rows of the panel."""
-    made = ", ".join(f'round({expr}, 6) as "{name}"' for name, expr in columns.items())
+    made = ", ".join(f'round({expr}, {digits}) as "{name}"' for name, expr in columns.items())
     joins = " ".join(
         f"left join {t} on {t}.ticker = p.ticker and {t}.date = p.date" for t in tables
     )
@@ -167,19 +167,19 @@ def _join_sql(columns: dict[str, str], tables: list[str]) -> str:
 def _ema_sql() -> str:
     ctes = ",".join(ema(f"e{n}", "numbered", n) for n in PERIODS)
     columns = {f"EMA_{n}": f"e{n}.y" for n in PERIODS}
-    body = "@" + NUMBERED + "," + ctes + _join_sql(columns, [f"e{n}" for n in PERIODS])
+    body = "@" + NUMBERED + "," + ctes + _join_sql(columns, [f"e{n}" for n in PERIODS], 5)
     return over("panel", body=body, recursive=True)
 
 
-def recurrences(spark, sf_dir, kind):
+def recurrences(spark, sf_dir, kind, digits):
     names = [f"{kind}_{n}" for n in PERIODS]
     made = recurrence_indicators(X.closes(spark, sf_dir), pairs=(), kinds=(kind,))
-    return rounded(made.select("ticker", "date", *names), 6, *names)
+    return rounded(made.select("ticker", "date", *names), digits, *names)
 
 
 @query("w8_ema", _ema_sql())
 def exponential_mean(spark, sf_dir):
-    return recurrences(spark, sf_dir, "EMA")
+    return recurrences(spark, sf_dir, "EMA", 5)
 
 
 def _dema_sql() -> str:
@@ -192,13 +192,13 @@ def _dema_sql() -> str:
         ]
         columns[f"DEMA_{n}"] = f"2 * e{n}.y - d{n}.y"
         tables += [f"e{n}", f"d{n}"]
-    body = "@" + NUMBERED + "," + ",".join(ctes) + _join_sql(columns, tables)
+    body = "@" + NUMBERED + "," + ",".join(ctes) + _join_sql(columns, tables, 3)
     return over("panel", body=body, recursive=True)
 
 
 @query("w9_dema", _dema_sql())
 def double_exponential(spark, sf_dir):
-    return recurrences(spark, sf_dir, "DEMA")
+    return recurrences(spark, sf_dir, "DEMA", 3)
 
 
 def _tema_sql() -> str:
@@ -213,13 +213,13 @@ def _tema_sql() -> str:
         ]
         columns[f"TEMA_{n}"] = f"3 * e{n}.y - 3 * d{n}.y + t{n}.y"
         tables += [f"e{n}", f"d{n}", f"t{n}"]
-    body = "@" + NUMBERED + "," + ",".join(ctes) + _join_sql(columns, tables)
+    body = "@" + NUMBERED + "," + ",".join(ctes) + _join_sql(columns, tables, 3)
     return over("panel", body=body, recursive=True)
 
 
 @query("w10_tema", _tema_sql())
 def triple_exponential(spark, sf_dir):
-    return recurrences(spark, sf_dir, "TEMA")
+    return recurrences(spark, sf_dir, "TEMA", 3)
 
 
 def _rsi_sql() -> str:
@@ -243,14 +243,14 @@ def _rsi_sql() -> str:
     body = "@" + NUMBERED + "," + change + "," + ",".join(parts)
     return over(
         "panel",
-        body=body + _join_sql(columns, [f"r{n}" for n in PERIODS]),
+        body=body + _join_sql(columns, [f"r{n}" for n in PERIODS], 6),
         recursive=True,
     )
 
 
 @query("w11_rsi", _rsi_sql())
 def relative_strength(spark, sf_dir):
-    return recurrences(spark, sf_dir, "RSI")
+    return recurrences(spark, sf_dir, "RSI", 6)
 
 
 @query(
@@ -276,7 +276,7 @@ def _macd_sql() -> str:
     lengths = sorted({n for pair in PAIRS for n in pair})
     ctes = ",".join(ema(f"e{n}", "numbered", n) for n in lengths)
     columns = {f"MACD_{f}_{s}": f"e{f}.y - e{s}.y" for f, s in PAIRS}
-    body = "@" + NUMBERED + "," + ctes + _join_sql(columns, [f"e{n}" for n in lengths])
+    body = "@" + NUMBERED + "," + ctes + _join_sql(columns, [f"e{n}" for n in lengths], 3)
     return over("panel", body=body, recursive=True)
 
 
@@ -284,7 +284,7 @@ def _macd_sql() -> str:
 def convergence_line(spark, sf_dir):
     names = [f"MACD_{f}_{s}" for f, s in PAIRS]
     made = recurrence_indicators(X.closes(spark, sf_dir), periods=(), pairs=PAIRS, kinds=())
-    return rounded(made.select("ticker", "date", *names), 6, *names)
+    return rounded(made.select("ticker", "date", *names), 3, *names)
 
 
 @query(

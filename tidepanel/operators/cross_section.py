@@ -151,18 +151,26 @@ def _sorted_edges(
     )
 
 
-def bucket(value: str, edges: str, size: int) -> Column:
-    """Bucket number of ``value`` among distinct sorted ``edges``; null if one edge is left.
+def bucket(value: str, bounds: str, buckets: int) -> Column:
+    """Bucket number of ``value``: how many inner bounds it lies above; null without any.
 
-    Written as a sum of comparisons so that it stays inside generated code.
+    A chain of comparisons, so that it stays inside generated code.
     """
-    below = [
-        F.coalesce((F.get(F.col(edges), F.lit(i)) < F.col(value)).cast("int"), F.lit(0))
-        for i in range(size)
-    ]
-    count = sum(below[1:], below[0])
-    label = F.greatest(count, F.lit(1)) - 1
-    return F.when(F.col(value).isNotNull() & (F.size(F.col(edges)) > 1), label)
+    v = F.col(value)
+    label = F.when(v <= F.col(f"{bounds}.b1"), 0)
+    for i in range(2, buckets):
+        label = label.when(v <= F.col(f"{bounds}.b{i}"), i - 1)
+    return F.when(v.isNotNull() & F.col(f"{bounds}.b1").isNotNull(), label.otherwise(buckets - 1))
+
+
+def _inner_bounds(edges: str, buckets: int) -> Column:
+    """Distinct edges after the first as fields b1..; absent ones lie above every value."""
+    distinct = F.array_distinct(F.col(edges))
+    fields = [F.get(distinct, F.lit(1)).alias("b1")]
+    for i in range(2, buckets):
+        above = F.coalesce(F.get(distinct, F.lit(i)), F.lit(float("inf")))
+        fields.append(above.alias(f"b{i}"))
+    return F.struct(*fields)
 
 
 def quintiles(
@@ -170,18 +178,11 @@ def quintiles(
 ) -> DataFrame:
     """Add a value-based quintile 0..4 per group for every column; equal edges are merged."""
     columns = list(columns)
+    buckets = len(QUINTILES) - 1
     edges = quantile_edges(df, keys, columns)
-    marked = edges.select(
-        *keys, *[F.array_distinct(F.col(c)).alias(f"_edges_{c}") for c in columns]
-    )
-    size = len(QUINTILES)
-    return (
-        attach(df, marked, keys)
-        .withColumns(
-            {f"{c}{suffix}": bucket(c, f"_edges_{c}", size).cast("float") for c in columns}
-        )
-        .drop(*[f"_edges_{c}" for c in columns])
-    )
+    bounds = edges.select(*keys, *[_inner_bounds(c, buckets).alias(f"_in_{c}") for c in columns])
+    labels = {f"{c}{suffix}": bucket(c, f"_in_{c}", buckets).cast("float") for c in columns}
+    return attach(df, bounds, keys).withColumns(labels).drop(*[f"_in_{c}" for c in columns])
 
 
 def held_out(n: int, share: float) -> int:
