@@ -15,6 +15,7 @@ from tidepanel.operators import splits as SP
 from tidepanel.operators.neutralize import gram
 from tidepanel.plans.panel import series_return
 from tidepanel.sources import fixtures as X
+from tidepanel.sources.staging import stage
 
 FEATURES = list(X.MATRIX_FEATURES)
 
@@ -30,9 +31,9 @@ def peers(spark, sf_dir, group):
     places = X.sectors(spark, sf_dir).withColumnRenamed("ticker", "yahoo")
     country = F.get(F.split("bloomberg_ticker", " "), F.lit(1)).alias("country")
     table = mapped.join(places, "yahoo", "left").select("ticker", "sector", "industry", country)
-    returns = series_return(X.closes(spark, sf_dir), "ticker")
+    returns = series_return(X.landed_closes(spark, sf_dir), "ticker")
     rows = returns.join(table, "ticker", "left").filter(F.col(group).isNotNull())
-    made = CS.peer_mean(rows, ["date", group], "ret", f"{group}_ret")
+    made = CS.peer_mean(stage(rows, "returns"), ["date", group], "ret", f"{group}_ret")
     return rounded(made.select("ticker", "date", group, f"{group}_ret"), 9, f"{group}_ret")
 
 
@@ -63,7 +64,8 @@ def sector_return(spark, sf_dir):
 
 
 def _weekly(spark, sf_dir):
-    return X.prices(spark, sf_dir).withColumn("week", F.date_trunc("week", "date").cast("date"))
+    week = F.date_trunc("week", "date").cast("date")
+    return stage(X.prices(spark, sf_dir).withColumn("week", week), "weekly")
 
 
 def _quintile_sql(value: str) -> str:
@@ -377,7 +379,7 @@ def uniform_sample(spark, sf_dir):
     ),
 )
 def chronological_split(spark, sf_dir):
-    rows = X.closes(spark, sf_dir).select("ticker", "date")
+    rows = stage(X.closes(spark, sf_dir).select("ticker", "date"), "rows")
     return SP.chronological_split(rows, "date", "ticker")
 
 

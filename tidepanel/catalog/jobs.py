@@ -67,7 +67,7 @@ def windows_sql(kinds: list[str]) -> str:
 def momentum_by_week(spark, sf_dir):
     """Which quintile each ticker's 20-bar momentum and volatility were in, each week."""
     made = window_indicators(
-        X.closes(spark, sf_dir), periods=(20,), pairs=(), kinds=("SMA", "VOLATILITY", "MOM")
+        X.landed_closes(spark, sf_dir), periods=(20,), pairs=(), kinds=("SMA", "VOLATILITY", "MOM")
     )
     kept = made.dropna("any", subset=["SMA_20", "VOLATILITY_20", "MOM_20"])
     weekly = stage(kept.withColumn("week", F.date_trunc("week", "date").cast("date")), "weekly")
@@ -129,7 +129,7 @@ EQUITY_VIEWS = ("panel", "ticker_map", "sectors")
 
 def equity_table(spark, sf_dir):
     return P.equity_features(
-        X.closes(spark, sf_dir),
+        X.landed_closes(spark, sf_dir),
         X.ticker_map(spark, sf_dir),
         X.sectors(spark, sf_dir),
         recurrences=("EMA",),
@@ -204,7 +204,7 @@ def equity_sets(spark, sf_dir):
 def equity_features_full(spark, sf_dir):
     """All 36 indicators and 39 quintiles."""
     return P.equity_features(
-        X.closes(spark, sf_dir), X.ticker_map(spark, sf_dir), X.sectors(spark, sf_dir)
+        X.landed_closes(spark, sf_dir), X.ticker_map(spark, sf_dir), X.sectors(spark, sf_dir)
     )
 
 
@@ -245,7 +245,7 @@ def _crypto_sql() -> str:
 
 @query("q3_crypto_sets", over("panel", "targets", body=_crypto_sql(), recursive=True))
 def crypto_sets(spark, sf_dir):
-    quotes = X.closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
+    quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
     table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
     features = P.crypto_features(
         quotes,
@@ -271,7 +271,7 @@ def crypto_sets(spark, sf_dir):
 @query("q3_crypto_features_full")
 def crypto_features_full(spark, sf_dir):
     """All 30 indicators and quintiles."""
-    quotes = X.closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
+    quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
     table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
     return P.crypto_features(quotes, table)
 

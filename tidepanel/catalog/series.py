@@ -26,7 +26,7 @@ RET = """@r as (select *, close / nullif(lag(close) over
 
 def windows(spark, sf_dir, kind, digits=6):
     names = [f"{kind}_{n}" for n in PERIODS]
-    made = window_indicators(X.closes(spark, sf_dir), pairs=(), kinds=(kind,))
+    made = window_indicators(X.landed_closes(spark, sf_dir), pairs=(), kinds=(kind,))
     return rounded(made.select("ticker", "date", *names), digits, *names)
 
 
@@ -44,7 +44,7 @@ def change(spark, sf_dir):
         w = Window.partitionBy(*part).orderBy("date")
         return frame.withColumn("ret", percent_change("close", w))
 
-    made = over_series(X.closes(spark, sf_dir), "ticker", "date", 1, build)
+    made = over_series(X.landed_closes(spark, sf_dir), "ticker", "date", 1, build)
     return rounded(made.select("ticker", "date", "ret"), 9, "ret")
 
 
@@ -173,7 +173,7 @@ def _ema_sql() -> str:
 
 def recurrences(spark, sf_dir, kind, digits):
     names = [f"{kind}_{n}" for n in PERIODS]
-    made = recurrence_indicators(X.closes(spark, sf_dir), pairs=(), kinds=(kind,))
+    made = recurrence_indicators(X.landed_closes(spark, sf_dir), pairs=(), kinds=(kind,))
     return rounded(made.select("ticker", "date", *names), digits, *names)
 
 
@@ -268,7 +268,7 @@ def relative_strength(spark, sf_dir):
 )
 def price_oscillator(spark, sf_dir):
     names = [f"APO_{f}_{s}" for f, s in PAIRS]
-    made = window_indicators(X.closes(spark, sf_dir), periods=(), pairs=PAIRS, kinds=())
+    made = window_indicators(X.landed_closes(spark, sf_dir), periods=(), pairs=PAIRS, kinds=())
     return rounded(made.select("ticker", "date", *names), 6, *names)
 
 
@@ -283,7 +283,7 @@ def _macd_sql() -> str:
 @query("w13_macd", _macd_sql())
 def convergence_line(spark, sf_dir):
     names = [f"MACD_{f}_{s}" for f, s in PAIRS]
-    made = recurrence_indicators(X.closes(spark, sf_dir), periods=(), pairs=PAIRS, kinds=())
+    made = recurrence_indicators(X.landed_closes(spark, sf_dir), periods=(), pairs=PAIRS, kinds=())
     return rounded(made.select("ticker", "date", *names), 3, *names)
 
 
@@ -307,7 +307,7 @@ def history_filter(spark, sf_dir):
 )
 def series_transform(spark, sf_dir):
     made = transform_series(
-        X.closes(spark, sf_dir),
+        X.landed_closes(spark, sf_dir),
         "ticker",
         "date",
         "close",
@@ -328,6 +328,6 @@ def series_transform(spark, sf_dir):
 )
 def series_aggregate(spark, sf_dir):
     made = broadcast_aggregate(
-        X.closes(spark, sf_dir), ["ticker"], {"peak": F.max("close"), "floor": F.min("close")}
+        X.landed_closes(spark, sf_dir), ["ticker"], {"peak": F.max("close"), "floor": F.min("close")}
     )
     return made.select("ticker", "date", "peak", "floor")

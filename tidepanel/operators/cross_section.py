@@ -8,7 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.operators.skew import attach, hot_rows, running_total, salted_join, split_hot
+from tidepanel.operators.skew import (
+    attach,
+    find_hot,
+    hot_rows,
+    running_total,
+    salted_join,
+    split_hot,
+)
 from tidepanel.sources.staging import stage
 
 QUINTILES = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
@@ -42,7 +49,7 @@ def average_rank(
     one group. A hot group is ranked through its distinct values and their counts.
     """
     keys = list(keys)
-    ordinary, hot, _ = split_hot(df, keys, hot_rows(df.sparkSession))
+    ordinary, hot = split_hot(df, keys, find_hot(df, keys))
     by_value = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
     ties = F.count(value).over(by_value.rangeBetween(Window.currentRow, Window.currentRow))
     ranked = F.rank().over(by_value) + (ties - 1) / 2
@@ -95,14 +102,18 @@ def quantile_edges(
     keys: Sequence[str],
     columns: Sequence[str],
     probabilities: Sequence[float] = QUINTILES,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: exact linear-interpolated quantiles of every column, as an array each.
 
     ``percentile`` keeps the distinct values of a group in memory, so the hot limit is
-    shared out over the columns; larger groups are sorted across tasks instead.
+    shared out over the columns; larger groups are sorted across tasks instead. ``bound`` is
+    a frame with no fewer rows per group that is cheaper to count than ``df``.
     """
     limit = max(1, hot_rows(df.sparkSession) // len(columns))
-    ordinary, hot, _ = split_hot(df.select(*keys, *columns), keys, limit)
+    counted = df if bound is None else bound
+    narrow = df.select(*keys, *columns)
+    ordinary, hot = split_hot(narrow, keys, find_hot(counted, keys, limit))
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     edges = ordinary.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
     if hot is None:
@@ -174,12 +185,16 @@ def _inner_bounds(edges: str, buckets: int) -> Column:
 
 
 def quintiles(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "_quintile"
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    suffix: str = "_quintile",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add a value-based quintile 0..4 per group for every column; equal edges are merged."""
     columns = list(columns)
     buckets = len(QUINTILES) - 1
-    edges = quantile_edges(df, keys, columns)
+    edges = quantile_edges(df, keys, columns, bound=bound)
     bounds = edges.select(*keys, *[_inner_bounds(c, buckets).alias(f"_in_{c}") for c in columns])
     labels = {f"{c}{suffix}": bucket(c, f"_in_{c}", buckets).cast("float") for c in columns}
     return attach(df, bounds, keys).withColumns(labels).drop(*[f"_in_{c}" for c in columns])

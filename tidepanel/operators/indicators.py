@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidepanel.operators.skew import over_series
+from tidepanel.operators.skew import HotKeys, over_series
 
 PERIODS = (20, 40, 60)
 PAIRS = ((20, 40), (40, 60), (60, 80))
@@ -30,60 +30,19 @@ def warmup(kind: str, n: int, slow: int | None = None) -> int:
     raise ValueError(kind)
 
 
-def _trailing(w: WindowSpec, n: int) -> WindowSpec:
+def trailing(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
 
-def _full(value: Column, counted: Column, w: WindowSpec, n: int) -> Column:
-    """``value`` once ``n`` non-null inputs are in the frame."""
-    return F.when(F.count(counted).over(_trailing(w, n)) == n, value)
-
-
 def percent_change(value: str, w: WindowSpec) -> Column:
     return F.try_divide(F.col(value), F.lag(value).over(w)) - 1
 
 
-def volatility(ret: str, w: WindowSpec, n: int) -> Column:
-    return _full(F.stddev_samp(ret).over(_trailing(w, n)), F.col(ret), w, n)
-
-
-def sharpe(ret: str, w: WindowSpec, n: int) -> Column:
-    f = _trailing(w, n)
-    return _full(
-        F.try_divide(F.avg(ret).over(f), F.stddev_samp(ret).over(f)), F.col(ret), w, n
-    )
-
-
-def sma(value: str, w: WindowSpec, n: int) -> Column:
-    return _full(F.avg(value).over(_trailing(w, n)), F.col(value), w, n)
-
-
-def momentum(value: str, w: WindowSpec, n: int) -> Column:
-    return F.col(value) - F.lag(value, n).over(w)
-
-
-def wma(value: str, row: str, w: WindowSpec, n: int) -> Column:
-    """Linear weights 1..n from two rolling sums: row number times value, and value."""
-    f = _trailing(w, n)
-    weighted = F.sum(F.col(row) * F.col(value)).over(f)
-    shift = (F.col(row) - n) * F.sum(value).over(f)
-    return _full((weighted - shift) / (n * (n + 1) / 2), F.col(value), w, n)
-
-
 def trima_lengths(n: int) -> tuple[int, int]:
     """The two stacked averages of a triangular mean."""
     return ((n + 1) // 2, (n + 1) // 2) if n % 2 else (n // 2, n // 2 + 1)
 
 
-def apo(value: str, w: WindowSpec, fast: int, slow: int) -> Column:
-    return _full(
-        F.avg(value).over(_trailing(w, fast)) - F.avg(value).over(_trailing(w, slow)),
-        F.col(value),
-        w,
-        slow,
-    )
-
-
 def window_indicators(
     df: DataFrame,
     key: str = "ticker",
@@ -92,36 +51,79 @@ def window_indicators(
     periods: Sequence[int] = PERIODS,
     pairs: Sequence[tuple[int, int]] = PAIRS,
     kinds: Sequence[str] = WINDOW_KINDS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the window indicators; rows with a null value take no part and are left out.
 
-    All windows share one partitioning and one sort, so a single exchange by entity.
+    All windows share one partitioning and one sort, so a single exchange by entity. A
+    trailing frame is evaluated row by row, so every mean, deviation and count is computed
+    once per length and shared by the indicators built from it.
     """
     halo = max([n + 1 for n in periods] + [s for _, s in pairs] + [1])
 
     def build(frame: DataFrame, part: list[str]) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(order)
-        first = {}
-        if {"VOLATILITY", "SR"} & set(kinds):
+        x = F.col(value)
+        returns = {"VOLATILITY", "SR"} & set(kinds)
+        means = {n for pair in pairs for n in pair}
+        if {"SMA", "WMA"} & set(kinds):
+            means |= set(periods)
+        if "TRIMA" in kinds:
+            means |= {trima_lengths(n)[0] for n in periods}
+
+        first = {"_row": F.row_number().over(w)}
+        if returns:
             first["_ret"] = percent_change(value, w)
-        if "WMA" in kinds:
-            first["_row"] = F.row_number().over(w).cast("double")
+
+        second = {f"_mean_{n}": F.avg(x).over(trailing(w, n)) for n in sorted(means)}
+        for n in periods:
+            f = trailing(w, n)
+            if returns:
+                second[f"_sd_{n}"] = F.stddev_samp("_ret").over(f)
+                second[f"_rets_{n}"] = F.count("_ret").over(f)
+            if "SR" in kinds:
+                second[f"_ret_{n}"] = F.avg("_ret").over(f)
+            if "WMA" in kinds:
+                second[f"_weighted_{n}"] = F.sum(F.col("_row") * x).over(f)
+            if "MOM" in kinds:
+                second[f"MOM_{n}"] = x - F.lag(x, n).over(w)
+
+        third = {}
         if "TRIMA" in kinds:
             for n in periods:
-                first[f"_tri_{n}"] = sma(value, w, trima_lengths(n)[0])
+                short, rest = trima_lengths(n)
+                inner = F.when(F.col("_row") >= short, F.col(f"_mean_{short}"))
+                third[f"_tri_{n}"] = F.avg(inner).over(trailing(w, rest))
+
+        def ready(n: int, made: Column) -> Column:
+            return F.when(F.col("_row") >= n, made)
+
         columns = {}
         for n in periods:
-            made = {
-                "SMA": lambda n=n: sma(value, w, n),
-                "VOLATILITY": lambda n=n: volatility("_ret", w, n),
-                "SR": lambda n=n: sharpe("_ret", w, n),
-                "MOM": lambda n=n: momentum(value, w, n),
-                "TRIMA": lambda n=n: sma(f"_tri_{n}", w, trima_lengths(n)[1]),
-                "WMA": lambda n=n: wma(value, "_row", w, n),
-            }
-            columns.update({f"{k}_{n}": made[k]() for k in WINDOW_KINDS if k in kinds})
+            steady = F.col(f"_rets_{n}") == n
+            sd, mean = F.col(f"_sd_{n}"), F.col(f"_mean_{n}")
+            if "SMA" in kinds:
+                columns[f"SMA_{n}"] = ready(n, mean)
+            if "VOLATILITY" in kinds:
+                columns[f"VOLATILITY_{n}"] = F.when(steady, sd)
+            if "SR" in kinds:
+                columns[f"SR_{n}"] = F.when(steady, F.try_divide(F.col(f"_ret_{n}"), sd))
+            if "TRIMA" in kinds:
+                columns[f"TRIMA_{n}"] = ready(n, F.col(f"_tri_{n}"))
+            if "WMA" in kinds:
+                # Weights 1..n from the sums of row number times value, and of value.
+                shift = (F.col("_row") - n) * mean * n
+                weighted = (F.col(f"_weighted_{n}") - shift) / (n * (n + 1) / 2)
+                columns[f"WMA_{n}"] = ready(n, weighted)
+            if "MOM" in kinds:
+                columns[f"MOM_{n}"] = F.col(f"MOM_{n}")
         for fast, slow in pairs:
-            columns[f"APO_{fast}_{slow}"] = apo(value, w, fast, slow)
-        return frame.withColumns(first).withColumns(columns).drop(*first)
-
-    return over_series(df.filter(F.col(value).isNotNull()), key, order, halo, build)
+            columns[f"APO_{fast}_{slow}"] = ready(
+                slow, F.col(f"_mean_{fast}") - F.col(f"_mean_{slow}")
+            )
+        wide = frame.withColumns(first)
+        for layer in (second, third):
+            wide = wide.withColumns(layer) if layer else wide
+        return wide.select(*frame.columns, *[c.alias(n) for n, c in columns.items()])
+
+    return over_series(df.filter(F.col(value).isNotNull()), key, order, halo, build, hot)

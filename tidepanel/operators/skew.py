@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -24,22 +25,42 @@ def hot_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_KEY, str(HOT_ROWS_DEFAULT)))
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], limit: int
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """Rows of ordinary keys, rows of keys above ``limit``, and how many the latter are.
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys above the limit (none if ``keys`` is None) and how many rows they hold."""
+
+    keys: DataFrame | None
+    rows: int
+
 
-    There are at most total / limit hot keys; they are staged, so the two joins
-    broadcast them only when their files are below the session's threshold.
+def find_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> HotKeys:
+    """Keys with more than ``limit`` rows, from one map-side aggregate over the key columns.
+
+    There are at most total / limit of them. They are staged, so a join with them is a
+    broadcast only when their file is below the session's threshold.
     """
+    limit = limit or hot_rows(df.sparkSession)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     found = sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
     if not found["k"]:
-        return df, None, 0
+        return HotKeys(None, 0)
+    named = sizes.select(*keys) if keys else sizes
+    return HotKeys(stage(named, "hot-keys"), found["n"])
+
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot: HotKeys
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys and rows of hot keys; the latter None without hot keys.
+
+    Only in the hot case is ``df`` staged, so that its two readers do not compute it twice.
+    """
+    if hot.keys is None:
+        return df, None
+    df = stage(df, "skewed")
     if not keys:
-        return df.filter(F.lit(False)), df, found["n"]
-    hot = stage(sizes.select(*keys), "hot-keys")
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi"), found["n"]
+        return df.filter(F.lit(False)), df
+    return df.join(hot.keys, list(keys), "left_anti"), df.join(hot.keys, list(keys), "left_semi")
 
 
 def running_total(
@@ -48,6 +69,7 @@ def running_total(
     order: Sequence[str],
     weight: str | None = None,
     out: str = "_before",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` (1 per row by default) over earlier rows of the key.
 
@@ -57,7 +79,8 @@ def running_total(
     keys, order = list(keys), list(order)
     limit = hot_rows(df.sparkSession)
     amount = F.col(weight) if weight else F.lit(1).cast("bigint")
-    ordinary, hot, rows = split_hot(df, keys, limit)
+    hot = hot or find_hot(df, keys)
+    ordinary, large = split_hot(df, keys, hot)
 
     def earlier(partition: list[str], by: list[str]) -> WindowSpec:
         spec = Window.partitionBy(*partition).orderBy(*by)
@@ -65,11 +88,11 @@ def running_total(
 
     zero = F.lit(0).cast("bigint")
     result = ordinary.withColumn(out, F.coalesce(F.sum(amount).over(earlier(keys, order)), zero))
-    if hot is None:
+    if large is None:
         return result
-    parts = max(2, math.ceil(rows / limit))
+    parts = max(2, math.ceil(hot.rows / limit))
     chunks = stage(
-        hot.repartitionByRange(parts, *keys, *order).withColumn("_chunk", F.spark_partition_id()),
+        large.repartitionByRange(parts, *keys, *order).withColumn("_chunk", F.spark_partition_id()),
         "chunks",
     )
     sums = chunks.groupBy(*keys, "_chunk").agg(F.sum(amount).alias("_sum"))
@@ -129,21 +152,24 @@ def over_series(
     order: str,
     halo: int,
     build: Callable[[DataFrame, list[str]], DataFrame],
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Run ``build(frame, partition_keys)`` per entity, where a row needs ``halo`` earlier rows.
 
     Entities of ordinary length are one partition each. Longer ones are cut into blocks of
     consecutive rows; each block also gets copies of the last ``halo`` rows before it, which
-    are dropped afterwards. ``build`` sees the block number in ``_block``.
+    are dropped afterwards. ``build`` sees the block number in ``_block``. Steps over the
+    same entities can share one ``hot`` instead of counting again.
     """
-    limit = max(hot_rows(df.sparkSession), halo)
-    ordinary, hot, _ = split_hot(df, [key], limit)
+    hot = hot or find_hot(df, [key])
+    ordinary, large = split_hot(df, [key], hot)
     result = build(ordinary, [key])
-    if hot is None:
+    if large is None:
         return result
+    size = max(hot_rows(df.sparkSession), halo)
     at = F.col("_before")
-    block = F.floor(at / limit)
-    tail = at % limit >= limit - halo
+    block = F.floor(at / size)
+    tail = at % size >= size - halo
     places = F.array_compact(
         F.array(
             F.struct(block.alias("_block"), F.lit(True).alias("_own")),
@@ -153,9 +179,9 @@ def over_series(
         )
     )
     blocks = (
-        running_total(hot, [key], [order])
+        running_total(large, [key], [order], hot=hot)
         .withColumn("_place", F.explode(places))
         .select(*df.columns, "_place._block", "_place._own")
     )
     built = build(blocks, [key, "_block"]).filter("_own")
-    return result.unionByName(built.select(*result.columns))
+    return stage(result.unionByName(built.select(*result.columns)), "series")

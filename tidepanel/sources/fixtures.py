@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepanel.sources.staging import stage
+
 LIVE_DATE = "2001-11-04"
 VALIDATION_FROM = "2000-01-01"
 MATRIX_FEATURES = (
@@ -42,6 +44,11 @@ def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices(spark, sf_dir).select("ticker", "date", "close")
 
 
+def landed_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closes as a written table, for work that reads them more than once."""
+    return stage(closes(spark, sf_dir), "closes")
+
+
 def ticker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor ticker per supplier: some missing, of one token, of three, or of unknown country."""
     nation = F.col("s_nationkey")
