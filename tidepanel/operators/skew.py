@@ -139,11 +139,19 @@ def salted_join(df: DataFrame, table: DataFrame, on: Sequence[str], weight: str)
 def attach(df: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join per-key statistics back to rows.
 
-    ``stats`` is aggregated map-side and staged. Catalyst then knows its size on disk:
-    below the broadcast threshold the rows of ``df`` are not shuffled at all, above it
-    the sort-merge join splits skewed keys at run time.
+    When Catalyst's bound for ``stats`` is already below the broadcast threshold, because its
+    input is, it is joined as it is. Otherwise it is aggregated map-side and staged first:
+    then its true size on disk decides. Below the threshold the rows of ``df`` are not
+    shuffled at all; above it the sort-merge join splits skewed keys at run time.
     """
-    return df.join(stage(stats, "stats"), list(on), "left")
+    return df.join(stats if small_by_plan(stats) else stage(stats, "stats"), list(on), "left")
+
+
+def small_by_plan(df: DataFrame) -> bool:
+    """Whether Catalyst's size bound of ``df`` is below the session's broadcast threshold."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= limit
 
 
 def over_series(

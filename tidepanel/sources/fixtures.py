@@ -22,11 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items; a file that comes as fewer splits than cores is spread over the cores."""
+    df = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price panel: one row per supplier and ship date."""
     turn = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return (
-        table(spark, sf_dir, "lineitem")
+        line_items(spark, sf_dir)
         .groupBy(
             F.col("l_suppkey").alias("ticker"), F.col("l_shipdate").cast("date").alias("date")
         )
@@ -118,7 +125,7 @@ def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.least(F.floor(value / width), F.lit(4)).cast("int")
 
     era = F.date_format("l_shipdate", "yyyyMM")
-    return table(spark, sf_dir, "lineitem").select(
+    return line_items(spark, sf_dir).select(
         F.concat_ws(
             "-",
             "l_orderkey",
