@@ -279,9 +279,9 @@ def error_metrics(spark, sf_dir):
     over(
         "matrix",
         body="""select era, count(*) as n,
-          round(covar_pop(feature_quantity, feature_quantity), 9) as c00,
-          round(covar_pop(feature_quantity, prediction), 9) as c01,
-          round(covar_pop(prediction, prediction), 9) as c11 from matrix group by era""",
+          round(covar_pop(feature_quantity, feature_quantity) * count(*), 6) as c00,
+          round(covar_pop(feature_quantity, prediction) * count(*), 6) as c01,
+          round(covar_pop(prediction, prediction) * count(*), 6) as c11 from matrix group by era""",
     ),
 )
 def gram_matrix(spark, sf_dir):
@@ -290,7 +290,7 @@ def gram_matrix(spark, sf_dir):
     return made.select(
         "era",
         F.col("_n").alias("n"),
-        *[F.round(F.col("_gram")[i] / F.col("_n"), 9).alias(c) for c, i in cell.items()],
+        *[F.round(F.col("_gram")[i], 6).alias(c) for c, i in cell.items()],
     )
 
 
@@ -310,11 +310,11 @@ def ranked_range(spark, sf_dir):
 
 @query(
     "m15_center",
-    over("matrix", body="select id, round(price - avg(price) over (partition by era), 4) as centered from matrix"),
+    over("matrix", body="select id, round(prediction - avg(prediction) over (partition by era), 9) as centered from matrix"),
 )
 def center(spark, sf_dir):
-    made = SC.center(X.matrix(spark, sf_dir), "price", ["era"])
-    return made.select("id", F.round("price", 4).alias("centered"))
+    made = SC.center(X.matrix(spark, sf_dir), "prediction", ["era"])
+    return made.select("id", F.round("prediction", 9).alias("centered"))
 
 
 @query(

@@ -84,15 +84,16 @@ def fan_out_join(spark, sf_dir):
     "j5_group_statistic",
     over(
         "matrix",
-        body="""select id, round(avg(price) over (partition by era), 4) as era_price,
+        body="""select id, round(avg(feature_line) over (partition by era), 9) as era_line,
                 round(avg(prediction) over (partition by era), 9) as era_prediction from matrix""",
     ),
 )
 def group_statistic(spark, sf_dir):
-    rows = X.matrix(spark, sf_dir).select("id", "era", "price", "prediction")
-    made = with_group_means(rows, ["era"], ["price", "prediction"], "era_")
+    rows = X.matrix(spark, sf_dir).select("id", "era", "feature_line", "prediction")
+    made = with_group_means(rows, ["era"], ["feature_line", "prediction"], "era_")
     return made.select(
-        "id", F.round("era_price", 4).alias("era_price"),
+        "id",
+        F.round("era_feature_line", 9).alias("era_line"),
         F.round("era_prediction", 9).alias("era_prediction"),
     )
 
