@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.operators.skew import (
+    HotKeys,
     attach,
     find_hot,
     hot_rows,
@@ -75,7 +76,9 @@ def average_rank(
         "ranks",
     )
     sizes = counted.groupBy(*keys).agg(F.sum("_ties").alias(size))
-    spread = salted_join(hot, table, [*keys, value], "_ties")
+    heavy = counted.filter(F.col("_ties") > hot_rows(df.sparkSession))
+    tied = HotKeys(heavy.withColumnRenamed("_ties", "_n"), 0)
+    spread = salted_join(hot, table, [*keys, value], tied)
     if keys:
         spread = attach(spread, sizes, keys)
     else:

@@ -12,9 +12,11 @@ from tidepanel.operators.cross_section import centered_rank, percent_rank
 from tidepanel.operators.skew import attach
 
 
-def center(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``value`` minus its mean, per group."""
-    mean = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
+def center(
+    df: DataFrame, value: str, keys: Sequence[str] = (), source: DataFrame | None = None
+) -> DataFrame:
+    """``value`` minus its mean, per group; ``source`` is a cheaper frame of the same rows."""
+    mean = (df if source is None else source).groupBy(*keys).agg(F.avg(value).alias("_mean"))
     joined = attach(df, mean, keys) if keys else df.crossJoin(F.broadcast(mean))  # one row
     return joined.withColumn(value, F.col(value) - F.col("_mean")).drop("_mean")
 
@@ -30,7 +32,7 @@ def rank_correlation(
     """
     complete = df.dropna("any", subset=[prediction, target]).select(*keys, prediction, target)
     ranked = centered_rank(complete, keys, prediction, "_p")
-    centered = center(ranked, target, keys)
+    centered = center(ranked, target, keys, complete)
     pair = centered.select(
         *keys,
         signed_power(inverse_normal(F.col("_p"))).alias("_p"),

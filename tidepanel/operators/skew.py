@@ -27,7 +27,7 @@ def hot_rows(spark: SparkSession) -> int:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys above the limit (none if ``keys`` is None) and how many rows they hold."""
+    """Keys above the limit with their row counts ``_n`` (None if there are none), and all rows."""
 
     keys: DataFrame | None
     rows: int
@@ -44,8 +44,7 @@ def find_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> Ho
     found = sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
     if not found["k"]:
         return HotKeys(None, 0)
-    named = sizes.select(*keys) if keys else sizes
-    return HotKeys(stage(named, "hot-keys"), found["n"])
+    return HotKeys(stage(sizes, "hot-keys"), found["n"])
 
 
 def split_hot(
@@ -60,7 +59,8 @@ def split_hot(
     df = stage(df, "skewed")
     if not keys:
         return df.filter(F.lit(False)), df
-    return df.join(hot.keys, list(keys), "left_anti"), df.join(hot.keys, list(keys), "left_semi")
+    named = hot.keys.select(*keys)
+    return df.join(named, list(keys), "left_anti"), df.join(named, list(keys), "left_semi")
 
 
 def running_total(
@@ -113,19 +113,17 @@ def running_total(
     return result.unionByName(placed.select(*result.columns))
 
 
-def salted_join(df: DataFrame, table: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
-    """Left join to a staged table of unique keys whose ``weight`` is the key's row count in ``df``.
+def salted_join(df: DataFrame, table: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
+    """Left join; the rows of every hot key are spread over as many salts as its size asks for.
 
-    Keys above the hot limit are spread over as many salts as they need.
+    The matching rows of ``table`` are repeated once per salt.
     """
     on = list(on)
-    limit = hot_rows(df.sparkSession)
-    heavy = table.filter(F.col(weight) > limit).select(
-        *on, F.ceil(F.col(weight) / F.lit(limit)).cast("int").alias("_salts")
-    )
-    if heavy.isEmpty():
+    if hot.keys is None:
         return df.join(table, on, "left")
-    heavy = stage(heavy, "heavy-keys")
+    limit = hot_rows(df.sparkSession)
+    heavy = hot.keys.select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts"))
+    # The salt is a function of the row, so that a task run again places it alike.
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts"))
     left = df.join(heavy, on, "left").withColumn(
         "_salt", F.coalesce(spread, F.lit(0)).cast("int")
@@ -142,9 +140,14 @@ def attach(df: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
     When Catalyst's bound for ``stats`` is already below the broadcast threshold, because its
     input is, it is joined as it is. Otherwise it is aggregated map-side and staged first:
     then its true size on disk decides. Below the threshold the rows of ``df`` are not
-    shuffled at all; above it the sort-merge join splits skewed keys at run time.
+    shuffled at all; above it the rows of hot keys are salted.
     """
-    return df.join(stats if small_by_plan(stats) else stage(stats, "stats"), list(on), "left")
+    if small_by_plan(stats):
+        return df.join(stats, list(on), "left")
+    staged = stage(stats, "stats")
+    if small_by_plan(staged):
+        return df.join(staged, list(on), "left")
+    return salted_join(df, staged, on, find_hot(df, on))
 
 
 def small_by_plan(df: DataFrame) -> bool:
