@@ -130,7 +130,7 @@ def test_dictionary_takes_the_last_duplicate(spark):
 
 def test_codes(spark):
     rows = spark.createDataFrame([("x",), ("b",), ("m",), ("b",), (None,)], "v string")
-    coded = encode(rows, "v", "code")
+    coded = encode(rows, {"v": "code"})
     assert sorted((r["v"] or "", r["code"]) for r in coded.dropna().collect()) == [
         ("b", 0), ("b", 0), ("m", 1), ("x", 2),
     ]

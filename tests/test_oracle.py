@@ -47,11 +47,14 @@ def test_matches_sql(spark, con, name):
 @pytest.mark.parametrize("name", SKEWED)
 def test_matches_sql_when_keys_are_hot(spark, con, hot, name):
     hot(40)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    small = ("spark.sql.autoBroadcastJoinThreshold", "spark.tidepanel.broadcastBytes")
+    for key in small:
+        spark.conf.set(key, "2000")
     try:
         assert difference(spark, con, SF, name) is None
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in small:
+            spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)

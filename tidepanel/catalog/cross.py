@@ -33,7 +33,7 @@ def peers(spark, sf_dir, group):
     table = mapped.join(places, "yahoo", "left").select("ticker", "sector", "industry", country)
     returns = series_return(X.landed_closes(spark, sf_dir), "ticker")
     rows = returns.join(table, "ticker", "left").filter(F.col(group).isNotNull())
-    made = CS.peer_mean(stage(rows, "returns"), ["date", group], "ret", f"{group}_ret")
+    made = CS.peer_means(stage(rows, "returns"), {f"{group}_ret": ["date", group]}, "ret")
     return rounded(made.select("ticker", "date", group, f"{group}_ret"), 9, f"{group}_ret")
 
 

@@ -234,7 +234,7 @@ def union_by_name(spark, sf_dir):
 )
 def label_codes(spark, sf_dir):
     rows = X.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return LK.encode(rows, "c_mktsegment", "code").drop("c_mktsegment")
+    return LK.encode(rows, {"c_mktsegment": "code"}).drop("c_mktsegment")
 
 
 @query(
@@ -253,7 +253,7 @@ def label_codes_from_lookup(spark, sf_dir):
         .join(X.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", F.col("n_name").alias("industry"))
     )
-    return LK.encode(rows, "industry", "code", X.sectors(spark, sf_dir)).drop("industry")
+    return LK.encode(rows, {"industry": "code"}, X.sectors(spark, sf_dir)).drop("industry")
 
 
 @query(

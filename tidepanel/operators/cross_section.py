@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidepanel.operators.skew import (
     HotKeys,
     attach,
+    attach_all,
     find_hot,
     hot_rows,
     running_total,
@@ -36,9 +37,12 @@ def with_group_means(
     return attach(df, group_means(df, keys, columns, prefix), keys)
 
 
-def peer_mean(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Every row with the mean of ``value`` over its peer group."""
-    return attach(df, df.groupBy(*keys).agg(F.avg(value).alias(out)), keys)
+def peer_means(
+    df: DataFrame, groups: Mapping[str, Sequence[str]], value: str
+) -> DataFrame:
+    """Every row with the mean of ``value`` over each peer group; ``groups`` maps name to keys."""
+    stats = [(df.groupBy(*k).agg(F.avg(value).alias(out)), k) for out, k in groups.items()]
+    return attach_all(df, stats)
 
 
 def average_rank(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
@@ -18,6 +19,8 @@ from tidepanel.sources.staging import stage
 
 HOT_ROWS_KEY = "spark.tidepanel.hotRows"
 HOT_ROWS_DEFAULT = 1_000_000
+BROADCAST_BYTES_KEY = "spark.tidepanel.broadcastBytes"
+BROADCAST_BYTES_DEFAULT = 128 * 1024 * 1024
 
 
 def hot_rows(spark: SparkSession) -> int:
@@ -135,26 +138,58 @@ def salted_join(df: DataFrame, table: DataFrame, on: Sequence[str], hot: HotKeys
 
 
 def attach(df: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join per-key statistics back to rows.
+    """Left join per-key statistics back to rows."""
+    return attach_all(df, [(stats, on)])
 
-    When Catalyst's bound for ``stats`` is already below the broadcast threshold, because its
-    input is, it is joined as it is. Otherwise it is aggregated map-side and staged first:
-    then its true size on disk decides. Below the threshold the rows of ``df`` are not
-    shuffled at all; above it the rows of hot keys are salted.
+
+def attach_all(
+    df: DataFrame, tables: Sequence[tuple[DataFrame, Sequence[str]]]
+) -> DataFrame:
+    """Left join several independent per-key tables back to rows.
+
+    Where Catalyst's bound is already below the broadcast threshold, because the input of a
+    table is, it is joined as it is. The others are aggregated map-side and staged, all at
+    once, and their counted size decides: a table that fits is broadcast and the rows of
+    ``df`` are not shuffled; for one that does not the rows of hot keys are salted.
     """
-    if small_by_plan(stats):
-        return df.join(stats, list(on), "left")
-    staged = stage(stats, "stats")
-    if small_by_plan(staged):
-        return df.join(staged, list(on), "left")
-    return salted_join(df, staged, on, find_hot(df, on))
+    ready = stage_where([(t, not small_by_plan(t)) for t, _ in tables])
+    for (table, staged), (_, on) in zip(ready, tables):
+        if not staged:
+            df = df.join(table, list(on), "left")
+        elif fits_broadcast(table):
+            df = df.join(F.broadcast(table), list(on), "left")
+        else:
+            df = salted_join(df, table, on, find_hot(df, on))
+    return df
+
+
+def stage_where(tables: Sequence[tuple[DataFrame, bool]]) -> list[tuple[DataFrame, bool]]:
+    """Stage the marked tables as concurrent jobs and leave the others."""
+    marked = [t for t, wanted in tables if wanted]
+    if len(marked) > 1:
+        with ThreadPoolExecutor(len(marked)) as pool:
+            done = iter(list(pool.map(lambda t: stage(t, "stats"), marked)))
+    else:
+        done = iter([stage(t, "stats") for t in marked])
+    return [(next(done), True) if wanted else (t, False) for t, wanted in tables]
 
 
 def small_by_plan(df: DataFrame) -> bool:
     """Whether Catalyst's size bound of ``df`` is below the session's broadcast threshold."""
-    plan = df._jdf.queryExecution().optimizedPlan()
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(plan.stats().sizeInBytes())) <= limit
+    return _planned_bytes(df) <= limit
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(staged: DataFrame) -> bool:
+    """Whether a staged table is small enough to broadcast: by its files, and by its row count."""
+    limit = int(staged.sparkSession.conf.get(BROADCAST_BYTES_KEY, str(BROADCAST_BYTES_DEFAULT)))
+    if _planned_bytes(staged) > limit:
+        return False
+    return staged.count() * int(staged._jdf.schema().defaultSize()) <= limit
 
 
 def over_series(
