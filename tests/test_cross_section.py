@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidepanel.operators import cross_section
 from tidepanel.operators.cross_section import percent_rank, quantile_edges, quintiles
 from tidepanel.operators.lookup import encode, fill_next_code, map_values
 from tidepanel.operators.skew import find_hot, running_total, salted_join
@@ -67,12 +68,37 @@ def test_whole_frame_rank_without_keys(spark, hot):
         np.testing.assert_allclose(made["pct"], frame["x"].rank(pct=True), rtol=1e-12)
 
 
-def test_edges_by_sorting_equal_edges_in_memory(spark, hot):
-    df = spark.createDataFrame(table(500, 5, 50)[["day", "y"]])
-    small = quantile_edges(df, ["day"], ["y"]).orderBy("day").collect()
-    hot(20)
-    large = quantile_edges(df, ["day"], ["y"]).orderBy("day").collect()
+@pytest.mark.parametrize("rows", [500, 20_000])
+def test_edges_of_large_groups_equal_edges_in_memory(spark, hot, monkeypatch, rows):
+    frame = table(rows, 5, 50)
+    frame["z"] = np.where(frame["id"] % 3 == 0, 1.5, frame["y"])
+    df = spark.createDataFrame(frame[["day", "x", "y", "z"]])
+    df = stage(df.withColumn("x", F.when(~F.isnan("x"), F.col("x"))), "t")
+    columns = ["x", "y", "z"]
+    small = quantile_edges(df, ["day"], columns).orderBy("day").collect()
+    sorted_groups = []
+    full = cross_section._sorted_edges
+
+    def counted(hot_rows, *rest):
+        sorted_groups.append(hot_rows.select("day").distinct().count())
+        return full(hot_rows, *rest)
+
+    monkeypatch.setattr(cross_section, "_sorted_edges", counted)
+    hot(60)
+    large = quantile_edges(df, ["day"], columns).orderBy("day").collect()
+    assert len(small) == len(large) == 4
     for a, b in zip(small, large):
+        for c in columns:
+            np.testing.assert_allclose(a[c], b[c], rtol=1e-14)
+    # With enough rows per group the brackets hold and nothing is sorted in full.
+    assert rows < 20_000 or not sorted_groups
+
+
+def test_edges_by_full_sort(spark):
+    df = spark.createDataFrame(table(500, 6, 30)[["day", "y"]])
+    small = quantile_edges(df, ["day"], ["y"]).orderBy("day").collect()
+    full = cross_section._sorted_edges(df, ["day"], ["y"], cross_section.QUINTILES)
+    for a, b in zip(small, full.orderBy("day").collect()):
         np.testing.assert_allclose(a["y"], b["y"], rtol=1e-14)
 
 

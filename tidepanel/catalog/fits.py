@@ -154,7 +154,7 @@ def random_search(spark, sf_dir):
 def batch_scoring(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
     model = M.fit_boosted(train, FEATURES, "target", **QUICK)
-    return model.transform(X.matrix(spark, sf_dir)).select("id", "prediction")
+    return model.transform(X.matrix(spark, sf_dir).drop("prediction")).select("id", "prediction")
 
 
 @query("l8_feature_importance")

@@ -22,6 +22,9 @@ from tidepanel.sources.staging import stage
 
 QUINTILES = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
 
+# Ranks from a sketch of this accuracy are off by at most one row in a thousand.
+SKETCH = 1000
+
 
 def group_means(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str = ""
@@ -114,7 +117,7 @@ def quantile_edges(
     """One row per group: exact linear-interpolated quantiles of every column, as an array each.
 
     ``percentile`` keeps the distinct values of a group in memory, so the hot limit is
-    shared out over the columns; larger groups are sorted across tasks instead. ``bound`` is
+    shared out over the columns; larger groups are bracketed by a sketch and refined. ``bound`` is
     a frame with no fewer rows per group that is cheaper to count than ``df``.
     """
     limit = max(1, hot_rows(df.sparkSession) // len(columns))
@@ -125,7 +128,128 @@ def quantile_edges(
     edges = ordinary.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
     if hot is None:
         return edges
-    return edges.unionByName(_sorted_edges(hot, list(keys), columns, probabilities))
+    return edges.unionByName(_bracketed_edges(hot, list(keys), list(columns), probabilities))
+
+
+def _bracketed_edges(
+    hot: DataFrame, keys: list[str], columns: list[str], probabilities: Sequence[float]
+) -> DataFrame:
+    """Exact quantiles of large groups without sorting them.
+
+    A mergeable sketch brackets every quantile. One pass counts the values below each
+    bracket, another puts only the values inside in order: a few in a thousand per
+    quantile. A group whose bracket misses is sorted in full.
+    """
+    inner = [float(p) for p in probabilities if 0 < p < 1]
+    hot = hot.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    margin = 2 / SKETCH
+    sides = F.array(*[F.lit(q) for p in inner for q in (max(p - margin, 0), min(p + margin, 1))])
+    sketch = stage(
+        hot.groupBy(*keys).agg(
+            *[F.percentile_approx(c, sides, SKETCH).alias(f"_q_{c}") for c in columns],
+            *[
+                F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(
+                    f"_all_{c}"
+                )
+                for c in columns
+            ],
+        ),
+        "sketch",
+    )
+    rows = attach(hot, sketch.select(*keys, *[f"_q_{c}" for c in columns]), keys)
+    edges = [(c, i) for c in columns for i in range(len(inner))]
+
+    def low(c: str, i: int) -> Column:
+        return F.col(f"_q_{c}")[2 * i]
+
+    below = rows.groupBy(*keys).agg(
+        *[F.count_if(F.col(c) < low(c, i)).alias(f"_below_{c}_{i}") for c, i in edges]
+    )
+    cells = [
+        F.when(
+            F.col(c).between(low(c, i), F.col(f"_q_{c}")[2 * i + 1]),
+            F.struct(F.lit(c).alias("_name"), F.lit(i).alias("_edge"), F.col(c).alias("_value")),
+        )
+        for c, i in edges
+    ]
+    part = [*keys, "_name", "_edge"]
+    inside = rows.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
+    ties = stage(
+        inside.select(*keys, "_cell.*").groupBy(*part, "_value").agg(
+            F.count(F.lit(1)).alias("_ties")
+        ),
+        "ties",
+    )
+    facts = sketch.join(below, keys).select(
+        *keys,
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("_name"),
+                        F.lit(i).alias("_edge"),
+                        (F.lit(inner[i]) * (F.col(f"_all_{c}.n") - 1)).alias("_spot"),
+                        F.col(f"_below_{c}_{i}").alias("_below"),
+                    )
+                    for c, i in edges
+                ]
+            )
+        ).alias("_fact"),
+    )
+    placed = attach(
+        running_total(ties, part, ["_value"], "_ties"), facts.select(*keys, "_fact.*"), part
+    )
+    start = F.col("_below") + F.col("_before")
+
+    def at(position: Column) -> Column:
+        here = (start <= position) & (position < start + F.col("_ties"))
+        return F.max(F.when(here, F.col("_value")))
+
+    found = placed.groupBy(*part, "_spot").agg(
+        at(F.floor("_spot")).alias("_lo"), at(F.ceil("_spot")).alias("_hi")
+    )
+    found = found.select(*part, _between("_lo", "_hi", F.col("_spot")).alias("_at"))
+    wide = found.groupBy(*keys).agg(
+        *[
+            F.max(F.when((F.col("_name") == c) & (F.col("_edge") == i), F.col("_at"))).alias(
+                f"_at_{c}_{i}"
+            )
+            for c, i in edges
+        ]
+    )
+    joined = sketch.join(wide, keys, "left")
+
+    def whole(c: str) -> Column:
+        points = iter(range(len(inner)))
+        ends = {0.0: F.col(f"_all_{c}.lo"), 1.0: F.col(f"_all_{c}.hi")}
+        steps = [
+            ends[float(p)] if float(p) in ends else F.col(f"_at_{c}_{next(points)}")
+            for p in probabilities
+        ]
+        return F.when(F.col(f"_all_{c}.n") > 0, F.array(*steps))
+
+    missed = [
+        F.coalesce(F.exists(whole(c), lambda v: v.isNull()), F.lit(False)) for c in columns
+    ]
+    result = stage(
+        joined.select(
+            *keys, *[whole(c).alias(c) for c in columns], F.greatest(*missed, F.lit(False)).alias("_missed")
+        ),
+        "edges",
+    )
+    again = result.filter("_missed").select(*keys)
+    result = result.filter("not _missed").drop("_missed")
+    if again.isEmpty():
+        return result
+    return result.unionByName(
+        _sorted_edges(hot.join(again, keys, "left_semi"), keys, columns, probabilities)
+    )
+
+
+def _between(low: str, high: str, spot: Column) -> Column:
+    """Linear interpolation between the values at the floor and the ceiling of ``spot``."""
+    mixed = (F.ceil(spot) - spot) * F.col(low) + (spot - F.floor(spot)) * F.col(high)
+    return F.when(F.col(low) == F.col(high), F.col(low)).otherwise(mixed)
 
 
 def _sorted_edges(
@@ -157,12 +281,10 @@ def _sorted_edges(
             for side, rounding in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
-    steps = []
-    for i, p in enumerate(probabilities):
-        spot = F.lit(float(p)) * (F.col("_size") - 1)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        mixed = (F.ceil(spot) - spot) * low + (spot - F.floor(spot)) * high
-        steps.append(F.when(low == high, low).otherwise(mixed))
+    steps = [
+        _between(f"_lo{i}", f"_hi{i}", F.lit(float(p)) * (F.col("_size") - 1))
+        for i, p in enumerate(probabilities)
+    ]
     arrays = found.select(*part, F.array(*steps).alias("_edges"))
     return arrays.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == c, F.col("_edges"))).alias(c) for c in columns]

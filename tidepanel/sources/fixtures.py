@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidepanel.operators.skew import over_series
 from tidepanel.sources.staging import stage
 
 LIVE_DATE = "2001-11-04"
@@ -101,12 +102,17 @@ def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per ticker and date: 1, 0.5 or 0 for a next close above, equal or below; null at the end."""
-    from pyspark.sql import Window
+    # Counted backwards, the next row is the one before.
+    backwards = F.datediff(F.lit("1970-01-01").cast("date"), "date")
 
-    step = F.lead("close").over(Window.partitionBy("ticker").orderBy("date")) - F.col("close")
-    return closes(spark, sf_dir).select(
-        "date", "ticker", ((F.signum(step) + 1) / 2).alias("target")
-    )
+    def build(frame: DataFrame, part: list[str]) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy("_back")
+        return frame.withColumn("_next", F.lag("close").over(w))
+
+    rows = landed_closes(spark, sf_dir).withColumn("_back", backwards)
+    made = over_series(rows, "ticker", "_back", 1, build)
+    step = F.signum(F.col("_next") - F.col("close"))
+    return made.select("date", "ticker", ((step + 1) / 2).alias("target"))
 
 
 def live_universe(spark: SparkSession, sf_dir: str, date: str = LIVE_DATE) -> DataFrame:
