@@ -9,9 +9,10 @@ from tidepanel.catalog.registry import query, rounded
 from tidepanel.catalog.sql import CANONICAL, average_rank, edges, ema, over, trailing
 from tidepanel.catalog.fits import parts, two_factor_sql
 from tidepanel.functions.scalar import canonical_ticker
-from tidepanel.operators.cross_section import quintiles
+from tidepanel.operators.cross_section import percent_rank, quintiles
 from tidepanel.operators.indicators import window_indicators
-from tidepanel.operators.score import era_scores
+from tidepanel.operators.neutralize import neutralize_full, neutralize_partial
+from tidepanel.operators.score import era_scores, ranked_range
 from tidepanel.plans import panel as P
 from tidepanel.plans import tournament as T
 from tidepanel.sources import fixtures as X
@@ -87,14 +88,14 @@ def equity_ctes() -> str:
     complete = " and ".join(f'"{c}" is not null' for c in EQUITY_NUMBERS)
     indicators = EQUITY_NUMBERS[:6]
     warm = " and ".join(f'"{c}" is not null' for c in indicators)
-    return f"""@names as (select ticker, bloomberg_ticker, yahoo, {CANONICAL} as numerai_ticker
+    return f"""@names as (select ticker, bloomberg_ticker, yahoo, {CANONICAL} as canonical_ticker
       from ticker_map),
-    numbered as (select p.ticker, p.date, close as x, bloomberg_ticker, numerai_ticker,
+    numbered as (select p.ticker, p.date, close as x, bloomberg_ticker, canonical_ticker,
                  row_number() over (partition by p.ticker order by p.date) as rn
                  from panel p join names n on n.ticker = p.ticker
-                 where close > 0 and numerai_ticker is not null and bloomberg_ticker is not null),
+                 where close > 0 and canonical_ticker is not null and bloomberg_ticker is not null),
     {ema("e20", "numbered", 20)},
-    r as (select n.ticker, n.date, x as close, bloomberg_ticker, numerai_ticker, y as "EMA_20",
+    r as (select n.ticker, n.date, x as close, bloomberg_ticker, canonical_ticker, y as "EMA_20",
           x / nullif(lag(x) over (partition by n.ticker order by n.date), 0) - 1 as ret
           from numbered n left join e20 e on e.ticker = n.ticker and e.date = n.date),
     i as (select * exclude (ret), {windows_sql(indicators[1:])} from r),
@@ -117,7 +118,7 @@ def equity_ctes() -> str:
                      avg(ret) over (partition by date, sector) as sector_ret from filled),
     ready as (select * from peers where {complete}),
     edges as (select date, {", ".join(edges_of(c) for c in EQUITY_NUMBERS)} from ready group by date),
-    features as (select date, ticker, numerai_ticker, country, sector, industry,
+    features as (select date, ticker, canonical_ticker, country, sector, industry,
                  {", ".join(quintile_of(c, f'edges."e_{c}"') for c in EQUITY_NUMBERS)}
                  from ready join edges using (date) where ret is not null),
     final as (select * from features where
@@ -139,7 +140,7 @@ def equity_table(spark, sf_dir):
     ).select(
         "date",
         "ticker",
-        "numerai_ticker",
+        "canonical_ticker",
         "country",
         "sector",
         "industry",
@@ -158,24 +159,24 @@ def equity_features(spark, sf_dir):
 def _set_sql() -> str:
     names = ", ".join(f'"{c}_quintile"' for c in EQUITY_NUMBERS)
     return f"""{equity_ctes()},
-    named as (select date, numerai_ticker, target from targets join names using (ticker)
-              where numerai_ticker is not null),
-    nearest as (select numerai_ticker, max(f.date) as found from final f
+    named as (select date, canonical_ticker, target from targets join names using (ticker)
+              where canonical_ticker is not null),
+    nearest as (select canonical_ticker, max(f.date) as found from final f
                 where f.date between date '2001-11-04' - 9 and date '2001-11-04' group by 1)
     select case when f.date < date '2000-01-01' then 'train' else 'validation' end as part,
-           f.date, f.numerai_ticker, cast(null as int) as days_back, target, {names}
-    from final f join named n on n.date = f.date and n.numerai_ticker = f.numerai_ticker
+           f.date, f.canonical_ticker, cast(null as int) as days_back, target, {names}
+    from final f join named n on n.date = f.date and n.canonical_ticker = f.canonical_ticker
     where target is not null
     union all
-    select 'live', date '2001-11-04', f.numerai_ticker,
+    select 'live', date '2001-11-04', f.canonical_ticker,
            cast(date '2001-11-04' - f.date as int), cast(null as double), {names}
-    from final f join nearest n on n.numerai_ticker = f.numerai_ticker and n.found = f.date"""
+    from final f join nearest n on n.canonical_ticker = f.canonical_ticker and n.found = f.date"""
 
 
 @query("q2_equity_sets", over(*EQUITY_VIEWS, "targets", body=_set_sql(), recursive=True))
 def equity_sets(spark, sf_dir):
     ticker = canonical_ticker(F.col("bloomberg_ticker"))
-    names = X.ticker_map(spark, sf_dir).select("ticker", ticker.alias("numerai_ticker")).dropna()
+    names = X.ticker_map(spark, sf_dir).select("ticker", ticker.alias("canonical_ticker")).dropna()
     table = X.targets(spark, sf_dir).join(names, "ticker").drop("ticker")
     cut = F.lit(X.VALIDATION_FROM).cast("date")
     live = X.live_universe(spark, sf_dir).join(names, "ticker").drop("ticker")
@@ -188,7 +189,7 @@ def equity_sets(spark, sf_dir):
     made = [f"{c}_quintile" for c in EQUITY_NUMBERS]
 
     def marked(df, part, *more):
-        return df.select(F.lit(part).alias("part"), "date", "numerai_ticker", *more, *made)
+        return df.select(F.lit(part).alias("part"), "date", "canonical_ticker", *more, *made)
 
     none = F.lit(None).cast("int").alias("days_back")
     return (
@@ -285,9 +286,6 @@ def crypto_features_full(spark, sf_dir):
 )
 def neutral_rank(spark, sf_dir):
     """Neutralize fully, then rank; scores are rounded first so that ties agree."""
-    from tidepanel.operators.cross_section import percent_rank
-    from tidepanel.operators.neutralize import neutralize_full
-
     rows = X.matrix(spark, sf_dir).select("id", "prediction", *TWO)
     neutral = stage(rounded(neutralize_full(rows).select("id", "prediction"), 6, "prediction"), "n")
     ranked = percent_rank(neutral, [], "prediction", "pct")
@@ -334,9 +332,6 @@ def sigmoid_range(spark, sf_dir):
 )
 def robust_range(spark, sf_dir):
     """Post-processing of the robust score; the match to a reference keeps the ranks."""
-    from tidepanel.operators.neutralize import neutralize_partial
-    from tidepanel.operators.score import ranked_range
-
     rows = X.matrix(spark, sf_dir).select("id", "prediction", *TWO)
     neutral = neutralize_partial(rows, ["prediction"], TWO, 0.6).select("id", "prediction")
     steady = stage(rounded(neutral, 6, "prediction"), "neutral")

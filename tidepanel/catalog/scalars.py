@@ -17,11 +17,11 @@ from tidepanel.sources import fixtures as X
 
 @query(
     "m1_canonical_ticker",
-    over("ticker_map", body=f"select ticker, {CANONICAL} as numerai_ticker from ticker_map"),
+    over("ticker_map", body=f"select ticker, {CANONICAL} as canonical_ticker from ticker_map"),
 )
 def canonical_ticker(spark, sf_dir):
     return X.ticker_map(spark, sf_dir).select(
-        "ticker", S.canonical_ticker(F.col("bloomberg_ticker")).alias("numerai_ticker")
+        "ticker", S.canonical_ticker(F.col("bloomberg_ticker")).alias("canonical_ticker")
     )
 
 
