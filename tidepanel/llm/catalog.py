@@ -5,17 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepanel.llm.minhash import near_duplicates
+from tidepanel.llm import compression, minhash, toxicity, url_tree, weak_rules
 from tidepanel.llm.text import documents
 
 
+def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op4_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    return toxicity.classify(documents(spark, sf_dir), labels_of(spark, sf_dir))
+
+
+def op5_url_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's url. A page's label is that of the document its path ends in."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    _, path = url_tree.host_and_path()
+    number = F.expr("try_cast(regexp_extract(path, '([0-9]{1,18})[^0-9/]*/?$', 1) as bigint)")
+    named = pages.select("page_id", path.alias("path")).select("page_id", number.alias("doc_id"))
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    known = labels_of(spark, sf_dir).select("doc_id", good.cast("int").alias("good"))
+    return url_tree.judge(pages, named.join(known, "doc_id").select("page_id", "good"))
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document."""
+    return compression.classify(documents(spark, sf_dir), labels_of(spark, sf_dir))
+
+
+def op8_weak_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and posterior verdict for every document."""
+    return weak_rules.judge(documents(spark, sf_dir))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles."""
-    return near_duplicates(documents(spark, sf_dir), size=2)
+    return minhash.near_duplicates(documents(spark, sf_dir), size=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    f.__name__: f
+    for f in (
+        op4_toxicity_automata,
+        op5_url_template_tree,
+        op7_compression_quality,
+        op8_weak_quality_rules,
+        op10_minhash_near_dedup,
+    )
 }
 ORACLE: dict[str, str] = {}
