@@ -21,6 +21,10 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 VOTES = (-1, 0, 1)
 ROUNDS = 30
+#: First guess of how often a rule votes so on (bad, good) texts: a vote for bad is rare on good
+#: texts, whichever rule gives it; a vote for good says little.
+START = {-1: (0.4, 0.001), 0: (0.1, 0.1), 1: (0.5, 0.899)}
+START_GOOD = 0.9
 TOLERANCE = 1e-5
 
 
@@ -124,22 +128,18 @@ def _posterior(parts: dict, prior: float, names: Sequence[str]) -> Column:
 def estimate(patterns: DataFrame, names: Sequence[str], rounds: int = ROUNDS) -> tuple[dict, float]:
     """Shares of each vote on bad and on good texts, and the share of good ones, by EM.
 
-    ``patterns`` has the vote columns and ``n``. Each round is one aggregate over it. The first
-    guess is a soft majority. Shares are smoothed by one vote of each kind.
+    ``patterns`` has the vote columns and ``n``. Each round is one aggregate over it, from START on.
+    Shares are smoothed by one vote of each kind.
     """
-    total = F.lit(0)
-    for name in names:
-        total = total + F.col(name)
-    good = 1 / (1 + F.exp(-total.cast("double")))
-    parts: dict = {}
-    prior = 0.5
+    parts: dict = dict.fromkeys(names, START)
+    prior = START_GOOD
     for _ in range(rounds):
         weigh = {"bad": F.col("n") * (1 - F.col("p")), "good": F.col("n") * F.col("p")}
         sums = [F.sum(w).alias(side) for side, w in weigh.items()]
         for name in names:
             for vote in VOTES:
                 sums += [F.sum(F.when(F.col(name) == vote, w)).alias(f"{name}|{vote}|{side}") for side, w in weigh.items()]
-        row = patterns.withColumn("p", good).agg(*sums).first()
+        row = patterns.withColumn("p", _posterior(parts, prior, names)).agg(*sums).first()
         n = {side: row[side] or 0.0 for side in weigh}
         parts = {
             name: {
@@ -149,7 +149,6 @@ def estimate(patterns: DataFrame, names: Sequence[str], rounds: int = ROUNDS) ->
             for name in names
         }
         before, prior = prior, (n["good"] + 1) / (n["good"] + n["bad"] + 2)
-        good = _posterior(parts, prior, names)
         if abs(before - prior) < TOLERANCE:
             break
     return parts, prior
@@ -164,9 +163,10 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     rules = votes()
     voted = stage(measures(docs).select("*", *[c.alias(name) for name, c in rules.items()]), "votes")
-    patterns = stage(voted.groupBy(*rules).agg(F.count("*").alias("n")), "patterns")
-    parts, prior = estimate(patterns, list(rules))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    # The verdict is asked for texts that pass the base rule, so their votes are what is learned from.
+    patterns = stage(voted.filter(~failed).groupBy(*rules).agg(F.count("*").alias("n")), "patterns")
+    parts, prior = estimate(patterns, list(rules))
     scored = voted.withColumn("posterior", _posterior(parts, prior, list(rules)))
     return scored.select(
         "doc_id",
