@@ -8,7 +8,7 @@ texts; the posterior probability of good replaces an all-must-pass filter.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import log
+from math import exp, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +18,17 @@ from tidepanel.sources.staging import stage
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+#: The same symbol twice in a row.
+RUN = r"([#*$%&|<>])\1"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-VOTES = (-1, 0, 1)
+VOTES = (-1, 1)
 ROUNDS = 30
-#: First guess of how often a rule votes so on (bad, good) texts: a vote for bad is rare on good
-#: texts, whichever rule gives it; a vote for good says little.
-START = {-1: (0.4, 0.001), 0: (0.1, 0.1), 1: (0.5, 0.899)}
+TOLERANCE = 1e-5
+#: First guess of how often a rule that votes does so on (bad, good) texts: a vote for bad is rare on
+#: good texts, whichever rule gives it; a vote for good says little. An abstention says nothing.
+START = {-1: (0.4, 0.001), 1: (0.6, 0.999)}
+#: Weight of the first guess against the votes in every round.
+ANCHOR = 0.5
 START_GOOD = 0.9
 TOLERANCE = 1e-5
 
@@ -51,6 +56,7 @@ def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
         _without("text", SPACES).alias("word_chars"),
         _without("text", SYMBOLS).alias("no_symbols"),
         _without("text", CAPITALS).alias("no_capitals"),
+        F.regexp_count("text", F.lit(RUN)).alias("n_runs"),
     )
     rows = rows.withColumns(
         {
@@ -81,6 +87,7 @@ def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
         (F.col("n_lines") - F.col("n_own_lines")).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
         (F.col("n_chars") - F.col("no_capitals")).cast("long").alias("n_capitals"),
+        "n_runs",
         "n_lines",
         "n_own_words",
         "n_ended",
@@ -106,6 +113,7 @@ def votes() -> dict[str, Column]:
         "v_length": _vote(F.col("n_words") < 50, F.col("n_words") >= 100),
         "v_word_length": _vote((length < 2.5) | (length > 14), length.between(3, 11)),
         "v_symbols": _vote(symbols > 0.1, symbols < 0.02),
+        "v_runs": _vote(F.col("n_runs") > 0.05 * words, F.col("n_runs") == 0),
         "v_lines": _vote(lines > 0.3, (lines == 0) & (F.col("n_lines") >= 3)),
         "v_repeats": _vote(repeats > 0.3, repeats < 0.15),
         "v_capitals": _vote(capitals > 0.4, capitals < 0.15),
@@ -114,41 +122,46 @@ def votes() -> dict[str, Column]:
     }
 
 
-def _posterior(parts: dict, prior: float, names: Sequence[str]) -> Column:
-    """Probability of good given the votes, from the shares parts[name][vote] = (on bad, on good)."""
+def _posterior(parts: Sequence[dict], prior: float, names: Sequence[str]) -> Column:
+    """Probability of good given the votes, from each rule's shares by vote on (bad, good) texts."""
     odds = F.lit(log(prior / (1 - prior)))
-    for name in names:
+    for name, part in zip(names, parts, strict=True):
         term = F.lit(0.0)
-        for vote, (bad, good) in parts[name].items():
+        for vote, (bad, good) in part.items():
             term = F.when(F.col(name) == vote, log(good / bad)).otherwise(term)
         odds = odds + term
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, names: Sequence[str], rounds: int = ROUNDS) -> tuple[dict, float]:
-    """Shares of each vote on bad and on good texts, and the share of good ones, by EM.
+def estimate(patterns: Sequence[tuple[Sequence[int], int]], rules: int, rounds: int = ROUNDS) -> tuple[list[dict], float]:
+    """By rule the shares of each vote, where given, on (bad, good) texts, and the share of good ones.
 
-    ``patterns`` has the vote columns and ``n``. Each round is one aggregate over it, from START on.
-    Shares are smoothed by one vote of each kind.
+    ``patterns`` are the different vote patterns with their counts. EM from START on, which also
+    anchors the shares. No patterns: the first guess.
     """
-    parts: dict = dict.fromkeys(names, START)
-    prior = START_GOOD
+    parts, prior = [START] * rules, START_GOOD
     for _ in range(rounds):
-        weigh = {"bad": F.col("n") * (1 - F.col("p")), "good": F.col("n") * F.col("p")}
-        sums = [F.sum(w).alias(side) for side, w in weigh.items()]
-        for name in names:
-            for vote in VOTES:
-                sums += [F.sum(F.when(F.col(name) == vote, w)).alias(f"{name}|{vote}|{side}") for side, w in weigh.items()]
-        row = patterns.withColumn("p", _posterior(parts, prior, names)).agg(*sums).first()
-        n = {side: row[side] or 0.0 for side in weigh}
-        parts = {
-            name: {
-                vote: tuple(((row[f"{name}|{vote}|{side}"] or 0.0) + 1) / (n[side] + len(VOTES)) for side in weigh)
-                for vote in VOTES
-            }
-            for name in names
-        }
-        before, prior = prior, (n["good"] + 1) / (n["good"] + n["bad"] + 2)
+        n = [0.0, 0.0]
+        sums = [{vote: [0.0, 0.0] for vote in VOTES} for _ in range(rules)]
+        for votes_given, count in patterns:
+            odds = log(prior / (1 - prior))
+            odds += sum(log(part[v][1] / part[v][0]) for v, part in zip(votes_given, parts, strict=True) if v)
+            good = 1 / (1 + exp(-max(-50.0, min(50.0, odds))))
+            for side, weight in enumerate((count * (1 - good), count * good)):
+                n[side] += weight
+                for v, total in zip(votes_given, sums, strict=True):
+                    if v:
+                        total[v][side] += weight
+        parts = []
+        for total in sums:
+            cast = [sum(total[v][side] for v in VOTES) for side in (0, 1)]
+            parts.append(
+                {
+                    v: tuple((total[v][k] + (1 + ANCHOR * cast[k]) * START[v][k]) / (cast[k] * (1 + ANCHOR) + 1) for k in (0, 1))
+                    for v in VOTES
+                }
+            )
+        before, prior = prior, (n[1] + 9) / (n[0] + n[1] + 10)
         if abs(before - prior) < TOLERANCE:
             break
     return parts, prior
@@ -165,8 +178,10 @@ def judge(docs: DataFrame) -> DataFrame:
     voted = stage(measures(docs).select("*", *[c.alias(name) for name, c in rules.items()]), "votes")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # The verdict is asked for texts that pass the base rule, so their votes are what is learned from.
-    patterns = stage(voted.filter(~failed).groupBy(*rules).agg(F.count("*").alias("n")), "patterns")
-    parts, prior = estimate(patterns, list(rules))
+    patterns = voted.filter(~failed).groupBy(*rules).agg(F.count("*").alias("n"))
+    # At most 3 ** len(rules) rows, however many texts there are.
+    counted = [(tuple(r)[:-1], r["n"]) for r in patterns.collect()]
+    parts, prior = estimate(counted, len(rules))
     scored = voted.withColumn("posterior", _posterior(parts, prior, list(rules)))
     return scored.select(
         "doc_id",
