@@ -78,3 +78,17 @@ def held_out(doc_id: str, of: int, remainder: int) -> Column:
 
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+#: Rows of integer keys that may be broadcast, 16 MB.
+BROADCAST_ROWS = 1 << 20
+
+
+def keep_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose key is among ``keys`` (a staged table of one integer column, without repeats).
+
+    The keys are counted: up to BROADCAST_ROWS they are broadcast and ``rows`` stay where they are;
+    beyond that both sides are shuffled.
+    """
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
