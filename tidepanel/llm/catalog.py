@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import compression, minhash, toxicity, url_tree, weak_rules
+from tidepanel.llm import brown, compression, decontaminate, merge_dropout, minhash, substring, toxicity, url_tree, wavelet, weak_rules
 from tidepanel.llm.text import documents
 
 
@@ -15,6 +16,21 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents overlap items of the benchmark."""
+    return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op2_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the written shards."""
+    return wavelet.encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and class-model score of every document."""
+    return brown.score(documents(spark, sf_dir))
+
+
 def op4_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
     return toxicity.classify(documents(spark, sf_dir), labels_of(spark, sf_dir))
@@ -31,6 +47,11 @@ def op5_url_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_tree.judge(pages, named.join(known, "doc_id").select("page_id", "good"))
 
 
+def op6_fm_index_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that occur earlier."""
+    return substring.remove_repeats(documents(spark, sf_dir))
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document."""
     return compression.classify(documents(spark, sf_dir), labels_of(spark, sf_dir))
@@ -41,6 +62,11 @@ def op8_weak_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(documents(spark, sf_dir))
 
 
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded segmentation of every document and whether it decodes to the text."""
+    return merge_dropout.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), full=False)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles."""
     return minhash.near_duplicates(documents(spark, sf_dir), size=2)
@@ -49,10 +75,15 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_spaced_seed_decontamination,
+        op2_wavelet_token_files,
+        op3_brown_class_scores,
         op4_toxicity_automata,
         op5_url_template_tree,
+        op6_fm_index_repeats,
         op7_compression_quality,
         op8_weak_quality_rules,
+        op9_merge_dropout,
         op10_minhash_near_dedup,
     )
 }

@@ -138,6 +138,18 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(lambda it: _score(it, model), "doc_id long, score double")
 
 
+def _accepted(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in steps(batches):
+        pieces = _score(iter([batch.select(["doc_id", "text"])]), model)
+        score = np.concatenate([piece.column("score").to_numpy() for piece in pieces])
+        yield batch.filter(pa.array(score >= least))
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``least``, all columns kept, in one pass."""
+    return docs.mapInArrow(lambda it: _accepted(it, model, least), docs.schema)
+
+
 def training_rows(labels: DataFrame, out: Column) -> DataFrame:
     return labels.filter(~out)
 

@@ -97,5 +97,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no item, all columns kept."""
     found = stage(overlaps(docs, benchmark).select(F.col("d").alias("_d")).distinct(), "leaks")
-    rows = docs.withColumn("_d", F.coalesce("doc_id", F.lit(NO_ID)))
-    return rows.join(_small(found), "_d", "left_anti").select(*docs.columns)
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_d"), F.struct(*docs.columns).alias("_row"))
+    rows = rows.join(_small(found), "_d", "left_anti")
+    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

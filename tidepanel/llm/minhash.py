@@ -1,10 +1,10 @@
 """MinHash near-duplicates: many universal hash minima, banding, signature check, exact check.
 
-1. One pass over the texts gives each row its set size, a 128-bit key of the set and ``HASHES``
-   minima of universal hash functions (multiply, add, shift).
+1. One pass over the texts gives each row its set size, a 128-bit key of the set and, from ``HASHES``
+   minima of universal hash functions (multiply, add, shift), the hashes of its bands.
 2. Rows with equal sets fall into one class by an aggregate with map-side combine, so a group of
    exact copies is one row from here on.
-3. ``HASHES / ROWS`` bands of the minima give buckets. A bucket's least class is linked to each
+3. ``HASHES / ROWS`` bands give buckets. A bucket's least class is linked to each
    other member, not all pairs: candidates grow with the number of members.
 4. Candidates are dropped by set sizes that rule the similarity out, then by the share of equal
    minima, seven standard deviations below the threshold; the rest are compared by their full sets.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.components import components
-from tidepanel.llm.text import constants, mix, steps, whole, word_hashes, words_of
+from tidepanel.llm.text import constants, keep_rows, mix, steps, whole, word_hashes, words_of
 from tidepanel.sources.staging import stage
 
 HASHES = 200
@@ -64,60 +64,65 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
-def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """HASHES minima of each set, 32 bits each; zeros for an empty one."""
     a, b = constants(HASHES, 29), constants(HASHES, 31)
+    count = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(count)
+    minima = np.zeros((len(sets), HASHES), np.uint32)
+    if len(full):
+        flat = np.concatenate([sets[i] for i in full])
+        begin = np.concatenate([[0], np.cumsum(count[full])[:-1]])
+        for j in range(HASHES):
+            least = np.minimum.reduceat(flat * a[j] + b[j], begin)
+            minima[full, j] = (least >> np.uint64(32)).astype(np.uint32)
+    return minima
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in rows], pa.binary())
+
+
+def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    bands = HASHES // ROWS
+    factor, salt = constants(ROWS, 37), constants(bands, 41)
     for batch in steps(batches):
         sets = shingle_sets(batch.column("text"), size)
         count = np.array([len(s) for s in sets], np.int64)
         full = np.flatnonzero(count)
-        minima = np.zeros((len(sets), HASHES), np.uint32)
         keys = np.zeros((2, len(sets)), np.uint64)
         if len(full):
             flat = np.concatenate([sets[i] for i in full])
             begin = np.concatenate([[0], np.cumsum(count[full])[:-1]])
-            for j in range(HASHES):
-                least = np.minimum.reduceat(flat * a[j] + b[j], begin)
-                minima[full, j] = (least >> np.uint64(32)).astype(np.uint32)
             keys[0, full] = np.add.reduceat(flat, begin)
-            keys[1, full] = np.add.reduceat(mix(flat + a[0]), begin)
+            keys[1, full] = np.add.reduceat(mix(flat + factor[0]), begin)
+        minima = signatures(sets).reshape(-1, bands, ROWS).astype(np.uint64)
+        banded = mix((minima * factor).sum(axis=2, dtype=np.uint64) + salt)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 pa.array(count),
                 pa.array(keys[0].view(np.int64)),
                 pa.array(keys[1].view(np.int64)),
-                pa.array([m.tobytes() for m in minima], pa.binary()),
+                _binary(banded),
             ],
-            names=["doc_id", "n_shingles", "key_a", "key_b", "minima"],
-        )
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bands = HASHES // ROWS
-    factor, salt = constants(ROWS, 37), constants(bands, 41)
-    for batch in batches:
-        m = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32)
-        m = m.reshape(-1, bands, ROWS).astype(np.uint64)
-        bucket = mix((m * factor).sum(axis=2, dtype=np.uint64) + salt)
-        ids = np.repeat(batch.column("class").to_numpy(), bands)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket.reshape(-1).view(np.int64)), pa.array(ids)], names=["bucket", "class"]
+            names=["doc_id", "n_shingles", "key_a", "key_b", "bands"],
         )
 
 
-def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        m = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32) for c in ("ma", "mb")]
-        same = (m[0] == m[1]).reshape(-1, HASHES).mean(axis=1)
-        yield batch.select(["a", "b"]).filter(pa.array(same >= least))
+        banded = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
+        ids = np.repeat(batch.column("class").to_numpy(), HASHES // ROWS)
+        yield pa.RecordBatch.from_arrays([pa.array(banded), pa.array(ids)], names=["bucket", "class"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches):
         sets = shingle_sets(batch.column("text"), size)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("class"), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["class", "members"],
+            [batch.column("class"), _binary(signatures(sets)), _binary(sets)],
+            names=["class", "minima", "members"],
         )
 
 
@@ -126,13 +131,23 @@ def _sorted_values(cell: pa.Scalar) -> np.ndarray:
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs by set sizes, then by equal minima, then by the full sets."""
+    rate = percent / 100
+    least = HASHES * (rate - 7 * (rate * (1 - rate) / HASHES) ** 0.5)
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-            both = np.concatenate([_sorted_values(x), _sorted_values(y)])
-            both.sort(kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= percent * (len(both) - shared))
+        for ma, mb, x, y in zip(*[batch.column(c) for c in ("ma", "mb", "sa", "sb")], strict=True):
+            x, y = _sorted_values(x), _sorted_values(y)
+            ma, mb = (np.frombuffer(m.as_buffer(), np.uint32) for m in (ma, mb))
+            possible = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y))
+            if possible and (ma == mb).sum() >= least:
+                both = np.concatenate([x, y])
+                both.sort(kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
+                possible = 100 * shared >= percent * (len(both) - shared)
+            else:
+                possible = False
+            keep.append(possible)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -175,16 +190,6 @@ def _block_links(block: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
 
-def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that set sizes and minima leave possible."""
-    side = {x: classes.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("minima").alias(f"m{x}")) for x in "ab"}
-    near = pairs.join(side["a"], "a").join(side["b"], "b")
-    near = near.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    rate = percent / 100
-    slack = rate - 7 * (rate * (1 - rate) / HASHES) ** 0.5
-    return near.select("a", "b", "ma", "mb").mapInArrow(lambda it: _alike(it, slack), "a long, b long")
-
-
 def _links_between(star: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links between different components inside the group of a centre: (a, b), one per pair of document and component."""
     groups = star.union(star.select("a", "a").distinct())
@@ -201,7 +206,7 @@ def _links_between(star: DataFrame, sets: DataFrame, found: DataFrame, percent:
         F.ceil((F.col("rows") - F.col("most")) / BLOCK).alias("query_blocks"),
     )
     still = stage(groups.join(of_centre, "a").withColumn("query", F.col("component") != F.col("main")), "open")
-    centre, member = sets.toDF("a", "sa"), sets.toDF("b", "sb")
+    centre, member = (sets.select(F.col("class").alias(x), F.col("members").alias(f"s{x}")) for x in "ab")
     lists = still.join(centre, "a").join(member, "b").select("a", "b", "component", "query", "sa", "sb")
     lists = stage(lists.mapInArrow(_differences, "a long, b long, component long, query boolean, n long, d binary"), "differences")
     rows = lists.join(still.select("a", "blocks", "query_blocks").distinct(), "a")
@@ -229,34 +234,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = THRESHOLD_PER
     links. Rows that share a doc_id are one document. A row without doc_id is linked with nothing:
     component_id null, kept true. Other columns are ignored; an empty table gives no rows.
     """
-    signed = stage(
-        docs.select("doc_id", "text").mapInArrow(
-            lambda it: _signed(it, size),
-            "doc_id long, n_shingles long, key_a long, key_b long, minima binary",
-        ),
-        "signed",
+    signed = docs.select("doc_id", "text").mapInArrow(
+        lambda it: _signed(it, size), "doc_id long, n_shingles long, key_a long, key_b long, bands binary"
     )
+    signed = stage(signed, "signed")
     by_set = ["key_a", "key_b", "n_shingles"]
     named = signed.filter("doc_id is not null and n_shingles > 0")
-    of_set = named.groupBy(*by_set).agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"))
-    own = stage(named.select("doc_id", *by_set).join(of_set, by_set).select("doc_id", "class"), "classes").distinct()
-    firsts = signed.select("doc_id", "minima", *by_set).join(of_set, by_set).filter("doc_id = class")
-    classes = stage(
-        firsts.groupBy("class", *by_set[:2]).agg(F.first("n_shingles").alias("n"), F.first("minima").alias("minima")),
-        "sets-by-class",
-    ).select("class", "n", "minima")
+    of_set = named.groupBy(*by_set).agg(F.min(F.struct("doc_id", "bands")).alias("first"))
+    classes = stage(of_set.select(*by_set, F.col("first.doc_id").alias("class"), F.col("first.bands").alias("bands")), "classes")
+    own = named.select("doc_id", *by_set).join(classes.select("class", *by_set), by_set)
+    own = stage(own.select("doc_id", "class").distinct(), "own-class")
     texts = docs.select(F.col("doc_id").alias("class"), "text")
 
-    banded = classes.select("class", "minima").mapInArrow(_banded, "bucket long, class long")
-    banded = stage(banded, "bands")
+    banded = stage(classes.select("class", "bands").mapInArrow(_buckets, "bucket long, class long"), "bands")
     shared = banded.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"))
     members = stage(banded.join(shared.filter("first < last").select("bucket", "first"), "bucket"), "buckets")
     star = members.filter("first <> class").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
     star = stage(star, "pairs")
-    wanted = star.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = texts.join(wanted, "class").mapInArrow(lambda it: _set_rows(it, size), "class long, members binary")
+    wanted = stage(star.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
+    sets = keep_rows(texts, wanted, "class").mapInArrow(
+        lambda it: _set_rows(it, size), "class long, minima binary, members binary"
+    )
     sets = stage(sets, "sets")
-    full = _near(star, classes, percent).join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    full = star.join(sets.toDF("a", "ma", "sa"), "a").join(sets.toDF("b", "mb", "sb"), "b")
     links = stage(full.mapInArrow(lambda it: _confirmed(it, percent), "a long, b long"), "links")
     # A document on several rows joins their classes.
     several = own.groupBy("doc_id").agg(F.min("class").alias("a")).join(own, "doc_id")

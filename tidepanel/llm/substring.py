@@ -347,7 +347,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated words cut from text; a row that loses nothing keeps its text as it is."""
-    columns = [c for c in docs.columns if c != "text"]
-    out = _applied(docs.withColumn("_own", F.col("text")), (*columns, "_own"), True, length)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_own"))
-    return out.withColumn("text", text).select(*docs.columns)
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    out = _applied(packed, ("row",), True, length)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    return out.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
