@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.text import held_out, steps, whole, word_hashes, words_of
+from tidepanel.llm.text import LOOKUP_BYTES, held_out, steps, whole, word_hashes, words_of
 from tidepanel.sources.staging import stage
 
 BLOCK_WORDS = 1_500_000
@@ -62,7 +62,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
         cells += [one(pa.array(counts)), pa.array([zlib.compress(index.tobytes(), 1)], pa.binary())]
         return pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in BLOCKS.split(", ")])
 
-    for batch in steps(batches):
+    for batch in steps(batches, LOOKUP_BYTES):
         words, starts = words_of(pc.ascii_lower(pc.fill_null(whole(batch.column("text")), "")))
         held.append((words, np.diff(starts).astype(np.int64), batch.column("held"), batch.column("doc_id")))
         if sum(len(w) for w, _, _, _ in held) >= block_words:

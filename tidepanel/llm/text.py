@@ -10,8 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Text that one step of a batch works on, in bytes; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+#: Text that one step of a batch works on, in bytes; a longer text is a step of its own. Hashing
+#: takes some forty bytes for each byte of text; steps that only look words up can be larger.
+STEP_BYTES, LOOKUP_BYTES = 1 << 20, 4 << 20
 #: Longest word whose bytes get a factor each; the bytes of a longer one share them in turns.
 FACTORS = 1 << 12
 
@@ -35,12 +36,12 @@ def whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut by rows so that a piece has about STEP_BYTES of text or is one row."""
+def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut by rows so that a piece has about ``size`` bytes of text or is one row."""
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        piece = np.cumsum(size, dtype=np.int64) // STEP_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(size)]
+        length = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(length, dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(length)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
@@ -76,7 +77,14 @@ def held_out(doc_id: str, of: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % of == remainder, F.lit(False))
 
 
+#: Rows that go to a Python worker at a time; with the default of ten thousand whole texts a batch and
+#: its copies would take a good part of an executor.
+BATCH_ROWS = "1000"
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
+    """The documents of a folder, in a session that hands whole texts over in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

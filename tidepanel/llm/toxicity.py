@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.compression import _logistic, sample_labelled
-from tidepanel.llm.text import held_out, steps, whole, words_of
+from tidepanel.llm.text import LOOKUP_BYTES, held_out, steps, whole, words_of
 
 #: Labelled rows of each class that the fit uses at most.
 SAMPLE = 3000
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", named: Sequenc
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     dfa, purity = model.dfa, np.array(model.purity)
-    for batch in steps(batches):
+    for batch in steps(batches, LOOKUP_BYTES):
         x = _features(whole(batch.column("text")), dfa, purity)
         score = np.full(len(x), model.prior)
         if model.weights:

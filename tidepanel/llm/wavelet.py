@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidepanel.llm.text import BROADCAST_ROWS, steps, words_of
+from tidepanel.llm.text import BROADCAST_ROWS, LOOKUP_BYTES, steps, words_of
 from tidepanel.sources.staging import staging_path
 
 SHARD_IDS = 1 << 22
@@ -231,7 +231,7 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, end: int, shard_ids: i
         ]
         return pa.RecordBatch.from_arrays(cells, names=["part", "seq", "first_id", "n_ids", "doc_ids", "lengths", "blob"])
 
-    for batch in steps(batches):
+    for batch in steps(batches, LOOKUP_BYTES):
         ids, count = tool.encode(batch.column("text"))
         ids = np.insert(ids, np.cumsum(count), end)
         held.append((batch.column("doc_id"), count + 1, ids))
