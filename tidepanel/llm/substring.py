@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.text import constants, mix, steps, whole, word_hashes, words_of
@@ -30,8 +30,6 @@ LENGTH = 20
 ANCHOR = 8
 #: Words of distinct segments in a shard, about.
 SHARD_WORDS = 300_000
-#: A table of spans up to so many bytes is broadcast to the texts; a larger one is joined by shuffle.
-BROADCAST_BYTES = 16 << 20
 #: What a missing doc_id is ordered as.
 NO_ID = -(1 << 63)
 
@@ -72,6 +70,20 @@ def sequence_keys(hashed: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _powers(count: int, base: np.uint64) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(count, base, np.uint64)]), dtype=np.uint64)
+
+
+def span_keys(hashed: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of words, the same wherever the span stands: polynomial prefix sums
+    modulo 2 ** 64, shifted back by the inverse of the (odd) base."""
+    base = constants(1, 59)[0]
+    inverse = np.uint64(pow(int(base), -1, 1 << 64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * _powers(len(hashed), base)[:-1], dtype=np.uint64)])
+    keys = (sums[high] - sums[low]) * _powers(len(hashed), inverse)[low]
+    return mix(keys + (high - low).astype(np.uint64)).view(np.int64)
+
+
 def _anchored(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches):
         words, starts = words_of(batch.column("text"))
@@ -98,29 +110,26 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
         words, starts = words_of(batch.column("text"))
         hashed = word_hashes(words)
         keys = sequence_keys(hashed, starts)
-        columns: list[list] = [[] for _ in names]
+        columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names[:-1]]
+        text: list[str] = []
         told = batch.column("told").to_pylist()
-        d = batch.column("d").to_pylist()
+        d = batch.column("d").to_numpy()
         for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
             mine = [t["anchors"] for t in told[i] if (t["key_a"], t["key_b"]) == (keys[0, i], keys[1, i])]
             if not mine:
                 continue
             first, count, least = segments(hashed[a:b], length, anchor)
-            hit = np.flatnonzero(np.isin(least.view(np.int64), np.array(mine[0], np.int64)))
+            hit = np.isin(least.view(np.int64), np.array(mine[0], np.int64))
+            low, n = first[hit], count[hit]
+            high = low + n + length - 1
+            same = [np.full(len(low), x, np.int64) for x in (d[i], keys[0, i], keys[1, i])]
+            found = (least[hit].view(np.int64), span_keys(hashed[a:b], low, high), *same, low, n)
+            for column, values in zip(columns, found, strict=True):
+                column.append(values)
             strings = words.slice(a, b - a).to_pylist()
-            for k in hit.tolist():
-                low, n = int(first[k]), int(count[k])
-                own = hashed[a + low : a + low + n + length - 1]
-                row = (
-                    int(least[k].view(np.int64)),
-                    int(sequence_keys(own, np.array([0, len(own)]))[0, 0]),
-                    d[i], int(keys[0, i]), int(keys[1, i]), low, n,
-                    " ".join(strings[low : low + n + length - 1]),
-                )
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-        kinds = [pa.int64()] * 7 + [pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            text += [" ".join(strings[x:y]) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+        arrays = [pa.array(np.concatenate(c)) for c in columns]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(text, pa.string())], names=names)
 
 
 # ---- the index -----------------------------------------------------------------------------------
@@ -253,6 +262,7 @@ def _removed(batches: Iterator[pa.RecordBatch], texts: bool, keep: tuple[str, ..
     for batch in steps(batches):
         words, starts = words_of(batch.column("text"))
         told = batch.column("told").to_pylist()
+        own = batch.column("text")
         keys = None
         count, gone, out = np.diff(starts), [], []
         for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
@@ -268,7 +278,7 @@ def _removed(batches: Iterator[pa.RecordBatch], texts: bool, keep: tuple[str, ..
                             cut[min(span["stop"], b - a)] -= 1
                 left = left.filter(pa.array(np.cumsum(cut)[:-1] == 0))
             gone.append(b - a - len(left))
-            out.append(" ".join(left.to_pylist()))
+            out.append(own[i].as_py() if texts and not gone[-1] else " ".join(left.to_pylist()))
         if texts:
             kept = pa.array(out, pa.string())
         else:
@@ -295,8 +305,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     hits = exploded.join(often, "anchor").groupBy("d", *keys).agg(F.collect_set("anchor").alias("anchors"))
     wanted = hits.groupBy("d").agg(F.collect_list(F.struct(*keys, "anchors")).alias("told"))
     wanted = stage(wanted, "wanted")
-    weight = F.sum(F.aggregate("told", F.lit(0).cast("long"), lambda s, x: s + 8 * F.size(x["anchors"]) + 64))
-    cut = _beside(rows, wanted, weight, "inner").select("d", "text", "told").mapInArrow(
+    cut = rows.join(wanted, "d").select("d", "text", "told").mapInArrow(
         lambda it: _cut_segments(it, length, anchor),
         "shard_key long, segment_key long, d long, key_a long, key_b long, start long, windows long, segment string",
     )
@@ -316,17 +325,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     return stage(spans.groupBy("d").agg(F.collect_list(F.struct(*keys, "spans")).alias("told")), "spans")
 
 
-def _beside(rows: DataFrame, told: DataFrame, weight: Column, how: str) -> DataFrame:
-    """``rows`` joined with a staged table on d: broadcast where its measured size allows, else shuffled."""
-    size = told.agg(weight).first()[0] or 0
-    return rows.join(F.broadcast(told) if size <= BROADCAST_BYTES else told, "d", how)
-
-
 def _applied(docs: DataFrame, keep: tuple[str, ...], texts: bool, length: int) -> DataFrame:
     told = repeated_spans(docs.select("doc_id", "text"), length)
-    weight = F.sum(F.aggregate("told", F.lit(0).cast("long"), lambda s, x: s + 16 * F.size(x["spans"]) + 64))
     rows = docs.select(*keep, "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("d"))
-    joined = _beside(rows, told, weight, "left").select(*keep, "text", "told")
+    joined = rows.join(told, "d", "left").select(*keep, "text", "told")
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
     schema = f"{kinds}, n_words long, n_removed long, kept string"
     return joined.mapInArrow(lambda it: _removed(it, texts, keep), schema)
@@ -347,7 +349,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated words cut from text; a row that loses nothing keeps its text as it is."""
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    out = _applied(packed, ("row",), True, length)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
-    return out.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
+    rest = [c for c in docs.columns if c != "text"]
+    out = _applied(docs.select("doc_id", "text", F.struct(*rest).alias("row")), ("row",), True, length)
+    return out.select(*[F.col("kept" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])
