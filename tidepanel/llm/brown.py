@@ -34,7 +34,9 @@ from tidepanel.sources.staging import stage
 BLOCK_WORDS = 1_500_000
 FREQUENT = 1 / 2048
 CLASSES = 32
-SWEEPS = 6
+SWEEPS = 9
+#: A sweep moves one part of the words in so many.
+PARTS = 3
 #: Forms: end (letter, . or , or other) x short or long x hash of the last letters.
 SUFFIXES = 16
 FORMS = 3 * 2 * SUFFIXES
@@ -126,41 +128,41 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, of: np.ndarray, words: int, classes: int) -> int:
-    """One sweep: each of the first ``words`` units moves to its best class; ``of`` is changed in place.
+def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, of: np.ndarray, sweep: int, words: int, classes: int) -> int:
+    """One sweep: every third of the first ``words`` units moves to its best class, in place in ``of``.
 
     after[w, g] and before[w, g] count class g behind and in front of w, own[w] counts w before itself.
-    The class counts follow every move; the words' own counts are those of the sweep's start.
+    All moves of a sweep are judged by the class counts at its start, which these sums belong to;
+    so only a part of the words moves in a sweep, another part in the next.
     """
     total = int(of.max()) + 1
-    table = np.zeros((total, total))
-    np.add.at(table, of, after)
+    start = np.zeros((total, total))
+    np.add.at(start, of, after)
     moved = 0
-    for w in range(words):
+    for w in range(sweep % PARTS, words, PARTS):
         g = of[w]
         out, into = after[w].copy(), before[w].copy()
         out[g] -= own[w]
         into[g] -= own[w]
+        table = start.copy()
         table[g] -= out
         table[:, g] -= into
         table[g, g] -= own[w]
         row, column = table.sum(axis=1), table.sum(axis=0)
         n_out, n_in = out.sum() + own[w], into.sum() + own[w]
-        best, best_gain = g, -np.inf
-        for k in range(classes):
-            new_row, new_column = table[k] + out, table[:, k] + into
-            new_row[k] += into[k] + own[w]
-            gain = (_xlogx(new_row) - _xlogx(table[k])).sum()
-            rest = np.arange(total) != k
-            gain += (_xlogx(new_column[rest]) - _xlogx(table[rest, k])).sum()
-            gain -= float(_xlogx(row[k] + n_out) - _xlogx(row[k]) + _xlogx(column[k] + n_in) - _xlogx(column[k]))
-            if gain > best_gain + 1e-9 or (abs(gain - best_gain) <= 1e-9 and k == g):
-                best, best_gain = k, gain
-        table[best] += out
-        table[:, best] += into
-        table[best, best] += own[w]
-        moved += best != g
-        of[w] = best
+        k = np.arange(classes)
+        # Rows and columns of every class as they would be with the word in it.
+        rows, columns = table[:classes] + out, table[:, :classes].T + into
+        rows[k, k] += into[:classes] + own[w]
+        gain = (_xlogx(rows) - _xlogx(table[:classes])).sum(axis=1)
+        change = _xlogx(columns) - _xlogx(table[:, :classes].T)
+        gain += change.sum(axis=1) - change[k, k]
+        gain -= _xlogx(row[:classes] + n_out) - _xlogx(row[:classes])
+        gain -= _xlogx(column[:classes] + n_in) - _xlogx(column[:classes])
+        best = int(np.argmax(gain))
+        if gain[best] > gain[g] + 1e-6:
+            of[w] = best
+            moved += 1
     return moved
 
 
@@ -227,11 +229,10 @@ def fit(blocks: DataFrame, counts: DataFrame) -> Model:
         return out[0], out[1]
 
     after, before = neighbours()
-    for _ in range(SWEEPS if words > 1 else 0):
-        moved = exchange(after, before, own, of, words, classes)
-        after, before = neighbours()
-        if moved <= words // 100:
-            break
+    for sweep in range(SWEEPS if words > 1 else 0):
+        # Sums made by this sweep's classes; the moves of the next start from them.
+        if exchange(after, before, own, of, sweep, words, classes) or not sweep:
+            after, before = neighbours()
 
     table = np.zeros((last, last))
     np.add.at(table, of, after)
