@@ -145,14 +145,22 @@ def _wide_gram(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     return centered.toDF(*keys, "_n", "_mean", "_gram")
 
 
-def _solve(products: Sequence[float], k: int, scores: int) -> np.ndarray:
-    """Coefficients (k x scores) on standardized factors, from centered products."""
+def _solve(
+    products: Sequence[float], k: int, scores: int, means: Sequence[float], n: int
+) -> np.ndarray:
+    """Coefficients (k x scores) on standardized factors, from centered products.
+
+    A factor is constant when its spread is rounding noise next to its own mean, whatever the
+    other factors' scales. Directions below 1e-13 of the largest correlation eigenvalue are left
+    out: two factors may differ by 1e-6 of their spread and still count as two.
+    """
     m = np.asarray(products, float).reshape(k + scores, k + scores)
     spread = np.sqrt(np.clip(np.diag(m)[:k], 0, None))
-    spread[spread <= 1e-12 * max(1.0, spread.max(initial=0.0))] = np.inf
+    noise = 1e-13 * np.sqrt(max(n, 1)) * np.abs(np.asarray(means, float)[:k])
+    spread[spread <= noise] = np.inf
     scaled = m[:k, :k] / np.outer(spread, spread)
     right = m[:k, k:] / spread[:, None]
-    return (np.linalg.pinv(scaled, rcond=1e-10, hermitian=True) @ right) / spread[:, None]
+    return (np.linalg.pinv(scaled, rcond=1e-13, hermitian=True) @ right) / spread[:, None]
 
 
 def exposures(
@@ -164,7 +172,8 @@ def exposures(
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            betas = [[list(b) for b in _solve(g, k, s).T] for g in frame["_gram"]]
+            cells = zip(frame["_gram"], frame["_mean"], frame["_n"], strict=True)
+            betas = [[list(b) for b in _solve(g, k, s, m, n).T] for g, m, n in cells]
             yield frame.drop(columns=["_gram", "_n"]).assign(_beta=betas)
 
     fields = [f for f in sums.schema.fields if f.name not in ("_gram", "_n")]
