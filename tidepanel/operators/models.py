@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +21,20 @@ from tidepanel.operators.splits import with_fold_roles
 from tidepanel.sources.sinks import append_trials, read_trials
 
 SEED = 46
+#: Stands for a missing feature in a vector for trees.
+BELOW_ALL = -1e12
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """One vector column; a null feature reads as missing and drops the row."""
-    return VectorAssembler(
-        inputCols=list(features), outputCol=out, handleInvalid="skip"
-    ).transform(df)
+    """One vector column for tree learners; every row stays.
+
+    A missing feature (null or NaN) is a value below all others, so trees can split it off.
+    """
+    names = [f"_given_{i}" for i in range(len(features))]
+    given = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in features]
+    filled = {n: F.coalesce(g, F.lit(BELOW_ALL)) for n, g in zip(names, given, strict=True)}
+    made = VectorAssembler(inputCols=names, outputCol=out).transform(df.withColumns(filled))
+    return made.drop(*names)
 
 
 def boosted(target: str, prediction: str = "prediction", **params) -> GBTRegressor:
@@ -38,10 +45,15 @@ def boosted(target: str, prediction: str = "prediction", **params) -> GBTRegress
 
 
 def _pipeline(features: Sequence[str], *stages) -> Pipeline:
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="skip"
+    """The learners behind medians of the training rows for missing features; no row is dropped."""
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    numbers = [f"cast(`{c}` as double) as _number_{i}" for i, c in enumerate(features)]
+    given = SQLTransformer(statement=f"select *, {', '.join(numbers)} from __THIS__")
+    medians = Imputer(
+        strategy="median", inputCols=[f"_number_{i}" for i in range(len(features))], outputCols=filled
     )
-    return Pipeline(stages=[assembler, *stages])
+    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[given, medians, assembler, *stages])
 
 
 def fit_boosted(
