@@ -126,15 +126,17 @@ def salted_join(df: DataFrame, table: DataFrame, on: Sequence[str], hot: HotKeys
         return df.join(table, on, "left")
     limit = hot_rows(df.sparkSession)
     heavy = hot.keys.select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts"))
-    # The salt is a function of the row, so that a task run again places it alike.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts"))
+    # The salt is the row's place in a written table: a task run again places it alike, and equal
+    # rows get different salts.
+    df = stage(df, "salted").withColumn("_place", F.monotonically_increasing_id())
+    spread = F.pmod(F.xxhash64("_place"), F.col("_salts"))
     left = df.join(heavy, on, "left").withColumn(
         "_salt", F.coalesce(spread, F.lit(0)).cast("int")
     )
     right = table.join(heavy, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    return left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"], "left").drop("_salt")
+    return left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"], "left").drop("_salt", "_place")
 
 
 def attach(df: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
