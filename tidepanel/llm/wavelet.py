@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ SHARD_IDS = 1 << 22
 BLOCK = 512
 END = 2
 #: Words whose ids a task remembers at most.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: Words that are encoded together.
+JOINED = 64
 MAGIC = b"WVM1"
 
 
@@ -171,10 +174,28 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tool = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known: dict[str, bytes] = {}
+        mark = getattr(self.tool.model, "end_of_word_suffix", None)
+        vocabulary = self.tool.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if mark:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words. Words of letters A-Z alone go many at a time, as an id that ends a word closes each."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        joined = self.ids([" ".join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)])
+        flat = np.fromiter(chain.from_iterable(joined), np.uint32)
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        if len(stops) != len(plain):  # a tokenizer that does not mark them
+            stops, plain = [], []
+        data, stops = flat.tobytes(), [0, *(4 * np.asarray(stops, np.int64)).tolist()]
+        made = {w: data[a:b] for w, a, b in zip(plain, stops[:-1], stops[1:], strict=True)}
+        rest = [w for w in words if w not in made]
+        return made | {w: np.array(x, np.uint32).tobytes() for w, x in zip(rest, self.ids(rest), strict=True)}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
@@ -189,20 +210,19 @@ class Encoder:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = different
-        known.update(zip(new, self.whole(new), strict=True))
+        known.update(self.words(new))
         parts = [known[w] for w in different]
-        length = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate([*parts, np.zeros(0, np.uint32)])
-        begin = np.cumsum(length) - length
-        index = coded.indices.to_numpy()
-        size = length[index]
-        before = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat(begin[index] - before[:-1], size) + np.arange(before[-1])]
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.uint32))
+        )
+        ids = lists.take(coded.indices).flatten().to_numpy()
+        before = np.concatenate([[0], np.cumsum(length[coded.indices.to_numpy()])])
         count = before[starts[1:]] - before[starts[:-1]]
         if len(special):
             rows = np.split(ids, np.cumsum(count)[:-1])
-            for k, own in zip(special, self.whole([texts[int(i)].as_py() for i in special]), strict=True):
-                rows[k], count[k] = own, len(own)
+            for k, own in zip(special, self.ids([texts[int(i)].as_py() for i in special]), strict=True):
+                rows[k], count[k] = np.array(own, np.uint32), len(own)
             ids = np.concatenate([*rows, np.zeros(0, np.uint32)])
         return ids, count
 
