@@ -1,5 +1,10 @@
 """Physical plans, models and sinks."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -83,6 +88,53 @@ def test_boosted_trees_learn_and_repeat(spark):
     assert M.importance(model.stages[-1], features)[0][0] == "feature_a"
 
 
+def test_boosting_keeps_the_best_round(spark):
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({f"f{i}": rng.normal(size=1500) for i in range(4)})
+    frame["target"] = sum(np.sin(frame[f"f{i}"]) for i in range(4)) + rng.normal(size=1500)
+    df = stage(spark.createDataFrame(frame), "additive")
+    train, held = df.filter("f0 + f1 < 0.8"), df.filter("f0 + f1 >= 0.8")
+    features = ["f0", "f1", "f2", "f3"]
+    full = M.fit_boosted(train, features, "target", maxIter=12, maxDepth=2, stepSize=0.5)
+    ready = full.transform(held).drop("prediction")
+    errors = full.stages[-1].evaluateEachIteration(ready, "squared")
+    kept = M.fit_boosted(train, features, "target", held, maxIter=12, maxDepth=2, stepSize=0.5)
+    assert kept.stages[-1].getNumTrees == int(np.argmin(errors)) + 1
+    with pytest.raises(ValueError, match="validation rows"):
+        M.fit_boosted(train, features, "target", held.limit(0), maxIter=2)
+
+
+def test_best_round_waits_for_patience():
+    errors = [5, 4, 4.5, 4.2, 3, 3.5]
+    assert M.best_round(errors, 10) == 5
+    assert M.best_round(errors, 3) == 5
+    assert M.best_round(errors, 2) == 2
+
+
+def test_folds_need_eras(spark):
+    with pytest.raises(ValueError, match="need over 20 eras; there are 20"):
+        M.fit_folds(synthetic(spark, 60), ["feature_a"], "target", n_folds=5, step=5)
+
+
+def test_package_reaches_the_executors(tmp_path):
+    """Queries with Python workers, from another folder and without PYTHONPATH."""
+    script = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false") \\
+    .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+spec = importlib.util.spec_from_file_location("entry_points", "{Path(__file__).resolve().parents[1]}/__spark_entry__.py")
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+for name in ("w8_ema", "n1_vector_neutralization", "p4_user_scorer"):
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+    assert "all ran" in done.stdout, done.stderr[-2000:]
+
+
 def test_fold_models(spark):
     df = stage(synthetic(spark), "synthetic")
     features = ["feature_a", "feature_b"]

@@ -141,3 +141,14 @@ def test_transform_series_in_blocks(spark, hot):
     whole = run()
     hot(50)
     pd.testing.assert_frame_equal(whole, run())
+
+
+def test_transform_series_that_is_never_cut(spark, hot):
+    df = panel(spark, 300, ("a", "b"))
+    made = transform_series(df, "ticker", "date", "close", lambda x: x.cumsum(), "s", halo=None)
+    found = made.orderBy("ticker", "date").toPandas()
+    wanted = found.groupby("ticker")["close"].cumsum()
+    np.testing.assert_allclose(found["s"], wanted)
+    hot(50)
+    with pytest.raises(ValueError, match="hotRows"):
+        transform_series(df, "ticker", "date", "close", lambda x: x.cumsum(), "s", halo=None)

@@ -69,13 +69,19 @@ def dictionary_join(spark, sf_dir):
 
 @query(
     "j4_fan_out_join",
-    """select c_custkey, c_nationkey, s_suppkey from customer
-       left join (select s_suppkey, s_nationkey from supplier) on s_nationkey = c_nationkey""",
+    """with places as (
+         select n_nationkey as c_nationkey, n_name as place from nation where n_nationkey % 7 <> 3
+         union all
+         select n_nationkey, upper(n_name) || ' 2' from nation where n_nationkey % 5 = 0)
+       select c_custkey, c_nationkey, place from customer left join places using (c_nationkey)""",
 )
 def fan_out_join(spark, sf_dir):
-    places = X.table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").alias("c_nationkey")
-    )
+    """A lookup in which some keys have two rows and some none."""
+    nation = X.table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    once = nation.filter("c_nationkey % 7 <> 3").select("c_nationkey", F.col("n_name").alias("place"))
+    twice = nation.filter("c_nationkey % 5 = 0")
+    twice = twice.select("c_nationkey", F.concat(F.upper("n_name"), F.lit(" 2")).alias("place"))
+    places = once.unionByName(twice)
     rows = X.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return LK.dimension_join(rows, places, "c_nationkey")
 

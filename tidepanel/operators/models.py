@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler, VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,8 @@ from tidepanel.sources.sinks import append_trials, read_trials
 SEED = 46
 #: Stands for a missing feature in a vector for trees.
 BELOW_ALL = -1e12
+#: Rounds without a lower validation error after which boosting stops.
+PATIENCE = 100
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -56,22 +58,56 @@ def _pipeline(features: Sequence[str], *stages) -> Pipeline:
     return Pipeline(stages=[given, medians, assembler, *stages])
 
 
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """How many rounds to keep: up to the least error seen before ``patience`` rounds without a lower one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_stopped(
+    learner: GBTRegressor, train: DataFrame, validation: DataFrame, patience: int
+) -> GBTRegressionModel:
+    """Boosted trees up to the best round on ``validation``.
+
+    All rounds are fitted and their errors measured; a second fit with the same seed stops at the
+    best one, its trees being the first fit's first ones.
+    """
+    if validation.isEmpty():
+        raise ValueError("early stopping needs validation rows with a target")
+    model = learner.fit(train)
+    rounds = best_round(model.evaluateEachIteration(validation, "squared"), patience)
+    return model if rounds == model.getNumTrees else learner.copy({learner.maxIter: rounds}).fit(train)
+
+
 def fit_boosted(
     train: DataFrame,
     features: Sequence[str],
     target: str,
     validation: DataFrame | None = None,
     prediction: str = "prediction",
+    patience: int = PATIENCE,
     **params,
 ) -> PipelineModel:
-    """Boosted trees; with ``validation`` the rounds stop when its error stops falling."""
-    rows = train.select(*features, target, F.lit(False).alias("_held"))
-    if validation is not None:
-        held = validation.select(*features, target, F.lit(True).alias("_held"))
-        rows = rows.unionByName(held)
-        params = {"validationIndicatorCol": "_held", **params}
-    rows = rows.filter(F.col(target).isNotNull())
-    return _pipeline(features, boosted(target, prediction, **params)).fit(rows)
+    """Boosted trees; with ``validation`` only the rounds up to its best one, see ``fit_stopped``."""
+    learner = boosted(target, prediction, **params)
+    rows, held = (
+        None if part is None else part.select(*features, target).filter(F.col(target).isNotNull())
+        for part in (train, validation)
+    )
+    if held is None:
+        return _pipeline(features, learner).fit(rows)
+    before = _pipeline(features).fit(rows)
+    rows, held = (before.transform(part).select("features", target).persist() for part in (rows, held))
+    try:
+        return PipelineModel([*before.stages, fit_stopped(learner, rows, held, patience)])
+    finally:
+        rows.unpersist()
+        held.unpersist()
 
 
 def fit_targets(
@@ -117,24 +153,29 @@ def fit_folds(
     n_folds: int = 5,
     step: int = 3,
     final_rounds: int | None = None,
+    patience: int = PATIENCE,
     **params,
 ) -> list[PipelineModel]:
-    """One model per era hold-out fold and a final one on all rows.
+    """One model per era hold-out fold, kept up to its best round, and a final one on all rows.
 
-    The folds are labelled in one pass and the vector is assembled once; every fit reads the
+    Every fold needs an era to train on, so more than ``step * (n_folds - 1)`` of them. The folds are labelled in one pass and the vector is assembled once; every fit reads the
     same persisted frame.
     """
     rows = train.filter(F.col(target).isNotNull()).select(era, *features, target)
+    least, eras = step * max(1, n_folds - 1), rows.agg(F.count_distinct(era)).first()[0]
+    if eras <= least:
+        raise ValueError(f"{n_folds} folds in steps of {step} need over {least} eras; there are {eras}")
     labelled = assemble(with_fold_roles(rows, era, n_folds, step), features)
     ready = labelled.select("features", target, "roles").persist()
     models = []
-    for fold in range(n_folds):
-        held = ready.withColumn("_held", F.col("roles")[fold] == "validation")
-        learner = boosted(target, f"_fold_{fold}", validationIndicatorCol="_held", **params)
-        models.append(learner.fit(held))
-    last = {**params, "maxIter": final_rounds} if final_rounds else params
-    models.append(boosted(target, "_final", **last).fit(ready))
-    ready.unpersist()
+    try:
+        for fold in range(n_folds):
+            train_rows, held = (ready.filter(F.col("roles")[fold] == r) for r in ("train", "validation"))
+            models.append(fit_stopped(boosted(target, f"_fold_{fold}", **params), train_rows, held, patience))
+        last = {**params, "maxIter": final_rounds} if final_rounds else params
+        models.append(boosted(target, "_final", **last).fit(ready))
+    finally:
+        ready.unpersist()
     return models
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from tidepanel.operators.skew import attach, over_series
+from tidepanel.operators.skew import HOT_ROWS_KEY, attach, find_hot, over_series, split_hot
 
 
 def transform_series(
@@ -19,12 +19,13 @@ def transform_series(
     value: str,
     function: Callable[[pd.Series], pd.Series],
     out: str,
-    halo: int,
+    halo: int | None,
 ) -> DataFrame:
     """Add ``function(series)`` per entity: a series of equal length.
 
     ``halo`` is how many earlier rows a result may depend on; entities too long for one task
-    reach the function in blocks that start that many rows early.
+    reach the function in blocks that start that many rows early. With None a result may depend on
+    all earlier rows: entities are never cut, and one too long for a task is refused.
     """
 
     def add(table: pa.Table) -> pa.Table:
@@ -36,6 +37,10 @@ def transform_series(
         schema = T.StructType([*frame.schema.fields, T.StructField(out, T.DoubleType())])
         return frame.groupBy(*part).applyInArrow(add, schema)
 
+    if halo is None:
+        if split_hot(df, [key], find_hot(df, [key]))[1] is not None:
+            raise ValueError(f"a {key} has more than {HOT_ROWS_KEY} rows; give a halo or raise that limit")
+        return build(df, [key])
     return over_series(df, key, order, halo, build)
 
 

@@ -24,10 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line items; a file that comes as fewer splits than cores is spread over the cores."""
-    df = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return table(spark, sf_dir, "lineitem")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:

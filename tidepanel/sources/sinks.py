@@ -6,8 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Tasks that share the rows of one date.
+DATE_TASKS = 4
+
 
 def submission(df: DataFrame, key: str, prediction: str, out: str = "prediction") -> DataFrame:
     """The two columns of a submission."""
@@ -29,7 +33,11 @@ def write_submission(df: DataFrame, path: str, key: str, prediction: str) -> Non
 def write_diagnostics(
     df: DataFrame, path: str, key: str, date: str, signal: str, by_date: bool = False
 ) -> None:
-    write_csv(df.select(key, date, signal), path, [date] if by_date else ())
+    """Signals by key and date; ``by_date`` deals each date to a few tasks, so that it is a few files."""
+    rows = df.select(key, date, signal)
+    if by_date:
+        rows = rows.repartition(date, F.pmod(F.xxhash64(key), F.lit(DATE_TASKS)))
+    write_csv(rows, path, [date] if by_date else ())
 
 
 def save_scorer(model: PipelineModel, path: str) -> None:
