@@ -273,6 +273,15 @@ def test_url_rules_and_templates(spark):
     marks = frame.select("page_id", (F.col("page_id") % 2 == 0).cast("int").alias("good"))
     by_path = {(r.path.split("/")[1], r.verdict) for r in url_tree.judge(frame, marks).collect()}
     assert by_path == {("ok", "allow"), ("bad", "block")}
+    # Every host and template hot, and no table small enough to broadcast: the same verdicts.
+    want = sorted(map(tuple, url_tree.judge(frame, marks).collect()))
+    for key, value in (("spark.tidepanel.hotRows", "20"), ("spark.tidepanel.broadcastBytes", "1")):
+        spark.conf.set(key, value)
+    try:
+        assert sorted(map(tuple, url_tree.judge(frame, marks).collect())) == want
+    finally:
+        spark.conf.unset("spark.tidepanel.hotRows")
+        spark.conf.unset("spark.tidepanel.broadcastBytes")
     assert url_tree.judge(pages.limit(0)).count() == 0
 
 
@@ -307,6 +316,39 @@ def test_merge_dropout_round_trip(docs, empty):
     assert merge_dropout.encode(empty, PIECES).count() == 0
 
 
+def test_agenda_equals_scanning_for_the_best_pair():
+    def scanned(tool, chunk, stream):
+        parts, places, skipped = list(chunk), list(range(len(chunk))), set()
+        while True:
+            found = [
+                (-tool.score[a + b], i)
+                for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
+                if a + b in tool.score and (places[i], a, b) not in skipped
+            ]
+            if not found:
+                return parts
+            i = min(found)[1]
+            a, b = parts[i : i + 2]
+            if zlib.crc32(f"{tool.seed}|{stream}|{places[i]}|{a}\0{b}".encode()) < tool.limit:
+                skipped.add((places[i], a, b))
+            else:
+                parts[i : i + 2] = [a + b]
+                del places[i + 1]
+
+    tool = merge_dropout.Merger(PIECES, 0.3, 7)
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 7, 30, 120):
+        for stream in range(merge_dropout.STREAMS):
+            chunk = "▁" * (n > 0) + "".join(rng.choice(list("etaoinshrdluä1."), n))
+            assert tool.merged(chunk, stream) == scanned(tool, chunk, stream)
+    # A very long text without a space is one agenda.
+    plain = merge_dropout.Merger(PIECES, 0.0, 7)
+    text = "".join(rng.choice(list("etaoinshrdlu"), 200_000))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert plain.encode(text, 0).tolist() == library.encode(text)
+    assert tool.decode(tool.encode(text, 0)) == text
+
+
 def test_pipeline_stages_keep_columns(spark, docs):
     import corpus_pipeline
 

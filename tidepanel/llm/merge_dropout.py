@@ -15,6 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -62,25 +63,33 @@ class Merger:
 
     def merged(self, chunk: str, stream: int) -> list[str]:
         """The agenda: best score first, the leftmost of equals; a skipped pair comes up no more."""
-        parts = list(chunk)
-        places = list(range(len(parts)))
-        score, skipped = self.score, set()
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                value = score.get(parts[i] + parts[i + 1])
-                if value is not None and (best is None or value > best) and (places[i], places[i + 1], parts[i + 1]) not in skipped:
-                    best, at = value, i
-            if at < 0:
-                break
-            if self.limit:
-                key = f"{self.seed}|{stream}|{places[at]}|{parts[at]}\0{parts[at + 1]}"
-                if zlib.crc32(key.encode()) < self.limit:
-                    skipped.add((places[at], places[at + 1], parts[at + 1]))
-                    continue
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del places[at + 1]
-        return parts
+        parts, n, score = list(chunk), len(chunk), self.score
+        # Where the part that starts at a place ends, and where the one in front of it starts.
+        end, front = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = []
+
+        def offer(i: int, j: int) -> None:
+            value = score.get(parts[i] + parts[j])
+            if value is not None:
+                heappush(agenda, (-value, i, j, end[j]))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        while agenda:
+            _, i, j, stop = heappop(agenda)
+            # One of the two may have been merged since; the part at j then ends elsewhere or is gone.
+            if not parts[i] or end[i] != j or end[j] != stop:
+                continue
+            if self.limit and zlib.crc32(f"{self.seed}|{stream}|{i}|{parts[i]}\0{parts[j]}".encode()) < self.limit:
+                continue
+            parts[i] += parts[j]
+            parts[j], end[i] = "", stop
+            if stop < n:
+                front[stop] = i
+                offer(i, stop)
+            if front[i] >= 0:
+                offer(front[i], i)
+        return [part for part in parts if part]
 
     def numbers(self, chunk: str, stream: int) -> bytes:
         out: list[int] = []
