@@ -8,7 +8,8 @@
   a template below one half is rejected.
 
 Paths are counted before anything is joined, so a host with a third of all rows is as many rows as it
-has different paths, and every join has the path or template in its key.
+has different paths. What is known of a node or template is broadcast where its counted size allows
+it; beyond that the rows of hot hosts and templates are salted.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.operators.skew import attach, attach_all
 from tidepanel.sources.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,7 +76,7 @@ def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
         node = rows.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
         node = node.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("rows"))
         wild = node.filter((F.col("children") >= FAN_OUT) & (F.col("children") >= DIFFERENT * F.col("rows")))
-        rows = rows.join(wild.select("host", "template", F.lit(True).alias("wild")), ["host", "template"], "left")
+        rows = attach(rows, wild.select("host", "template", F.lit(True).alias("wild")), ["host", "template"])
         child = F.when(F.col("wild") & ~F.col("segment").contains("{n}"), "*").otherwise(F.col("segment"))
         grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), child))
         rows = stage(rows.withColumn("template", grown).drop("wild", "segment"), "url-level")
@@ -97,7 +99,7 @@ def rated(paths: DataFrame) -> DataFrame:
     branch = leaf.groupBy("host", "merged").agg(F.sum("labelled").alias("b_labelled"), F.sum("good").alias("b_good"))
     host = leaf.groupBy("host").agg(F.sum("labelled").alias("h_labelled"), F.sum("good").alias("h_good"))
     all_rows = leaf.agg(F.sum("labelled").alias("a_labelled"), F.sum("good").alias("a_good"))
-    rows = leaf.join(branch, ["host", "merged"]).join(host, "host").crossJoin(F.broadcast(all_rows))
+    rows = attach_all(leaf, [(branch, ["host", "merged"]), (host, ["host"])]).crossJoin(F.broadcast(all_rows))
     rows = rows.withColumn("of_all", (F.col("a_good") + 1) / (F.col("a_labelled") + 1))
     rows = rows.withColumn("of_host", _purity("h_good", "h_labelled", "of_all"))
     rows = rows.withColumn("of_branch", _purity("b_good", "b_labelled", "of_host"))
@@ -135,8 +137,7 @@ def judge(
     counted = rows.withColumn("is_good", good).groupBy("host", "path")
     counted = counted.agg(F.count("*").alias("n"), F.count("is_good").alias("labelled"), F.coalesce(F.sum("is_good"), F.lit(0)).alias("good"))
     paths = stage(templates(counted), "paths")
-    made = paths.select("host", "path", "template").join(rated(paths), ["host", "template"])
-    made = made.select("host", "path", "branch", "purity")
-    out = rows.join(made, ["host", "path"])
+    made = attach(paths.select("host", "path", "template"), rated(paths), ["host", "template"])
+    out = attach(rows, made.select("host", "path", "branch", "purity"), ["host", "path"])
     by_tree = F.when(F.col("purity") < least, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("said", by_tree).alias("verdict"), "branch", "purity")
