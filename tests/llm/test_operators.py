@@ -341,12 +341,17 @@ def test_agenda_equals_scanning_for_the_best_pair():
         for stream in range(merge_dropout.STREAMS):
             chunk = "▁" * (n > 0) + "".join(rng.choice(list("etaoinshrdluä1."), n))
             assert tool.merged(chunk, stream) == scanned(tool, chunk, stream)
-    # A very long text without a space is one agenda.
+    # A very long text without a space is one agenda; word marks, spaces and lines meet in any order.
     plain = merge_dropout.Merger(PIECES, 0.0, 7)
-    text = "".join(rng.choice(list("etaoinshrdlu"), 200_000))
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    assert plain.encode(text, 0).tolist() == library.encode(text)
-    assert tool.decode(tool.encode(text, 0)) == text
+    texts = ["".join(rng.choice(list("etaoinshrdlu"), 200_000)), "", " ", "\n", "a  b\n \n\nc ", "", "  ä\n"]
+    texts += ["".join(rng.choice(list("ab1 \n\u00e4\U0001f600"), 50)) for _ in range(40)]
+    ids, begins = plain.encode(pa.array(texts), np.zeros(len(texts), np.int64))
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:], strict=False)] == library.encode(texts)
+    texts += ["▁", "▁▁ ▁a▁\n▁ ", *["".join(rng.choice(list("ab ▁\n"), 50)) for _ in range(40)]]
+    for one in (plain, tool):
+        made = one.encode(pa.array(texts), np.arange(len(texts)) % merge_dropout.STREAMS)
+        assert [x.decode() for x in one.decode(*made)] == texts
 
 
 def test_pipeline_stages_keep_columns(spark, docs):

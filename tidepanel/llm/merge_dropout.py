@@ -6,12 +6,12 @@ when a keyed hash of (seed, stream, place, left, right) falls below ``dropout``.
 gives other segmentations. All of them decode to the text.
 
 No piece of the model has a word mark after another character, so text between word marks is
-encoded on its own and remembered per task; the memory is emptied when it grows past ``REMEMBERED``.
+encoded on its own: the distinct ones of a batch, remembered per task. The memory is emptied when it
+grows past ``REMEMBERED``. Ids are gathered, and decoded again, for a whole batch at a time.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,11 +19,12 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from tidepanel.llm.text import constants, mix, steps
+from tidepanel.llm.text import LOOKUP_BYTES, constants, mix, steps, whole
 
 MARK = "▁"
 DROPOUT, SEED, STREAMS = 0.1, 7, 4
@@ -55,11 +56,11 @@ class Merger:
                 self.decoded.append(b"")
         if any(MARK in p.lstrip(MARK) for p in self.number):
             raise ValueError("a piece has a word mark inside")
-        # Characters that stand alone in the pieces end what is encoded together as well.
-        alone = "" if any("\n" in p and p != "\n" for p in self.number) else "\n"
-        self.cut = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|{alone}" if alone else ""))
+        # A newline that stands alone in the pieces ends what is encoded together as well.
+        self.lines = not any("\n" in p and p != "\n" for p in self.number)
+        self.pieces = pa.array(self.decoded, pa.binary())
         self.limit, self.seed = int(dropout * 2**32), seed
-        self.known: list[dict[str, bytes]] = [{} for _ in range(STREAMS)]
+        self.known: list[dict[bytes, bytes]] = [{} for _ in range(STREAMS)]
 
     def merged(self, chunk: str, stream: int) -> list[str]:
         """The agenda: best score first, the leftmost of equals; a skipped pair comes up no more."""
@@ -91,37 +92,68 @@ class Merger:
                 offer(front[i], i)
         return [part for part in parts if part]
 
-    def numbers(self, chunk: str, stream: int) -> bytes:
-        out: list[int] = []
-        for part in self.merged(chunk, stream):
-            number = self.number.get(part)
-            out += [number] if number is not None else [self.bytes_number[b] for b in part.encode()]
-        return np.array(out, np.int32).tobytes()
-
-    def encode(self, text: str, stream: int) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        known = self.known[stream]
-        if len(known) > REMEMBERED // STREAMS:
-            known.clear()
-        out = []
-        # A word mark in the text itself is spelled in bytes, so that it comes back as it was.
-        for k, plain in enumerate(text.split(MARK)):
-            if k:
-                out.append(np.array([self.bytes_number[b] for b in MARK.encode()], np.int32).tobytes())
-            marked = plain.replace(" ", MARK)
-            for chunk in self.cut.findall(marked if k else MARK + marked):
-                got = known.get(chunk)
-                if got is None:
-                    got = self.numbers(chunk, stream)
-                    if len(chunk) < 100:
-                        known[chunk] = got
-                out.append(got)
-        return np.frombuffer(b"".join(out), np.int32)
-
-    def decode(self, ids: np.ndarray) -> str:
-        table = self.decoded
-        return b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+    def numbers(self, chunk: bytes, stream: int) -> bytes:
+        """Ids of what stands between two word marks, as 32-bit integers."""
+        got = self.known[stream].get(chunk)
+        if got is None:
+            out: list[int] = []
+            # A word mark in the text itself is spelled in bytes, so that it comes back as it was.
+            text = chunk.decode()
+            for part in [text] if text == MARK else self.merged(text.replace(" ", MARK), stream):
+                number = self.number.get(part) if text != MARK else None
+                out += [number] if number is not None else [self.bytes_number[b] for b in part.encode()]
+            got = np.array(out, np.int32).tobytes()
+            if len(chunk) < 100:
+                self.known[stream][chunk] = got
+        return got
+
+    def chunks(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where what is encoded together begins in the bytes of texts, a space standing for a word mark."""
+        space = data == ord(" ")
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        if self.lines:
+            line = data == ord("\n")
+            start |= line
+            start[1:] |= line[:-1]
+        a, b, c = MARK.encode()
+        mark = np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c))
+        start[mark] = True
+        start[mark[mark + 3 < len(data)] + 3] = True
+        start[offsets[:-1][np.diff(offsets) > 0]] = True
+        return np.flatnonzero(start)
+
+    def encode(self, texts: pa.Array, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where those of each begin, with the end of the last."""
+        if sum(map(len, self.known)) > REMEMBERED:
+            self.known = [{} for _ in range(STREAMS)]
+        marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        offsets = np.frombuffer(marked.buffers()[1], np.int32)[: len(marked) + 1]
+        if not len(marked) or not offsets[-1]:
+            return np.zeros(0, np.int32), np.zeros(len(marked) + 1, np.int64)
+        data = np.frombuffer(marked.buffers()[2], np.uint8)[: offsets[-1]]
+        at = self.chunks(data, offsets)
+        cuts = pa.py_buffer(np.append(at, len(data)).astype(np.int32))
+        coded = pa.Array.from_buffers(pa.binary(), len(at), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
+        owner = np.searchsorted(offsets, at, side="right") - 1
+        code = coded.indices.to_numpy().astype(np.int64) * STREAMS + streams[owner]
+        seen = np.zeros(len(coded.dictionary) * STREAMS, bool)
+        seen[code] = True
+        place = (np.cumsum(seen) - 1)[code]
+        plain = coded.dictionary.to_pylist()
+        made = [self.numbers(plain[c // STREAMS], c % STREAMS) for c in np.flatnonzero(seen).tolist()]
+        size = np.array([len(m) // 4 for m in made])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(np.frombuffer(b"".join(made), np.int32)))
+        ids = lists.take(pa.array(place)).flatten().to_numpy()
+        return ids, np.append(0, np.cumsum(size[place]))[np.searchsorted(at, offsets)]
+
+    def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """The bytes of the texts whose ids begin there, without the word mark in front."""
+        pieces = self.pieces.take(pa.array(ids))
+        ends = np.frombuffer(pieces.buffers()[1], np.int32) if len(ids) else np.zeros(1, np.int32)
+        data = memoryview(pieces.buffers()[2]) if len(ids) else memoryview(b"")
+        cuts = ends[begins].tolist()
+        return [bytes(data[a + 1 : b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -131,28 +163,24 @@ def merger(path: str, dropout: float, seed: int) -> Merger:
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, dropout: float, seed: int, full: bool) -> Iterator[pa.RecordBatch]:
     tool = merger(path, dropout, seed)
-    for batch in steps(batches):
-        ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        streams = mix(ids + constants(1, seed)[0]) % np.uint64(STREAMS)
-        made, same, back = [], [], []
-        for text, stream in zip(batch.column("text").to_pylist(), streams.tolist(), strict=True):
-            ids_of = tool.encode(text or "", stream)
-            text_again = tool.decode(ids_of)
-            made.append(ids_of)
-            same.append(text_again == (text or ""))
-            back.append(text_again)
+    for batch in steps(batches, LOOKUP_BYTES):
+        numbers = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        streams = (mix(numbers + constants(1, seed)[0]) % np.uint64(STREAMS)).astype(np.int64)
+        texts = pc.fill_null(whole(batch.column("text")), "")
+        ids, begins = tool.encode(texts, streams)
+        back = tool.decode(ids, begins)
+        same = [x == y for x, y in zip(back, texts.cast(pa.binary()).to_pylist(), strict=True)]
+        cuts = begins.tolist()
         columns = {
             "doc_id": batch.column("doc_id"),
             "stream": pa.array(streams.astype(np.int32)),
-            "n_ids": pa.array([len(x) for x in made], pa.int64()),
-            "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in made], pa.int64()),
+            "n_ids": pa.array(np.diff(begins), pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.int64()),
             "lossless": pa.array(same, pa.bool_()),
         }
         if full:
-            flat = np.concatenate([*made, np.zeros(0, np.int32)])
-            offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
-            columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            columns["decoded"] = pa.array(back, pa.string())
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids))
+            columns["decoded"] = pa.array([x.decode("utf-8", "replace") for x in back], pa.string())
         yield pa.RecordBatch.from_pydict(columns)
 
 
