@@ -6,8 +6,9 @@ when a keyed hash of (seed, stream, place, left, right) falls below ``dropout``.
 gives other segmentations. All of them decode to the text.
 
 No piece of the model has a word mark after another character, so text between word marks is
-encoded on its own: the distinct ones of a batch, remembered per task. The memory is emptied when it
-grows past ``REMEMBERED``. Ids are gathered, and decoded again, for a whole batch at a time.
+encoded on its own: the distinct chunks of a batch. Chunks of one length take their agendas' steps
+together, as rows of a matrix; one beyond ``LONG`` characters has a heap for its own. Ids are gathered,
+and decoded again, for a whole batch at a time.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ from tidepanel.llm.text import LOOKUP_BYTES, constants, mix, steps, whole
 
 MARK = "▁"
 DROPOUT, SEED, STREAMS = 0.1, 7, 4
-REMEMBERED = 400_000
+#: Longest chunk, in characters, whose agenda is a row of a matrix, and cells of such a matrix.
+LONG, CELLS = 64, 1_000_000
 
 
 class Merger:
-    """The pieces, scores and byte pieces of a model file, and what was encoded lately."""
+    """The pieces, scores and byte pieces of a model file, and which pairs of parts make a piece."""
 
     def __init__(self, path: str, dropout: float, seed: int):
         proto = sentencepiece_model_pb2.ModelProto()
@@ -42,7 +44,7 @@ class Merger:
         kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
         self.score: dict[str, float] = {}
         self.number: dict[str, int] = {}
-        self.bytes_number = [0] * 256
+        self.bytes_number = np.zeros(256, np.int32)
         self.decoded: list[bytes] = []
         for i, piece in enumerate(proto.pieces):
             if piece.type == kinds.BYTE:
@@ -59,53 +61,126 @@ class Merger:
         # A newline that stands alone in the pieces ends what is encoded together as well.
         self.lines = not any("\n" in p and p != "\n" for p in self.number)
         self.pieces = pa.array(self.decoded, pa.binary())
-        self.limit, self.seed = int(dropout * 2**32), seed
-        self.known: list[dict[bytes, bytes]] = [{} for _ in range(STREAMS)]
+        self.limit, self.salt = np.uint64(dropout * 2**32), constants(1, seed)[0]
+        # Parts are single characters and pieces; any other character is the last number and merges with nothing.
+        parts = sorted({c for piece in self.number for c in piece} | set(self.number))
+        place = {part: i for i, part in enumerate(parts)}
+        self.kinds = len(parts) + 1
+        self.id_of = np.array([*(self.number.get(part, -1) for part in parts), -1], np.int32)
+        self.part_of = np.full(0x110000, len(parts), np.int32)
+        for part in parts:
+            if len(part) == 1:
+                self.part_of[ord(part)] = place[part]
+        # A space stands for the word mark; one in the text itself is spelled in bytes, to come back as it was.
+        self.part_of[ord(" ")] = place.get(MARK, len(parts))
+        self.part_of[ord(MARK)] = len(parts)
+        self.pairs: dict[int, tuple[float, int]] = {}
+        for piece, score in self.score.items():
+            for k in range(1, len(piece)):
+                if piece[:k] in place and piece[k:] in place:
+                    self.pairs[place[piece[:k]] * self.kinds + place[piece[k:]]] = (score, place[piece])
+        self.codes = np.array(sorted(self.pairs), np.int64)
+        self.scores = np.array([self.pairs[c][0] for c in self.codes.tolist()])
+        self.makes = np.array([self.pairs[c][1] for c in self.codes.tolist()], np.int32)
 
-    def merged(self, chunk: str, stream: int) -> list[str]:
-        """The agenda: best score first, the leftmost of equals; a skipped pair comes up no more."""
-        parts, n, score = list(chunk), len(chunk), self.score
+    def skipped(self, stream: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the keyed hash skips merging two parts, the left one at that place of its chunk."""
+        code = (left.astype(np.int64) * self.kinds + right).astype(np.uint64)
+        key = mix((at * STREAMS + stream).astype(np.uint64) + self.salt)
+        return mix(key + code) >> np.uint64(32) < self.limit
+
+    def candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score of merging two parts, minus infinity where they make no piece, and the piece."""
+        code = left.astype(np.int64) * self.kinds + right
+        if not len(self.codes):
+            return np.full(code.shape, -np.inf), np.zeros(code.shape, np.int32)
+        i = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[i] == code, self.scores[i], -np.inf), self.makes[i]
+
+    def merged_long(self, parts: list[int], stream: int) -> list[tuple[int, int]]:
+        """The agenda of one chunk as a heap: best score first, the leftmost of equals; a skipped pair
+        comes up no more. (place, part) of what is left."""
+        n = len(parts)
         # Where the part that starts at a place ends, and where the one in front of it starts.
         end, front = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
 
         def offer(i: int, j: int) -> None:
-            value = score.get(parts[i] + parts[j])
-            if value is not None:
-                heappush(agenda, (-value, i, j, end[j]))
+            found = self.pairs.get(parts[i] * self.kinds + parts[j])
+            if found:
+                heappush(agenda, (-found[0], i, j, end[j], found[1]))
 
         for i in range(n - 1):
             offer(i, i + 1)
         while agenda:
-            _, i, j, stop = heappop(agenda)
+            _, i, j, stop, makes = heappop(agenda)
             # One of the two may have been merged since; the part at j then ends elsewhere or is gone.
-            if not parts[i] or end[i] != j or end[j] != stop:
+            if parts[i] < 0 or end[i] != j or end[j] != stop:
                 continue
-            if self.limit and zlib.crc32(f"{self.seed}|{stream}|{i}|{parts[i]}\0{parts[j]}".encode()) < self.limit:
+            if self.limit and self.skipped(*(np.array([x]) for x in (stream, i, parts[i], parts[j])))[0]:
                 continue
-            parts[i] += parts[j]
-            parts[j], end[i] = "", stop
+            parts[i], parts[j], end[i] = makes, -1, stop
             if stop < n:
                 front[stop] = i
                 offer(i, stop)
             if front[i] >= 0:
                 offer(front[i], i)
-        return [part for part in parts if part]
-
-    def numbers(self, chunk: bytes, stream: int) -> bytes:
-        """Ids of what stands between two word marks, as 32-bit integers."""
-        got = self.known[stream].get(chunk)
-        if got is None:
-            out: list[int] = []
-            # A word mark in the text itself is spelled in bytes, so that it comes back as it was.
-            text = chunk.decode()
-            for part in [text] if text == MARK else self.merged(text.replace(" ", MARK), stream):
-                number = self.number.get(part) if text != MARK else None
-                out += [number] if number is not None else [self.bytes_number[b] for b in part.encode()]
-            got = np.array(out, np.int32).tobytes()
-            if len(chunk) < 100:
-                self.known[stream][chunk] = got
-        return got
+        return [(i, part) for i, part in enumerate(parts) if part >= 0]
+
+    def merged(self, parts: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The agendas of chunks of one length, a row each and a step at a time; order and skips as in
+        ``merged_long``. (row, place, part) of what is left, by row and place."""
+        m, n = parts.shape
+        # One more column stands for the end; nothing merges with it.
+        parts = np.column_stack([parts, np.full(m, self.kinds - 1, np.int32)])
+        end, front = (np.tile(np.arange(a, a + n + 1, dtype=np.int32), (m, 1)) for a in (1, -1))
+        score, makes = self.candidates(parts[:, :-1], parts[:, 1:])
+        left = np.ones((m, n), bool)
+        rows = np.arange(m)
+        while len(rows):
+            at = score[rows].argmax(axis=1)
+            open_ = score[rows, at] > -np.inf
+            rows, at = rows[open_], at[open_]
+            j = end[rows, at]
+            skip = self.skipped(stream[rows], at, parts[rows, at], parts[rows, j])
+            score[rows[skip], at[skip]] = -np.inf
+            r, i, j = rows[~skip], at[~skip], j[~skip]
+            stop = end[r, j]
+            parts[r, i] = makes[r, i]
+            end[r, i], front[r, stop] = stop, i
+            left[r, j], score[r, j] = False, -np.inf
+            score[r, i], makes[r, i] = self.candidates(parts[r, i], parts[r, stop])
+            before = front[r, i]
+            r, i, before = (x[before >= 0] for x in (r, i, before))
+            score[r, before], makes[r, before] = self.candidates(parts[r, before], parts[r, i])
+        row, place = np.nonzero(left)
+        return row, place, parts[row, place]
+
+    def numbers(self, chunks: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one after another, and how many each has."""
+        size = np.array([len(c) for c in chunks], np.int64)
+        begin = np.append(0, np.cumsum(size))
+        points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
+        parts = self.part_of[points]
+        found = []
+        for n in np.unique(size[size <= LONG]).tolist():
+            of_size = np.flatnonzero(size == n)
+            for some in np.array_split(of_size, len(of_size) * n // CELLS + 1):
+                row, place, part = self.merged(parts[begin[some][:, None] + np.arange(n)], streams[some])
+                found.append((begin[some[row]] + place, part))
+        for k in np.flatnonzero(size > LONG).tolist():
+            place, part = np.array(self.merged_long(parts[begin[k] : begin[k + 1]].tolist(), int(streams[k]))).T
+            found.append((begin[k] + place, part))
+        place, part = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(place)
+        place, ids = place[order], self.id_of[part[order]]
+        # A character without a piece is spelled in bytes.
+        spelled = "".join(map(chr, np.where(points == ord(" "), ord(MARK), points)[place[ids < 0]].tolist()))
+        point = points[place]
+        count = np.where(ids < 0, np.where(point == ord(" "), 3, 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000)), 1)
+        out = np.repeat(ids, count)
+        out[out < 0] = self.bytes_number[np.frombuffer(spelled.encode(), np.uint8)]
+        return out, np.add.reduceat(count, np.searchsorted(place, begin[:-1]))
 
     def chunks(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where what is encoded together begins in the bytes of texts, a space standing for a word mark."""
@@ -125,8 +200,6 @@ class Merger:
 
     def encode(self, texts: pa.Array, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where those of each begin, with the end of the last."""
-        if sum(map(len, self.known)) > REMEMBERED:
-            self.known = [{} for _ in range(STREAMS)]
         marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
         offsets = np.frombuffer(marked.buffers()[1], np.int32)[: len(marked) + 1]
         if not len(marked) or not offsets[-1]:
@@ -140,10 +213,10 @@ class Merger:
         seen = np.zeros(len(coded.dictionary) * STREAMS, bool)
         seen[code] = True
         place = (np.cumsum(seen) - 1)[code]
-        plain = coded.dictionary.to_pylist()
-        made = [self.numbers(plain[c // STREAMS], c % STREAMS) for c in np.flatnonzero(seen).tolist()]
-        size = np.array([len(m) // 4 for m in made])
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(np.frombuffer(b"".join(made), np.int32)))
+        plain = coded.dictionary.cast(pa.string()).to_pylist()
+        used = np.flatnonzero(seen)
+        flat, size = self.numbers([plain[c] for c in (used // STREAMS).tolist()], used % STREAMS)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat))
         ids = lists.take(pa.array(place)).flatten().to_numpy()
         return ids, np.append(0, np.cumsum(size[place]))[np.searchsorted(at, offsets)]
 
