@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -347,24 +348,20 @@ def next_code(spark, sf_dir):
     return fill_next_code(rows, ["code"])
 
 
+PRODUCTS = [f"{a}_mul_{b}" for a, b in combinations(X.MATRIX_FEATURES, 2)]
+
+
 @query(
     "m9_pairwise_products",
     over(
         "matrix",
-        body="""select id, feature_quantity * feature_discount as a,
-                feature_quantity * feature_line as b, feature_discount * feature_line as c
-                from matrix""",
+        body="select id, "
+        + ", ".join(f"{a} * {b} as {a}_mul_{b}" for a, b in combinations(X.MATRIX_FEATURES, 2))
+        + " from matrix",
     ),
 )
 def pairwise_products(spark, sf_dir):
-    top = ["feature_quantity", "feature_discount", "feature_line"]
-    wide = interactions(X.matrix(spark, sf_dir), top)
-    return wide.select(
-        "id",
-        F.col("feature_quantity_mul_feature_discount").alias("a"),
-        F.col("feature_quantity_mul_feature_line").alias("b"),
-        F.col("feature_discount_mul_feature_line").alias("c"),
-    )
+    return interactions(X.matrix(spark, sf_dir), X.MATRIX_FEATURES).select("id", *PRODUCTS)
 
 
 @query(
@@ -396,8 +393,11 @@ def guarded(spark, sf_dir):
 
 @query(
     "m11_square",
-    over("matrix", body="select id, feature_line * feature_line as squared from matrix"),
+    over(
+        "matrix",
+        body="select id, " + ", ".join(f"{c} * {c} as {c}_squared" for c in X.MATRIX_FEATURES) + " from matrix",
+    ),
 )
 def square(spark, sf_dir):
-    wide = interactions(X.matrix(spark, sf_dir), ["feature_line"])
-    return wide.select("id", F.col("feature_line_squared").alias("squared"))
+    wide = interactions(X.matrix(spark, sf_dir), X.MATRIX_FEATURES)
+    return wide.select("id", *[f"{c}_squared" for c in X.MATRIX_FEATURES])
