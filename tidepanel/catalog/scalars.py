@@ -162,20 +162,21 @@ def standardized(spark, sf_dir):
     )
 
 
+ENTRIES = range(64)
+
+
 @query(
     "e2_standardize_whole",
-    """with v as (select vec_id, embedding[1]::double as a, embedding[2]::double as b from embeddings)
-       select vec_id, round((a - avg(a) over ()) / stddev_pop(a) over (), 9) as feature_0,
-              round((b - avg(b) over ()) / stddev_pop(b) over (), 9) as feature_1 from v""",
+    "with v as (select vec_id, "
+    + ", ".join(f"embedding[{i + 1}]::double as e{i}" for i in ENTRIES)
+    + " from embeddings) select vec_id, "
+    + ", ".join(f"round((e{i} - avg(e{i}) over ()) / stddev_pop(e{i}) over (), 9) as feature_{i}" for i in ENTRIES)
+    + " from v",
 )
 def standardized_whole(spark, sf_dir):
-    rows = X.vectors(spark, sf_dir, 2).select("vec_id", "feature_0", "feature_1")
-    made = standardize(rows, ["feature_0", "feature_1"])
-    return made.select(
-        "vec_id",
-        F.round("feature_0", 9).alias("feature_0"),
-        F.round("feature_1", 9).alias("feature_1"),
-    )
+    names = [f"feature_{i}" for i in ENTRIES]
+    made = standardize(X.vectors(spark, sf_dir).select("vec_id", *names), names)
+    return made.select("vec_id", *[F.round(c, 9).alias(c) for c in names])
 
 
 @query(
