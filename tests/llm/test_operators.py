@@ -219,6 +219,49 @@ def test_exchange_raises_the_likelihood():
     assert len(set(of[:20])) == 1 and len(set(of[20:40])) == 1 and of[0] != of[20]
 
 
+def test_brown_clusters_every_word_of_five_tokens(spark):
+    rng = np.random.default_rng(3)
+    # Words of two kinds take turns; of 3000 words none has 1 / 2048 of the tokens by much, and most far less.
+    texts = [" ".join(f"{'ab'[j % 2]}{rng.integers(0, 1500)}" for j in range(100)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    c = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split())
+    rows = docs.select("doc_id", brown.held_out("doc_id", 7, 2).alias("held"), "text")
+    blocks = rows.mapInArrow(lambda it: brown._blocks(it, 5000), brown.BLOCKS).cache()
+    cells = blocks.select("part", "seq", F.posexplode(F.arrays_zip("words", "train")).alias("at", "cell"))
+    cells = cells.select("part", "seq", "at", F.col("cell.words").alias("word"), F.col("cell.train").alias("n"))
+    counts = cells.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    model, numbered = brown.fit(blocks, counts, cells)
+    clustered, forms = set(), len(model.of) - 1 - brown.FORMS
+    for r in numbered.collect():
+        units, n = np.frombuffer(r.units, np.uint32), np.frombuffer(r.counts, np.int64)
+        assert ((units < forms) == (n >= brown.MIN_COUNT)).all()
+        clustered |= set(units[units < forms].tolist())
+    assert len(clustered) == sum(n >= brown.MIN_COUNT for n in c.values()) > 2000
+    assert model.class_tokens.sum() == model.tokens
+
+
+def test_class_gains_equal_likelihoods(monkeypatch):
+    monkeypatch.setattr(brown, "CELLS", 7)
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 4, (9, 9)).astype(float)
+    of = np.array([0, 1, 2, 0, 1, 2, 0, 3, 4])
+
+    def table(of):
+        out = np.zeros((5, 5))
+        np.add.at(out, (of[:, None], of[None, :]), pairs)
+        return out
+
+    def likelihood(t):
+        return brown._xlogx(t).sum() - brown._xlogx(t.sum(axis=0)).sum() - brown._xlogx(t.sum(axis=1)).sum()
+
+    after, before = ([pairs[:, of == k].sum(axis=1) for k in range(5)], [pairs[of == k].sum(axis=0) for k in range(5)])
+    sums = [(*np.nonzero(x), x[np.nonzero(x)]) for x in (np.array(after).T[:7], np.array(before).T[:7])]
+    gains = brown.class_gains(table(of), of[:7], *sums, np.diag(pairs)[:7], 3)
+    for w in range(7):
+        with_word = [likelihood(table(np.where(np.arange(9) == w, k, of))) for k in range(3)]
+        assert np.diff(gains[w]) == pytest.approx(np.diff(with_word))
+
+
 def test_toxicity_automaton_equals_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))

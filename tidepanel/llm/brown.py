@@ -3,15 +3,17 @@
 1. Documents are packed into blocks: the block's different words, how often each occurs in training
    documents, and the texts as indexes into them. Blocks are written once.
 2. Word counts are summed over the blocks' words, not over tokens.
-3. Words of at least ``N * FREQUENT`` tokens (at most 1 / FREQUENT of them, whatever the corpus) are put
-   into ``CLASSES`` classes by exchange clustering: in each sweep Spark sums the neighbour classes
-   of every word from the bigram table, and words move to the class that raises the class-bigram
-   likelihood most. All other words, unknown ones too, belong to a class by their form: how
-   they end, their length and the hash of their last letters.
+3. Every word of ``MIN_COUNT`` tokens or more is put into one of ``CLASSES`` classes by exchange clustering.
+   Words are dealt to buckets by a hash. In each sweep the blocks sum the neighbour classes of their
+   words, the sums of a bucket meet in one task, and it moves its words to the class that raises the
+   class-bigram likelihood most, judged against the class-by-class counts. One byte a word, its class, is
+   what all tasks are told. Rarer words stand for the unknown ones: they belong to a class by their
+   form, which is how they end, their length and the hash of their last letters.
 4. P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards the
    class unigrams; in form classes an absolute discount leaves mass for one unknown word. The
    probabilities of all known words, the end and the unknown word of each form sum to one.
-5. Counts go back to the blocks by a join on (block, word), and a block is scored in one go.
+5. Counts and numbers of the words go back to the blocks by a join on (block, word), once; a block is
+   scored in one go.
 """
 
 from __future__ import annotations
@@ -25,18 +27,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.text import LOOKUP_BYTES, held_out, steps, whole, word_hashes, words_of
 from tidepanel.sources.staging import stage
 
 BLOCK_WORDS = 1_500_000
-FREQUENT = 1 / 2048
+#: Fewest training tokens of a word that is clustered.
+MIN_COUNT = 5
 CLASSES = 32
 SWEEPS = 9
 #: A sweep moves one part of the words in so many.
 PARTS = 3
+#: Clustered words of a bucket, about, and training tokens whose sums come to it at most, about.
+BUCKET_WORDS, BUCKET_TOKENS = 1 << 14, 1 << 25
+#: Neighbour sums that are judged at a time.
+CELLS = 1 << 16
 #: Forms: end (letter, . or , or other) x short or long x hash of the last letters.
 SUFFIXES = 16
 FORMS = 3 * 2 * SUFFIXES
@@ -88,33 +95,97 @@ def forms(words: pa.Array) -> np.ndarray:
     return (end * 2 + long_word) * SUFFIXES + suffix
 
 
-def _units(words: pa.Array, frequent: pa.Array) -> np.ndarray:
-    """Number of each word: its place among the frequent ones, or behind them its form."""
-    place = pc.index_in(words, value_set=frequent)
-    known = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.where(known >= 0, known, len(frequent) + forms(words)) if len(words) else known
+NUMBERED = "doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, units binary, counts binary"
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch], frequent: list[str]) -> Iterator[pa.RecordBatch]:
-    vocabulary = pa.array(frequent, pa.string())
-    units = len(frequent) + FORMS + 1
+def _numbered(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    """Blocks with the unit and training count of each word: its number, or behind all slots its form."""
     for batch in batches:
+        units, counts = [], []
         for i in range(batch.num_rows):
-            unit = _units(batch.column("words")[i].values, vocabulary)
-            line, ends, _ = _lines(batch, i, unit, units - 1)
-            held = batch.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool)
-            size = np.diff(np.append(ends, len(line)))
-            train = np.repeat(~held, size)
-            # Every document starts after an end.
-            first = np.zeros(len(line), bool)
-            first[ends] = True
-            before = np.where(first, units - 1, np.roll(line, 1))
-            code, n = np.unique(before[train] * units + line[train], return_counts=True)
+            words = batch.column("words")[i].values
+            unit = slots + forms(words) if len(words) else np.zeros(0, np.int64)
+            c = np.zeros(len(words), np.int64)
+            if batch.column("found")[i].is_valid:
+                cells = batch.column("found")[i].values
+                at, number = cells.field("at").to_numpy(), pc.fill_null(cells.field("id"), -1).to_numpy()
+                c[at] = cells.field("c").to_numpy()
+                unit[at[number >= 0]] = number[number >= 0]
+            units.append(unit.astype(np.uint32).tobytes())
+            counts.append(c.tobytes())
+        cells = [batch.column(c) for c in ("doc_ids", "held", "lengths", "tokens")] + [pa.array(x, pa.binary()) for x in (units, counts)]
+        yield pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in NUMBERED.split(", ")])
+
+
+def _cells(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    units = np.frombuffer(batch.column("units")[i].as_py(), np.uint32).astype(np.int64)
+    return units, np.frombuffer(batch.column("counts")[i].as_py(), np.int64)
+
+
+def _pairs(batch: pa.RecordBatch, i: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The units of each training token and of the one in front; every document starts after an end."""
+    line, ends, _ = _lines(batch, i, _cells(batch, i)[0], end)
+    held = batch.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+    train = np.repeat(~held, np.diff(np.append(ends, len(line))))
+    before = np.roll(line, 1)
+    before[ends] = end
+    return before[train], line[train]
+
+
+def _class_pairs(batches: Iterator[pa.RecordBatch], of: np.ndarray, last: int) -> Iterator[pa.RecordBatch]:
+    table = np.zeros(last * last, np.int64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            x, y = _pairs(batch, i, len(of) - 1)
+            table += np.bincount(of[x].astype(np.int64) * last + of[y], minlength=last * last)
+    code = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(code // last), pa.array(code % last), pa.array(table[code])], names=["x", "y", "n"])
+
+
+#: What a neighbour sum is of: classes behind a word, classes in front of it, the word behind itself.
+AFTER, BEFORE, OWN = range(3)
+
+
+def _class_sums(batches: Iterator[pa.RecordBatch], of: np.ndarray, sweep: int, size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The neighbour sums of this sweep's words, a row for each block and bucket."""
+    moves = np.zeros(len(of), bool)
+    moves[: size * buckets] = np.arange(size * buckets) % size % PARTS == sweep % PARTS
+    for batch in batches:
+        for i in range(batch.num_rows):
+            x, y = _pairs(batch, i, len(of) - 1)
+            first, second, own = moves[x], moves[y], moves[x] & (x == y)
+            kinds = ((x[first], AFTER, of[y[first]]), (y[second], BEFORE, of[x[second]]), (x[own], OWN, np.uint8(0)))
+            code, n = np.unique(np.concatenate([(w * 3 + kind) * 256 + k for w, kind, k in kinds]), return_counts=True)
+            bucket = code // (768 * size)
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            code, n = (code - bucket * 768 * size).astype(np.int64), n.astype(np.int64)
+            spans = [(cuts[b], cuts[b + 1]) for b in some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(code // units), pa.array(code % units), pa.array(n.astype(np.int64))], names=["x", "y", "n"]
+                [
+                    pa.array(some, pa.int64()),
+                    pa.array([code[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
+                    pa.array([n[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
+                ],
+                names=["bucket", "code", "n"],
             )
 
 
+def _moved(rows: pa.Table, of: np.ndarray, table: np.ndarray, size: int, classes: int) -> pa.Table:
+    """The classes of a bucket's words after a sweep."""
+    bucket = rows.column("bucket")[0].as_py()
+    code, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint32).astype(np.int64) for c in ("code", "n"))
+    code, which = np.unique(code, return_inverse=True)
+    n = np.bincount(which, n)
+    word, kind, k = code // 768, code // 256 % 3, code % 256
+    now = of[bucket * size : (bucket + 1) * size].astype(np.int64)
+    there, place = np.unique(word, return_inverse=True)
+    sums = [(place[kind == t], k[kind == t], n[kind == t]) for t in (AFTER, BEFORE)]
+    own = np.bincount(place[kind == OWN], n[kind == OWN], len(there))
+    now[there] = best_classes(table, now[there], *sums, own, classes)
+    return pa.table({"bucket": pa.array([bucket], pa.int64()), "classes": pa.array([now.astype(np.uint8).tobytes()], pa.binary())})
+
+
 def _lines(batch: pa.RecordBatch, i: int, unit: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The block's tokens as numbers with an end after each document, where documents begin, and their words' indexes."""
     index = np.frombuffer(zlib.decompress(batch.column("tokens")[i].as_py()), np.uint32)
@@ -128,6 +199,58 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+Sums = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def class_gains(table: np.ndarray, g: np.ndarray, after: Sums, before: Sums, own: np.ndarray, classes: int) -> np.ndarray:
+    """For words of classes ``g`` and each class the log likelihood with the word in it, up to a constant.
+
+    ``table`` counts class pairs, words in their classes; after and before are (word, class, n) in order of words,
+    with the word's pairs with itself, which ``own`` counts, among them.
+    """
+    m, all_words = len(g), np.arange(len(g))
+    dense = []
+    for word, k, n in (after, before):
+        d = np.zeros((m, len(table)))
+        np.add.at(d, (word, k), n)
+        d[all_words, g] -= own
+        dense.append(d)
+    out, into = dense
+    gain = np.zeros((m, classes))
+    # Cells of the class's row and column, but for the diagonal: those that the word has pairs in.
+    for counts, (word, k, n), side, other in ((table, after, out, into), (table.T, before, into, out)):
+        for a in range(0, len(word), CELLS):
+            w, h = word[a : a + CELLS], k[a : a + CELLS]
+            x = side[w, h]
+            at, own_class = np.arange(len(w)), g[w]
+            cell = counts[:classes, h].T.copy()
+            cell[at, own_class] -= x
+            home = np.flatnonzero(h == own_class)
+            cell[home] -= other[w[home], :classes]
+            change = _xlogx(cell + x[:, None]) - _xlogx(cell)
+            diagonal = np.flatnonzero(h < classes)
+            change[diagonal, h[diagonal]] = 0
+            begins = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            gain[w[begins]] += np.add.reduceat(change, begins)
+    both = out[:, :classes] + into[:, :classes] + own[:, None]
+    cell = np.tile(np.diag(table)[:classes], (m, 1))
+    cell[all_words, g] -= both[all_words, g]
+    gain += _xlogx(cell + both) - _xlogx(cell)
+    for total, d in ((table.sum(axis=1), out), (table.sum(axis=0), into)):
+        size = d.sum(axis=1) + own
+        margin = np.tile(total[:classes], (m, 1))
+        margin[all_words, g] -= size
+        gain -= _xlogx(margin + size[:, None]) - _xlogx(margin)
+    return gain
+
+
+def best_classes(table: np.ndarray, g: np.ndarray, after: Sums, before: Sums, own: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each word after the move that raises the likelihood most, if one does."""
+    gain = class_gains(table, g, after, before, own, classes)
+    best, at = gain.argmax(axis=1), np.arange(len(g))
+    return np.where(gain[at, best] > gain[at, g] + 1e-6, best, g)
+
+
 def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, of: np.ndarray, sweep: int, words: int, classes: int) -> int:
     """One sweep: every third of the first ``words`` units moves to its best class, in place in ``of``.
 
@@ -136,42 +259,21 @@ def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, of: np.ndar
     so only a part of the words moves in a sweep, another part in the next.
     """
     total = int(of.max()) + 1
-    start = np.zeros((total, total))
-    np.add.at(start, of, after)
-    moved = 0
-    for w in range(sweep % PARTS, words, PARTS):
-        g = of[w]
-        out, into = after[w].copy(), before[w].copy()
-        out[g] -= own[w]
-        into[g] -= own[w]
-        table = start.copy()
-        table[g] -= out
-        table[:, g] -= into
-        table[g, g] -= own[w]
-        row, column = table.sum(axis=1), table.sum(axis=0)
-        n_out, n_in = out.sum() + own[w], into.sum() + own[w]
-        k = np.arange(classes)
-        # Rows and columns of every class as they would be with the word in it.
-        rows, columns = table[:classes] + out, table[:, :classes].T + into
-        rows[k, k] += into[:classes] + own[w]
-        gain = (_xlogx(rows) - _xlogx(table[:classes])).sum(axis=1)
-        change = _xlogx(columns) - _xlogx(table[:, :classes].T)
-        gain += change.sum(axis=1) - change[k, k]
-        gain -= _xlogx(row[:classes] + n_out) - _xlogx(row[:classes])
-        gain -= _xlogx(column[:classes] + n_in) - _xlogx(column[:classes])
-        best = int(np.argmax(gain))
-        if gain[best] > gain[g] + 1e-6:
-            of[w] = best
-            moved += 1
+    table = np.zeros((total, total))
+    np.add.at(table, of, after)
+    w = np.arange(sweep % PARTS, words, PARTS)
+    sums = [(*np.nonzero(x[w]), x[w][np.nonzero(x[w])]) for x in (after, before)]
+    new = best_classes(table, of[w], *sums, own[w], classes)
+    moved = int((new != of[w]).sum())
+    of[w] = new
     return moved
 
 
 class Model(NamedTuple):
-    frequent: list[str]
-    #: Class of each unit; transition log10 by class; log10 P(unit | class) of frequent units and the end.
+    #: Class of each unit: slots of clustered words, forms, the end. Transition log10 by class; tokens of each class.
     of: np.ndarray
     transition: np.ndarray
-    emission: np.ndarray
+    class_tokens: np.ndarray
     #: By form: discount, tokens, log10 of the unknown word's share.
     discount: np.ndarray
     form_tokens: np.ndarray
@@ -181,98 +283,97 @@ class Model(NamedTuple):
     documents: int
 
 
-def _form_counts(batches: Iterator[pa.RecordBatch], frequent: list[str]) -> Iterator[pa.RecordBatch]:
-    vocabulary = pa.array(frequent, pa.string())
+def _form_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        unit = _units(batch.column("word"), vocabulary) - len(frequent)
-        c = batch.column("c").to_numpy()
-        rare = unit >= 0
-        unit, c = unit[rare], c[rare]
+        unit, c = forms(batch.column("word")), batch.column("c").to_numpy()
         sums = [np.bincount(unit, w, FORMS).astype(np.int64) for w in (c, np.ones(len(c)), c == 1, c == 2)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(FORMS)), *[pa.array(x) for x in sums]], names=["form", "tokens", "types", "once", "twice"]
         )
 
 
-def fit(blocks: DataFrame, counts: DataFrame) -> Model:
-    """The model of the blocks' training documents, given the word counts (word, c)."""
+def cluster(numbered: DataFrame, words: int, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each unit and the class pairs; the words have the slots bucket * size + place."""
+    context = numbered.sparkSession.sparkContext
+    classes = min(CLASSES, max(1, words))
+    last, slots = classes + FORMS + 1, size * buckets
+    of = np.concatenate([np.arange(slots) % size % classes, classes + np.arange(FORMS + 1)]).astype(np.uint8)
+    lines = numbered.select("held", "lengths", "tokens", "units", "counts")
+
+    def pairs(told) -> np.ndarray:
+        sums = lines.mapInArrow(lambda it: _class_pairs(it, told.value, last), "x long, y long, n long")
+        table = np.zeros((last, last))
+        for r in sums.groupBy("x", "y").agg(F.sum("n").alias("n")).collect():  # classes x classes cells
+            table[r["x"], r["y"]] = r["n"]
+        return table
+
+    def moved(told, judged, sweep: int) -> DataFrame:
+        sums = lines.mapInArrow(lambda it: _class_sums(it, told.value, sweep, size, buckets), "bucket long, code binary, n binary")
+        return sums.groupBy("bucket").applyInArrow(
+            lambda t: _moved(t, told.value, judged.value, size, classes), "bucket long, classes binary"
+        )
+
+    for sweep in range(SWEEPS if words > 1 else 0):
+        told = context.broadcast(of)
+        judged = context.broadcast(pairs(told))
+        of = of.copy()
+        for r in moved(told, judged, sweep).collect():  # a byte a word
+            of[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["classes"], np.uint8)
+        told.unpersist()
+        judged.unpersist()
+    return of, pairs(context.broadcast(of))
+
+
+def fit(blocks: DataFrame, counts: DataFrame, cells: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the blocks' training documents and the numbered blocks, given the word counts (word, c)."""
     docs = F.size(F.filter("held", lambda h: ~h))
     documents = blocks.agg(F.sum(docs)).first()[0] or 0
-    total = counts.agg(F.sum("c"), F.count("*")).first()
+    often = F.col("c") >= MIN_COUNT
+    total = counts.agg(F.sum("c"), F.count("*"), F.count_if(often)).first()
     tokens, types = (total[0] or 0) + documents, total[1] + (documents > 0)
-    # No more than 1 / FREQUENT words can reach the threshold.
-    rows = counts.filter(F.col("c") >= FREQUENT * tokens).orderBy(F.desc("c"), "word").collect()
-    frequent, often = [r["word"] for r in rows], np.array([r["c"] for r in rows], float)
-    words, units = len(frequent), len(frequent) + FORMS + 1
-
-    pairs = blocks.select("held", "lengths", "words", "tokens").mapInArrow(
-        lambda it: _bigrams(it, frequent), "x long, y long, n long"
-    )
-    pairs = stage(pairs.groupBy("x", "y").agg(F.sum("n").alias("n")), "bigrams")
-    classes = min(CLASSES, max(1, words))
-    of = np.concatenate([np.arange(words) % classes, classes + np.arange(FORMS + 1)])
-    last = classes + FORMS + 1
-    own = np.zeros(units)
-    for r in pairs.filter("x = y").collect():  # at most one row for each unit
-        own[r["x"]] = r["n"]
-    spark = blocks.sparkSession
-
-    def neighbours() -> tuple[np.ndarray, np.ndarray]:
-        named = F.broadcast(spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "u long, class long"))
-        out = []
-        for word, other in (("x", "y"), ("y", "x")):
-            sums = pairs.join(named, F.col(other) == F.col("u")).groupBy(word, "class").agg(F.sum("n").alias("n"))
-            counted = np.zeros((units, last))
-            for r in sums.collect():  # units x classes cells, whatever the corpus
-                counted[r[word], r["class"]] = r["n"]
-            out.append(counted)
-        return out[0], out[1]
-
-    after, before = neighbours()
-    for sweep in range(SWEEPS if words > 1 else 0):
-        # Sums made by this sweep's classes; the moves of the next start from them.
-        if exchange(after, before, own, of, sweep, words, classes) or not sweep:
-            after, before = neighbours()
+    buckets = total[2] // BUCKET_WORDS + tokens // BUCKET_TOKENS + 1
+    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("c"), "word")) - 1
+    placed = stage(counts.withColumn("bucket", bucket).withColumn("place", place), "places")
+    size = (placed.filter(often).agg(F.max("place")).first()[0] or 0) + 1
+    known = placed.select("word", "c", F.when(often, F.col("bucket") * size + F.col("place")).alias("id"))
+    found = cells.select("part", "seq", "at", "word").join(known, "word")
+    # As many rows as the block has different words.
+    found = found.groupBy("part", "seq").agg(F.collect_list(F.struct("at", "c", "id")).alias("found"))
+    joined = blocks.select("part", "seq", "doc_ids", "held", "lengths", "words", "tokens").join(found, ["part", "seq"], "left")
+    numbered = stage(joined.drop("part", "seq").mapInArrow(lambda it: _numbered(it, size * buckets), NUMBERED), "numbered")
 
-    table = np.zeros((last, last))
-    np.add.at(table, of, after)
+    of, table = cluster(numbered, total[2], size, buckets)
+    last = len(table)
     unigram = (table.sum(axis=0) + 0.5) / (table.sum() + 0.5 * last)
     transition = np.log10((table + BACK * unigram) / (table.sum(axis=1, keepdims=True) + BACK))
-    emission = np.zeros(units)
-    if words:
-        emission[:words] = np.log10(often / np.bincount(of[:words], often, classes)[of[:words]])
     named = ("tokens", "types", "once", "twice")
-    sums = counts.mapInArrow(lambda it: _form_counts(it, frequent), "form long, " + ", ".join(f"{c} long" for c in named))
+    sums = counts.filter(~often).mapInArrow(_form_counts, "form long, " + ", ".join(f"{c} long" for c in named))
     stats = np.zeros((4, FORMS))
     for r in sums.groupBy("form").agg(*[F.sum(c).alias(c) for c in named]).collect():  # one row a form
         stats[:, r["form"]] = [r[c] for c in named]
     n, kinds, once, twice = stats
     discount = np.clip((once + 0.5) / (once + 2 * twice + 1), 0.05, 0.95)
     unknown = np.where(n > 0, discount * kinds / np.maximum(n, 1), 1.0)
-    return Model(frequent, of, transition, emission, discount, n, np.log10(unknown), int(tokens), int(types), int(documents))
+    # Every training token is behind another one or an end, so a class's column has all its tokens.
+    model = Model(of, transition, table.sum(axis=0), discount, n, np.log10(unknown), int(tokens), int(types), int(documents))
+    return model, numbered
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    vocabulary = pa.array(model.frequent, pa.string())
-    words_n, end = len(model.frequent), len(model.frequent) + FORMS
+    end = len(model.of) - 1
+    slots = end - FORMS
     spread = model.tokens + model.types + 1
     for batch in batches:
         for i in range(batch.num_rows):
-            words = batch.column("words")[i].values
-            unit = _units(words, vocabulary)
-            c = np.zeros(len(words), np.int64)
-            found = batch.column("found")[i].as_py()
-            if found is not None:
-                cells = batch.column("found")[i].values
-                c[cells.field("at").to_numpy()] = cells.field("c").to_numpy()
-            form = unit - words_n
-            rare = form >= 0
-            given = np.zeros(len(words))
-            given[~rare] = model.emission[unit[~rare]]
-            f = form[rare]
+            unit, c = _cells(batch, i)
+            rare = unit >= slots
+            given = np.zeros(len(unit))
+            given[~rare] = np.log10(c[~rare] / model.class_tokens[model.of[unit[~rare]]])
+            f = unit[rare] - slots
             share = np.maximum(c[rare] - model.discount[f], 1e-9) / np.maximum(model.form_tokens[f], 1)
             given[rare] = np.where(c[rare] > 0, np.log10(share), model.unknown[f])
             line, begins, index = _lines(batch, i, unit, end)
@@ -314,9 +415,6 @@ def score(docs: DataFrame, of: int = 7, remainder: int = 2, block_words: int = B
     cells = cells.select("part", "seq", "at", F.col("cell.words").alias("word"), F.col("cell.train").alias("n"))
     counts = cells.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
     counts = stage(counts, "counts")
-    model = docs.sparkSession.sparkContext.broadcast(fit(blocks, counts))
-    found = cells.select("part", "seq", "at", "word").join(counts, "word")
-    # As many rows as the block has different words.
-    found = found.groupBy("part", "seq").agg(F.collect_list(F.struct("at", "c")).alias("found"))
-    joined = blocks.select("part", "seq", "doc_ids", "held", "lengths", "words", "tokens").join(found, ["part", "seq"], "left")
-    return joined.drop("part", "seq").mapInArrow(lambda it: _scored(it, model.value), SCORES)
+    model, numbered = fit(blocks, counts, cells)
+    told = docs.sparkSession.sparkContext.broadcast(model)
+    return numbered.mapInArrow(lambda it: _scored(it, told.value), SCORES)
