@@ -128,6 +128,41 @@ def test_repeats_equal_brute_force(docs, empty):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_repeats_of_one_frequent_phrase_are_split(spark, monkeypatch):
+    monkeypatch.setattr(substring, "SHARD_WORDS", 500)
+    rng, phrase = np.random.default_rng(4), " ".join(f"p{i}" for i in range(8))
+    # Ever different surroundings of a phrase, copies of a passage with small edits, and some true repeats.
+    passage = [f"q{i}" for i in range(40)]
+    texts = []
+    for i in range(150):
+        edited = [f"e{rng.integers(0, 9)}" if j in (i % 40, i * 7 % 40) else x for j, x in enumerate(passage)]
+        sides = [" ".join(f"w{x}" for x in rng.integers(0, 3, 16)) for _ in range(2)]
+        texts.append(f"{sides[0]} {phrase} {sides[1]} {' '.join(edited)}")
+    texts += [texts[7] + " end", "start " + texts[30]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        w, windows = t.split(), [tuple(t.split()[a : a + 20]) for a in range(len(t.split()) - 19)]
+        gone = {a + k for a, x in enumerate(windows) for k in range(20) if x in seen or x in windows[:a]}
+        seen |= set(windows)
+        want[i] = hashlib.sha256(" ".join(x for a, x in enumerate(w) if a not in gone).encode()).hexdigest()
+    assert {r.doc_id: r.kept_sha256 for r in substring.remove_repeats(rows).collect()} == want
+
+    cut = []
+    for d, t in enumerate(texts):
+        w = t.split()
+        for a, n, key in zip(*substring.segments(substring.word_hashes(pa.array(w)), 20, 8), strict=True):
+            part = " ".join(w[a : a + n + 19])
+            cut.append((int(key.view(np.int64)), zlib.crc32(part.encode()), d, 0, 0, int(a), int(n), part))
+    size = Counter()
+    for c in cut:
+        size[c[0]] += c[6] + 20
+    assert max(size.values()) > 1500
+    entry, _ = substring.entries(spark.createDataFrame(cut, substring.CUT), 20, 8)
+    sums = entry.groupBy("shard_key").agg(F.sum(F.col("windows") + 20).alias("n")).collect()
+    assert all(r.n <= 500 for r in sums)
+
+
 def test_index_finds_every_earlier_window():
     rng = np.random.default_rng(3)
     texts = [rng.integers(1, 4, int(n)) for n in rng.integers(8, 30, 60)]

@@ -5,7 +5,9 @@
    Neighbouring windows with the same anchor form a segment. Equal windows have equal anchors, so
    only segments whose anchor occurs twice anywhere can hold a repeat; the rest is never moved.
 3. Those segments are sharded by anchor: all occurrences of a window meet in one shard. Equal segments
-   are one entry, that of their first occurrence, by an aggregate with map-side combine.
+   are one entry, that of their first occurrence, by an aggregate with map-side combine. An anchor
+   with more than ``SHARD_WORDS`` words of entries is split: its windows are cut anew by their least hashed
+   longer run, at last by all their words, so equal windows still meet and no anchor makes a large shard.
 4. A shard's segments are indexed: suffix array, Burrows-Wheeler transform, a wavelet matrix of packed
    bits with counted blocks. The segments stream against it by backward search, which gives the
    matching statistics up to the threshold; where a match of ``length`` words has an occurrence
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from tidepanel.sources.staging import stage
 
 LENGTH = 20
 ANCHOR = 8
-#: Words of distinct segments in a shard, about.
+#: Words of distinct segments in a shard, about, and of one anchor at most.
 SHARD_WORDS = 300_000
 #: What a missing doc_id is ordered as.
 NO_ID = -(1 << 63)
@@ -132,6 +135,29 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(text, pa.string())], names=names)
 
 
+CUT = "shard_key long, segment_key long, d long, key_a long, key_b long, start long, windows long, segment string"
+
+
+def _cut_anew(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Segments cut by the least hashed run of ``anchor`` words of each window; the key extends the former one."""
+    names = [c.split()[0] for c in CUT.split(", ")]
+    for batch in steps(batches, text="segment"):
+        words, starts = words_of(batch.column("segment"))
+        hashed = word_hashes(words)
+        found = [segments(hashed[a:b], length, anchor) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+        first, count, least = (np.concatenate(x) for x in zip(*found, strict=True))
+        former = batch.column("shard_key").to_numpy().view(np.uint64)[row]
+        low = starts[:-1][row] + first
+        high = low + count + length - 1
+        columns = [mix(former * np.uint64(3) + least).view(np.int64), span_keys(hashed, low, high)]
+        columns += [batch.column(c).to_numpy()[row] for c in ("d", "key_a", "key_b")]
+        columns += [batch.column("start").to_numpy()[row] + first, count]
+        strings = words.to_pylist()
+        text = [" ".join(strings[x:y]) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.array(text, pa.string())], names=names)
+
+
 # ---- the index -----------------------------------------------------------------------------------
 
 
@@ -289,6 +315,32 @@ def _removed(batches: Iterator[pa.RecordBatch], texts: bool, keep: tuple[str, ..
         )
 
 
+def entries(cut: DataFrame, length: int, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """The first of equal segments, with at most SHARD_WORDS words of a shard_key, and the spans of the others."""
+    keys, by_segment = ["key_a", "key_b"], ["shard_key", "segment_key"]
+    place = F.struct("d", *keys, "start")
+    kept, repeats = [], []
+    # The last run is the whole window: then equal windows are equal segments, and no entry is left to search.
+    for longer in (*(anchor + (length - anchor) * k // 3 for k in (1, 2, 3)), None):
+        entry = cut.groupBy(*by_segment).agg(F.min(F.struct("d", *keys, "start", "windows", "segment")).alias("first"))
+        entry = stage(entry.select(*by_segment, "first.*"), "entries")
+        again = cut.join(entry.select(*by_segment, place.alias("first")), by_segment).filter(place != F.col("first"))
+        stop = F.col("start") + F.col("windows") + length - 1
+        repeats.append(again.select("d", *keys, F.col("start").alias("begin"), stop.alias("stop")))
+        if longer is None:
+            break
+        # At most one key for each SHARD_WORDS words.
+        heavy = entry.groupBy("shard_key").agg(F.sum(F.col("windows") + length).alias("n"))
+        heavy = stage(heavy.filter(F.col("n") > SHARD_WORDS).select("shard_key"), "heavy")
+        if heavy.isEmpty():
+            kept.append(entry)
+            break
+        kept.append(entry.join(F.broadcast(heavy), "shard_key", "left_anti"))
+        cut = entry.join(F.broadcast(heavy), "shard_key").select(*cut.columns)
+        cut = stage(cut.mapInArrow(lambda it, longer=longer: _cut_anew(it, length, longer), CUT), "segments")
+    return reduce(DataFrame.union, [k.select(*cut.columns) for k in kept]), reduce(DataFrame.union, repeats)
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(d, told) for each doc_id with something to remove; told has the word spans by text key."""
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), "text")
@@ -307,15 +359,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     wanted = stage(wanted, "wanted")
     cut = rows.join(wanted, "d").select("d", "text", "told").mapInArrow(
         lambda it: _cut_segments(it, length, anchor),
-        "shard_key long, segment_key long, d long, key_a long, key_b long, start long, windows long, segment string",
+        CUT,
     )
-    cut = stage(cut, "segments")
-    place = F.struct("d", *keys, "start")
-    by_segment = ["shard_key", "segment_key"]
-    entry = cut.groupBy(*by_segment).agg(F.min(F.struct("d", *keys, "start", "windows", "segment")).alias("first"))
-    entry = stage(entry.select(*by_segment, "first.*"), "entries")
-    again = cut.join(entry.select(*by_segment, place.alias("first")), by_segment).filter(place != F.col("first"))
-    again = again.select("d", *keys, F.col("start").alias("begin"), (F.col("start") + F.col("windows") + length - 1).alias("stop"))
+    entry, again = entries(stage(cut, "segments"), length, anchor)
     total = entry.agg(F.sum(F.col("windows") + length)).first()[0] or 0
     shards = int(total // SHARD_WORDS) + 1
     sharded = entry.select("d", *keys, "start", "segment", F.pmod(F.xxhash64("shard_key"), F.lit(shards)).alias("shard"))
