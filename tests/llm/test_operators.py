@@ -394,6 +394,26 @@ def test_merge_dropout_round_trip(docs, empty):
     assert merge_dropout.encode(empty, PIECES).count() == 0
 
 
+def test_merge_dropout_varies_by_occurrence(spark):
+    text = " ".join(["understanding"] * 60)
+    rows = merge_dropout.encode(spark.createDataFrame([(i, text) for i in range(12)], "doc_id long, text string"), PIECES).collect()
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+    def words(ids):
+        return [tuple(w.split()) for w in " ".join(map(pieces.id_to_piece, ids)).split("▁")[1:]]
+
+    found = [words(r.ids) for r in rows]
+    assert all(len(w) == 60 and len(set(w)) > 1 for w in found)
+    assert len({tuple(r.ids) for r in rows}) == 12 > merge_dropout.STREAMS
+    # Occurrences that share agendas have what each has alone.
+    tool, rng = merge_dropout.Merger(PIECES, 0.3, 7), np.random.default_rng(9)
+    chunks = [" understanding", " a", " the\U0001f600", " international", "x" * 70]
+    owner, keys = rng.integers(0, 5, 400), rng.integers(0, 1 << 62, 400)
+    lists, path = tool.paths(chunks, owner, keys)
+    for k in range(400):
+        assert lists[int(path[k])].as_py() == tool.numbers([chunks[owner[k]]], keys[k : k + 1])[0].tolist()
+
+
 def test_agenda_equals_scanning_for_the_best_pair():
     def scanned(tool, chunk, stream):
         parts, places, skipped = list(chunk), list(range(len(chunk))), set()

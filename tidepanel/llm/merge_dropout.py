@@ -1,14 +1,15 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 The pieces of a byte-pair model are merged from an agenda by score; a candidate merge is skipped
-when a keyed hash of (seed, stream, place, left, right) falls below ``dropout``. A document draws one of
-``STREAMS`` streams by a hash of its id, so an epoch is repeatable on any machine and another seed
-gives other segmentations. All of them decode to the text.
+when a keyed hash of (seed, document, chunk, place, left, right) falls below ``dropout``: a word is segmented
+anew each time it occurs. The hash is of the document's id and the chunk's number in it, so an epoch
+is repeatable on any machine and another seed gives other segmentations. All of them decode to the text.
 
 No piece of the model has a word mark after another character, so text between word marks is
-encoded on its own: the distinct chunks of a batch. Chunks of one length take their agendas' steps
-together, as rows of a matrix; one beyond ``LONG`` characters has a heap for its own. Ids are gathered,
-and decoded again, for a whole batch at a time.
+encoded on its own. The chunks of a batch that have the same characters share an agenda until one of
+them skips a merge that another takes; from there on the agenda is two. Agendas of chunks of one length
+take their steps together, as rows of a matrix; a chunk beyond ``LONG`` characters has a heap for its
+own. Ids are gathered, and decoded again, for a whole batch at a time.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from tidepanel.llm.text import LOOKUP_BYTES, constants, mix, steps, whole
 
 MARK = "▁"
 DROPOUT, SEED, STREAMS = 0.1, 7, 4
-#: Longest chunk, in characters, whose agenda is a row of a matrix, and cells of such a matrix.
-LONG, CELLS = 64, 1_000_000
+#: Longest chunk, in characters, whose agenda is a row of a matrix, and characters that share a matrix.
+LONG, CELLS = 64, 4_000_000
+#: What a chunk's number in its document and a place in a chunk count for in the key.
+CHUNK, PLACE = constants(2, 83)
 
 
 class Merger:
@@ -86,7 +89,7 @@ class Merger:
     def skipped(self, stream: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the keyed hash skips merging two parts, the left one at that place of its chunk."""
         code = (left.astype(np.int64) * self.kinds + right).astype(np.uint64)
-        key = mix((at * STREAMS + stream).astype(np.uint64) + self.salt)
+        key = mix(at.astype(np.uint64) * PLACE + stream.astype(np.uint64) + self.salt)
         return mix(key + code) >> np.uint64(32) < self.limit
 
     def candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +100,7 @@ class Merger:
         i = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[i] == code, self.scores[i], -np.inf), self.makes[i]
 
-    def merged_long(self, parts: list[int], stream: int) -> list[tuple[int, int]]:
+    def merged_long(self, parts: list[int], stream: np.integer) -> list[tuple[int, int]]:
         """The agenda of one chunk as a heap: best score first, the leftmost of equals; a skipped pair
         comes up no more. (place, part) of what is left."""
         n = len(parts)
@@ -127,24 +130,42 @@ class Merger:
                 offer(front[i], i)
         return [(i, part) for i, part in enumerate(parts) if part >= 0]
 
-    def merged(self, parts: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def merged(self, parts: np.ndarray, row: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The agendas of chunks of one length, a row each and a step at a time; order and skips as in
-        ``merged_long``. (row, place, part) of what is left, by row and place."""
+        ``merged_long``. ``row`` and ``stream`` are of the occurrences; a row is doubled when only some of its
+        occurrences skip. (row of each occurrence; row, place, part of what is left, by row and place)."""
         m, n = parts.shape
         # One more column stands for the end; nothing merges with it.
         parts = np.column_stack([parts, np.full(m, self.kinds - 1, np.int32)])
         end, front = (np.tile(np.arange(a, a + n + 1, dtype=np.int32), (m, 1)) for a in (1, -1))
         score, makes = self.candidates(parts[:, :-1], parts[:, 1:])
         left = np.ones((m, n), bool)
-        rows = np.arange(m)
+        row, rows, going = row.copy(), np.arange(m), np.arange(len(row))
         while len(rows):
             at = score[rows].argmax(axis=1)
             open_ = score[rows, at] > -np.inf
             rows, at = rows[open_], at[open_]
+            # By row: its step's place among the open ones.
+            step = np.full(len(parts), -1)
+            step[rows] = np.arange(len(rows))
+            mine = step[row[going]]
+            going, mine = going[mine >= 0], mine[mine >= 0]
             j = end[rows, at]
-            skip = self.skipped(stream[rows], at, parts[rows, at], parts[rows, j])
-            score[rows[skip], at[skip]] = -np.inf
-            r, i, j = rows[~skip], at[~skip], j[~skip]
+            left_part, right_part = parts[rows, at], parts[rows, j]
+            skip = self.skipped(stream[going], at[mine], left_part[mine], right_part[mine])
+            skips, takes = (np.bincount(mine[x], minlength=len(rows)) > 0 for x in (skip, ~skip))
+            both = np.flatnonzero(skips & takes)
+            if len(both):
+                twin = np.zeros(len(rows), np.int64)
+                twin[both] = len(parts) + np.arange(len(both))
+                parts, end, front, score, makes, left = (np.concatenate([x, x[rows[both]]]) for x in (parts, end, front, score, makes, left))
+                moved = skip & takes[mine]
+                row[going[moved]] = twin[mine[moved]]
+                score[twin[both], at[both]] = -np.inf
+            only = skips & ~takes
+            score[rows[only], at[only]] = -np.inf
+            r, i, j = rows[takes], at[takes], j[takes]
+            rows = np.concatenate([rows, twin[both]]) if len(both) else rows
             stop = end[r, j]
             parts[r, i] = makes[r, i]
             end[r, i], front[r, stop] = stop, i
@@ -153,34 +174,52 @@ class Merger:
             before = front[r, i]
             r, i, before = (x[before >= 0] for x in (r, i, before))
             score[r, before], makes[r, before] = self.candidates(parts[r, before], parts[r, i])
-        row, place = np.nonzero(left)
-        return row, place, parts[row, place]
+        at_row, place = np.nonzero(left)
+        return row, at_row, place, parts[at_row, place]
 
-    def numbers(self, chunks: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks one after another, and how many each has."""
+    def paths(self, chunks: list[str], owner: np.ndarray, streams: np.ndarray) -> tuple[pa.ListArray, np.ndarray]:
+        """The different segmentations of chunks as lists of ids, and which of them each occurrence has;
+        ``owner`` is the chunk of each occurrence and ``streams`` its key."""
         size = np.array([len(c) for c in chunks], np.int64)
         begin = np.append(0, np.cumsum(size))
         points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
         parts = self.part_of[points]
-        found = []
-        for n in np.unique(size[size <= LONG]).tolist():
-            of_size = np.flatnonzero(size == n)
-            for some in np.array_split(of_size, len(of_size) * n // CELLS + 1):
-                row, place, part = self.merged(parts[begin[some][:, None] + np.arange(n)], streams[some])
-                found.append((begin[some[row]] + place, part))
-        for k in np.flatnonzero(size > LONG).tolist():
-            place, part = np.array(self.merged_long(parts[begin[k] : begin[k + 1]].tolist(), int(streams[k]))).T
-            found.append((begin[k] + place, part))
-        place, part = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(place)
-        place, ids = place[order], self.id_of[part[order]]
+        path, found, made = np.zeros(len(owner), np.int64), [], 0
+        order = np.lexsort([owner, size[owner]])
+        of_order = size[owner[order]]
+        for n in np.unique(of_order[of_order <= LONG]).tolist():
+            low, high = np.searchsorted(of_order, (n, n + 1))
+            for some in np.array_split(order[low:high], (high - low) * n // CELLS + 1):
+                own, which = np.unique(owner[some], return_inverse=True)
+                row, at_row, place, part = self.merged(parts[begin[own][:, None] + np.arange(n)], which, streams[some])
+                # Rows of the matrix that were doubled stand behind the first ones.
+                chunk = np.zeros(int(at_row[-1]) + 1, np.int64)
+                chunk[row] = owner[some]
+                path[some] = made + row
+                found.append((made + at_row, begin[chunk[at_row]] + place, part))
+                made += len(chunk)
+        for k in order[np.searchsorted(of_order, LONG, side="right") :].tolist():
+            a, b = begin[owner[k]], begin[owner[k] + 1]
+            place, part = np.array(self.merged_long(parts[a:b].tolist(), streams[k])).T
+            path[k] = made
+            found.append((np.full(len(place), made), a + place, part))
+            made += 1
+        of_path, place, part = (np.concatenate(x) for x in zip(*found, strict=True))
+        ids = self.id_of[part]
         # A character without a piece is spelled in bytes.
         spelled = "".join(map(chr, np.where(points == ord(" "), ord(MARK), points)[place[ids < 0]].tolist()))
         point = points[place]
         count = np.where(ids < 0, np.where(point == ord(" "), 3, 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000)), 1)
         out = np.repeat(ids, count)
         out[out < 0] = self.bytes_number[np.frombuffer(spelled.encode(), np.uint8)]
-        return out, np.add.reduceat(count, np.searchsorted(place, begin[:-1]))
+        lengths = np.add.reduceat(count, np.searchsorted(of_path, np.arange(made)))
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(out)), path
+
+    def numbers(self, chunks: list[str], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one after another, and how many each has."""
+        lists, path = self.paths(chunks, np.arange(len(chunks)), streams)
+        own = lists.take(pa.array(path))
+        return own.flatten().to_numpy(), own.value_lengths().to_numpy()
 
     def chunks(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where what is encoded together begins in the bytes of texts, a space standing for a word mark."""
@@ -199,7 +238,7 @@ class Merger:
         return np.flatnonzero(start)
 
     def encode(self, texts: pa.Array, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, and where those of each begin, with the end of the last."""
+        """The ids of all texts, and where those of each begin, with the end of the last; ``streams`` are the texts' keys."""
         marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
         offsets = np.frombuffer(marked.buffers()[1], np.int32)[: len(marked) + 1]
         if not len(marked) or not offsets[-1]:
@@ -208,17 +247,19 @@ class Merger:
         at = self.chunks(data, offsets)
         cuts = pa.py_buffer(np.append(at, len(data)).astype(np.int32))
         coded = pa.Array.from_buffers(pa.binary(), len(at), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
-        owner = np.searchsorted(offsets, at, side="right") - 1
-        code = coded.indices.to_numpy().astype(np.int64) * STREAMS + streams[owner]
-        seen = np.zeros(len(coded.dictionary) * STREAMS, bool)
-        seen[code] = True
-        place = (np.cumsum(seen) - 1)[code]
+        code = coded.indices.to_numpy().astype(np.int64)
         plain = coded.dictionary.cast(pa.string()).to_pylist()
-        used = np.flatnonzero(seen)
-        flat, size = self.numbers([plain[c] for c in (used // STREAMS).tolist()], used % STREAMS)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat))
-        ids = lists.take(pa.array(place)).flatten().to_numpy()
-        return ids, np.append(0, np.cumsum(size[place]))[np.searchsorted(at, offsets)]
+        first = np.searchsorted(at, offsets)
+        if self.limit:
+            owner = np.searchsorted(offsets, at, side="right") - 1
+            number = (np.arange(len(at)) - first[owner]).astype(np.uint64)
+            lists, path = self.paths(plain, code, mix(streams[owner].astype(np.uint64) + number * CHUNK))
+        else:
+            lists, path = self.paths(plain, np.arange(len(plain)), np.zeros(len(plain), np.int64))
+            path = path[code]
+        size = lists.value_lengths().to_numpy()
+        ids = lists.take(pa.array(path)).flatten().to_numpy()
+        return ids, np.append(0, np.cumsum(size[path], dtype=np.int64))[first]
 
     def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[bytes]:
         """The bytes of the texts whose ids begin there, without the word mark in front."""
@@ -238,15 +279,15 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, dropout: float, seed:
     tool = merger(path, dropout, seed)
     for batch in steps(batches, LOOKUP_BYTES):
         numbers = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        streams = (mix(numbers + constants(1, seed)[0]) % np.uint64(STREAMS)).astype(np.int64)
+        keys = mix(numbers + constants(1, seed)[0])
         texts = pc.fill_null(whole(batch.column("text")), "")
-        ids, begins = tool.encode(texts, streams)
+        ids, begins = tool.encode(texts, keys)
         back = tool.decode(ids, begins)
         same = [x == y for x, y in zip(back, texts.cast(pa.binary()).to_pylist(), strict=True)]
         cuts = begins.tolist()
         columns = {
             "doc_id": batch.column("doc_id"),
-            "stream": pa.array(streams.astype(np.int32)),
+            "stream": pa.array((keys % np.uint64(STREAMS)).astype(np.int32)),
             "n_ids": pa.array(np.diff(begins), pa.int64()),
             "ids_crc32": pa.array([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.int64()),
             "lossless": pa.array(same, pa.bool_()),
@@ -262,8 +303,8 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
     with ``full``, ids and the text decoded from them.
 
     lossless says that decoding gave the text back, which holds for every text; null counts as
-    empty and has no ids. Rows may repeat; a missing doc_id draws the stream of id 0; further
-    columns are ignored; no rows give none. dropout 0 is the model's own segmentation.
+    empty and has no ids. Rows may repeat; a missing doc_id has the key of id 0; stream is one of
+    ``STREAMS`` groups that the documents fall into by their keys; further columns are ignored; no rows give none. dropout 0 is the model's own segmentation.
     """
     schema = "doc_id long, stream int, n_ids long, ids_crc32 long, lossless boolean"
     schema += ", ids array<int>, decoded string" if full else ""
