@@ -173,20 +173,20 @@ def _set_sql() -> str:
     from final f join nearest n on n.canonical_ticker = f.canonical_ticker and n.found = f.date"""
 
 
-@query("q2_equity_sets", over(*EQUITY_VIEWS, "targets", body=_set_sql(), recursive=True))
-def equity_sets(spark, sf_dir):
+def _equity_sets(spark, sf_dir, features):
+    """Train, validation and live rows of a feature table, with all its quintiles."""
     ticker = canonical_ticker(F.col("bloomberg_ticker"))
     names = X.ticker_map(spark, sf_dir).select("ticker", ticker.alias("canonical_ticker")).dropna()
     table = X.targets(spark, sf_dir).join(names, "ticker").drop("ticker")
     cut = F.lit(X.VALIDATION_FROM).cast("date")
     live = X.live_universe(spark, sf_dir).join(names, "ticker").drop("ticker")
+    made = [c for c in features.columns if c.endswith("_quintile")]
     train, validation, today = P.equity_sets(
-        equity_table(spark, sf_dir),
+        features,
         table.filter(F.col("date") < cut),
         table.filter(F.col("date") >= cut),
         live,
     )
-    made = [f"{c}_quintile" for c in EQUITY_NUMBERS]
 
     def marked(df, part, *more):
         return df.select(F.lit(part).alias("part"), "date", "canonical_ticker", *more, *made)
@@ -201,6 +201,11 @@ def equity_sets(spark, sf_dir):
     )
 
 
+@query("q2_equity_sets", over(*EQUITY_VIEWS, "targets", body=_set_sql(), recursive=True))
+def equity_sets(spark, sf_dir):
+    return _equity_sets(spark, sf_dir, equity_table(spark, sf_dir))
+
+
 @query("q1_equity_features_full")
 def equity_features_full(spark, sf_dir):
     """All 36 indicators and 39 quintiles."""
@@ -209,6 +214,12 @@ def equity_features_full(spark, sf_dir):
     )
 
 
+@query("q2_equity_sets_full")
+def equity_sets_full(spark, sf_dir):
+    """The sets of all 39 quintiles."""
+    return _equity_sets(spark, sf_dir, equity_features_full(spark, sf_dir))
+
+
 CRYPTO_NUMBERS = ["EMA_20", "SMA_20", "VOLATILITY_20", "SR_20", "MOM_20", "MACD_20_40"]
 CRYPTO_MIN_ROWS = 530
 
@@ -244,20 +255,11 @@ def _crypto_sql() -> str:
     where date = (select max(date) from placed)"""
 
 
-@query("q3_crypto_sets", over("panel", "targets", body=_crypto_sql(), recursive=True))
-def crypto_sets(spark, sf_dir):
-    quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
-    table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
-    features = P.crypto_features(
-        quotes,
-        table,
-        min_rows=CRYPTO_MIN_ROWS,
-        recurrences=("EMA",),
-        windows=EQUITY_KINDS,
-        **ONE,
-    )
+def _crypto_sets(features):
+    """Train, validation and live rows of a feature table, with all its quintiles."""
     train, validation, live = P.crypto_sets(features)
-    columns = ["date", "symbol", "target", *[f"{c}_quintile" for c in CRYPTO_NUMBERS]]
+    made = [c for c in features.columns if c.endswith("_quintile")]
+    columns = ["date", "symbol", "target", *made]
 
     def marked(df, part):
         return df.select(F.lit(part).alias("part"), *columns)
@@ -269,6 +271,22 @@ def crypto_sets(spark, sf_dir):
     )
 
 
+@query("q3_crypto_sets", over("panel", "targets", body=_crypto_sql(), recursive=True))
+def crypto_sets(spark, sf_dir):
+    quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
+    table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
+    return _crypto_sets(
+        P.crypto_features(
+            quotes,
+            table,
+            min_rows=CRYPTO_MIN_ROWS,
+            recurrences=("EMA",),
+            windows=EQUITY_KINDS,
+            **ONE,
+        )
+    )
+
+
 @query("q3_crypto_features_full")
 def crypto_features_full(spark, sf_dir):
     """All 30 indicators and quintiles."""
@@ -277,6 +295,12 @@ def crypto_features_full(spark, sf_dir):
     return P.crypto_features(quotes, table)
 
 
+@query("q3_crypto_sets_full")
+def crypto_sets_full(spark, sf_dir):
+    """The sets of all 30 quintiles, of every series of the default length."""
+    return _crypto_sets(crypto_features_full(spark, sf_dir))
+
+
 @query(
     "q4_neutral_rank",
     two_factor_sql("", 1.0, True, True)
