@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidepanel.catalog.registry import query, rounded
 from tidepanel.catalog.sql import over
 from tidepanel.operators import models as M
-from tidepanel.operators.features import hashed_sample
 from tidepanel.operators.neutralize import neutralize_full, neutralize_partial
 from tidepanel.operators.splits import by_label
 from tidepanel.sources import fixtures as X
@@ -48,8 +47,8 @@ def two_factor_sql(part: str, proportion: float, constant: bool, scaled: bool) -
     )
 
 
-def _rows(spark, sf_dir):
-    return X.matrix(spark, sf_dir).select("id", "era", "prediction", *TWO)
+def _rows(spark, sf_dir, factors=TWO):
+    return X.matrix(spark, sf_dir).select("id", "era", "prediction", *factors)
 
 
 def _result(df):
@@ -57,30 +56,46 @@ def _result(df):
 
 
 @query("n1_full_neutralization", two_factor_sql("", 1.0, True, True))
-def full_neutralization(spark, sf_dir):
-    return _result(neutralize_full(_rows(spark, sf_dir)))
+def full_neutralization(spark, sf_dir, factors=TWO):
+    return _result(neutralize_full(_rows(spark, sf_dir, factors)))
 
 
 @query("n2_partial_neutralization", two_factor_sql("", 0.6, False, False))
-def partial_neutralization(spark, sf_dir):
-    return _result(neutralize_partial(_rows(spark, sf_dir), ["prediction"], TWO, 0.6))
+def partial_neutralization(spark, sf_dir, factors=TWO):
+    return _result(neutralize_partial(_rows(spark, sf_dir, factors), ["prediction"], factors, 0.6))
 
 
 @query("n3_era_neutralization", two_factor_sql("era", 1.0, True, True))
-def era_neutralization(spark, sf_dir):
-    return _result(neutralize_full(_rows(spark, sf_dir), keys=["era"]))
+def era_neutralization(spark, sf_dir, factors=TWO):
+    return _result(neutralize_full(_rows(spark, sf_dir, factors), keys=["era"]))
 
 
 @query("n3_era_partial_neutralization", two_factor_sql("era", 0.5, False, False))
-def era_partial_neutralization(spark, sf_dir):
-    rows = _rows(spark, sf_dir)
-    return _result(neutralize_partial(rows, ["prediction"], TWO, 0.5, ["era"]))
+def era_partial_neutralization(spark, sf_dir, factors=TWO):
+    rows = _rows(spark, sf_dir, factors)
+    return _result(neutralize_partial(rows, ["prediction"], factors, 0.5, ["era"]))
 
 
 @query("n4_present_factors", two_factor_sql("", 0.6, False, False))
-def present_factors(spark, sf_dir):
-    wanted = ["feature_absent", *TWO, "feature_gone"]
-    return _result(neutralize_partial(_rows(spark, sf_dir), ["prediction"], wanted, 0.6))
+def present_factors(spark, sf_dir, factors=TWO):
+    wanted = ["feature_absent", *factors, "feature_gone"]
+    return _result(neutralize_partial(_rows(spark, sf_dir, factors), ["prediction"], wanted, 0.6))
+
+
+def _of_all_features(name, function):
+    """Registers a query of two factors once more with every feature; Cramer's rule is for two."""
+
+    def whole(spark, sf_dir):
+        return function(spark, sf_dir, FEATURES)
+
+    query(name)(whole)
+
+
+_of_all_features("n1_full_neutralization_all", full_neutralization)
+_of_all_features("n2_partial_neutralization_all", partial_neutralization)
+_of_all_features("n3_era_neutralization_all", era_neutralization)
+_of_all_features("n3_era_partial_neutralization_all", era_partial_neutralization)
+_of_all_features("n4_present_factors_all", present_factors)
 
 
 @query("n1_vector_neutralization")
@@ -96,27 +111,28 @@ def parts(spark, sf_dir):
     return tuple(by_label(matrix, "data_type", v) for v in ("train", "validation", "test"))
 
 
-QUICK = {"maxIter": 5, "maxDepth": 3}
+#: Rounds that leave early stopping room for its patience.
+STOPPED = {"maxIter": 2 * M.PATIENCE}
 
 
 @query("l1_boosted_early_stop")
 def boosted_early_stop(spark, sf_dir):
     train, validation, test = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", validation, **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target", validation, **STOPPED)
     return model.transform(test).select("id", "prediction")
 
 
 @query("l2_boosted")
 def boosted(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target")
     return model.transform(test).select("id", "prediction")
 
 
 @query("l3_two_targets")
 def two_targets(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_targets(train, FEATURES, ["target", "target_late"], **QUICK)
+    model = M.fit_targets(train, FEATURES, ["target", "target_late"])
     scored = model.transform(test)
     return scored.select("id", "prediction_target", "prediction_target_late")
 
@@ -124,14 +140,14 @@ def two_targets(spark, sf_dir):
 @query("l4_three_learners")
 def three_learners(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_three(train, FEATURES, "target", **QUICK)
+    model = M.fit_three(train, FEATURES, "target")
     return M.predict_three(model, test.select("id", *FEATURES)).select("id", "prediction")
 
 
 @query("l5_fold_ensemble")
 def fold_ensemble(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    models = M.fit_folds(train, FEATURES, "target", **QUICK)
+    models = M.fit_folds(train, FEATURES, "target")
     scored = M.predict_folds(models, FEATURES, test.select("id", *FEATURES))
     return scored.select("id", "prediction")
 
@@ -145,8 +161,6 @@ def random_search(spark, sf_dir):
         FEATURES,
         "target",
         staging_path(spark, "trials"),
-        trials=3,
-        rounds=3,
     )
     return table.select("trial", "score", F.map_keys("params").alias("names"))
 
@@ -154,14 +168,14 @@ def random_search(spark, sf_dir):
 @query("l7_batch_scoring")
 def batch_scoring(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target")
     return model.transform(X.matrix(spark, sf_dir).drop("prediction")).select("id", "prediction")
 
 
 @query("l8_feature_importance")
 def feature_importance(spark, sf_dir):
     train, _, _ = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target")
     ranked = M.importance(model.stages[-1], FEATURES)
     return spark.createDataFrame(ranked, "feature string, importance double")
 
@@ -169,8 +183,8 @@ def feature_importance(spark, sf_dir):
 @query("t5_top_by_importance")
 def top_by_importance(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    sample = M.assemble(hashed_sample(train, ["id"], 5000), FEATURES)
-    model = M.boosted("target", **QUICK).fit(sample)
+    rows = train.filter(F.col("target").isNotNull())
+    model = M.boosted("target").fit(M.assemble(rows, FEATURES))
     sliced = M.slice_top(M.assemble(test, FEATURES), model, 3)
     return sliced.select("id", vector_to_array("top_features").alias("top_features"))
 
@@ -178,7 +192,7 @@ def top_by_importance(spark, sf_dir):
 @query("a10_saved_scorer")
 def saved_scorer(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = M.fit_boosted(train, FEATURES, "target", **QUICK)
+    model = M.fit_boosted(train, FEATURES, "target")
     path = staging_path(spark, "scorer")
     sinks.save_scorer(model, path)
     M.write_scorer_card(test, f"{path}-card", {"features": FEATURES, "target": "target"})
@@ -189,6 +203,6 @@ def saved_scorer(spark, sf_dir):
 def search_history(spark, sf_dir):
     train, validation, _ = parts(spark, sf_dir)
     path = staging_path(spark, "trials")
-    M.search(train, validation, FEATURES, "target", path, trials=1, rounds=2)
-    table, _ = M.search(train, validation, FEATURES, "target", path, trials=1, rounds=2)
+    M.search(train, validation, FEATURES, "target", path, trials=1)
+    table, _ = M.search(train, validation, FEATURES, "target", path, trials=1)
     return table.select("trial", "score")

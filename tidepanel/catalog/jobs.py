@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepanel.catalog.cross import rank_corr_sql
 from tidepanel.catalog.registry import query, rounded
 from tidepanel.catalog.sql import CANONICAL, average_rank, edges, ema, over, trailing
-from tidepanel.catalog.fits import parts, two_factor_sql
+from tidepanel.catalog.fits import STOPPED, _of_all_features, parts, two_factor_sql
 from tidepanel.functions.scalar import canonical_ticker
 from tidepanel.operators.cross_section import percent_rank, quintiles
 from tidepanel.operators.indicators import window_indicators
@@ -308,14 +308,17 @@ def crypto_sets_full(spark, sf_dir):
              ", v as (select id, round(r / stddev_samp(r) over (), 6) as v from r) "
              f"select id, round({average_rank('v')} / count(*) over (), 9) as prediction from v"),
 )
-def neutral_rank(spark, sf_dir):
+def neutral_rank(spark, sf_dir, factors=TWO):
     """Neutralize fully, then rank; scores are rounded first so that ties agree."""
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *TWO)
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
     neutral = stage(rounded(neutralize_full(rows).select("id", "prediction"), 6, "prediction"), "n")
     ranked = percent_rank(neutral, [], "prediction", "pct")
     return ranked.select("id", F.round("pct", 9).alias("prediction"))
 
 
+_of_all_features("q4_neutral_rank_all", neutral_rank)
+
+
 def _reference_sql(final: str) -> str:
     """Partial neutralization at 0.5 matched to order prices, then ``final`` over column m."""
     tail = "select id, round(r, 6) as prediction from r"
@@ -335,16 +338,19 @@ def _reference_sql(final: str) -> str:
            stddev_pop(m) over ())), 0.001), 0.999), 6) as prediction from m"""
     ),
 )
-def sigmoid_range(spark, sf_dir):
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *TWO)
+def sigmoid_range(spark, sf_dir, factors=TWO):
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
     reference = X.table(spark, sf_dir, "orders").select(
         (F.col("o_totalprice") / 1000).alias("prediction")
     )
-    return rounded(T.sigmoid_scores(rows, TWO, reference), 6, "prediction").select(
+    return rounded(T.sigmoid_scores(rows, factors, reference), 6, "prediction").select(
         "id", "prediction"
     )
 
 
+_of_all_features("q6_sigmoid_range_all", sigmoid_range)
+
+
 @query(
     "q5_robust_range",
     two_factor_sql("", 0.6, False, False).replace(
@@ -354,15 +360,15 @@ def sigmoid_range(spark, sf_dir):
         "as prediction from v",
     ),
 )
-def robust_range(spark, sf_dir):
+def robust_range(spark, sf_dir, factors=TWO):
     """Post-processing of the robust score; the match to a reference keeps the ranks."""
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *TWO)
-    neutral = neutralize_partial(rows, ["prediction"], TWO, 0.6).select("id", "prediction")
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
+    neutral = neutralize_partial(rows, ["prediction"], factors, 0.6).select("id", "prediction")
     steady = stage(rounded(neutral, 6, "prediction"), "neutral")
     return rounded(ranked_range(steady, "prediction"), 9, "prediction")
 
 
-QUICK = {"maxIter": 5, "maxDepth": 3}
+_of_all_features("q5_robust_range_all", robust_range)
 
 
 def reference(spark, sf_dir):
@@ -375,20 +381,20 @@ def reference(spark, sf_dir):
 @query("q4_tournament_score")
 def tournament_score(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    return T.tournament_score(train, test, FEATURES, **QUICK)
+    return T.tournament_score(train, test, FEATURES)
 
 
 @query("q5_robust_score")
 def robust_score(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    return T.robust_score(train, test, FEATURES, reference(spark, sf_dir), **QUICK)
+    return T.robust_score(train, test, FEATURES, reference(spark, sf_dir))
 
 
 @query("q6_sigmoid_score")
 def sigmoid_score(spark, sf_dir):
     train, validation, test = parts(spark, sf_dir)
     return T.sigmoid_score(
-        train, test, FEATURES, reference(spark, sf_dir), validation=validation, **QUICK
+        train, test, FEATURES, reference(spark, sf_dir), validation=validation, **STOPPED
     )
 
 
