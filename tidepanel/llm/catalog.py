@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import brown, compression, decontaminate, merge_dropout, minhash, substring, toxicity, url_tree, wavelet, weak_rules
+from tidepanel.llm import (
+    brown,
+    compression,
+    decontaminate,
+    fill_middle,
+    hard_negatives,
+    main_text,
+    merge_dropout,
+    minhash,
+    substring,
+    toxicity,
+    url_tree,
+    wavelet,
+    weak_rules,
+)
 from tidepanel.llm.text import documents
 
 
@@ -72,6 +86,25 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=2)
 
 
+def op11_bond_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor and positive among all vectors."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    entries = hard_negatives.whole_entries().alias("entries")
+    return hard_negatives.mine(rows.select("vec_id", hard_negatives.shifted_labels().alias("label"), entries))
+
+
+def op12_block_rules_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_displacement_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's output, and of the text that the output gives back."""
+    made = fill_middle.restore(fill_middle.transform(documents(spark, sf_dir)))
+    digests = (F.sha2(c, 256).alias(f"{name}_sha256") for c, name in (("output", "output"), ("restored", "restored")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_weak_quality_rules,
         op9_merge_dropout,
         op10_minhash_near_dedup,
+        op11_bond_hard_negatives,
+        op12_block_rules_main_text,
+        op13_displacement_fill_middle,
     )
 }
 ORACLE: dict[str, str] = {}
