@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators import models as M
-from tidepanel.operators.cross_section import percent_rank, quintiles, with_group_means
-from tidepanel.operators.indicators import window_indicators
-from tidepanel.operators.recurrence import recurrence_indicators
-from tidepanel.plans.panel import series_return
+from tidepanel.operators.cross_section import peer_means, percent_rank, quintiles, with_group_means
+from tidepanel.operators.indicators import PAIRS, PERIODS, WINDOW_KINDS
+from tidepanel.operators.recurrence import RECURRENCE_KINDS, recurrence_indicators
+from tidepanel.plans.panel import indicators
 from tidepanel.sources import fixtures as X
 from tidepanel.sources import sinks
 from tidepanel.sources.staging import clear_staging, stage, staging_path
@@ -31,10 +31,13 @@ def closes(spark):
     return X.landed_closes(spark, SF)
 
 
-def test_all_windows_share_one_exchange(closes):
-    text = plan(series_return(window_indicators(closes).dropna(), "ticker"))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "SinglePartition" not in text
+def test_all_indicators_and_returns_share_one_exchange_of_the_narrow_panel(closes):
+    made = indicators(closes, "ticker", PERIODS, PAIRS, RECURRENCE_KINDS, WINDOW_KINDS, PAIRS, PAIRS, returns="ret")
+    text = plan(made)
+    assert text.count("Exchange hashpartitioning") == text.count("FlatMapGroupsInArrow") == 1
+    # No window frame is evaluated at all, whatever the number of lengths.
+    assert "Window" not in text and "SinglePartition" not in text
+    assert len(made.columns) == 3 + 36 + 1
 
 
 def test_recurrences_take_one_python_pass(closes):
@@ -54,6 +57,20 @@ def test_ranks_within_groups_use_no_single_partition(closes):
     assert "SinglePartition" not in plan(quintiles(closes, ["date"], ["close"]))
 
 
+def test_quintiles_shuffle_the_rows_once(closes):
+    text = plan(quintiles(closes, ["date"], ["close"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text and "percentile" not in text
+
+
+def test_peer_groups_share_one_scan_of_the_rows(closes):
+    wide = stage(closes.withColumns({"industry": F.col("ticker") % 5, "sector": F.col("ticker") % 3, "label": F.lit("x")}), "wide")
+    groups = {f"{p}_ret": ["date", p] for p in ("industry", "sector")}
+    text = plan(peer_means(wide, groups, "close"))
+    # One scan of the rows themselves, one of the staged sums for each group.
+    assert text.count("label") and text.count("_sum") and text.count("FileScan") == 3
+    assert sum("label" in line for line in text.splitlines() if "FileScan" in line) == 1
+
+
 def test_scan_is_pruned_and_filtered(spark):
     from tidepanel.sources.frames import scan
 

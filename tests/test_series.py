@@ -1,11 +1,13 @@
 """Indicators against plain loops and pandas, and cut series against whole ones."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidepanel.operators.indicators import warmup, window_indicators
+from tidepanel.operators.indicators import Windows, warmup, window_indicators
 from tidepanel.operators.recurrence import (
     column_names,
     memory_rows,
@@ -13,6 +15,7 @@ from tidepanel.operators.recurrence import (
     series_values,
 )
 from tidepanel.operators.series_functions import transform_series
+from tidepanel.plans.panel import indicators
 
 
 def loop_ema(x, n):
@@ -118,6 +121,52 @@ def test_windows_against_pandas(spark):
         )
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 20, 60, 200])
+@pytest.mark.parametrize("rows", [0, 1, 5, 59, 60, 61, 400])
+def test_windows_of_every_length(rows, n):
+    """Against windows that are added up afresh, far from zero and around sudden values."""
+    rng = np.random.default_rng(rows * 1000 + n)
+    near = rng.normal(0, 1, rows)
+    spike = near.copy()
+    spike[rows // 3 : rows // 3 + 1] = 1e9
+    gap = near.copy()
+    gap[rows // 2 : rows // 2 + 1] = np.nan
+    for x in (near, near + 1e8, spike, gap, np.full(rows, 0.1)):
+        made = Windows(x, n)
+        means, weighted, deviations = made.mean(), made.weighted_mean(), made.deviation()
+        assert len(means) == len(weighted) == len(deviations) == rows
+        assert np.isnan(means[: n - 1]).all() and np.isnan(weighted[: n - 1]).all()
+        weights = np.arange(1, n + 1) / (n * (n + 1) / 2)
+        for t in range(n - 1, rows):
+            part = x[t - n + 1 : t + 1]
+            np.testing.assert_allclose(means[t], math.fsum(part) / n if np.isfinite(part).all() else np.nan, rtol=1e-13, atol=1e-13 * np.abs(part).max())
+            np.testing.assert_allclose(weighted[t], (part * weights).sum(), rtol=1e-13, atol=1e-13 * np.abs(part).max())
+            if n > 1:
+                np.testing.assert_allclose(deviations[t], part.std(ddof=1), rtol=1e-10 if abs(part[0]) < 1e7 else 1e-7, atol=1e-15 * abs(part[0]))
+    # A spike leaves nothing behind, and a constant series has no spread at all.
+    if rows == 400 and 1 < n <= 60:
+        assert (Windows(np.full(rows, 0.1), n).deviation()[n - 1 :] == 0).all()
+        after = Windows(spike, n).deviation()[rows // 3 + n :]
+        np.testing.assert_allclose(after, Windows(near, n).deviation()[rows // 3 + n :], rtol=1e-12)
+
+
+def test_indicators_with_returns_in_blocks(spark, hot):
+    """Returns follow the rows that are left, whether a series is cut or not."""
+    df = panel(spark, 2000, ("a", "b")).withColumn("close", F.when(F.dayofyear("date").between(100, 107), 5.0).otherwise(F.col("close")))
+
+    def run():
+        made = indicators(df, "ticker", (3, 5), ((3, 5),), ("EMA",), ("SR", "SMA"), ((3, 5),), ((3, 5),), returns="ret")
+        return made.toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+
+    whole = run()
+    # Constant prices have no Sharpe ratio, so rows inside are left out and the next return spans them.
+    assert 0 < len(whole) < 4000 - 2 * 5 and whole["ret"].isna().sum() == 2
+    for _, one in whole.groupby("ticker"):
+        np.testing.assert_allclose(one["ret"], one["close"].pct_change(), rtol=1e-12)
+    hot(300)
+    pd.testing.assert_frame_equal(whole, run()[whole.columns], check_exact=False, rtol=1e-11, atol=1e-12)
+
+
 def test_zero_and_null_prices(spark):
     rows = [("a", 1, 2.0), ("a", 2, 0.0), ("a", 3, 3.0), ("a", 4, None), ("a", 5, 3.0), ("a", 6, 3.0)]
     df = spark.createDataFrame(rows, "ticker string, date int, close double")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepanel.operators.skew import (
     HotKeys,
@@ -43,8 +46,17 @@ def with_group_means(
 def peer_means(
     df: DataFrame, groups: Mapping[str, Sequence[str]], value: str
 ) -> DataFrame:
-    """Every row with the mean of ``value`` over each peer group; ``groups`` maps name to keys."""
-    stats = [(df.groupBy(*k).agg(F.avg(value).alias(out)), k) for out, k in groups.items()]
+    """Every row with the mean of ``value`` over each peer group; ``groups`` maps name to keys.
+
+    Several groups share one scan of the rows: sums and counts by all their keys together, from which
+    each group's are added up.
+    """
+    source, total, count = df, F.sum(value), F.count(value)
+    if len(groups) > 1:
+        every = list(dict.fromkeys(k for keys in groups.values() for k in keys))
+        source = stage(df.groupBy(*every).agg(F.sum(value).alias("_sum"), F.count(value).alias("_count")), "peers")
+        total, count = F.sum("_sum"), F.sum("_count")
+    stats = [(source.groupBy(*k).agg(F.try_divide(total, count).alias(out)), k) for out, k in groups.items()]
     return attach_all(df, stats)
 
 
@@ -313,6 +325,23 @@ def _inner_bounds(edges: str, buckets: int) -> Column:
     return F.struct(*fields)
 
 
+def _group_labels(values: np.ndarray) -> np.ndarray:
+    """Quintiles 0..4 of every column of one group; NaN for missing values and for a single edge."""
+    placed = np.sort(values, axis=0)
+    known = np.count_nonzero(~np.isnan(values), axis=0)
+    spot = np.array(QUINTILES)[:, None] * np.maximum(known - 1, 0)
+    low, high = (np.take_along_axis(placed, side(spot).astype(int), axis=0) for side in (np.floor, np.ceil))
+    mixed = (np.ceil(spot) - spot) * low + (spot - np.floor(spot)) * high
+    edges = np.where(low == high, low, mixed)
+    # An edge counts once, and the least one bounds nothing.
+    own = edges[1:] != edges[:-1]
+    labels = np.zeros_like(values)
+    for edge, counts in zip(edges[1:-1], own[:-1], strict=True):
+        labels += (values > edge) & counts
+    labels[np.isnan(values) | ~(own & ~np.isnan(edges[1:])).any(axis=0)] = np.nan
+    return labels
+
+
 def quintiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -320,13 +349,36 @@ def quintiles(
     suffix: str = "_quintile",
     bound: DataFrame | None = None,
 ) -> DataFrame:
-    """Add a value-based quintile 0..4 per group for every column; equal edges are merged."""
-    columns = list(columns)
+    """Add a value-based quintile 0..4 per group for every column; equal edges are merged.
+
+    A group of ordinary size is labelled by the task that holds it: its rows are shuffled once. Those of
+    larger groups stay where they are and meet the edges of ``quantile_edges``, which no task has to
+    see whole. NaN counts as missing. ``bound`` is a frame with no fewer rows per group that is cheaper
+    to count than ``df``.
+    """
+    keys, columns = list(keys), list(columns)
+    limit = max(1, hot_rows(df.sparkSession) // len(columns))
+    found = find_hot(df if bound is None else bound, keys, limit)
+    ordinary, hot = split_hot(df, keys, found)
+
+    def label(table: pa.Table) -> pa.Table:
+        values = np.column_stack([table.column(c).cast(pa.float64()).to_numpy() for c in columns])
+        with np.errstate(invalid="ignore"):
+            labels = _group_labels(values).astype(np.float32)
+        flat = pa.array(labels.T.ravel(), from_pandas=True)
+        made = [flat.slice(i * len(labels), len(labels)) for i in range(len(columns))]
+        return pa.Table.from_arrays([*table.columns, *made], names=[*table.column_names, *[f"{c}{suffix}" for c in columns]])
+
+    fields = [*df.schema.fields, *(T.StructField(f"{c}{suffix}", T.FloatType()) for c in columns)]
+    made = ordinary.groupBy(*keys).applyInArrow(label, T.StructType(fields))
+    if hot is None:
+        return made
     buckets = len(QUINTILES) - 1
-    edges = quantile_edges(df, keys, columns, bound=bound)
+    edges = _bracketed_edges(hot.select(*keys, *columns), keys, columns, QUINTILES)
     bounds = edges.select(*keys, *[_inner_bounds(c, buckets).alias(f"_in_{c}") for c in columns])
     labels = {f"{c}{suffix}": bucket(c, f"_in_{c}", buckets).cast("float") for c in columns}
-    return attach(df, bounds, keys).withColumns(labels).drop(*[f"_in_{c}" for c in columns])
+    large = attach(hot, bounds, keys).withColumns(labels).drop(*[f"_in_{c}" for c in columns])
+    return made.unionByName(large.select(*made.columns))
 
 
 def held_out(n: int, share: float) -> int:
