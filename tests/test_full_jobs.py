@@ -41,10 +41,8 @@ def _largest_correlation(df, factors):
 def test_neutralization_leaves_no_feature_correlated(spark):
     matrix = X.matrix(spark, SF).select("id", "era", *X.MATRIX_FEATURES)
     assert len(X.MATRIX_FEATURES) == 5
-    queries = entry.queries()
-    left = {n: queries[n](spark, SF).join(matrix, "id") for n in ("n1_full_neutralization", "n1_full_neutralization_all")}
-    assert _largest_correlation(left["n1_full_neutralization_all"], X.MATRIX_FEATURES) < 1e-4
-    assert _largest_correlation(left["n1_full_neutralization"], X.MATRIX_FEATURES) > 1e-3
+    left = entry.queries()["n1_full_neutralization"](spark, SF).join(matrix, "id")
+    assert _largest_correlation(left, X.MATRIX_FEATURES) < 1e-4
 
 
 def test_fits_use_all_rows_and_default_rounds(spark):

@@ -15,6 +15,7 @@ from tidepanel.operators.asof import latest_within
 from tidepanel.operators.features import choose_factors, hashed_sample
 from tidepanel.operators.score import rank_correlation
 from tidepanel.sources.frames import quotes_to_panel
+from tidepanel.sources.staging import stage
 
 
 def matrix(rows, k, seed=0, eras=1):
@@ -63,6 +64,100 @@ def test_partial_neutralization_per_era(spark, hot, k):
         np.testing.assert_allclose(got, want, rtol=1e-8, atol=1e-9)
 
 
+def residuals(rows, by, proportion):
+    z = rows[by].to_numpy()
+    z = z - z.mean(axis=0)
+    s = rows["prediction"].to_numpy()
+    return s - proportion * (z @ np.linalg.lstsq(z, s, rcond=None)[0])
+
+
+def wide_eras(eras, per_era, k, apart):
+    """Eras whose factors lie far from each other."""
+    frame = matrix(eras * per_era, k, 5, eras)
+    by = [f"feature_{i}" for i in range(k)]
+    frame[by] += apart * frame[["era"]].to_numpy()
+    return frame, by
+
+
+def test_matrices_merge_far_from_zero(spark, monkeypatch):
+    """Small limits: matrices are handed on early and merged in several rounds; nothing is lost to the distance."""
+    monkeypatch.setattr(N, "HELD_BYTES", 2 * 8 * 20**2)
+    monkeypatch.setattr(N, "FAN", 2)
+    frame, by = wide_eras(7, 60, 18, 1e6)
+    frame.loc[5, "feature_3"], frame.loc[6, "prediction"] = np.nan, np.nan
+    df = spark.createDataFrame(frame).repartition(5)
+    df = df.withColumns({c: F.nanvl(c, F.lit(None)) for c in (*by, "prediction")})
+    sums = N.gram(df, by, ["era"]).toPandas().set_index("era")
+    for era, rows in frame.dropna(subset=by).groupby("era"):
+        x = rows[by].to_numpy()
+        assert sums.loc[era, "_n"] == len(x)
+        np.testing.assert_allclose(sums.loc[era, "_mean"], x.mean(axis=0), rtol=1e-12)
+        want = (x - x.mean(axis=0)).T @ (x - x.mean(axis=0))
+        np.testing.assert_allclose(np.reshape(sums.loc[era, "_gram"], (18, 18)), want, rtol=1e-7, atol=1e-7)
+    whole = N.gram(df, by).first()
+    x = frame[by].dropna().to_numpy()
+    assert whole["_n"] == len(x)
+    np.testing.assert_allclose(np.reshape(whole["_gram"], (18, 18)), (x - x.mean(axis=0)).T @ (x - x.mean(axis=0)), rtol=1e-10)
+    made = N.neutralize_partial(df, ["prediction"], by, 0.7, ["era"]).toPandas().set_index("id")["prediction"]
+    assert made[[5, 6]].isna().all() and made.isna().sum() == 2
+    for _, rows in frame.dropna().groupby("era"):
+        np.testing.assert_allclose(made[rows["id"]], residuals(rows, by, 0.7), rtol=1e-6, atol=1e-6)
+
+
+def test_rows_stay_where_they_are_while_matrices_are_smaller(spark):
+    """Many rows a group and task: only matrices are dealt out. Few: the rows are."""
+
+    def exchanges(per_era, parts):
+        frame, by = wide_eras(20, per_era, 30, 1.0)
+        df = stage(spark.createDataFrame(frame).repartition(parts), "wide")
+        text = N.gram(df, by, ["era"])._jdf.queryExecution().executedPlan().toString()
+        # The matrices are staged before, so what is left reads them only.
+        assert "feature_0" not in text
+        return df, by
+
+    df, by = exchanges(400, 2)
+    staged = []
+    plain = N.stage
+    try:
+        N.stage = lambda table, tag: staged.append((tag, table._jdf.queryExecution().executedPlan().toString())) or plain(table, tag)
+        N.gram(df, by, ["era"]).collect()
+        tags = [t for t, _ in staged]
+        assert tags == ["matrices"] and "Exchange" not in staged[0][1]
+        staged.clear()
+        few, by = exchanges(4, 2)
+        staged.clear()
+        N.gram(few, by, ["era"]).collect()
+        assert [t for t, _ in staged] == ["wide-rows", "matrices"] and "Exchange hashpartitioning" in staged[1][1]
+    finally:
+        N.stage = plain
+
+
+@pytest.mark.parametrize("limit", ["100000000", "10"])
+def test_many_factors(spark, limit):
+    """225 factors, coefficients sent along or joined; a null key has no group."""
+    frame, by = wide_eras(3, 400, 225, 2.0)
+    df = stage(spark.createDataFrame(frame).withColumn("era", F.when(F.col("id") != 7, F.col("era"))), "many")
+    spark.conf.set("spark.tidepanel.broadcastBytes", limit)
+    try:
+        made = N.neutralize_full(df, by=by, keys=["era"], keep=["id", "prediction"]).toPandas().set_index("id")["prediction"]
+        whole = N.neutralize_full(df, by=by, keep=["id", "prediction"]).toPandas().set_index("id")["prediction"]
+    finally:
+        spark.conf.unset("spark.tidepanel.broadcastBytes")
+    assert np.isnan(made[7]) and made.isna().sum() == 1
+    for _, rows in frame[frame["id"] != 7].groupby("era"):
+        left = residuals(rows, by, 1.0)
+        left -= left.mean()
+        np.testing.assert_allclose(made[rows["id"]], left / left.std(ddof=1), rtol=1e-6, atol=1e-7)
+    np.testing.assert_allclose(whole[frame["id"]], expected_full(frame, by, 1.0), rtol=1e-5, atol=1e-6)
+
+
+def test_wide_neutralization_of_nothing(spark):
+    frame, by = wide_eras(1, 30, 20, 0.0)
+    df = spark.createDataFrame(frame).limit(0)
+    assert N.neutralize_partial(df, ["prediction"], by, 0.5, ["era"]).count() == 0
+    assert N.neutralize_full(df, by=by).count() == 0
+
+
 @pytest.mark.parametrize("k", [4, 20])
 def test_constant_and_duplicated_factors(spark, k):
     frame = matrix(150, k, 2)

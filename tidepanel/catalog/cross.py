@@ -274,24 +274,46 @@ def error_metrics(spark, sf_dir):
     return rounded(made, 9, "rmse", "mse", "mae")
 
 
+def gram_sql(columns: list[str], source: str = "matrix") -> str:
+    cells = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    made = ", ".join(f"round(covar_pop({columns[i]}, {columns[j]}) * count(*), 6) as c{i}_{j}" for i, j in cells)
+    return f"select era, count(*) as n, {made} from {source} group by era"
+
+
+def gram_cells(df, columns):
+    k = len(columns)
+    made = [F.round(F.col("_gram")[i * k + j], 6).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
+    return gram(df, columns, ["era"]).select("era", F.col("_n").alias("n"), *made)
+
+
+GRAM_COLUMNS = [*X.MATRIX_FEATURES, "prediction"]
+
+
+@query("g12_gram", over("matrix", body=gram_sql(GRAM_COLUMNS)))
+def gram_matrix(spark, sf_dir):
+    """All products of the features and the score, per era."""
+    return gram_cells(X.matrix(spark, sf_dir), GRAM_COLUMNS)
+
+
+#: Columns of a wide matrix, whose products take the path of many columns.
+WIDE_COLUMNS = 20
+
+
 @query(
-    "g12_gram",
+    "g12_wide_gram",
     over(
         "matrix",
-        body="""select era, count(*) as n,
-          round(covar_pop(feature_quantity, feature_quantity) * count(*), 6) as c00,
-          round(covar_pop(feature_quantity, prediction) * count(*), 6) as c01,
-          round(covar_pop(prediction, prediction) * count(*), 6) as c11 from matrix group by era""",
+        body="@s as (select era, "
+        + ", ".join(f"sin(price * {i + 1}) + {i} * feature_line as v{i}" for i in range(WIDE_COLUMNS))
+        + " from matrix) "
+        + gram_sql([f"v{i}" for i in range(WIDE_COLUMNS)], "s"),
     ),
 )
-def gram_matrix(spark, sf_dir):
-    made = gram(X.matrix(spark, sf_dir), ["feature_quantity", "prediction"], ["era"])
-    cell = {"c00": 0, "c01": 1, "c11": 3}
-    return made.select(
-        "era",
-        F.col("_n").alias("n"),
-        *[F.round(F.col("_gram")[i], 6).alias(c) for c, i in cell.items()],
-    )
+def wide_gram_matrix(spark, sf_dir):
+    """All products of twenty columns, per era."""
+    rows = X.matrix(spark, sf_dir)
+    made = [(F.sin(F.col("price") * (i + 1)) + i * F.col("feature_line")).alias(f"v{i}") for i in range(WIDE_COLUMNS)]
+    return gram_cells(rows.select("era", *made), [f"v{i}" for i in range(WIDE_COLUMNS)])
 
 
 @query(

@@ -15,87 +15,74 @@ from tidepanel.sources import sinks
 from tidepanel.sources.staging import stage, staging_path
 
 FEATURES = list(X.MATRIX_FEATURES)
-TWO = ["feature_quantity", "feature_discount"]
 
 
-def two_factor_sql(part: str, proportion: float, constant: bool, scaled: bool) -> str:
-    """Residual on two factors by Cramer's rule."""
+def residual_sql(part: str, proportion: float, constant: bool, scaled: bool) -> str:
+    """Residual on all five factors: each in turn is taken out of the score and of the later factors."""
     by = f"partition by {part}" if part else ""
-
-    def cov(a, b):
-        return f"covar_pop({a}, {b}) over ({by})"
-
+    k = len(FEATURES)
+    centered = ", ".join(f"{c} - avg({c}) over ({by}) as f{i}" for i, c in enumerate(FEATURES))
+    steps = [
+        f"s0 as (select id, era, prediction, avg(prediction) over ({by}) as ms, prediction - avg(prediction) over ({by}) as y, {centered} from matrix)"
+    ]
+    for i in range(k):
+
+        def without(column, i=i):
+            share = f"sum({column} * f{i}) over ({by}) / nullif(sum(f{i} * f{i}) over ({by}), 0)"
+            return f"{column} - coalesce({share}, 0) * f{i} as {column}"
+
+        rest = "".join(f", {without(f'f{j}')}" for j in range(i + 1, k))
+        steps.append(f"s{i + 1} as (select id, era, prediction, ms, {without('y')}{rest} from s{i})")
     mean = "ms" if constant else "0"
-    residual = (
-        f"prediction - {proportion}::double * ({mean} + (feature_quantity - m1) * "
-        "(c1 * v22 - c2 * v12) / det + (feature_discount - m2) * (c2 * v11 - c1 * v12) / det)"
-    )
     value = f"r / stddev_samp(r) over ({by})" if scaled else "r"
     return over(
         "matrix",
-        body=f"""@s as (select id, era, prediction, feature_quantity, feature_discount,
-          avg(prediction) over ({by}) as ms, avg(feature_quantity) over ({by}) as m1,
-          avg(feature_discount) over ({by}) as m2,
-          {cov('feature_quantity', 'feature_quantity')} as v11,
-          {cov('feature_discount', 'feature_discount')} as v22,
-          {cov('feature_quantity', 'feature_discount')} as v12,
-          {cov('feature_quantity', 'prediction')} as c1,
-          {cov('feature_discount', 'prediction')} as c2 from matrix),
-        d as (select *, v11 * v22 - v12 * v12 as det from s),
-        r as (select id, era, {residual} as r from d)
+        body=f"""@{", ".join(steps)},
+        r as (select id, era, prediction - {proportion}::double * ({mean} + prediction - ms - y) as r from s{k})
         select id, round({value}, 6) as prediction from r""",
     )
 
 
-def _rows(spark, sf_dir, factors=TWO):
-    return X.matrix(spark, sf_dir).select("id", "era", "prediction", *factors)
+def _rows(spark, sf_dir):
+    return X.matrix(spark, sf_dir).select("id", "era", "prediction", *FEATURES)
 
 
 def _result(df):
     return rounded(df.select("id", "prediction"), 6, "prediction")
 
 
-@query("n1_full_neutralization", two_factor_sql("", 1.0, True, True))
-def full_neutralization(spark, sf_dir, factors=TWO):
-    return _result(neutralize_full(_rows(spark, sf_dir, factors)))
-
-
-@query("n2_partial_neutralization", two_factor_sql("", 0.6, False, False))
-def partial_neutralization(spark, sf_dir, factors=TWO):
-    return _result(neutralize_partial(_rows(spark, sf_dir, factors), ["prediction"], factors, 0.6))
-
+@query("n1_full_neutralization", residual_sql("", 1.0, True, True))
+def full_neutralization(spark, sf_dir):
+    return _result(neutralize_full(_rows(spark, sf_dir)))
 
-@query("n3_era_neutralization", two_factor_sql("era", 1.0, True, True))
-def era_neutralization(spark, sf_dir, factors=TWO):
-    return _result(neutralize_full(_rows(spark, sf_dir, factors), keys=["era"]))
 
+@query("n2_partial_neutralization", residual_sql("", 0.6, False, False))
+def partial_neutralization(spark, sf_dir):
+    return _result(neutralize_partial(_rows(spark, sf_dir), ["prediction"], FEATURES, 0.6))
 
-@query("n3_era_partial_neutralization", two_factor_sql("era", 0.5, False, False))
-def era_partial_neutralization(spark, sf_dir, factors=TWO):
-    rows = _rows(spark, sf_dir, factors)
-    return _result(neutralize_partial(rows, ["prediction"], factors, 0.5, ["era"]))
 
+@query("n3_era_neutralization", residual_sql("era", 1.0, True, True))
+def era_neutralization(spark, sf_dir):
+    return _result(neutralize_full(_rows(spark, sf_dir), keys=["era"]))
 
-@query("n4_present_factors", two_factor_sql("", 0.6, False, False))
-def present_factors(spark, sf_dir, factors=TWO):
-    wanted = ["feature_absent", *factors, "feature_gone"]
-    return _result(neutralize_partial(_rows(spark, sf_dir, factors), ["prediction"], wanted, 0.6))
 
+@query("n3_era_partial_neutralization", residual_sql("era", 0.5, False, False))
+def era_partial_neutralization(spark, sf_dir):
+    return _result(neutralize_partial(_rows(spark, sf_dir), ["prediction"], FEATURES, 0.5, ["era"]))
 
-def _of_all_features(name, function):
-    """Registers a query of two factors once more with every feature; Cramer's rule is for two."""
 
-    def whole(spark, sf_dir):
-        return function(spark, sf_dir, FEATURES)
+@query("n4_present_factors", residual_sql("", 0.6, False, False))
+def present_factors(spark, sf_dir):
+    wanted = ["feature_absent", *FEATURES, "feature_gone"]
+    return _result(neutralize_partial(_rows(spark, sf_dir), ["prediction"], wanted, 0.6))
 
-    query(name)(whole)
 
-
-_of_all_features("n1_full_neutralization_all", full_neutralization)
-_of_all_features("n2_partial_neutralization_all", partial_neutralization)
-_of_all_features("n3_era_neutralization_all", era_neutralization)
-_of_all_features("n3_era_partial_neutralization_all", era_partial_neutralization)
-_of_all_features("n4_present_factors_all", present_factors)
+# The names under which all five features were registered while the ones above took two.
+query("n1_full_neutralization_all")(full_neutralization)
+query("n2_partial_neutralization_all")(partial_neutralization)
+query("n3_era_neutralization_all")(era_neutralization)
+query("n3_era_partial_neutralization_all")(era_partial_neutralization)
+query("n4_present_factors_all")(present_factors)
 
 
 @query("n1_vector_neutralization")
@@ -105,6 +92,46 @@ def vector_neutralization(spark, sf_dir):
     return neutralize_full(rows).select("vec_id", F.round("prediction", 6).alias("prediction"))
 
 
+def staircase(spark, sf_dir, k: int):
+    """The matrix with ``k`` strongly related factors: whether a row's cell, 0 to ``k``, is below each step."""
+    part = F.split("id", "-")
+    cell = F.pmod(part[2].cast("long") * 31 + part[3].cast("long"), F.lit(k + 1))
+    rows = X.matrix(spark, sf_dir).select("id", "era", "prediction", cell.alias("cell"))
+    steps = [(F.col("cell") <= i).cast("double").alias(f"feature_{i}") for i in range(k)]
+    return rows.select("id", "era", "prediction", *steps)
+
+
+def staircase_sql(k: int, part: str = "") -> str:
+    """The steps span all functions of the cell, so the residual is the distance from the cell's mean."""
+    within = f"{part}, cell" if part else "cell"
+    by = f"partition by {part}" if part else ""
+    return over(
+        "matrix",
+        body=f"""@c as (select id, era, prediction, (cast(split_part(id, '-', 3) as bigint) * 31
+            + cast(split_part(id, '-', 4) as bigint)) % {k + 1} as cell from matrix),
+        r as (select id, era, prediction - avg(prediction) over (partition by {within}) as r from c)
+        select id, round(r / stddev_samp(r) over ({by}), 6) as prediction from r""",
+    )
+
+
+@query("n1_many_factors", staircase_sql(225))
+def many_factors(spark, sf_dir):
+    """225 factors."""
+    return _result(neutralize_full(staircase(spark, sf_dir, 225), keep=["id", "prediction"]))
+
+
+@query("n1_most_factors", staircase_sql(780))
+def most_factors(spark, sf_dir):
+    """780 factors."""
+    return _result(neutralize_full(staircase(spark, sf_dir, 780), keep=["id", "prediction"]))
+
+
+@query("n3_era_many_factors", staircase_sql(40, "era"))
+def era_many_factors(spark, sf_dir):
+    """40 factors within every era."""
+    return _result(neutralize_full(staircase(spark, sf_dir, 40), keys=["era"], keep=["id", "prediction"]))
+
+
 def parts(spark, sf_dir):
     """Train, validation and test rows of the matrix, staged once for the fits that reread them."""
     matrix = stage(X.matrix(spark, sf_dir).drop("prediction"), "matrix")

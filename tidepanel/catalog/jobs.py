@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidepanel.catalog.cross import rank_corr_sql
 from tidepanel.catalog.registry import query, rounded
-from tidepanel.catalog.sql import CANONICAL, average_rank, edges, ema, over, trailing
-from tidepanel.catalog.fits import STOPPED, _of_all_features, parts, two_factor_sql
+from tidepanel.catalog.series import rsi_ctes, rsi_value
+from tidepanel.catalog.sql import CANONICAL, average_rank, chained, edges, ema, over, trailing
+from tidepanel.catalog.fits import STOPPED, parts, residual_sql
 from tidepanel.functions.scalar import canonical_ticker
 from tidepanel.operators.cross_section import percent_rank, quintiles
-from tidepanel.operators.indicators import window_indicators
+from tidepanel.operators.indicators import PAIRS, PERIODS, trima_lengths, window_indicators
 from tidepanel.operators.neutralize import neutralize_full, neutralize_partial
+from tidepanel.operators.recurrence import RECURRENCE_KINDS
 from tidepanel.operators.score import era_scores, ranked_range
 from tidepanel.plans import panel as P
 from tidepanel.plans import tournament as T
@@ -19,11 +21,6 @@ from tidepanel.sources import fixtures as X
 from tidepanel.sources.staging import stage
 
 FEATURES = list(X.MATRIX_FEATURES)
-TWO = ["feature_quantity", "feature_discount"]
-
-# The composite checks use one period and pair; the operators are checked for all of them.
-ONE = {"periods": (20,), "pairs": ((20, 40),)}
-
 
 def quintile_of(column: str, edges: str) -> str:
     return (
@@ -77,28 +74,75 @@ def momentum_by_week(spark, sf_dir):
     )
 
 
-EQUITY_NUMBERS = [
-    "EMA_20", "SMA_20", "VOLATILITY_20", "SR_20", "MOM_20", "APO_20_40",
-    "industry_ret", "country_ret", "sector_ret",
-]
-EQUITY_KINDS = ("SMA", "VOLATILITY", "SR", "MOM")
+def indicator_ctes(kinds: tuple[str, ...], apo: bool) -> tuple[str, list[str]]:
+    """CTEs from numbered (ticker, date, rn, x) to made (ticker, date, x and every indicator); the names.
+
+    ``kinds`` are the recurrences. Warm-ups follow from the joins and from the counts of the frames.
+    """
+    lengths = sorted({*PERIODS, *[n for pair in PAIRS for n in pair]})
+    ctes = [ema(f"e{n}", "numbered", n) for n in lengths]
+    columns, tables = {}, [f"e{n}" for n in lengths]
+    for n in PERIODS:
+        if "EMA" in kinds:
+            columns[f"EMA_{n}"] = f"e{n}.y"
+        if "DEMA" in kinds:
+            ctes += [chained(f"x{n}", f"e{n}", n), ema(f"d{n}", f"x{n}", n)]
+            columns[f"DEMA_{n}"] = f"2 * e{n}.y - d{n}.y"
+            tables.append(f"d{n}")
+        if "TEMA" in kinds:
+            ctes += [chained(f"z{n}", f"d{n}", n), ema(f"t{n}", f"z{n}", n)]
+            columns[f"TEMA_{n}"] = f"3 * e{n}.y - 3 * d{n}.y + t{n}.y"
+            tables.append(f"t{n}")
+        if "RSI" in kinds:
+            ctes += [rsi_ctes(n)]
+            columns[f"RSI_{n}"] = rsi_value(n)
+            tables.append(f"r{n}")
+        short, rest = trima_lengths(n)
+        w = trailing(n)
+        columns |= {
+            f"SMA_{n}": f"case when count(p.x) over {w} = {n} then avg(p.x) over {w} end",
+            f"VOLATILITY_{n}": f"case when count(p.ret) over {w} = {n} then stddev_samp(p.ret) over {w} end",
+            f"SR_{n}": f"case when count(p.ret) over {w} = {n} then avg(p.ret) over {w} / nullif(stddev_samp(p.ret) over {w}, 0) end",
+            f"MOM_{n}": f"p.x - lag(p.x, {n}) over (partition by p.ticker order by p.date)",
+            f"TRIMA_{n}": f"case when count(p.inner_{n}) over {trailing(rest)} = {rest} then avg(p.inner_{n}) over {trailing(rest)} end",
+            f"WMA_{n}": f"case when count(p.x) over {w} = {n} then (sum(p.rn * p.x) over {w} - (p.rn - {n}) * sum(p.x) over {w})"
+            f" / {n * (n + 1) // 2}.0::double end",
+        }
+    for f, s in PAIRS:
+        columns[f"MACD_{f}_{s}"] = f"e{f}.y - e{s}.y"
+        if apo:
+            columns[f"APO_{f}_{s}"] = (
+                f"case when count(p.x) over {trailing(s)} = {s} then avg(p.x) over {trailing(f)} - avg(p.x) over {trailing(s)} end"
+            )
+    inner = ", ".join(
+        f"case when count(x) over {trailing(trima_lengths(n)[0])} = {trima_lengths(n)[0]} "
+        f"then avg(x) over {trailing(trima_lengths(n)[0])} end as inner_{n}"
+        for n in PERIODS
+    )
+    joins = " ".join(f"left join {t} on {t}.ticker = p.ticker and {t}.date = p.date" for t in tables)
+    made = ", ".join(f'{expr.replace("partition by ticker order by date", "partition by p.ticker order by p.date")} as "{name}"' for name, expr in columns.items())
+    ctes += [
+        f"p as (select *, x / nullif(lag(x) over (partition by ticker order by date), 0) - 1 as ret, {inner} from numbered)",
+        f"made as (select p.ticker, p.date, p.x, {made} from p {joins})",
+    ]
+    return ", ".join(["q as (select ticker, date, rn, x - lag(x) over (partition by ticker order by date) as ch from numbered)", *ctes]), list(columns)
+
+
+EQUITY_CTES, EQUITY_INDICATORS = indicator_ctes(RECURRENCE_KINDS, apo=True)
+EQUITY_NUMBERS = [*EQUITY_INDICATORS, "industry_ret", "country_ret", "sector_ret"]
 
 
 def equity_ctes() -> str:
     complete = " and ".join(f'"{c}" is not null' for c in EQUITY_NUMBERS)
-    indicators = EQUITY_NUMBERS[:6]
-    warm = " and ".join(f'"{c}" is not null' for c in indicators)
+    warm = " and ".join(f'"{c}" is not null' for c in EQUITY_INDICATORS)
     return f"""@names as (select ticker, bloomberg_ticker, yahoo, {CANONICAL} as canonical_ticker
       from ticker_map),
-    numbered as (select p.ticker, p.date, close as x, bloomberg_ticker, canonical_ticker,
+    numbered as (select p.ticker, p.date, close as x,
                  row_number() over (partition by p.ticker order by p.date) as rn
                  from panel p join names n on n.ticker = p.ticker
                  where close > 0 and canonical_ticker is not null and bloomberg_ticker is not null),
-    {ema("e20", "numbered", 20)},
-    r as (select n.ticker, n.date, x as close, bloomberg_ticker, canonical_ticker, y as "EMA_20",
-          x / nullif(lag(x) over (partition by n.ticker order by n.date), 0) - 1 as ret
-          from numbered n left join e20 e on e.ticker = n.ticker and e.date = n.date),
-    i as (select * exclude (ret), {windows_sql(indicators[1:])} from r),
+    {EQUITY_CTES},
+    i as (select made.*, x as close, bloomberg_ticker, canonical_ticker from made join names using (ticker)),
     kept as (select *, string_split(bloomberg_ticker, ' ')[2] as country_name,
              close / nullif(lag(close) over (partition by ticker order by date), 0) - 1 as ret
              from i where {warm}),
@@ -129,22 +173,9 @@ EQUITY_VIEWS = ("panel", "ticker_map", "sectors")
 
 
 def equity_table(spark, sf_dir):
+    """All 36 indicators and 39 quintiles."""
     return P.equity_features(
-        X.landed_closes(spark, sf_dir),
-        X.ticker_map(spark, sf_dir),
-        X.sectors(spark, sf_dir),
-        recurrences=("EMA",),
-        windows=EQUITY_KINDS,
-        macd=False,
-        **ONE,
-    ).select(
-        "date",
-        "ticker",
-        "canonical_ticker",
-        "country",
-        "sector",
-        "industry",
-        *[f"{c}_quintile" for c in EQUITY_NUMBERS],
+        X.landed_closes(spark, sf_dir), X.ticker_map(spark, sf_dir), X.sectors(spark, sf_dir)
     )
 
 
@@ -153,7 +184,10 @@ def equity_table(spark, sf_dir):
     over(*EQUITY_VIEWS, body=equity_ctes() + " select * from final", recursive=True),
 )
 def equity_features(spark, sf_dir):
-    return equity_table(spark, sf_dir)
+    """The codes and all 39 quintiles of every ticker and date."""
+    made = [f"{c}_quintile" for c in EQUITY_NUMBERS]
+    codes = ["date", "ticker", "canonical_ticker", "country", "sector", "industry"]
+    return equity_table(spark, sf_dir).select(*codes, *made)
 
 
 def _set_sql() -> str:
@@ -203,42 +237,27 @@ def _equity_sets(spark, sf_dir, features):
 
 @query("q2_equity_sets", over(*EQUITY_VIEWS, "targets", body=_set_sql(), recursive=True))
 def equity_sets(spark, sf_dir):
+    """The sets of all 39 quintiles."""
     return _equity_sets(spark, sf_dir, equity_table(spark, sf_dir))
 
 
-@query("q1_equity_features_full")
-def equity_features_full(spark, sf_dir):
-    """All 36 indicators and 39 quintiles."""
-    return P.equity_features(
-        X.landed_closes(spark, sf_dir), X.ticker_map(spark, sf_dir), X.sectors(spark, sf_dir)
-    )
+# The names under which the whole jobs were registered while the ones above did part of them.
+query("q1_equity_features_full")(equity_table)
+query("q2_equity_sets_full")(equity_sets)
 
 
-@query("q2_equity_sets_full")
-def equity_sets_full(spark, sf_dir):
-    """The sets of all 39 quintiles."""
-    return _equity_sets(spark, sf_dir, equity_features_full(spark, sf_dir))
-
-
-CRYPTO_NUMBERS = ["EMA_20", "SMA_20", "VOLATILITY_20", "SR_20", "MOM_20", "MACD_20_40"]
-CRYPTO_MIN_ROWS = 530
+CRYPTO_CTES, CRYPTO_NUMBERS = indicator_ctes(P.CRYPTO_KINDS, apo=False)
 
 
 def _crypto_sql() -> str:
     warm = " and ".join(f'"{c}" is not null' for c in CRYPTO_NUMBERS)
-    made = ["SMA_20", "VOLATILITY_20", "SR_20", "MOM_20"]
     names = ", ".join(f'"{c}_quintile"' for c in CRYPTO_NUMBERS)
     complete = " and ".join(f'"{c}_quintile" is not null' for c in CRYPTO_NUMBERS)
     return f"""@numbered as (select ticker, date, close as x,
                  row_number() over (partition by ticker order by date) as rn from panel
-                 where ticker in (select ticker from panel group by 1
-                                  having count(*) >= {CRYPTO_MIN_ROWS})),
-    {ema("e20", "numbered", 20)}, {ema("e40", "numbered", 40)},
-    r as (select n.ticker, n.date, x as close, a.y as "EMA_20", a.y - b.y as "MACD_20_40",
-          x / nullif(lag(x) over (partition by n.ticker order by n.date), 0) - 1 as ret
-          from numbered n left join e20 a on a.ticker = n.ticker and a.date = n.date
-          left join e40 b on b.ticker = n.ticker and b.date = n.date),
-    i as (select * exclude (ret), {windows_sql(made)} from r),
+                 where ticker in (select ticker from panel group by 1 having count(*) >= 160)),
+    {CRYPTO_CTES},
+    i as (select * from made),
     kept as (select * from i where {warm}),
     edges as (select date, {", ".join(edges_of(c) for c in CRYPTO_NUMBERS)} from kept group by 1),
     features as (select date, ticker,
@@ -271,58 +290,45 @@ def _crypto_sets(features):
     )
 
 
-@query("q3_crypto_sets", over("panel", "targets", body=_crypto_sql(), recursive=True))
-def crypto_sets(spark, sf_dir):
+def crypto_table(spark, sf_dir):
+    """All 30 indicators and quintiles of every symbol with the default length of history."""
     quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
     table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
-    return _crypto_sets(
-        P.crypto_features(
-            quotes,
-            table,
-            min_rows=CRYPTO_MIN_ROWS,
-            recurrences=("EMA",),
-            windows=EQUITY_KINDS,
-            **ONE,
-        )
-    )
+    return P.crypto_features(quotes, table)
 
 
-@query("q3_crypto_features_full")
-def crypto_features_full(spark, sf_dir):
-    """All 30 indicators and quintiles."""
-    quotes = X.landed_closes(spark, sf_dir).withColumnRenamed("ticker", "symbol")
-    table = X.targets(spark, sf_dir).withColumnRenamed("ticker", "symbol")
-    return P.crypto_features(quotes, table)
+@query("q3_crypto_sets", over("panel", "targets", body=_crypto_sql(), recursive=True))
+def crypto_sets(spark, sf_dir):
+    """The sets of all 30 quintiles."""
+    return _crypto_sets(crypto_table(spark, sf_dir))
 
 
-@query("q3_crypto_sets_full")
-def crypto_sets_full(spark, sf_dir):
-    """The sets of all 30 quintiles, of every series of the default length."""
-    return _crypto_sets(crypto_features_full(spark, sf_dir))
+query("q3_crypto_features_full")(crypto_table)
+query("q3_crypto_sets_full")(crypto_sets)
 
 
 @query(
     "q4_neutral_rank",
-    two_factor_sql("", 1.0, True, True)
+    residual_sql("", 1.0, True, True)
     .replace("select id, round(r / stddev_samp(r) over (), 6) as prediction from r",
              ", v as (select id, round(r / stddev_samp(r) over (), 6) as v from r) "
              f"select id, round({average_rank('v')} / count(*) over (), 9) as prediction from v"),
 )
-def neutral_rank(spark, sf_dir, factors=TWO):
+def neutral_rank(spark, sf_dir):
     """Neutralize fully, then rank; scores are rounded first so that ties agree."""
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *FEATURES)
     neutral = stage(rounded(neutralize_full(rows).select("id", "prediction"), 6, "prediction"), "n")
     ranked = percent_rank(neutral, [], "prediction", "pct")
     return ranked.select("id", F.round("pct", 9).alias("prediction"))
 
 
-_of_all_features("q4_neutral_rank_all", neutral_rank)
+query("q4_neutral_rank_all")(neutral_rank)
 
 
 def _reference_sql(final: str) -> str:
     """Partial neutralization at 0.5 matched to order prices, then ``final`` over column m."""
     tail = "select id, round(r, 6) as prediction from r"
-    return two_factor_sql("", 0.5, False, False).replace(
+    return residual_sql("", 0.5, False, False).replace(
         tail,
         """, m as (select id, (r - avg(r) over ()) / stddev_samp(r) over () * s + a as m
              from r, (select
@@ -338,37 +344,37 @@ def _reference_sql(final: str) -> str:
            stddev_pop(m) over ())), 0.001), 0.999), 6) as prediction from m"""
     ),
 )
-def sigmoid_range(spark, sf_dir, factors=TWO):
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
+def sigmoid_range(spark, sf_dir):
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *FEATURES)
     reference = X.table(spark, sf_dir, "orders").select(
         (F.col("o_totalprice") / 1000).alias("prediction")
     )
-    return rounded(T.sigmoid_scores(rows, factors, reference), 6, "prediction").select(
+    return rounded(T.sigmoid_scores(rows, FEATURES, reference), 6, "prediction").select(
         "id", "prediction"
     )
 
 
-_of_all_features("q6_sigmoid_range_all", sigmoid_range)
+query("q6_sigmoid_range_all")(sigmoid_range)
 
 
 @query(
     "q5_robust_range",
-    two_factor_sql("", 0.6, False, False).replace(
+    residual_sql("", 0.6, False, False).replace(
         "select id, round(r, 6) as prediction from r",
         ", v as (select id, round(r, 6) as v from r) "
         f"select id, round({average_rank('v')} / count(*) over () * 0.998 + 0.001, 9) "
         "as prediction from v",
     ),
 )
-def robust_range(spark, sf_dir, factors=TWO):
+def robust_range(spark, sf_dir):
     """Post-processing of the robust score; the match to a reference keeps the ranks."""
-    rows = X.matrix(spark, sf_dir).select("id", "prediction", *factors)
-    neutral = neutralize_partial(rows, ["prediction"], factors, 0.6).select("id", "prediction")
+    rows = X.matrix(spark, sf_dir).select("id", "prediction", *FEATURES)
+    neutral = neutralize_partial(rows, ["prediction"], FEATURES, 0.6).select("id", "prediction")
     steady = stage(rounded(neutral, 6, "prediction"), "neutral")
     return rounded(ranked_range(steady, "prediction"), 9, "prediction")
 
 
-_of_all_features("q5_robust_range_all", robust_range)
+query("q5_robust_range_all")(robust_range)
 
 
 def reference(spark, sf_dir):

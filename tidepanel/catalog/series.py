@@ -222,11 +222,9 @@ def triple_exponential(spark, sf_dir):
     return recurrences(spark, sf_dir, "TEMA", 3)
 
 
-def _rsi_sql() -> str:
-    parts, columns = [], {}
-    for n in PERIODS:
-        parts.append(
-            f"""p{n} as (select *, avg(greatest(ch, 0)) over {trailing(n)} as g0,
+def rsi_ctes(n: int) -> str:
+    """CTEs p{n}, r{n} with the smoothed gains and losses of q (ticker, date, rn, ch)."""
+    return f"""p{n} as (select *, avg(greatest(ch, 0)) over {trailing(n)} as g0,
                           avg(greatest(-ch, 0)) over {trailing(n)} as l0 from q),
             r{n} as (
               select ticker, date, rn, g0 as g, l0 as l from p{n} where rn = {n + 1}
@@ -234,13 +232,17 @@ def _rsi_sql() -> str:
               select s.ticker, s.date, s.rn, (e.g * {n - 1} + greatest(s.ch, 0)) / {n},
                      (e.l * {n - 1} + greatest(-s.ch, 0)) / {n}
               from r{n} e join p{n} s on s.ticker = e.ticker and s.rn = e.rn + 1)"""
-        )
-        columns[f"RSI_{n}"] = (
-            f"case when r{n}.g + r{n}.l = 0 then 0 else 100 * r{n}.g / (r{n}.g + r{n}.l) end"
-        )
+
+
+def rsi_value(n: int) -> str:
+    return f"case when r{n}.g + r{n}.l = 0 then 0 else 100 * r{n}.g / (r{n}.g + r{n}.l) end"
+
+
+def _rsi_sql() -> str:
+    columns = {f"RSI_{n}": rsi_value(n) for n in PERIODS}
     change = """q as (select ticker, date, rn,
                      x - lag(x) over (partition by ticker order by date) as ch from numbered)"""
-    body = "@" + NUMBERED + "," + change + "," + ",".join(parts)
+    body = "@" + NUMBERED + "," + change + "," + ",".join(rsi_ctes(n) for n in PERIODS)
     return over(
         "panel",
         body=body + _join_sql(columns, [f"r{n}" for n in PERIODS], 6),

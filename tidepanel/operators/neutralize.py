@@ -1,13 +1,15 @@
 """Removing linear exposure of scores to factors.
 
-Only sums cross the network: means and covariances per group, k x k for k factors. The
-normal equations are solved on the driver for one group, or one small row per group in
-tasks. Rows with a null score or factor take no part in the fit and get a null result.
+Only sums cross the network: means and covariances per group, k x k for k factors. The normal
+equations are solved in tasks. Up to WIDE columns everything is built-in expressions; beyond that
+tasks multiply matrices: each keeps one matrix per group it meets, matrices of a group are merged in
+trees of bounded fan-in, and residuals are one matrix product per Arrow batch with the coefficients.
+Rows with a null score or factor take no part in the fit and get a null result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,14 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepanel.functions.columns import by_prefix
-from tidepanel.operators.skew import attach, hot_rows
+from tidepanel.operators.skew import attach, broadcast_limit, hot_rows
 from tidepanel.sources.staging import stage
 
 # Above this many columns the products are summed with matrix products in Arrow batches.
 WIDE = 16
+#: Bytes of matrices that a task holds before it hands them on, and matrices of a group that one merge reads.
+HELD_BYTES, FAN = 512 << 20, 64
 
 
 def standardize(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -45,10 +48,14 @@ def gram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> Dat
 
     The products are centered sums of squares, so ``_gram / _n`` is the population covariance.
     """
-    complete = df.dropna("any", subset=list(columns))
+    columns, keys = list(columns), list(keys)
     if len(columns) <= WIDE:
-        return _narrow_gram(complete, list(columns), list(keys))
-    return _wide_gram(complete, list(columns), list(keys))
+        return _narrow_gram(df.dropna("any", subset=columns), columns, keys)
+
+    def finish(n: int, mean: np.ndarray, products: np.ndarray) -> dict:
+        return {"_n": n, "_mean": mean.tolist(), "_gram": products.ravel().tolist()}
+
+    return _wide(df, columns, keys, finish, "_n long, _mean array<double>, _gram array<double>")
 
 
 def _narrow_gram(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
@@ -65,84 +72,149 @@ def _narrow_gram(df: DataFrame, columns: list[str], keys: list[str]) -> DataFram
     return sums.select(*keys, "_n", "_mean", F.array(*square).alias("_gram"))
 
 
-def _wide_gram(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
-    """Products around a common pivot, one matrix product per Arrow batch and group.
+class Moments:
+    """Row count, means and centered products of some rows; merging two is exact however far apart they lie."""
+
+    def __init__(self, n: int, mean: np.ndarray, products: np.ndarray) -> None:
+        self.n, self.mean, self.products = n, mean, products
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Moments:
+        mean = rows.mean(axis=0)
+        apart = rows - mean
+        return cls(len(rows), mean, apart.T @ apart)
+
+    def add(self, other: Moments) -> None:
+        n = self.n + other.n
+        apart = other.mean - self.mean
+        self.products += other.products
+        self.products += np.outer(apart, apart * (self.n * other.n / n))
+        self.mean = self.mean + apart * (other.n / n)
+        self.n = n
+
+
+#: A matrix on its way: the bytes of means and products.
+PARTIAL = "_n long, _mean binary, _products binary"
+
+
+def _record(key: Sequence, schema: pa.Schema, m: Moments) -> pa.RecordBatch:
+    values = [*key, m.n, m.mean.tobytes(), m.products.tobytes()]
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+
+
+def _partial_schema(batch: pa.RecordBatch, names: Sequence[str]) -> pa.Schema:
+    own = [pa.field(n, batch.schema.field(n).type) for n in names]
+    return pa.schema([*own, ("_n", pa.int64()), ("_mean", pa.binary()), ("_products", pa.binary())])
+
+
+def _matrix(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    """Columns as doubles, missing ones NaN."""
+    made = np.empty((batch.num_rows, len(columns)))
+    for i, c in enumerate(columns):
+        made[:, i] = batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return made
+
+
+def _task_moments(
+    batches: Iterator[pa.RecordBatch], names: list[str], columns: list[str], limit: int
+) -> Iterator[pa.RecordBatch]:
+    """One matrix per group of the task's complete rows; all are handed on whenever they fill ``limit`` bytes."""
+    held: dict[tuple, Moments] = {}
+    schema = None
+    for batch in batches:
+        schema = schema or _partial_schema(batch, names)
+        rows = _matrix(batch, columns)
+        whole = np.isfinite(rows).all(axis=1)
+        groups = [((), np.flatnonzero(whole))]
+        if names:
+            keys = pa.Table.from_batches([batch.select(names)]).append_column("_at", pa.array(np.arange(batch.num_rows)))
+            lists = keys.filter(pa.array(whole)).group_by(names).aggregate([("_at", "list")])
+            made = zip(*(lists.column(n).to_pylist() for n in names), strict=True)
+            groups = [(key, np.array(at)) for key, at in zip(made, lists.column("_at_list").to_pylist(), strict=True)]
+        for key, at in groups:
+            if not len(at):
+                continue
+            if key not in held and (len(held) + 1) * 8 * len(columns) ** 2 > limit:
+                for known, m in held.items():
+                    yield _record(known, schema, m)
+                held = {}
+            new = Moments.of(rows[at])
+            if key in held:
+                held[key].add(new)
+            else:
+                held[key] = new
+    for key, m in held.items():
+        yield _record(key, schema, m)
+
+
+def _merged(batches: Iterator[pa.RecordBatch], names: list[str], k: int) -> Iterator[tuple[tuple, pa.Schema, Moments]]:
+    """Neighbouring matrices of one group added up, one group at a time."""
+    last, total, schema = None, None, None
+    for batch in batches:
+        schema = schema or _partial_schema(batch, names)
+        for i in range(batch.num_rows):
+            key = tuple(batch.column(n)[i].as_py() for n in names)
+            mean = np.frombuffer(batch.column("_mean")[i].as_py(), float)
+            m = Moments(batch.column("_n")[i].as_py(), mean, np.frombuffer(batch.column("_products")[i].as_py(), float).reshape(k, k).copy())
+            if total is not None and key == last:
+                total.add(m)
+                continue
+            if total is not None:
+                yield last, schema, total
+            last, total = key, m
+    if total is not None:
+        yield last, schema, total
+
+
+def _wide(
+    df: DataFrame, columns: list[str], keys: list[str], finish: Callable[[int, np.ndarray, np.ndarray], dict], fields: str
+) -> DataFrame:
+    """``finish(n, mean, products)`` of the complete rows of every group, with its keys.
 
-    Every task sends one row of ``k + 1`` numbers per matrix row and group; the elementwise
-    sums are ordinary aggregates, so nothing grows with the rows of a group.
+    Rows stay where they are and each task sends a matrix per group it met, unless most of these would
+    be larger than the rows they stand for: then the rows are dealt by group first, large groups to many
+    tasks.
     """
-    k = len(columns)
-    pivot = [v or 0.0 for v in df.agg(*[F.avg(c) for c in columns]).first()]
-    shifted = df.select(
-        *keys, *[(F.col(c).cast("double") - F.lit(p)).alias(c) for c, p in zip(columns, pivot)]
-    )
-    if keys:
-        # Spread every group over enough tasks, so that a task meets few groups.
-        sizes = df.groupBy(*keys).agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(hot_rows(df.sparkSession))).alias("_salts")
-        )
-        shifted = attach(shifted, sizes, keys)
-        salt = F.pmod(F.xxhash64(*columns), F.col("_salts")).alias("_salt")
-        shifted = shifted.select(*keys, *columns, salt).repartition(*keys, "_salt").drop("_salt")
-    names = [f"_v{i}" for i in range(len(keys))]
-    shifted = shifted.toDF(*names, *columns)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            frame = batch.to_pandas()
-            groups = frame.groupby(names, sort=False) if names else [((), frame)]
-            for key, rows in groups:
-                x = np.column_stack([np.ones(len(rows)), rows[columns].to_numpy(float)])
-                held[key] = held.get(key, 0.0) + x.T @ x
-        for key, products in held.items():
-            made = {name: [part] * (k + 1) for name, part in zip(names, key)}
-            made["_i"] = list(range(k + 1))
-            made["_row"] = [list(r) for r in products]
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(made), schema=arrow)
-
-    fields = [*shifted.select(*names).schema.fields] if names else []
-    schema = T.StructType(
-        fields
-        + [T.StructField("_i", T.IntegerType()), T.StructField("_row", T.ArrayType(T.DoubleType()))]
-    )
-    arrow = to_arrow_schema(schema)
-    parts = shifted.mapInArrow(partial, schema)
-    cells = (
-        parts.select(*names, "_i", F.posexplode("_row").alias("_j", "_x"))
-        .groupBy(*names, "_i", "_j")
-        .agg(F.sum("_x").alias("_x"))
-    )
-    # (k + 1)^2 sums per group: bounded by the factors, not by the rows.
-    flat = cells.groupBy(*names).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_j", "_x"))), lambda s: s["_x"])
-        .alias("_cells")
-    )
-    size = k + 1
-
-    def center(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[names].copy()
-            raw = [np.asarray(c, float).reshape(size, size) for c in frame["_cells"]]
-            out["_n"] = [int(round(m[0, 0])) for m in raw]
-            out["_mean"] = [list(m[0, 1:] / m[0, 0] + np.asarray(pivot)) for m in raw]
-            out["_gram"] = [
-                list((m[1:, 1:] - np.outer(m[0, 1:], m[0, 1:]) / m[0, 0]).ravel()) for m in raw
-            ]
-            yield out
-
-    centered = flat.mapInPandas(
-        center,
-        T.StructType(
-            fields
-            + [
-                T.StructField("_n", T.LongType()),
-                T.StructField("_mean", T.ArrayType(T.DoubleType())),
-                T.StructField("_gram", T.ArrayType(T.DoubleType())),
-            ]
-        ),
-    )
-    return centered.toDF(*keys, "_n", "_mean", "_gram")
+    k, names = len(columns), [f"_key_{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], *columns)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema)
+    kinds = f"{kinds}, " if names else ""
+    if names:
+        met = rows.groupBy(*names, F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+        counted = met.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("parts")).first()
+        if (counted["rows"] or 0) < k * counted["parts"]:
+            rows = stage(rows, "wide-rows")
+            sizes = rows.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows(df.sparkSession))).alias("_salts"))
+            # Rows are dealt by their place in the written table, so equal ones spread too.
+            placed = attach(rows.withColumn("_place", F.monotonically_increasing_id()), sizes, names)
+            salt = F.pmod(F.xxhash64("_place"), F.coalesce("_salts", F.lit(1)))
+            rows = placed.withColumn("_salt", salt).repartition(*names, "_salt").select(*names, *columns)
+    parts = rows.mapInArrow(lambda it: _task_moments(it, names, columns, HELD_BYTES), kinds + PARTIAL)
+    parts = stage(parts, "matrices")
+
+    def added(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, schema, m in _merged(it, names, k):
+            yield _record(key, schema, m)
+
+    def most(table: DataFrame) -> int:
+        return table.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+    found = most(parts)
+    while found > FAN:
+        salted = parts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(-(-found // FAN))))
+        dealt = salted.repartition(*names, "_salt").sortWithinPartitions(*names, "_salt").drop("_salt")
+        parts = stage(dealt.mapInArrow(added, kinds + PARTIAL), "matrices")
+        found = most(parts)
+
+    def finished(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, schema, m in _merged(it, names, k):
+            made = finish(m.n, m.mean, m.products)
+            own = [pa.array([v], schema.field(n).type) for v, n in zip(key, names, strict=True)]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array([v]) for v in made.values())], names=[*names, *made])
+
+    dealt = parts.repartition(*names).sortWithinPartitions(*names) if names else parts.coalesce(1)
+    made = dealt.mapInArrow(finished, kinds + fields)
+    return made.select(*[F.col(n).alias(c) for c, n in zip(keys, names, strict=True)], *made.columns[len(names) :])
 
 
 def _solve(
@@ -168,7 +240,14 @@ def exposures(
 ) -> DataFrame:
     """One row per group: ``_mean`` of the factors then the scores, and ``_beta`` per score."""
     k, s = len(factors), len(scores)
-    sums = gram(df, [*factors, *scores], keys)
+    columns = [*factors, *scores]
+    if len(columns) > WIDE:
+
+        def finish(n: int, mean: np.ndarray, products: np.ndarray) -> dict:
+            return {"_mean": mean.tolist(), "_beta": [b.tolist() for b in _solve(products, k, s, mean, n).T]}
+
+        return _wide(df, columns, list(keys), finish, "_mean array<double>, _beta array<array<double>>")
+    sums = gram(df, columns, keys)
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -189,13 +268,76 @@ def _explained(factors: Sequence[str], score: int) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _with_exposures(
-    df: DataFrame, scores: Sequence[str], factors: Sequence[str], keys: Sequence[str]
+def _products(batch: pa.RecordBatch, factors: Sequence[str], cells: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Fitted parts (rows x scores) of a batch from coefficients (scores x factors) around the centers."""
+    return (_matrix(batch, factors) - centers) @ cells.T
+
+
+def _less_fitted(
+    df: DataFrame, scores: list[str], factors: list[str], proportion: float, keys: list[str], constant: bool, keep: list[str]
 ) -> DataFrame:
+    """``df`` with ``proportion`` of the fit on the factors, and with ``constant`` of the mean, taken off the scores.
+
+    Of the columns only those of ``keep`` are returned.
+    """
+    k = len(factors)
     fit = exposures(df, scores, factors, keys)
-    if keys:
-        return attach(df, fit, keys)
-    return df.crossJoin(F.broadcast(stage(fit, "exposures")))  # one row
+    if k <= WIDE:
+        joined = attach(df, fit, keys) if keys else df.crossJoin(F.broadcast(stage(fit, "exposures")))  # one row
+        changed = {
+            c: F.col(c) - proportion * (_explained(factors, i) + (F.col("_mean")[k + i] if constant else 0.0))
+            for i, c in enumerate(scores)
+        }
+        return joined.withColumns(changed).select(*keep)
+
+    def unpack(mean: Sequence[float], beta: Sequence[Sequence[float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array(mean[:k]), np.array(beta), np.array(mean[k:]) if constant else np.zeros(len(scores))
+
+    kinds = {f.name: f.dataType for f in df.schema}
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c in scores else kinds[c]) for c in keep])
+
+    def replaced(batch: pa.RecordBatch, fitted: np.ndarray) -> pa.RecordBatch:
+        left = _matrix(batch, scores) - proportion * fitted
+        made = {c: pa.array(left[:, i], from_pandas=True) for i, c in enumerate(scores)}
+        return pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in keep], names=keep)
+
+    fit = stage(fit, "exposures")
+    # One group's coefficients are a row; those of many groups go along only if they are counted as small.
+    size = 8 * (k + len(scores)) * (1 + len(scores))
+    if not keys or fit.count() * size <= broadcast_limit(df.sparkSession):
+        rows = fit.toArrow().to_pylist()
+        told = {tuple(r[c] for c in keys): unpack(r["_mean"], r["_beta"]) for r in rows if all(r[c] is not None for c in keys)}
+        shared = df.sparkSession.sparkContext.broadcast(told)
+
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fitted = np.full((batch.num_rows, len(scores)), np.nan)
+                groups = [((), np.arange(batch.num_rows))]
+                if keys:
+                    table = pa.Table.from_arrays([*(batch.column(c) for c in keys), pa.array(np.arange(batch.num_rows))], names=[*keys, "_at"])
+                    lists = table.group_by(keys).aggregate([("_at", "list")])
+                    made = zip(*(lists.column(c).to_pylist() for c in keys), strict=True)
+                    groups = [(key, np.array(at)) for key, at in zip(made, lists.column("_at_list").to_pylist(), strict=True)]
+                for key, at in groups:
+                    if key in shared.value:
+                        centers, cells, mean = shared.value[key]
+                        part = batch if len(at) == batch.num_rows else batch.take(pa.array(at))
+                        fitted[at] = _products(part, factors, cells, centers) + mean
+                yield replaced(batch, fitted)
+
+        return df.mapInArrow(apply, schema)
+
+    def apply_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fitted = np.full((batch.num_rows, len(scores)), np.nan)
+            means, betas = batch.column("_mean").to_pylist(), batch.column("_beta").to_pylist()
+            for i in range(batch.num_rows):
+                if means[i] is not None:
+                    centers, cells, mean = unpack(means[i], betas[i])
+                    fitted[i] = _products(batch.slice(i, 1), factors, cells, centers)[0] + mean
+            yield replaced(batch, fitted)
+
+    return attach(df, fit, keys).mapInArrow(apply_joined, schema)
 
 
 def neutralize_full(
@@ -204,27 +346,31 @@ def neutralize_full(
     by: Sequence[str] | None = None,
     proportion: float = 1.0,
     keys: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Residual of ``score`` on the factors and a constant, divided by its sample std.
 
     ``by`` defaults to every column whose name starts with ``feature``. With ``keys`` each
-    group is treated on its own.
+    group is treated on its own; rows with a missing key get a null. ``keep`` names the columns to
+    return, all by default: what many factors are not needed for later need not travel with the result.
     """
+    keep = list(df.columns if keep is None else keep)
     factors = list(by) if by is not None else by_prefix(df.columns, "feature")
+    keys = list(keys)
     if factors:
-        fitted = _explained(factors, 0) + F.col("_mean")[len(factors)]
-        joined = _with_exposures(df, [score], factors, keys)
-        left = joined.withColumn(score, F.col(score) - proportion * fitted)
+        left = _less_fitted(df, [score], factors, proportion, keys, True, list(dict.fromkeys([*keep, *keys, score])))
     else:
         center = df.groupBy(*keys).agg(F.avg(score).alias("_center"))
         joined = attach(df, center, keys) if keys else df.crossJoin(F.broadcast(center))
-        left = joined.withColumn(score, F.col(score) - proportion * F.col("_center"))
-    left = left.select(*df.columns)
+        left = joined.withColumn(score, F.col(score) - proportion * F.col("_center")).select(*df.columns)
+    if len(factors) > WIDE:
+        # The spread is read from what the matrix products have written, without doing them again.
+        left = stage(left, "residuals")
     spread = left.groupBy(*keys).agg(F.stddev_samp(score).alias("_spread"))
     scaled = attach(left, spread, keys) if keys else left.crossJoin(F.broadcast(spread))
     return scaled.withColumn(
         score, F.try_divide(F.col(score), F.col("_spread"))
-    ).select(*df.columns)
+    ).select(*keep)
 
 
 def neutralize_partial(
@@ -233,16 +379,14 @@ def neutralize_partial(
     by: Sequence[str],
     proportion: float = 1.0,
     keys: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Scores minus ``proportion`` of their fit on standardized factors, without an intercept.
 
     Factors absent from ``df`` are left out; without any factor the scores stay as they are.
     """
     factors = [c for c in by if c in df.columns]
+    keep = list(df.columns if keep is None else keep)
     if proportion == 0.0 or not factors:
-        return df
-    joined = _with_exposures(df, scores, factors, keys)
-    changed = {
-        s: F.col(s) - proportion * _explained(factors, i) for i, s in enumerate(scores)
-    }
-    return joined.withColumns(changed).select(*df.columns)
+        return df.select(*keep)
+    return _less_fitted(df, list(scores), factors, proportion, list(keys), False, keep)

@@ -12,8 +12,9 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tidepanel.sources.staging import stage
 
@@ -186,12 +187,30 @@ def _planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Largest size in bytes of what is broadcast."""
+    return int(spark.conf.get(BROADCAST_BYTES_KEY, str(BROADCAST_BYTES_DEFAULT)))
+
+
 def fits_broadcast(staged: DataFrame) -> bool:
-    """Whether a staged table is small enough to broadcast: by its files, and by its row count."""
-    limit = int(staged.sparkSession.conf.get(BROADCAST_BYTES_KEY, str(BROADCAST_BYTES_DEFAULT)))
+    """Whether a staged table is small enough to broadcast: by its files, and by its rows and array entries."""
+    limit = broadcast_limit(staged.sparkSession)
     if _planned_bytes(staged) > limit:
         return False
-    return staged.count() * int(staged._jdf.schema().defaultSize()) <= limit
+    # The default size of an array is that of one entry; the others are counted.
+    arrays = [f for f in staged.schema if isinstance(f.dataType, ArrayType)]
+    entries = [F.sum(_entries(F.col(f.name), f.dataType)).alias(f.name) for f in arrays]
+    counted = staged.agg(F.count(F.lit(1)).alias("_rows"), *entries).first()
+    size = counted["_rows"] * int(staged._jdf.schema().defaultSize())
+    return size + sum(8 * (counted[f.name] or 0) for f in arrays) <= limit
+
+
+def _entries(column: Column, kind: ArrayType) -> Column:
+    """Entries of an array, those of arrays inside it counted one by one."""
+    if isinstance(kind.elementType, ArrayType):
+        inner = F.transform(column, lambda x: _entries(x, kind.elementType))
+        return F.aggregate(F.coalesce(inner, F.array(F.lit(0))), F.lit(0), lambda a, x: a + F.greatest(x, F.lit(0)))
+    return F.greatest(F.size(column), F.lit(0))
 
 
 def over_series(
