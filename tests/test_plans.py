@@ -1,22 +1,26 @@
 """Physical plans, models and sinks."""
 
-import os
-import subprocess
+import importlib
 import sys
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tidepanel.operators import models as M
 from tidepanel.operators.cross_section import peer_means, percent_rank, quintiles, with_group_means
 from tidepanel.operators.indicators import PAIRS, PERIODS, WINDOW_KINDS
 from tidepanel.operators.recurrence import RECURRENCE_KINDS, recurrence_indicators
+from tidepanel.operators.asof import latest_within
 from tidepanel.plans.panel import indicators
+from tidepanel.shipping import ship
 from tidepanel.sources import fixtures as X
-from tidepanel.sources import sinks
+from tidepanel.sources import sinks, staging
+from tidepanel.sources.frames import read_importance
 from tidepanel.sources.staging import clear_staging, stage, staging_path
 
 SF = "/root/testdata/sf0.001"
@@ -102,7 +106,7 @@ def test_boosted_trees_learn_and_repeat(spark):
     assert runs[0] == runs[1]
     target = np.array([r["target"] for r in df.orderBy("id").collect()])
     assert np.mean((np.array(runs[0]) - target) ** 2) < 0.5 * target.var()
-    assert M.importance(model.stages[-1], features)[0][0] == "feature_a"
+    assert M.importance(model, features)[0][0] == "feature_a"
 
 
 def test_boosting_keeps_the_best_round(spark):
@@ -121,6 +125,69 @@ def test_boosting_keeps_the_best_round(spark):
         M.fit_boosted(train, features, "target", held.limit(0), maxIter=2)
 
 
+def test_a_prefix_is_the_refit(spark, tmp_path):
+    """The first rounds of a model predict what a fit of so many rounds does, also after a reload."""
+    df = stage(synthetic(spark), "synthetic")
+    ready = stage(M.assemble(df, ["feature_a", "feature_b"]), "vectors")
+    learner = M.boosted("target", "made", maxIter=9, maxDepth=3)
+    model = learner.fit(ready)
+    for rounds in (1, 4, 9):
+        cut = M.first_rounds(model, rounds)
+        assert cut.getNumTrees == rounds and cut.getPredictionCol() == "made" and cut.getLabelCol() == "target"
+        again = learner.copy({learner.maxIter: rounds}).fit(ready)
+        cut.write().overwrite().save(str(tmp_path / "cut"))
+        loaded = type(cut).load(str(tmp_path / "cut"))
+        values = [[r["made"] for r in m.transform(ready).orderBy("id").select("made").collect()] for m in (cut, again, loaded)]
+        assert values[0] == values[1] == values[2]
+        assert len(cut.featureImportances) == 2
+
+
+def test_errors_of_all_rounds_in_one_pass(spark):
+    df = stage(synthetic(spark), "synthetic")
+    ready = stage(M.assemble(df, ["feature_a", "feature_b"]).repartition(3), "vectors")
+    model = M.boosted("target", maxIter=12, maxDepth=4).fit(ready)
+    errors = M.round_errors(model, ready, "target")
+    np.testing.assert_allclose(errors, model.evaluateEachIteration(ready, "squared"), rtol=1e-9)
+    # A stump and a model of a single leaf have the same shape.
+    flat = M.boosted("target", maxIter=2, maxDepth=0).fit(ready)
+    np.testing.assert_allclose(M.round_errors(flat, ready, "target"), flat.evaluateEachIteration(ready, "squared"), rtol=1e-9)
+
+
+def test_splits_learn_where_missing_values_go(spark):
+    """A target that is high above a value and also where the value is missing: below all others is wrong."""
+    rng = np.random.default_rng(8)
+    rows = 4000
+    frame = pd.DataFrame({"f": rng.uniform(0, 1, rows), "g": rng.uniform(0, 1, rows), "id": np.arange(rows)})
+    missing = rng.uniform(0, 1, rows) < 0.3
+    frame["target"] = np.where(missing | (frame["f"] > 0.7), 1.0, 0.0) + 0.05 * rng.normal(size=rows)
+    frame.loc[missing, "f"] = np.nan
+    df = stage(spark.createDataFrame(frame).withColumn("f", F.nanvl("f", F.lit(None))), "gaps")
+    train, held = df.filter("id < 3000"), df.filter("id >= 3000")
+    assert M.with_gaps(train, ["f", "g"]) == ["f"] and M.with_gaps(train.limit(0), ["f", "g"]) == []
+
+    def error(scored):
+        return scored.agg(F.avg((F.col("prediction") - F.col("target")) ** 2)).first()[0]
+
+    model = M.fit_boosted(train, ["f", "g"], "target", held, maxIter=3, maxDepth=1, stepSize=1.0)
+    medians = Pipeline(stages=[*M._median_vector(["f", "g"], "features"), M.boosted("target", maxIter=3, maxDepth=1, stepSize=1.0)]).fit(train)
+    below = M.boosted("target", maxIter=3, maxDepth=1, stepSize=1.0).fit(M.assemble(train, ["f", "g"]))
+    learned = error(model.transform(held))
+    assert learned < 0.02 and 3 * learned < min(error(medians.transform(held)), error(below.transform(M.assemble(held, ["f", "g"]))))
+    assert [f for f, _ in M.importance(model, ["f", "g"])] == ["f", "g"]
+    assert abs(sum(w for _, w in M.importance(model, ["f", "g"])) - 1) < 1e-9
+    folds = M.fit_folds(train.withColumn("era", F.format_string("%04d", F.col("id") % 20)), ["f", "g"], "target", n_folds=2, step=2, maxIter=3, maxDepth=1, stepSize=1.0)
+    assert folds.gaps == ["f"] and error(M.predict_folds(folds, ["f", "g"], held)) < 0.03
+    three = M.fit_three(train, ["f", "g"], "target", held, maxIter=3, maxDepth=1, stepSize=1.0)
+    assert M.predict_three(three, held).filter("prediction is null").count() == 0
+
+
+def test_a_small_model_chooses_features(spark):
+    df = stage(synthetic(spark).withColumn("feature_c", F.rand(3)), "synthetic")
+    names = ["feature_c", "feature_a", "feature_b"]
+    assert M.most_important(df, names, "target", 3) == names
+    assert M.most_important(df, names, "target", 1, maxIter=3) == ["feature_a"]
+
+
 def test_best_round_waits_for_patience():
     errors = [5, 4, 4.5, 4.2, 3, 3.5]
     assert M.best_round(errors, 10) == 5
@@ -133,23 +200,24 @@ def test_folds_need_eras(spark):
         M.fit_folds(synthetic(spark, 60), ["feature_a"], "target", n_folds=5, step=5)
 
 
-def test_package_reaches_the_executors(tmp_path):
-    """Queries with Python workers, from another folder and without PYTHONPATH."""
-    script = f"""
-import importlib.util
-from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false") \\
-    .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
-spec = importlib.util.spec_from_file_location("entry_points", "{Path(__file__).resolve().parents[1]}/__spark_entry__.py")
-entry = importlib.util.module_from_spec(spec)
-spec.loader.exec_module(entry)
-for name in ("w8_ema", "n1_vector_neutralization", "p4_user_scorer"):
-    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
-print("all ran")
-"""
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
-    assert "all ran" in done.stdout, done.stderr[-2000:]
+def test_package_reaches_the_executors(spark):
+    """Workers that cannot see this folder import the package from what was shipped."""
+    ship(spark)
+    here = str(Path(__file__).resolve().parents[1])
+
+    def where(batches):
+        # As on an executor elsewhere: neither this folder nor modules that came from it.
+        sys.path[:] = [p for p in sys.path if Path(p or ".").resolve() != Path(here)]
+        for name in [m for m in sys.modules if m.split(".")[0] == "tidepanel"]:
+            del sys.modules[name]
+        importlib.invalidate_caches()
+        made = importlib.import_module("tidepanel.operators.recurrence")
+        values = made.series_values(np.arange(5.0), (3,), (), ("EMA",))["EMA_3"]
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"file": [made.__file__], "value": [float(values[-1])]})
+
+    found = spark.range(1).mapInArrow(where, "file string, value double").collect()
+    assert found and all(".zip" in r["file"] and not r["file"].startswith(here) and r["value"] == 3.0 for r in found)
 
 
 def test_fold_models(spark):
@@ -165,12 +233,37 @@ def test_fold_models(spark):
 def test_search_history_grows(spark):
     df = stage(synthetic(spark, 300), "synthetic")
     path = staging_path(spark, "history")
-    for total in (2, 3):
-        table, best = M.search(df, df, ["feature_a"], "target", path, trials=total - (total == 3) * 2, rounds=1)
-        assert table.count() == total
+    table, best = M.search(df, df, ["feature_a"], "target", path, trials=2, rounds=1)
+    assert sorted(r["trial"] for r in table.collect()) == [0, 1]
+    table, best = M.search(df, df, ["feature_a"], "target", path, trials=1, rounds=1)
+    assert sorted(r["trial"] for r in table.collect()) == [0, 1, 2]
     assert isinstance(best["maxDepth"], int)
 
 
+def test_search_halves_its_trials(spark):
+    assert M.rungs(9, 18) == [(9, 2), (3, 6), (1, 18)]
+    assert M.rungs(3, 10) == [(3, 3), (1, 10)] and M.rungs(2, 10) == [(2, 10)] and M.rungs(9, 2) == [(9, 2)]
+    df = stage(synthetic(spark, 300), "synthetic")
+    table, best = M.search(df, df, ["feature_a", "feature_b"], "target", staging_path(spark, "history"), trials=9, rounds=9)
+    rows = table.collect()
+    assert sum(r["rounds"] for r in rows) == 27 < 81
+    for rung in (0, 1):
+        order = sorted((r for r in rows if r["rung"] == rung), key=lambda r: (-r["score"], r["trial"]))
+        assert sorted(r["trial"] for r in rows if r["rung"] == rung + 1) == sorted(r["trial"] for r in order[: len(order) // 3])
+    (last,) = [r for r in rows if r["rung"] == 2]
+    assert best == M.typed_params(last["params"])
+    model = M.refit(df, df, ["feature_a", "feature_b"], "target", best, rounds=4)
+    assert model.stages[-1].getMaxDepth() == best["maxDepth"] and model.stages[-1].getNumTrees <= 4
+
+
+def test_a_failing_fit_is_heard(spark):
+    def fail():
+        raise RuntimeError("no fit")
+
+    with pytest.raises(RuntimeError, match="no fit"):
+        M.together([fail, lambda: 1])
+
+
 def test_diagnostics_by_date(spark, closes):
     path = staging_path(spark, "diagnostics")
     few = closes.filter("date < '1995-02-01'").withColumn("signal", F.lit(0.5))
@@ -180,8 +273,27 @@ def test_diagnostics_by_date(spark, closes):
     assert set(back.columns) == {"ticker", "signal", "date"}
 
 
-def test_staged_tables_can_be_cleared(spark):
-    other = staging_path(spark, "x").rsplit("/", 1)[0]
-    assert stage(spark.range(3), "x").count() == 3
-    assert spark.sparkContext.applicationId in other
-    assert callable(clear_staging)
+def test_staged_tables_can_be_cleared(spark, monkeypatch, tmp_path):
+    """In a folder of its own, so that the tables of other tests stay."""
+    monkeypatch.setattr(staging, "staging_root", lambda _: str(tmp_path))
+    kept = stage(spark.range(3), "x")
+    assert kept.count() == 3 and list(tmp_path.rglob("*.parquet"))
+    clear_staging(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
+    clear_staging(spark)
+
+
+def test_asof_moves_one_wide_row_per_live_row(spark, closes):
+    live = X.live_universe(spark, SF)
+    wide = stage(closes.withColumns({f"wide_{i}": F.lit(i) for i in range(5)}), "wide")
+    text = plan(latest_within(live, wide, "ticker"))
+    assert "Generate" not in text
+    # The wide columns are read by one scan only, and not before the days have been found.
+    assert sum("wide_0" in line for line in text.splitlines() if "FileScan" in line) == 1
+    assert all("wide_0" not in line for line in text.splitlines() if "Window" in line)
+
+
+def test_importance_file(spark, tmp_path):
+    assert read_importance(spark, str(tmp_path / "none.json")) is None
+    (tmp_path / "some.json").write_text('{"feature_a": 0.5,\n "feature_b": 2}')
+    assert read_importance(spark, str(tmp_path / "some.json")) == {"feature_a": 0.5, "feature_b": 2.0}

@@ -224,6 +224,77 @@ def test_asof_boundary(spark):
     assert latest_within(live.limit(0), panel, "k").count() == 0
 
 
+def test_asof_with_hot_keys(spark, hot):
+    """Cut keys, many days back, several live days between two panel days, null keys and a clashing name."""
+    day0 = dt.date(2000, 1, 1)
+    rng = np.random.default_rng(2)
+    panel = {("a", int(d)): float(d) for d in rng.choice(900, 250, replace=False)}
+    live = {(k, int(d)) for k in ("a", "b") for d in rng.choice(900, 300, replace=False)}
+    days = {k: day0 + dt.timedelta(days=k) for k in range(900)}
+    p = spark.createDataFrame([(k, days[d], v, d) for (k, d), v in panel.items()] + [(None, day0, 0.0, 0)], "k string, date date, v double, _live int")
+    q = spark.createDataFrame([(k, days[d], d) for k, d in live] + [(None, day0, 1)], "k string, date date, asked int")
+    wanted = set()
+    for k, d in live:
+        hits = [x for x in range(d, d - 21, -1) if (k, x) in panel]
+        if hits:
+            wanted.add((k, days[d], d, d - hits[0], panel[k, hits[0]]))
+
+    def run():
+        made = latest_within(q, p, "k", days=20)
+        assert made.columns == ["k", "date", "asked", "days_back", "found_date", "v", "_live"]
+        return {(r["k"], r["date"], r["asked"], r["days_back"], r["v"]) for r in made.collect()}
+
+    assert run() == wanted
+    hot(50)
+    assert run() == wanted
+
+
+def test_sample_counts_by_hash_ranges(spark, monkeypatch):
+    """Every size, ranges of any depth, repeated rows: always the first rows in hash order."""
+    import hashlib
+
+    from tidepanel.operators import features
+
+    ids = [str(i) for i in range(3000)] + ["same"] * 40
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "id string, n int").repartition(5)
+    order = sorted(ids, key=lambda i: hashlib.md5(f"7{chr(31)}{i}".encode()).hexdigest())
+    monkeypatch.setattr(features, "ORDERED_ROWS", 3)
+    monkeypatch.setattr(features, "DIGITS", 1)
+    at = order.index("same")
+    for n in (0, 1, 500, at + 13, 3039, 3040, 5000):
+        made = features.hashed_sample(df, ["id"], n, seed=7)
+        assert made.columns == ["id", "n"] and sorted(r["id"] for r in made.collect()) == sorted(order[:n])
+    text = features.hashed_sample(df, ["id"], 1500, seed=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" in text and "Union" in text
+    assert features.hashed_sample(df.limit(0), ["id"], 5).count() == 0
+
+
+def test_merging_aggregate_of_a_hot_group(spark, monkeypatch):
+    """A group over many tasks and many states equals one that a single task sees."""
+    from tidepanel.operators import series_functions as SF
+
+    monkeypatch.setattr(SF, "HELD_STATES", 2)
+    frame = pd.DataFrame({"k": ["hot"] * 5000 + [f"k{i % 7}" for i in range(70)], "x": np.arange(5070) % 101.0})
+    df = spark.createDataFrame(frame).withColumn("x", F.when(F.col("x") != 5, F.col("x")))
+    df = df.unionByName(spark.createDataFrame([(None, 2.0)], "k string, x double"))
+
+    def run(rows):
+        made = SF.merged_aggregate(
+            rows, ["k"], ["x"], "n long, middle double",
+            start=lambda: [],
+            update=lambda s, x: s + [v for v in x["x"].tolist() if v == v],
+            merge=lambda a, b: a + b,
+            finish=lambda s: (len(s), float(np.median(s))),
+        )
+        return {r["k"]: (r["n"], r["middle"]) for r in made.collect()}
+
+    many, one = run(df.repartition(16)), run(df.coalesce(1))
+    kept = frame[frame["x"] != 5].groupby("k")["x"]
+    wanted = {k: (len(v), float(v.median())) for k, v in kept} | {None: (1, 2.0)}
+    assert many == one == wanted
+    assert run(df.limit(0)) == {}
+
+
 def test_ratio_guard(spark):
     inf = float("inf")
     df = spark.createDataFrame([(1.0, 0.0), (1.0, None), (1.0, inf), (1.0, 2.0)], "a double, b double")

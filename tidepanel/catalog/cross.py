@@ -386,7 +386,10 @@ def last_eras(spark, sf_dir):
     return SP.last_eras(X.matrix(spark, sf_dir), "era", 3)
 
 
-@query("t4_uniform_sample")
+@query(
+    "t4_uniform_sample",
+    over("matrix", body="select id, era, target from matrix order by md5('42' || chr(31) || id), id limit 5000"),
+)
 def uniform_sample(spark, sf_dir):
     return FE.hashed_sample(X.matrix(spark, sf_dir).select("id", "era", "target"), ["id"], 5000)
 

@@ -18,7 +18,8 @@ from tidepanel.operators.score import era_scores, ranked_range
 from tidepanel.plans import panel as P
 from tidepanel.plans import tournament as T
 from tidepanel.sources import fixtures as X
-from tidepanel.sources.staging import stage
+from tidepanel.sources.frames import read_importance
+from tidepanel.sources.staging import stage, staging_path
 
 FEATURES = list(X.MATRIX_FEATURES)
 
@@ -386,24 +387,96 @@ def reference(spark, sf_dir):
 
 @query("q4_tournament_score")
 def tournament_score(spark, sf_dir):
-    train, _, test = parts(spark, sf_dir)
-    return T.tournament_score(train, test, FEATURES)
+    train, validation, test = parts(spark, sf_dir)
+    return T.tournament_score(train, test, FEATURES, validation=validation)
+
+
+def importance_file(spark, sf_dir):
+    """Weights of the features as a file and read back: their correlation with the late target."""
+    weights = X.matrix(spark, sf_dir).agg(*[F.abs(F.corr(c, "target_late")).alias(c) for c in FEATURES])
+    path = staging_path(spark, "importance")
+    weights.select(F.to_json(F.struct(*FEATURES)).alias("value")).coalesce(1).write.text(path)
+    return read_importance(spark, path)
 
 
 @query("q5_robust_score")
 def robust_score(spark, sf_dir):
+    """With the importance file, and the twenty most important of the engineered features."""
     train, _, test = parts(spark, sf_dir)
-    return T.robust_score(train, test, FEATURES, reference(spark, sf_dir))
+    weights = importance_file(spark, sf_dir)
+    return T.robust_score(train, test, FEATURES, reference(spark, sf_dir), importance=weights, most=20)
 
 
 @query("q6_sigmoid_score")
 def sigmoid_score(spark, sf_dir):
     train, validation, test = parts(spark, sf_dir)
+    weights = importance_file(spark, sf_dir)
     return T.sigmoid_score(
-        train, test, FEATURES, reference(spark, sf_dir), validation=validation, **STOPPED
+        train, test, FEATURES, reference(spark, sf_dir), validation=validation, importance=weights, **STOPPED
     )
 
 
+def _scored_parts(live, validation, key):
+    none = F.lit(None).cast("date").alias("date")
+    live = live.select(F.lit("live").alias("part"), key, none, "signal")
+    return live.unionByName(validation.select(F.lit("validation").alias("part"), key, "date", "signal"))
+
+
+def _panel_parts(sets):
+    return (sets.filter(F.col("part") == p).drop("part") for p in ("train", "validation", "live"))
+
+
+def _equity_scores(spark, sf_dir, **how):
+    sets = stage(_equity_sets(spark, sf_dir, equity_table(spark, sf_dir)), "sets")
+    names = [c for c in sets.columns if c.endswith("_quintile")]
+    train, validation, live = _panel_parts(sets)
+    return _scored_parts(*P.panel_scores(train, validation, live, names, "canonical_ticker", **how), "canonical_ticker")
+
+
+def _crypto_scores(spark, sf_dir, **how):
+    sets = stage(_crypto_sets(crypto_table(spark, sf_dir)), "sets")
+    names = [c for c in sets.columns if c.endswith("_quintile")]
+    train, validation, live = _panel_parts(sets)
+    return _scored_parts(*P.panel_scores(train, validation, live, names, "symbol", **how), "symbol")
+
+
+@query("q2_equity_submission")
+def equity_submission(spark, sf_dir):
+    """The equity job to its end: signals of the live rows and of the validation set."""
+    return _equity_scores(spark, sf_dir)
+
+
+@query("q3_crypto_submission")
+def crypto_submission(spark, sf_dir):
+    """The crypto job to its end."""
+    return _crypto_scores(spark, sf_dir)
+
+
+def _signals(scored, key):
+    """Rows, keys and whether every signal is a rank, by part."""
+    inside = F.coalesce(F.col("signal").between(0, 1) & (F.col("signal") > 0), F.lit(False))
+    made = scored.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"), F.bool_and(inside).alias("ranks"))
+    return made.select("part", "rows", "keys", "ranks")
+
+
+def _signals_sql(sql: str, key: str) -> str:
+    """Of the SQL of the sets: rows and keys of what is scored."""
+    head, tail = sql.rsplit("select case when", 1)
+    return f"""{head.rstrip()}, sets as (select case when{tail})
+    select part, count(*) as rows, count(distinct {key}) as keys, true as ranks from sets where part <> 'train' group by part"""
+
+
+@query("q2_equity_ranks", over(*EQUITY_VIEWS, "targets", body=_signals_sql(_set_sql(), "canonical_ticker"), recursive=True))
+def equity_ranks(spark, sf_dir):
+    """The second equity job's end: ranks of the predictions; few rounds, checked by counts."""
+    return _signals(_equity_scores(spark, sf_dir, ranks=True, maxIter=5), "canonical_ticker")
+
+
+@query("q3_crypto_ranks", over("panel", "targets", body=_signals_sql(_crypto_sql(), "symbol"), recursive=True))
+def crypto_ranks(spark, sf_dir):
+    return _signals(_crypto_scores(spark, sf_dir, ranks=True, maxIter=5), "symbol")
+
+
 @query(
     "q7_era_scores",
     over(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tidepanel.operators.cross_section import centered_rank
 from tidepanel.operators.models import score_in_batches
 from tidepanel.operators.neutralize import standardize
 from tidepanel.operators.score import self_standardize, sigmoid_range
+from tidepanel.operators.series_functions import map_rows
 from tidepanel.sources import fixtures as X
 
 
@@ -210,15 +213,29 @@ def squashed_range(spark, sf_dir):
     """select p_partkey, upper(string_split(p_name, ' ')[1]) || '/' || p_size as label from part""",
 )
 def row_function(spark, sf_dir):
-    @F.pandas_udf("string")
-    def label(name: pd.Series, size: pd.Series) -> pd.Series:
-        return name.str.split(" ").str[0].str.upper() + "/" + size.astype(str)
-
+    """A row function that built-in expressions can say stays one."""
+    word = F.upper(F.split("p_name", " ")[0])
     return X.table(spark, sf_dir, "part").select(
-        "p_partkey", label("p_name", "p_size").alias("label")
+        "p_partkey", F.concat(word, F.lit("/"), F.col("p_size")).alias("label")
     )
 
 
+@query(
+    "p1_user_row_function",
+    """select p_partkey, strip_accents(p_name) as plain, length(p_name) as n from part""",
+)
+def user_row_function(spark, sf_dir):
+    """A row function of the user's own, in Python over batches: names without accents, by code point tables."""
+
+    def plain(frame: pd.DataFrame) -> dict[str, pd.Series]:
+        parts = frame["p_name"].map(lambda name: unicodedata.normalize("NFD", name))
+        kept = parts.map(lambda name: "".join(c for c in name if not unicodedata.combining(c)))
+        return {"plain": kept, "n": frame["p_name"].str.len()}
+
+    rows = X.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return map_rows(rows, "plain string, n long", plain, ["p_name"]).drop("p_name")
+
+
 @query(
     "p4_user_scorer",
     over(

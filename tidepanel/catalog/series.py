@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tidepanel.operators.indicators import (
     window_indicators,
 )
 from tidepanel.operators.recurrence import recurrence_indicators
-from tidepanel.operators.series_functions import broadcast_aggregate, transform_series
+from tidepanel.operators.series_functions import broadcast_aggregate, merged_aggregate, transform_series
 from tidepanel.operators.skew import over_series
 from tidepanel.plans.panel import long_histories
 from tidepanel.sources import fixtures as X
@@ -333,3 +334,26 @@ def series_aggregate(spark, sf_dir):
         X.landed_closes(spark, sf_dir), ["ticker"], {"peak": F.max("close"), "floor": F.min("close")}
     )
     return made.select("ticker", "date", "peak", "floor")
+
+
+@query(
+    "p3_merged_aggregate",
+    over(
+        "panel",
+        body="""select ticker, count(*) as days, round(exp(avg(ln(close))), 6) as typical, max(close) as peak
+                from panel group by ticker""",
+    ),
+)
+def merged_series_aggregate(spark, sf_dir):
+    """A user's aggregate with a state that merges: count, geometric mean and peak of every series."""
+    made = merged_aggregate(
+        X.landed_closes(spark, sf_dir),
+        ["ticker"],
+        ["close"],
+        "days long, typical double, peak double",
+        start=lambda: (0, 0.0, -np.inf),
+        update=lambda s, x: (s[0] + len(x["close"]), s[1] + np.log(x["close"]).sum(), max(s[2], x["close"].max())),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1], max(a[2], b[2])),
+        finish=lambda s: (s[0], float(np.exp(s[1] / s[0])), float(s[2])),
+    )
+    return rounded(made, 6, "typical")

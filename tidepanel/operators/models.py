@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,27 +17,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepanel.functions.scalar import mean_of
+from tidepanel.operators.boosting import (
+    PATIENCE,
+    assemble,
+    best_round,
+    feature_weights,
+    first_rounds,
+    importance,
+    round_errors,
+    tree_vector,
+    with_gaps,
+)
 from tidepanel.operators.score import error_metrics, rank_correlation
 from tidepanel.operators.splits import with_fold_roles
 from tidepanel.sources.sinks import append_trials, read_trials
 
 SEED = 46
-#: Stands for a missing feature in a vector for trees.
-BELOW_ALL = -1e12
-#: Rounds without a lower validation error after which boosting stops.
-PATIENCE = 100
-
-
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """One vector column for tree learners; every row stays.
-
-    A missing feature (null or NaN) is a value below all others, so trees can split it off.
-    """
-    names = [f"_given_{i}" for i in range(len(features))]
-    given = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in features]
-    filled = {n: F.coalesce(g, F.lit(BELOW_ALL)) for n, g in zip(names, given, strict=True)}
-    made = VectorAssembler(inputCols=names, outputCol=out).transform(df.withColumns(filled))
-    return made.drop(*names)
+#: Fits of one call that run at a time; they share the persisted vectors.
+AT_ONCE = 3
 
 
 def boosted(target: str, prediction: str = "prediction", **params) -> GBTRegressor:
@@ -46,42 +44,42 @@ def boosted(target: str, prediction: str = "prediction", **params) -> GBTRegress
     )
 
 
-def _pipeline(features: Sequence[str], *stages) -> Pipeline:
-    """The learners behind medians of the training rows for missing features; no row is dropped."""
-    filled = [f"_filled_{i}" for i in range(len(features))]
-    numbers = [f"cast(`{c}` as double) as _number_{i}" for i, c in enumerate(features)]
-    given = SQLTransformer(statement=f"select *, {', '.join(numbers)} from __THIS__")
-    medians = Imputer(
-        strategy="median", inputCols=[f"_number_{i}" for i in range(len(features))], outputCols=filled
-    )
-    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[given, medians, assembler, *stages])
+def together(fits: Sequence[Callable]) -> list:
+    """The results of all fits, AT_ONCE at a time; one that fails stops those that have not begun."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        running = [pool.submit(fit) for fit in fits]
+        try:
+            return [r.result() for r in running]
+        finally:
+            for r in running:
+                r.cancel()
 
 
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """How many rounds to keep: up to the least error seen before ``patience`` rounds without a lower one."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
+def _labelled(part: DataFrame, features: Sequence[str], *targets: str) -> DataFrame:
+    return part.select(*features, *targets).dropna("any", subset=list(targets))
+
+
+def _median_vector(features: Sequence[str], out: str) -> list:
+    """Stages of a vector with medians of the training rows for missing features."""
+    names = [f"_number_{i}" for i in range(len(features))]
+    numbers = [f"cast(`{c}` as double) as {n}" for c, n in zip(features, names, strict=True)]
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    return [
+        SQLTransformer(statement=f"select *, {', '.join(numbers)} from __THIS__"),
+        Imputer(strategy="median", inputCols=names, outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol=out, handleInvalid="keep"),
+    ]
 
 
 def fit_stopped(
     learner: GBTRegressor, train: DataFrame, validation: DataFrame, patience: int
 ) -> GBTRegressionModel:
-    """Boosted trees up to the best round on ``validation``.
-
-    All rounds are fitted and their errors measured; a second fit with the same seed stops at the
-    best one, its trees being the first fit's first ones.
-    """
+    """Boosted trees up to the best round on ``validation``: one fit of all rounds, cut to that round."""
     if validation.isEmpty():
         raise ValueError("early stopping needs validation rows with a target")
     model = learner.fit(train)
-    rounds = best_round(model.evaluateEachIteration(validation, "squared"), patience)
-    return model if rounds == model.getNumTrees else learner.copy({learner.maxIter: rounds}).fit(train)
+    rounds = best_round(round_errors(model, validation, learner.getLabelCol()), patience)
+    return model if rounds == model.getNumTrees else first_rounds(model, rounds)
 
 
 def fit_boosted(
@@ -93,15 +91,16 @@ def fit_boosted(
     patience: int = PATIENCE,
     **params,
 ) -> PipelineModel:
-    """Boosted trees; with ``validation`` only the rounds up to its best one, see ``fit_stopped``."""
+    """Boosted trees; with ``validation`` only the rounds up to its best one, see ``fit_stopped``.
+
+    Splits learn where rows with a missing feature go; no row is dropped.
+    """
     learner = boosted(target, prediction, **params)
-    rows, held = (
-        None if part is None else part.select(*features, target).filter(F.col(target).isNotNull())
-        for part in (train, validation)
-    )
-    if held is None:
-        return _pipeline(features, learner).fit(rows)
-    before = _pipeline(features).fit(rows)
+    rows = _labelled(train, features, target)
+    before = Pipeline(stages=tree_vector(features, with_gaps(rows, features))).fit(rows)
+    if validation is None:
+        return PipelineModel([*before.stages, learner.fit(before.transform(rows))])
+    held = _labelled(validation, features, target)
     rows, held = (before.transform(part).select("features", target).persist() for part in (rows, held))
     try:
         return PipelineModel([*before.stages, fit_stopped(learner, rows, held, patience)])
@@ -114,16 +113,25 @@ def fit_targets(
     train: DataFrame, features: Sequence[str], targets: Sequence[str], **params
 ) -> PipelineModel:
     """One boosted model per target over one shared vector; columns ``prediction_<target>``."""
-    rows = train.select(*features, *targets).dropna("any", subset=list(targets))
-    stages = [boosted(t, f"prediction_{t}", **params) for t in targets]
-    return _pipeline(features, *stages).fit(rows)
+    rows = _labelled(train, features, *targets)
+    before = Pipeline(stages=tree_vector(features, with_gaps(rows, features))).fit(rows)
+    ready = before.transform(rows).select("features", *targets).persist()
+    try:
+        learners = [boosted(t, f"prediction_{t}", **params) for t in targets]
+        return PipelineModel([*before.stages, *together([lambda one=one: one.fit(ready) for one in learners])])
+    finally:
+        ready.unpersist()
 
 
 def fit_three(
-    train: DataFrame, features: Sequence[str], target: str, **params
+    train: DataFrame, features: Sequence[str], target: str, validation: DataFrame | None = None, patience: int = PATIENCE, **params
 ) -> PipelineModel:
-    """Three different learners over one shared vector."""
-    rows = train.select(*features, target).filter(F.col(target).isNotNull())
+    """Three different learners; with ``validation`` the boosted one keeps the rounds up to its best one there.
+
+    The rows are decoded and made into vectors once, and all three are fitted from those at a time. Trees
+    learn where missing values go; the line takes medians for them.
+    """
+    rows = _labelled(train, features, target)
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=target,
@@ -133,9 +141,26 @@ def fit_three(
         seed=SEED,
     )
     line = LinearRegression(
-        featuresCol="features", labelCol=target, predictionCol="_line", regParam=1e-3
+        featuresCol="line_features", labelCol=target, predictionCol="_line", regParam=1e-3
     )
-    return _pipeline(features, boosted(target, "_boosted", **params), forest, line).fit(rows)
+    trees = boosted(target, "_boosted", **params)
+    stages = [*tree_vector(features, with_gaps(rows, features)), *_median_vector(features, "line_features")]
+    before = Pipeline(stages=stages).fit(rows)
+    ready = before.transform(rows).select("features", "line_features", target).persist()
+    held = None
+    if validation is not None:
+        held = before.transform(_labelled(validation, features, target)).select("features", target).persist()
+    try:
+        fits = [
+            lambda: trees.fit(ready) if held is None else fit_stopped(trees, ready, held, patience),
+            lambda: forest.fit(ready),
+            lambda: line.fit(ready),
+        ]
+        return PipelineModel([*before.stages, *together(fits)])
+    finally:
+        for part in (ready, held):
+            if part is not None:
+                part.unpersist()
 
 
 def predict_three(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
@@ -145,6 +170,14 @@ def predict_three(model: PipelineModel, df: DataFrame, out: str = "prediction")
     return scored.withColumn(out, mean_of(members)).select(*df.columns, out)
 
 
+class FoldModels(list):
+    """The models of the folds and the final one, and which features their vector holds twice."""
+
+    def __init__(self, models: Sequence[GBTRegressionModel], gaps: Sequence[str]) -> None:
+        super().__init__(models)
+        self.gaps = list(gaps)
+
+
 def fit_folds(
     train: DataFrame,
     features: Sequence[str],
@@ -155,35 +188,38 @@ def fit_folds(
     final_rounds: int | None = None,
     patience: int = PATIENCE,
     **params,
-) -> list[PipelineModel]:
+) -> FoldModels:
     """One model per era hold-out fold, kept up to its best round, and a final one on all rows.
 
-    Every fold needs an era to train on, so more than ``step * (n_folds - 1)`` of them. The folds are labelled in one pass and the vector is assembled once; every fit reads the
-    same persisted frame.
+    Every fold needs an era to train on, so more than ``step * (n_folds - 1)`` of them. The folds are
+    labelled in one pass and the vector is assembled once; every fit reads the same persisted frame,
+    some of them at a time. Splits learn where rows with a missing feature go.
     """
     rows = train.filter(F.col(target).isNotNull()).select(era, *features, target)
+    gaps = with_gaps(rows, features)
     least, eras = step * max(1, n_folds - 1), rows.agg(F.count_distinct(era)).first()[0]
     if eras <= least:
         raise ValueError(f"{n_folds} folds in steps of {step} need over {least} eras; there are {eras}")
-    labelled = assemble(with_fold_roles(rows, era, n_folds, step), features)
+    labelled = assemble(with_fold_roles(rows, era, n_folds, step), features, gaps)
     ready = labelled.select("features", target, "roles").persist()
-    models = []
+
+    def one(fold: int) -> GBTRegressionModel:
+        train_rows, held = (ready.filter(F.col("roles")[fold] == r) for r in ("train", "validation"))
+        return fit_stopped(boosted(target, f"_fold_{fold}", **params), train_rows, held, patience)
+
+    last = {**params, "maxIter": final_rounds} if final_rounds else params
     try:
-        for fold in range(n_folds):
-            train_rows, held = (ready.filter(F.col("roles")[fold] == r) for r in ("train", "validation"))
-            models.append(fit_stopped(boosted(target, f"_fold_{fold}", **params), train_rows, held, patience))
-        last = {**params, "maxIter": final_rounds} if final_rounds else params
-        models.append(boosted(target, "_final", **last).fit(ready))
+        fits = [lambda fold=fold: one(fold) for fold in range(n_folds)]
+        return FoldModels(together([*fits, lambda: boosted(target, "_final", **last).fit(ready)]), gaps)
     finally:
         ready.unpersist()
-    return models
 
 
 def predict_folds(
-    models: Sequence, features: Sequence[str], df: DataFrame, out: str = "prediction"
+    models: FoldModels, features: Sequence[str], df: DataFrame, out: str = "prediction"
 ) -> DataFrame:
     """Mean of all fold models and the final one."""
-    scored = assemble(df, features)
+    scored = assemble(df, features, models.gaps)
     for model in models:
         scored = model.transform(scored)
     members = [F.col(m.getPredictionCol()) for m in models]
@@ -191,12 +227,12 @@ def predict_folds(
 
 
 def fold_errors(
-    models: Sequence, features: Sequence[str], target: str, df: DataFrame, era: str = "era"
+    models: FoldModels, features: Sequence[str], target: str, df: DataFrame, era: str = "era"
 ) -> DataFrame:
     """Hold-out RMSE, MSE and MAE per fold; the mean over folds is one more aggregate."""
     folds = len(models) - 1
     rows = df.filter(F.col(target).isNotNull())
-    scored = assemble(with_fold_roles(rows, era, folds), features)
+    scored = assemble(with_fold_roles(rows, era, folds), features, models.gaps)
     for model in models[:-1]:
         scored = model.transform(scored)
     cases = F.array(
@@ -217,11 +253,24 @@ def fold_errors(
     return error_metrics(held, "p", target, ["fold"])
 
 
-def importance(model, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Features by falling importance; ties in feature order."""
-    weights = model.featureImportances.toArray()
-    order = sorted(range(len(features)), key=lambda i: (-weights[i], i))
-    return [(features[i], float(weights[i])) for i in order]
+def mean_fold_error(
+    models: FoldModels, features: Sequence[str], target: str, df: DataFrame, era: str = "era"
+) -> DataFrame:
+    """The hold-out errors averaged over the folds, one row."""
+    errors = fold_errors(models, features, target, df, era)
+    return errors.agg(F.count(F.lit(1)).alias("folds"), *[F.avg(c).alias(c) for c in ("rmse", "mse", "mae")])
+
+
+def most_important(df: DataFrame, features: Sequence[str], target: str, k: int, **params) -> list[str]:
+    """The ``k`` most important features of a small model on all rows, in feature order; all, if there are no more."""
+    if len(features) <= k:
+        return list(features)
+    rows = _labelled(df, features, target)
+    gaps = with_gaps(rows, features)
+    model = boosted(target, **{"maxDepth": 2, "subsamplingRate": 0.2, **params}).fit(assemble(rows, features, gaps))
+    weights = feature_weights(model.featureImportances.toArray(), features, gaps)
+    best = sorted(range(len(features)), key=lambda i: (-weights[i], i))[:k]
+    return [features[i] for i in sorted(best)]
 
 
 def slice_top(df: DataFrame, model, k: int, vector: str = "features") -> DataFrame:
@@ -260,6 +309,20 @@ def draw_params(rng: random.Random) -> dict[str, float]:
 
 
 WHOLE = ("maxDepth", "minInstancesPerNode", "maxIter")
+#: Of the trials of a rung, one in KEEP goes on to the next, with KEEP times the rounds.
+KEEP = 3
+
+
+def typed_params(point: Mapping[str, float]) -> dict:
+    return {k: int(v) if k in WHOLE else v for k, v in point.items()}
+
+
+def rungs(trials: int, rounds: int, keep: int = KEEP) -> list[tuple[int, int]]:
+    """(trials, rounds) of every rung: all trials with few rounds up to one with all of them."""
+    steps = [(trials, rounds)]
+    while steps[-1][0] >= keep and steps[-1][1] >= keep:
+        steps.append((steps[-1][0] // keep, steps[-1][1] // keep))
+    return list(zip([t for t, _ in steps], [r for _, r in steps][::-1], strict=True))
 
 
 def search(
@@ -271,27 +334,54 @@ def search(
     trials: int = 3,
     rounds: int = 10,
 ) -> tuple[DataFrame, dict]:
-    """Run ``trials`` new random points and return the whole history and the best parameters.
+    """Try ``trials`` new random points by successive halving; the whole history and the best parameters.
 
-    The history is a parquet table that later runs append to.
+    Every rung fits its trials AT_ONCE at a time on one persisted table of vectors and scores them on the
+    validation rows; the best of them go on with more rounds, so that few trials take all ``rounds``. The
+    history is a parquet table that later runs append to. The best parameters are those of the best score
+    among the trials with the most rounds; ties go to the earliest.
     """
     spark = train.sparkSession
-    rows = assemble(train.filter(F.col(target).isNotNull()), features).select("features", target)
-    held = assemble(validation.filter(F.col(target).isNotNull()), features)
-    rows = rows.persist()
-    done = read_trials(spark, history).count()
+    rows, held = (part.filter(F.col(target).isNotNull()) for part in (train, validation))
+    gaps = with_gaps(rows, features)
+    rows, held = (assemble(part, features, gaps).select("features", target).persist() for part in (rows, held))
     evaluator = RankCorrelationEvaluator("prediction", target)
-    made = []
-    for i in range(done, done + trials):
-        point = draw_params(random.Random(SEED + i))
-        typed = {k: int(v) if k in WHOLE else v for k, v in point.items()}
-        model = boosted(target, maxIter=rounds, **typed).fit(rows)
-        made.append((i, point, evaluator.evaluate(model.transform(held))))
-    rows.unpersist()
+    done = read_trials(spark, history).agg(F.max("trial")).first()[0]
+    first = 0 if done is None else done + 1
+    points = {i: draw_params(random.Random(SEED + i)) for i in range(first, first + trials)}
+    made, alive = [], sorted(points)
+
+    def score(trial: int, rung_rounds: int) -> float:
+        model = boosted(target, **{**typed_params(points[trial]), "maxIter": rung_rounds}).fit(rows)
+        return evaluator.evaluate(model.transform(held))
+
+    try:
+        for rung, (count, rung_rounds) in enumerate(rungs(trials, rounds)):
+            alive = alive[:count]
+            scores = together([lambda i=i, n=rung_rounds: score(i, n) for i in alive])
+            made += [(i, rung, rung_rounds, points[i], s) for i, s in zip(alive, scores, strict=True)]
+            order = sorted(zip(scores, alive, strict=True), key=lambda x: (-x[0], x[1]))
+            alive = [i for _, i in order]
+    finally:
+        rows.unpersist()
+        held.unpersist()
     append_trials(spark, made, history)
     table = read_trials(spark, history)
-    best = table.orderBy(F.col("score").desc(), "trial").first()["params"]
-    return table, {k: int(v) if k in WHOLE else v for k, v in best.items()}
+    best = table.orderBy(F.desc_nulls_last("rounds"), F.desc("score"), "trial").first()["params"]
+    return table, typed_params(best)
+
+
+def refit(
+    train: DataFrame,
+    validation: DataFrame,
+    features: Sequence[str],
+    target: str,
+    params: Mapping,
+    rounds: int,
+    patience: int = PATIENCE,
+) -> PipelineModel:
+    """A boosted model with the parameters that a search found, kept up to its best round on ``validation``."""
+    return fit_boosted(train, features, target, validation, patience=patience, **{**params, "maxIter": rounds})
 
 
 def score_in_batches(

@@ -51,6 +51,8 @@ def load_scorer(path: str) -> PipelineModel:
 TRIALS = T.StructType(
     [
         T.StructField("trial", T.LongType()),
+        T.StructField("rung", T.IntegerType()),
+        T.StructField("rounds", T.IntegerType()),
         T.StructField("params", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("score", T.DoubleType()),
     ]
