@@ -1,5 +1,9 @@
 """Every query with SQL gives the rows of its SQL, also when every key counts as hot."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -66,3 +70,20 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["ticker", "date", "week"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["sentencepiece", "tokenizers", "zstandard", "tidepanel.llm", "corpus_pipeline"])
+def test_entry_without_some_library(missing):
+    """The other queries are there whatever the training-data operators lack."""
+    script = f"""
+import sys
+sys.modules[{missing!r}] = None
+import __spark_entry__ as entry
+names = entry.queries()
+assert len(names) > 150 and set(entry.oracle_sql()) <= set(names) and "pipeline" not in names
+assert any(n.startswith("op") for n in names) == ({missing!r} == "corpus_pipeline")
+print("fine")
+"""
+    here = Path(entry.__file__).resolve().parent
+    done = subprocess.run([sys.executable, "-c", script], cwd=here, capture_output=True, text=True, timeout=120)
+    assert "fine" in done.stdout, done.stderr[-1500:]
