@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -29,6 +30,8 @@ from tidepanel.llm import (
     weak_rules,
 )
 
+from tidepanel.llm.text import hot_limit, join_one
+
 SCHEMA = "doc_id long, text string, told string, n_words int, bands string, d string, _d int, row string"
 WORDS = [f"w{i}" for i in range(200)]
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -379,6 +382,69 @@ def test_weak_rules_equal_brute_force(docs, empty):
     assert weak_rules.judge(empty).count() == 0
 
 
+def test_words_are_cut_where_the_library_does_not_join(spark):
+    """Every letter and digit before a full stop, and random texts of those that normalizing changes."""
+    tool = wavelet.encoder(BPE)
+
+    def same(texts):
+        ids, count = tool.encode(pa.array(texts))
+        own = np.split(ids, np.cumsum(count)[:-1])
+        for text, a, b in zip(texts, tool.tool.encode_batch(texts, add_special_tokens=False), own, strict=True):
+            assert a.ids == b.tolist(), text
+
+    letters = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    for i in range(0, len(letters), 20_000):
+        same([f"{c}. a{c}, b" for c in letters[i : i + 20_000]])
+    rng = np.random.default_rng(0)
+    alphabet = [*"aB1.,, \u0130\u03a3\u03c2\u0958\u09dc\u0a33\u05e9\u00e9'\u2019\u00a0\n\u0144\u01c5\u1e9e\ufb01\u212b\u2460\u00b2\u2167\uac00\u1100\u1161", "'s"]
+    same(["".join(rng.choice(alphabet, rng.integers(1, 14))) for _ in range(20_000)])
+
+
+def test_long_texts_have_no_false_repeats(spark):
+    """Half a million distinct words repeat nothing; a known run of them, repeated, does."""
+    words = [f"x{i}" for i in range(500_000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, *words[100:110]])), (3, "a b c a b c"), (4, "a a a a")]
+    found = {r.doc_id: r.n_repeat_words for r in weak_rules.measures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: 0, 2: 20, 3: 6, 4: 4}
+    # What decides is the whole hash: the position takes none of its bits.
+    plan = weak_rules.measures(spark.createDataFrame(rows[:1], "doc_id long, text string"))._jdf.queryExecution().analyzed().toString()
+    assert "shiftright" not in plan
+
+
+def test_blocks_of_a_centre_are_dealt_by_block(spark, monkeypatch):
+    """The exchange before the comparison is by (centre, block), and hot centres, buckets and hubs change nothing."""
+    plans, plain = [], minhash.stage
+
+    def watched(frame, tag):
+        if tag == "links":
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return plain(frame, tag)
+
+    base = text_of(17, 120).split()
+    rows = [(i, " ".join([*base[:50], *[f"c{i}x{k}" for k in range(6)], *base[56:]])) for i in range(60)]
+    rows += [(100 + i, " ".join([*base[:20], *[f"s{k}" for k in range(20)], *base[40:], f"t{i}"])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 2).collect()}
+    monkeypatch.setattr(minhash, "stage", watched)
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "hot_limit", lambda rows: 3)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 2).collect()}
+    assert found == wanted
+    grouped = [p for p in plans if "FlatMapGroupsInArrow" in p]
+    assert grouped and all(re.search(r"Exchange hashpartitioning\(a#\d+L?, x#\d+L?, y#\d+L?", p) for p in grouped)
+
+
+def test_hot_keys_are_looked_up(spark):
+    rows = spark.createDataFrame([(k, i) for k, n in (("hot", 50), ("warm", 3), ("none", 4)) for i in range(n)], "k string, i int")
+    table = spark.createDataFrame([("hot", 1.0, 50), ("warm", 2.0, 3), ("other", 3.0, 9)], "k string, w double, n long")
+    for limit in (1, 10, 100):
+        found = join_one(rows, table, "k", limit)
+        assert found.columns == ["k", "i", "w"]
+        assert sorted(map(tuple, found.collect())) == sorted([("hot", i, 1.0) for i in range(50)] + [("warm", i, 2.0) for i in range(3)])
+    assert hot_limit(10) == 2000 and (1 << 50) // hot_limit(1 << 50) <= 1 << 20
+
+
 def test_merge_dropout_round_trip(docs, empty):
     rows = merge_dropout.encode(docs, PIECES).collect()
     texts = {i: t or "" for i, t, *_ in awkward_rows()}

@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -52,17 +54,17 @@ def write_blob(ids: np.ndarray) -> bytes:
     now = place[ids].astype(np.uint16 if planes <= 16 else np.uint32)
     out = [MAGIC, struct.pack("<BII", planes, len(ids), len(symbols)), symbols.astype("<u4").tobytes()]
     for level in range(planes - 1, -1, -1):
-        bit = (now >> level) & 1
-        ones = np.flatnonzero(bit)
-        packed = np.packbits(bit.astype(np.uint8), bitorder="little")
+        bit = (now & (1 << level)).astype(bool)
+        packed = np.packbits(bit, bitorder="little")
         packed = np.concatenate([packed, np.zeros(-len(packed) % (BLOCK // 8), np.uint8)])
         per_block = np.bitwise_count(packed).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
         raw = packed.tobytes()
         small = zlib.compress(raw, 1)
         packing, body = (1, small) if len(small) < 0.95 * len(raw) else (0, raw)
-        out += [struct.pack("<IBI", len(ids) - len(ones), packing, len(body)), body]
+        zeros = np.compress(~bit, now)
+        out += [struct.pack("<IBI", len(zeros), packing, len(body)), body]
         out.append(np.concatenate([[0], np.cumsum(per_block)]).astype("<u4").tobytes())
-        now = np.concatenate([now[np.flatnonzero(bit == 0)], now[ones]])
+        now = np.concatenate([zeros, np.compress(bit, now)])
     return b"".join(out)
 
 
@@ -152,10 +154,12 @@ class WaveletMatrix:
         """Every id, by undoing the planes from the last to the first."""
         symbol = np.zeros(self.size, np.uint16 if self.planes <= 16 else np.uint32)
         for k in range(self.planes - 1, -1, -1):
-            bit = np.unpackbits(self.bits[k], count=self.size, bitorder="little")
+            bit = np.unpackbits(self.bits[k], count=self.size, bitorder="little").view(bool)
             new = np.empty_like(symbol)
-            new[np.flatnonzero(bit == 0)] = symbol[: self.zeros[k]]
-            new[np.flatnonzero(bit)] = symbol[self.zeros[k] :] | symbol.dtype.type(1 << (self.planes - 1 - k))
+            if self.zeros[k]:
+                np.place(new, ~bit, symbol[: self.zeros[k]])
+            if self.zeros[k] < self.size:
+                np.place(new, bit, symbol[self.zeros[k] :] | symbol.dtype.type(1 << (self.planes - 1 - k)))
             symbol = new
         return self.symbols[symbol]
 
@@ -167,26 +171,39 @@ class Encoder:
     """Ids of texts, word by word.
 
     The tokenizer drops white space and never joins across it, nor a letter or digit with a full stop
-    or comma after it, so texts are cut there and each different word is encoded once. Texts that
-    may spell a special token are encoded as they are.
+    or comma after it, so texts are cut there and each different word is encoded once. It judges letters
+    after normalizing; no cut is made behind one that its normalizer does not turn into one letter or
+    digit. Texts that may spell a special token are encoded as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cuts: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tool = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.cuts = cuts or self._cuts()
         mark = getattr(self.tool.model, "end_of_word_suffix", None)
         vocabulary = self.tool.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if mark:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
 
+    def _cuts(self) -> str:
+        """A pattern of a letter or digit that stays one, and the full stop or comma after it."""
+        every = pa.array([chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000])
+        letters = every.filter(pc.match_substring_regex(every, r"[\p{L}\p{N}]"))
+        # All at once, apart from each other.
+        normal = " ".join(letters.to_pylist())
+        normal = self.tool.normalizer.normalize_str(normal) if self.tool.normalizer else normal
+        stays = pc.match_substring_regex(pa.array(normal.split(" ")), r"^[\p{L}\p{N}]$")
+        changed = "".join(rf"\x{{{ord(c):x}}}" for c in letters.filter(pc.invert(stays)).to_pylist())
+        return rf"([^\P{{L}}{changed}]|[^\P{{N}}{changed}])([.,])"
+
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words. Words of letters A-Z alone go many at a time, as an id that ends a word closes each."""
-        plain = [w for w in words if w.isascii() and w.isalpha()]
+        """The ids of words. Words of letters alone go many at a time, as an id that ends a word closes each."""
+        plain = [w for w in words if w.isalpha() and (w.isascii() or (is_normalized("NFC", w) and w.lower().isalpha()))]
         joined = self.ids([" ".join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)])
         flat = np.fromiter(chain.from_iterable(joined), np.uint32)
         stops = np.flatnonzero(self.ends[flat]) + 1
@@ -201,7 +218,7 @@ class Encoder:
         """All ids in a row, and how many each text has."""
         texts = pc.fill_null(texts, "")
         special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
-        cut = pc.replace_substring_regex(texts, r"([\p{L}\p{N}])([.,])", r"\1 \2")
+        cut = pc.replace_substring_regex(texts, self.cuts, r"\1 \2")
         words, starts = words_of(pc.ascii_lower(cut))
         coded = words.dictionary_encode()
         different = coded.dictionary.to_pylist()
@@ -228,15 +245,15 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, cuts: str | None = None) -> Encoder:
+    return Encoder(path, cuts)
 
 
 SHARDS = "part int, seq int, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, blob binary"
 
 
-def _shards(batches: Iterator[pa.RecordBatch], path: str, end: int, shard_ids: int) -> Iterator[pa.RecordBatch]:
-    tool, part = encoder(path), TaskContext.get().partitionId()
+def _shards(batches: Iterator[pa.RecordBatch], path: str, cuts: str, end: int, shard_ids: int) -> Iterator[pa.RecordBatch]:
+    tool, part = encoder(path, cuts), TaskContext.get().partitionId()
     seq, held = 0, []
 
     def close() -> pa.RecordBatch:
@@ -269,7 +286,9 @@ def write_shards(docs: DataFrame, path: str, to: str, end: int = END, shard_ids:
     """
     rows = docs.select("doc_id", "text")
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(lambda it: _shards(it, path, end, shard_ids), SHARDS).write.mode("overwrite").parquet(to)
+    # Judged once for all tasks.
+    cuts = encoder(path).cuts
+    rows.mapInArrow(lambda it: _shards(it, path, cuts, end, shard_ids), SHARDS).write.mode("overwrite").parquet(to)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
