@@ -30,7 +30,6 @@ START = {-1: (0.4, 0.001), 1: (0.6, 0.999)}
 #: Weight of the first guess against the votes in every round.
 ANCHOR = 0.5
 START_GOOD = 0.9
-TOLERANCE = 1e-5
 
 
 def _without(text: str, characters: str) -> Column:
@@ -41,8 +40,7 @@ def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns and counts of each whole text: words, characters, symbols, repeats.
 
     Everything stays inside the row, so there is no shuffle: repeated three-word windows are found by
-    sorting 64-bit window hashes whose low bits are replaced by the position (as many bits as
-    the row's word count needs), and comparing neighbours.
+    sorting (64-bit window hash, position) and comparing neighbours.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(*keep, text.alias("text"))
@@ -65,18 +63,15 @@ def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
             "n_own_lines": F.size(F.array_distinct("lines")),
             "n_own_words": F.size(F.array_distinct("words")),
             "n_ended": F.size(F.filter("lines", lambda x: F.substring(F.rtrim(x), -1, 1).isin(".", "!", "?"))),
-            # Bits that hold a position, at least one.
-            "bits": F.greatest(F.lit(1), F.ceil(F.log2(F.size("words") + 1)).cast("int")),
         }
     )
     key = F.expr(
         "sort_array(transform(if(n_words < 3, cast(array() as array<int>), sequence(0, n_words - 3)),"
-        " i -> shiftleft(shiftright(xxhash64(words[i], words[i + 1], words[i + 2]), bits), bits) | cast(i as bigint)))"
+        " i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) as h, i as i)))"
     )
     rows = rows.withColumn("keys", key)
-    same = "(i > 0 and shiftright(keys[i - 1], bits) = shiftright(k, bits))"
-    same += " or (i < n_words - 3 and shiftright(keys[i + 1], bits) = shiftright(k, bits))"
-    at = F.expr(f"sort_array(transform(filter(keys, (k, i) -> {same}), k -> k & (shiftleft(1L, bits) - 1)))")
+    same = "(i > 0 and keys[i - 1].h = k.h) or (i < n_words - 3 and keys[i + 1].h = k.h)"
+    at = F.expr(f"sort_array(transform(filter(keys, (k, i) -> {same}), k -> cast(k.i as bigint)))")
     rows = rows.withColumn("at", at)
     covered = F.expr("aggregate(transform(at, (p, i) -> least(3L, coalesce(get(at, i + 1) - p, 3L))), 0L, (s, x) -> s + x)")
     return rows.select(
