@@ -23,10 +23,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.text import constants, mix, steps, whole, word_hashes, words_of
+from tidepanel.llm.text import BROADCAST_ROWS, constants, hot_limit, join_one, mix, steps, word_hashes, words_of
 from tidepanel.sources.staging import stage
 
 LENGTH = 20
@@ -107,6 +108,15 @@ def _anchored(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> It
         )
 
 
+def _joined(words: pa.Array, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """Runs of words, which may overlap, each joined by single spaces."""
+    size = high - low
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - low, size)
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.take(pa.array(at)))
+    return pc.binary_join(lists, " ")
+
+
 def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     names = ["shard_key", "segment_key", "d", "key_a", "key_b", "start", "windows", "segment"]
     for batch in steps(batches):
@@ -114,7 +124,7 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
         hashed = word_hashes(words)
         keys = sequence_keys(hashed, starts)
         columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names[:-1]]
-        text: list[str] = []
+        lows, highs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         told = batch.column("told").to_pylist()
         d = batch.column("d").to_numpy()
         for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
@@ -129,10 +139,11 @@ def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
             found = (least[hit].view(np.int64), span_keys(hashed[a:b], low, high), *same, low, n)
             for column, values in zip(columns, found, strict=True):
                 column.append(values)
-            strings = words.slice(a, b - a).to_pylist()
-            text += [" ".join(strings[x:y]) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+            lows.append(a + low)
+            highs.append(a + high)
         arrays = [pa.array(np.concatenate(c)) for c in columns]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(text, pa.string())], names=names)
+        text = _joined(words, np.concatenate(lows), np.concatenate(highs))
+        yield pa.RecordBatch.from_arrays([*arrays, text], names=names)
 
 
 CUT = "shard_key long, segment_key long, d long, key_a long, key_b long, start long, windows long, segment string"
@@ -153,9 +164,7 @@ def _cut_anew(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> It
         columns = [mix(former * np.uint64(3) + least).view(np.int64), span_keys(hashed, low, high)]
         columns += [batch.column(c).to_numpy()[row] for c in ("d", "key_a", "key_b")]
         columns += [batch.column("start").to_numpy()[row] + first, count]
-        strings = words.to_pylist()
-        text = [" ".join(strings[x:y]) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.array(text, pa.string())], names=names)
+        yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], _joined(words, low, high)], names=names)
 
 
 # ---- the index -----------------------------------------------------------------------------------
@@ -284,33 +293,44 @@ def _search_shard(shard: pa.Table, length: int) -> pa.Table:
 # ---- the job -------------------------------------------------------------------------------------
 
 
+def _cut_marks(told: list | None, words: pa.Array) -> np.ndarray | None:
+    """Which words of a text go, by the spans told for its word sequence; None if it has none."""
+    if not told:
+        return None
+    keys = sequence_keys(word_hashes(words), np.array([0, len(words)]))
+    cut = np.zeros(len(words) + 1, np.int64)
+    for t in told:
+        if (t["key_a"], t["key_b"]) == (keys[0, 0], keys[1, 0]):
+            for span in t["spans"]:
+                cut[min(span["begin"], len(words))] += 1
+                cut[min(span["stop"], len(words))] -= 1
+    return np.cumsum(cut)[:-1] > 0
+
+
+def _digests(texts: pa.Array) -> pa.Array:
+    """The sha256 of every text, from the bytes where they lie."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    data = memoryview(texts.buffers()[2] or b"")
+    return pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+
+
 def _removed(batches: Iterator[pa.RecordBatch], texts: bool, keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches):
         words, starts = words_of(batch.column("text"))
-        told = batch.column("told").to_pylist()
-        own = batch.column("text")
-        keys = None
-        count, gone, out = np.diff(starts), [], []
-        for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
-            left = words.slice(a, b - a)
-            if told[i]:
-                if keys is None:
-                    keys = sequence_keys(word_hashes(words), starts)
-                cut = np.zeros(b - a + 1, np.int64)
-                for t in told[i]:
-                    if (t["key_a"], t["key_b"]) == (keys[0, i], keys[1, i]):
-                        for span in t["spans"]:
-                            cut[min(span["begin"], b - a)] += 1
-                            cut[min(span["stop"], b - a)] -= 1
-                left = left.filter(pa.array(np.cumsum(cut)[:-1] == 0))
-            gone.append(b - a - len(left))
-            out.append(own[i].as_py() if texts and not gone[-1] else " ".join(left.to_pylist()))
-        if texts:
-            kept = pa.array(out, pa.string())
-        else:
-            kept = pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in out], pa.string())
+        gone = np.zeros(len(words), bool)
+        for i in np.flatnonzero(batch.column("told").is_valid().to_numpy(zero_copy_only=False)):
+            a, b = int(starts[i]), int(starts[i + 1])
+            marks = _cut_marks(batch.column("told")[int(i)].as_py(), words.slice(a, b - a))
+            if marks is not None:
+                gone[a:b] = marks
+        before = np.concatenate([[0], np.cumsum(gone)])[starts]
+        lost = np.diff(before)
+        offsets = pa.array((starts - before).astype(np.int32))
+        left = words.filter(pa.array(~gone)) if lost.any() else words
+        kept = pc.binary_join(pa.ListArray.from_arrays(offsets, left), " ")
+        kept = pc.if_else(pa.array(lost == 0), batch.column("text"), kept) if texts else _digests(kept)
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in keep], pa.array(count.astype(np.int64)), pa.array(gone, pa.int64()), kept],
+            [*[batch.column(c) for c in keep], pa.array(np.diff(starts).astype(np.int64)), pa.array(lost.astype(np.int64)), kept],
             names=[*keep, "n_words", "n_removed", "kept"],
         )
 
@@ -335,8 +355,10 @@ def entries(cut: DataFrame, length: int, anchor: int) -> tuple[DataFrame, DataFr
         if heavy.isEmpty():
             kept.append(entry)
             break
-        kept.append(entry.join(F.broadcast(heavy), "shard_key", "left_anti"))
-        cut = entry.join(F.broadcast(heavy), "shard_key").select(*cut.columns)
+        if heavy.count() <= BROADCAST_ROWS:
+            heavy = F.broadcast(heavy)
+        kept.append(entry.join(heavy, "shard_key", "left_anti"))
+        cut = entry.join(heavy, "shard_key").select(*cut.columns)
         cut = stage(cut.mapInArrow(lambda it, longer=longer: _cut_anew(it, length, longer), CUT), "segments")
     return reduce(DataFrame.union, [k.select(*cut.columns) for k in kept]), reduce(DataFrame.union, repeats)
 
@@ -353,8 +375,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
     single = known.join(firsts.withColumnRenamed("first", "d"), ["d", *keys], "left_semi").dropDuplicates(["d", *keys])
     exploded = single.select("d", *keys, F.explode("anchors").alias("anchor"))
-    often = exploded.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    hits = exploded.join(often, "anchor").groupBy("d", *keys).agg(F.collect_set("anchor").alias("anchors"))
+    often = stage(exploded.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    # What very many texts share is looked up where those are.
+    hits = join_one(exploded, often, "anchor", hot_limit(often.agg(F.sum("n")).first()[0] or 0))
+    hits = hits.groupBy("d", *keys).agg(F.collect_set("anchor").alias("anchors"))
     wanted = hits.groupBy("d").agg(F.collect_list(F.struct(*keys, "anchors")).alias("told"))
     wanted = stage(wanted, "wanted")
     cut = rows.join(wanted, "d").select("d", "text", "told").mapInArrow(

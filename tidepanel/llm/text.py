@@ -100,3 +100,25 @@ def keep_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """
     few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
+#: Rows of one key that a task may meet in a join, and keys (a row of integers each) that are broadcast because
+#: they have more.
+HOT_ROWS, HOT_KEYS = 2000, 1 << 20
+
+
+def hot_limit(rows: int) -> int:
+    """Rows beyond which a key is hot: so many that at most HOT_KEYS keys of a table of ``rows`` rows are."""
+    return max(HOT_ROWS, rows // HOT_KEYS)
+
+
+def join_one(rows: DataFrame, table: DataFrame, on: str, limit: int) -> DataFrame:
+    """Inner join with a table of one row a key, whose column ``n`` counts the key's ``rows``.
+
+    Hot keys, see ``hot_limit``, are looked up by broadcast where their rows are, so that none of them
+    brings all its rows to one task; the others are shuffled.
+    """
+    hot = F.broadcast(table.filter(F.col("n") > limit))
+    found = rows.join(hot, on).drop("n")
+    rest = rows.join(hot.select(on), on, "left_anti")
+    return found.union(rest.join(table.filter(F.col("n") <= limit), on).select(*found.columns, "n").drop("n"))
