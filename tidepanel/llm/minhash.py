@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.components import components
-from tidepanel.llm.text import constants, keep_rows, mix, steps, whole, word_hashes, words_of
+from tidepanel.llm.text import constants, hot_limit, join_one, keep_rows, mix, steps, whole, word_hashes, words_of
 from tidepanel.sources.staging import stage
 
 HASHES = 200
@@ -158,10 +158,10 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = _sorted_values(x), _sorted_values(y)
             sizes.append(len(y))
             lists.append(np.setxor1d(x, y, assume_unique=True).tobytes())
-        rest = [batch.column(c) for c in ("a", "b", "component", "query")]
+        rest = batch.select(["a", "b", "component", "query", "blocks", "query_blocks"])
         yield pa.RecordBatch.from_arrays(
-            [*rest, pa.array(sizes, pa.int64()), pa.array(lists, pa.binary())],
-            names=["a", "b", "component", "query", "n", "d"],
+            [*rest.columns, pa.array(sizes, pa.int64()), pa.array(lists, pa.binary())],
+            names=[*rest.schema.names, "n", "d"],
         )
 
 
@@ -206,11 +206,14 @@ def _links_between(star: DataFrame, sets: DataFrame, found: DataFrame, percent:
         F.ceil((F.col("rows") - F.col("most")) / BLOCK).alias("query_blocks"),
     )
     still = stage(groups.join(of_centre, "a").withColumn("query", F.col("component") != F.col("main")), "open")
-    centre, member = (sets.select(F.col("class").alias(x), F.col("members").alias(f"s{x}")) for x in "ab")
-    lists = still.join(centre, "a").join(member, "b").select("a", "b", "component", "query", "sa", "sb")
-    lists = stage(lists.mapInArrow(_differences, "a long, b long, component long, query boolean, n long, d binary"), "differences")
-    rows = lists.join(still.select("a", "blocks", "query_blocks").distinct(), "a")
+    # The rows of one centre meet its set in as many tasks as it has blocks.
     zero = F.lit(0).cast("long")
+    salts = of_centre.select("a", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("salt"))
+    centre, member = (sets.select(F.col("class").alias(x), F.col("members").alias(f"s{x}")) for x in "ab")
+    lists = still.withColumn("salt", F.pmod(F.xxhash64("b"), "blocks")).join(salts.join(centre, "a"), ["a", "salt"]).join(member, "b")
+    lists = lists.select("a", "b", "component", "query", "blocks", "query_blocks", "sa", "sb")
+    kinds = "a long, b long, component long, query boolean, blocks long, query_blocks long, n long, d binary"
+    rows = stage(lists.mapInArrow(_differences, kinds), "differences")
     spread = {
         False: (F.pmod(F.xxhash64("b"), "blocks"), F.explode(F.sequence(zero, F.col("query_blocks") - 1))),
         True: (F.explode(F.sequence(zero, F.col("blocks") - 1)), F.pmod(F.xxhash64("b"), "query_blocks")),
@@ -221,10 +224,23 @@ def _links_between(star: DataFrame, sets: DataFrame, found: DataFrame, percent:
         )
         for as_query, (x, y) in spread.items()
     ]
-    blocks = dealt[0].union(dealt[1]).groupBy("a", "x", "y")
+    # Dealt by block: what came before is dealt by centre, which would do for the grouping as well.
+    blocks = dealt[0].union(dealt[1]).repartition("a", "x", "y").groupBy("a", "x", "y")
     return stage(blocks.applyInArrow(lambda t: _block_links(t, percent), "a long, b long"), "links")
 
 
+def _with_centres(star: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with minima and set of a; those of a centre with very many pairs in several tasks."""
+    limit = hot_limit(star.count())
+    heavy = star.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(limit)).alias("salts"))
+    heavy = F.broadcast(stage(heavy.filter("salts > 1"), "centres"))
+    zero = F.lit(0).cast("long")
+    salted = star.join(heavy, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1).cast("long"))))
+    copies = sets.toDF("a", "ma", "sa").join(heavy, "a", "left")
+    copies = copies.withColumn("salt", F.explode(F.sequence(zero, F.coalesce("salts", F.lit(1).cast("long")) - 1))).drop("salts")
+    return salted.drop("salts").join(copies, ["a", "salt"]).drop("salt")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -247,8 +263,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = THRESHOLD_PER
     texts = docs.select(F.col("doc_id").alias("class"), "text")
 
     banded = stage(classes.select("class", "bands").mapInArrow(_buckets, "bucket long, class long"), "bands")
-    shared = banded.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"))
-    members = stage(banded.join(shared.filter("first < last").select("bucket", "first"), "bucket"), "buckets")
+    shared = banded.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = shared.filter("first < last").select("bucket", "first", "n")
+    members = stage(join_one(banded, shared, "bucket", hot_limit(banded.count())), "buckets")
     star = members.filter("first <> class").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
     star = stage(star, "pairs")
     wanted = stage(star.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
@@ -256,7 +273,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = THRESHOLD_PER
         lambda it: _set_rows(it, size), "class long, minima binary, members binary"
     )
     sets = stage(sets, "sets")
-    full = star.join(sets.toDF("a", "ma", "sa"), "a").join(sets.toDF("b", "mb", "sb"), "b")
+    full = _with_centres(star, sets).join(sets.toDF("b", "mb", "sb"), "b")
     links = stage(full.mapInArrow(lambda it: _confirmed(it, percent), "a long, b long"), "links")
     # A document on several rows joins their classes.
     several = own.groupBy("doc_id").agg(F.min("class").alias("a")).join(own, "doc_id")
