@@ -396,7 +396,7 @@ def test_words_are_cut_where_the_library_does_not_join(spark):
     for i in range(0, len(letters), 20_000):
         same([f"{c}. a{c}, b" for c in letters[i : i + 20_000]])
     rng = np.random.default_rng(0)
-    alphabet = [*"aB1.,, \u0130\u03a3\u03c2\u0958\u09dc\u0a33\u05e9\u00e9'\u2019\u00a0\n\u0144\u01c5\u1e9e\ufb01\u212b\u2460\u00b2\u2167\uac00\u1100\u1161", "'s"]
+    alphabet = [*"aB1.,,*$%&#!?;:()[]_`~|<>@\\/- \u0130\u03a3\u03c2\u0958\u09dc\u0a33\u05e9\u00e9'\u2019\u00a0\n\u0144\u01c5\u1e9e\ufb01\u212b\u2460\u00b2\u2167\uac00\u1100\u1161", "'s"]
     same(["".join(rng.choice(alphabet, rng.integers(1, 14))) for _ in range(20_000)])
 
 

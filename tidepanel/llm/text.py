@@ -53,6 +53,8 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     flat = lists.flatten()
     starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    if full.all():
+        return flat, starts
     before = np.concatenate([[0], np.cumsum(full)])
     return flat.filter(pa.array(full)), before[starts]
 

@@ -7,7 +7,7 @@ counted before every block of ``BLOCK`` bits, each plane deflated if that is sma
 commits the table, so a task that is run again leaves no second copy.
 
 Blob: magic ``WVM1``; u8 planes; u32 ids; u32 symbols; the symbols as u32; per plane u32 zeros, u8 packing
-(0 raw, 1 zlib), u32 size of the packed bits, the bits (first bit lowest), then the block counts as u32.
+(0 raw, 1 zstandard), u32 size of the packed bits, the bits (first bit lowest), then the block counts as u32.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,8 +39,8 @@ END = 2
 #: Words whose ids a task remembers at most.
 REMEMBERED = 600_000
 #: Words that are encoded together.
-JOINED = 64
-MAGIC = b"WVM1"
+JOINED = 256
+MAGIC = b"WVM2"
 
 
 # ---- the structure -------------------------------------------------------------------------------
@@ -52,6 +53,7 @@ def write_blob(ids: np.ndarray) -> bytes:
     place[symbols] = np.arange(len(symbols))
     planes = max(1, int(len(symbols) - 1).bit_length()) if len(symbols) else 1
     now = place[ids].astype(np.uint16 if planes <= 16 else np.uint32)
+    squeeze = zstandard.ZstdCompressor(level=1)
     out = [MAGIC, struct.pack("<BII", planes, len(ids), len(symbols)), symbols.astype("<u4").tobytes()]
     for level in range(planes - 1, -1, -1):
         bit = (now & (1 << level)).astype(bool)
@@ -59,7 +61,7 @@ def write_blob(ids: np.ndarray) -> bytes:
         packed = np.concatenate([packed, np.zeros(-len(packed) % (BLOCK // 8), np.uint8)])
         per_block = np.bitwise_count(packed).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
         raw = packed.tobytes()
-        small = zlib.compress(raw, 1)
+        small = squeeze.compress(raw)
         packing, body = (1, small) if len(small) < 0.95 * len(raw) else (0, raw)
         zeros = np.compress(~bit, now)
         out += [struct.pack("<IBI", len(zeros), packing, len(body)), body]
@@ -79,6 +81,7 @@ class WaveletMatrix:
         self.symbols = np.frombuffer(blob, "<u4", count, at)
         at += 4 * count
         self.bits, self.counts, self.zeros = [], [], []
+        opened = zstandard.ZstdDecompressor()
         blocks = -(-(-(-self.size // 8)) // (BLOCK // 8))
         for _ in range(self.planes):
             zeros, packing, length = struct.unpack_from("<IBI", blob, at)
@@ -86,7 +89,7 @@ class WaveletMatrix:
             body = blob[at : at + length]
             at += length
             self.zeros.append(zeros)
-            self.bits.append(np.frombuffer(zlib.decompress(body) if packing else body, np.uint8))
+            self.bits.append(np.frombuffer(opened.decompress(body) if packing else body, np.uint8))
             self.counts.append(np.frombuffer(blob, "<u4", blocks + 1, at))
             at += 4 * (blocks + 1)
 
@@ -170,8 +173,8 @@ class WaveletMatrix:
 class Encoder:
     """Ids of texts, word by word.
 
-    The tokenizer drops white space and never joins across it, nor a letter or digit with a full stop
-    or comma after it, so texts are cut there and each different word is encoded once. It judges letters
+    The tokenizer drops white space and never joins across it, nor a letter or digit with an ASCII mark
+    after it but an apostrophe, so texts are cut there and each different word is encoded once. It judges letters
     after normalizing; no cut is made behind one that its normalizer does not turn into one letter or
     digit. Texts that may spell a special token are encoded as they are.
     """
@@ -188,7 +191,7 @@ class Encoder:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
 
     def _cuts(self) -> str:
-        """A pattern of a letter or digit that stays one, and the full stop or comma after it."""
+        """A pattern of a letter or digit that stays one, and the ASCII mark after it, apostrophes aside."""
         every = pa.array([chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000])
         letters = every.filter(pc.match_substring_regex(every, r"[\p{L}\p{N}]"))
         # All at once, apart from each other.
@@ -196,7 +199,7 @@ class Encoder:
         normal = self.tool.normalizer.normalize_str(normal) if self.tool.normalizer else normal
         stays = pc.match_substring_regex(pa.array(normal.split(" ")), r"^[\p{L}\p{N}]$")
         changed = "".join(rf"\x{{{ord(c):x}}}" for c in letters.filter(pc.invert(stays)).to_pylist())
-        return rf"([^\P{{L}}{changed}]|[^\P{{N}}{changed}])([.,])"
+        return rf"([^\P{{L}}{changed}]|[^\P{{N}}{changed}])([!-&(-/:-@\[-`{{-~])"
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
