@@ -277,7 +277,7 @@ def merger(path: str, dropout: float, seed: int) -> Merger:
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, dropout: float, seed: int, full: bool) -> Iterator[pa.RecordBatch]:
     tool = merger(path, dropout, seed)
-    for batch in steps(batches, LOOKUP_BYTES):
+    for batch in steps(batches, LOOKUP_BYTES // 2):
         numbers = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         keys = mix(numbers + constants(1, seed)[0])
         texts = pc.fill_null(whole(batch.column("text")), "")

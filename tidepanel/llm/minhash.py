@@ -202,10 +202,14 @@ def _links_between(star: DataFrame, sets: DataFrame, found: DataFrame, percent:
     of_centre = of_centre.filter("most < rows").select(
         "a",
         "main",
+        "rows",
         F.ceil(F.col("rows") / BLOCK).alias("blocks"),
         F.ceil((F.col("rows") - F.col("most")) / BLOCK).alias("query_blocks"),
     )
-    still = stage(groups.join(of_centre, "a").withColumn("query", F.col("component") != F.col("main")), "open")
+    # A centre's group is its pairs and itself.
+    of_centre = stage(of_centre, "centres")
+    still = join_one(groups, of_centre.withColumn("n", F.col("rows")).drop("rows"), "a", hot_limit(2 * star.count()))
+    still = stage(still.withColumn("query", F.col("component") != F.col("main")), "open")
     # The rows of one centre meet its set in as many tasks as it has blocks.
     zero = F.lit(0).cast("long")
     salts = of_centre.select("a", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("salt"))

@@ -342,9 +342,13 @@ def entries(cut: DataFrame, length: int, anchor: int) -> tuple[DataFrame, DataFr
     kept, repeats = [], []
     # The last run is the whole window: then equal windows are equal segments, and no entry is left to search.
     for longer in (*(anchor + (length - anchor) * k // 3 for k in (1, 2, 3)), None):
-        entry = cut.groupBy(*by_segment).agg(F.min(F.struct("d", *keys, "start", "windows", "segment")).alias("first"))
-        entry = stage(entry.select(*by_segment, "first.*"), "entries")
-        again = cut.join(entry.select(*by_segment, place.alias("first")), by_segment).filter(place != F.col("first"))
+        first = F.min(F.struct("d", *keys, "start", "windows", "segment")).alias("first")
+        entry = cut.groupBy(*by_segment).agg(first, F.count(F.lit(1)).alias("n"))
+        counted = stage(entry.select(*by_segment, "first.*", "n"), "entries")
+        entry = counted.drop("n")
+        # A segment that occurs once has no others.
+        firsts = counted.filter("n > 1").select(*by_segment, place.alias("first"), "n")
+        again = join_one(cut, firsts, by_segment, hot_limit(cut.count())).filter(place != F.col("first"))
         stop = F.col("start") + F.col("windows") + length - 1
         repeats.append(again.select("d", *keys, F.col("start").alias("begin"), stop.alias("stop")))
         if longer is None:
@@ -369,8 +373,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     schema = "d long, key_a long, key_b long, n_words long, anchors array<long>"
     known = stage(rows.mapInArrow(lambda it: _anchored(it, length, anchor), schema), "anchors").filter(F.col("n_words") >= length)
     keys = ["key_a", "key_b"]
-    firsts = stage(known.groupBy(*keys).agg(F.min("d").alias("first")), "firsts")
-    plain = known.select("d", *keys, "n_words").join(firsts, keys)
+    counted = stage(known.groupBy(*keys).agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    firsts = counted.drop("n")
+    plain = join_one(known.select("d", *keys, "n_words"), counted.filter("n > 1"), keys, hot_limit(known.count()))
     copies = plain.filter("d <> first").select("d", *keys, F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("stop"))
 
     single = known.join(firsts.withColumnRenamed("first", "d"), ["d", *keys], "left_semi").dropDuplicates(["d", *keys])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,14 @@ def whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: workers are kept between stages, beside a full Java heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform.startswith("linux") else None
+    if trim:
+        trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut by rows so that a piece has about ``size`` bytes of text or is one row."""
     for batch in batches:
@@ -45,6 +55,8 @@ def steps(batches: Iterator[pa.RecordBatch], size: int = STEP_BYTES, text: str =
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    batch = None
+    give_back()
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -114,13 +126,14 @@ def hot_limit(rows: int) -> int:
     return max(HOT_ROWS, rows // HOT_KEYS)
 
 
-def join_one(rows: DataFrame, table: DataFrame, on: str, limit: int) -> DataFrame:
+def join_one(rows: DataFrame, table: DataFrame, on: str | list[str], limit: int) -> DataFrame:
     """Inner join with a table of one row a key, whose column ``n`` counts the key's ``rows``.
 
     Hot keys, see ``hot_limit``, are looked up by broadcast where their rows are, so that none of them
     brings all its rows to one task; the others are shuffled.
     """
+    on = [on] if isinstance(on, str) else on
     hot = F.broadcast(table.filter(F.col("n") > limit))
     found = rows.join(hot, on).drop("n")
-    rest = rows.join(hot.select(on), on, "left_anti")
-    return found.union(rest.join(table.filter(F.col("n") <= limit), on).select(*found.columns, "n").drop("n"))
+    rest = rows.join(hot.select(*on), on, "left_anti")
+    return found.union(rest.join(table.filter(F.col("n") <= limit), on).select(*found.columns))
