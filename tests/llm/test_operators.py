@@ -29,7 +29,6 @@ from tidepanel.llm import (
     wavelet,
     weak_rules,
 )
-
 from tidepanel.llm.text import hot_limit, join_one
 
 SCHEMA = "doc_id long, text string, told string, n_words int, bands string, d string, _d int, row string"
