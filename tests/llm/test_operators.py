@@ -239,21 +239,74 @@ def test_brown_base_and_distribution(docs, empty):
     assert brown.score(empty).count() == 0
 
 
-def test_exchange_raises_the_likelihood():
+def numbered_lines(spark, lines, block_words=500):
+    """Blocks of the lines with a slot for every word in order of its name, as one bucket of an even and one of an odd name."""
+    vocabulary = sorted({w for line in lines for w in line})
+    size = (len(vocabulary) + 1) // 2
+    slot = {w: i % 2 * size + i // 2 for i, w in enumerate(vocabulary)}
+    c = Counter(w for line in lines for w in line)
+    docs = [(i, False, " ".join(line)) for i, line in enumerate(lines)]
+    rows = spark.createDataFrame(docs, "doc_id long, held boolean, text string").repartition(3)
+    blocks = rows.mapInArrow(lambda it: brown._blocks(it, block_words), brown.BLOCKS)
+
+    def found(words):
+        return [(at, c[w], slot[w]) for at, w in enumerate(words)]
+
+    told = F.udf(found, "array<struct<at: int, c: long, id: long>>")("words")
+    blocks = blocks.withColumn("found", told)
+    return blocks.mapInArrow(lambda it: brown._numbered(it, 2 * size), brown.NUMBERED).cache(), slot, size
+
+
+def class_table(lines, slot, of, last):
+    table, end = np.zeros((last, last)), len(of) - 1
+    for line in lines:
+        units = [end, *(slot[w] for w in line), end]
+        for x, y in zip(units, units[1:], strict=False):
+            table[of[x], of[y]] += 1
+    return table
+
+
+def test_cluster_counts_class_pairs_and_raises_the_likelihood(spark, monkeypatch):
     rng = np.random.default_rng(2)
-    truth = np.repeat([0, 1], 20)
-    line = [0]
-    for _ in range(8000):
-        line.append(int(rng.integers(0, 20)) + (20 if truth[line[-1]] == 0 else 0))
-    of = np.concatenate([rng.integers(0, 2, 40), [2]])
-    pairs = np.zeros((41, 41))
-    np.add.at(pairs, (line[:-1], line[1:]), 1)
-    for sweep in range(12):
-        after, before = np.zeros((41, 3)), np.zeros((41, 3))
-        for k in range(3):
-            after[:, k], before[:, k] = pairs[:, of == k].sum(axis=1), pairs[of == k].sum(axis=0)
-        brown.exchange(after, before, np.diag(pairs), of, sweep, 40, 2)
-    assert len(set(of[:20])) == 1 and len(set(of[20:40])) == 1 and of[0] != of[20]
+    # Words of two kinds take turns, some twice in a row; the first word is by far the most frequent.
+    lines = []
+    for _ in range(120):
+        line = [f"{'ab'[j % 2]}{int(rng.integers(0, 40) * rng.integers(0, 2)):02}" for j in range(60)]
+        lines.append([w for w in line for _ in range(1 + (w == "a07"))])
+    numbered, slot, size = numbered_lines(spark, lines)
+    monkeypatch.setattr(brown, "CLASSES", 2)
+    of, table = brown.cluster(numbered, len(slot), size, 2)
+    last = len(table)
+    assert (table == class_table(lines, slot, of, last)).all()
+    first = of.copy()
+    first[: 2 * size] = np.arange(2 * size) % size % 2
+
+    def likelihood(t):
+        return brown._xlogx(t).sum() - brown._xlogx(t.sum(axis=0)).sum() - brown._xlogx(t.sum(axis=1)).sum()
+
+    assert likelihood(table) > likelihood(class_table(lines, slot, first, last))
+    kinds = {k: {int(of[i]) for w, i in slot.items() if w[0] == k} for k in "ab"}
+    assert len(kinds["a"]) == len(kinds["b"]) == 1 and kinds["a"] != kinds["b"]
+    # Words cut into many pieces give the same classes.
+    again, pairs = brown.cluster(numbered, len(slot), size, 2, slice_tokens=20)
+    assert (again == of).all() and (pairs == table).all()
+    pieces = brown.pair_pieces(numbered, size, 2, 20).collect()
+    assert max(r.slice for r in pieces) > 20 and {r.part for r in pieces} == {0, 1, 2}
+    lists = [tuple(np.frombuffer(r[c], t) for c, t in (("word", np.uint32), ("other", np.uint32), ("n", np.int64))) for r in pieces]
+    counted = Counter()
+    for r, (word, other, n) in zip(pieces, lists, strict=True):
+        for w, o, k in zip(word.tolist(), other.tolist(), n.tolist(), strict=True):
+            unit = r.bucket * size + w // 2 * brown.PARTS + r.part
+            assert (unit, o, w % 2) not in counted
+            counted[unit, o, w % 2] = k
+    end = 2 * size + brown.FORMS
+    expected = Counter()
+    for line in lines:
+        units = [end, *(slot[w] for w in line), end]
+        for x, y in zip(units, units[1:], strict=False):
+            expected[x, y, brown.AFTER] += x != end
+            expected[y, x, brown.BEFORE] += y != end
+    assert counted == +expected
 
 
 def test_brown_clusters_every_word_of_five_tokens(spark):

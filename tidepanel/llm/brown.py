@@ -4,11 +4,14 @@
    documents, and the texts as indexes into them. Blocks are written once.
 2. Word counts are summed over the blocks' words, not over tokens.
 3. Every word of ``MIN_COUNT`` tokens or more is put into one of ``CLASSES`` classes by exchange clustering.
-   Words are dealt to buckets by a hash. In each sweep the blocks sum the neighbour classes of their
-   words, the sums of a bucket meet in one task, and it moves its words to the class that raises the
-   class-bigram likelihood most, judged against the class-by-class counts. One byte a word, its class, is
-   what all tasks are told. Rarer words stand for the unknown ones: they belong to a class by their
-   form, which is how they end, their length and the hash of their last letters.
+   Words are dealt to buckets by a hash. The blocks count pairs of neighbours once; a pair goes to the
+   pieces of both its words, and equal pairs of all blocks become one. A word of very many tokens has
+   its neighbours in several pieces. A sweep moves a part of the words: their pieces sum the classes of
+   the neighbours, the sums of a bucket meet in one task, and it moves its words to the class that
+   raises the class-bigram likelihood most, judged against the class-by-class counts, which then change
+   by the pairs of those pieces. One byte a word, its class, is what all tasks are told. Rarer words
+   stand for the unknown ones: they belong to a class by their form, which is how they end, their
+   length and the hash of their last letters.
 4. P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards the
    class unigrams; in form classes an absolute discount leaves mass for one unknown word. The
    probabilities of all known words, the end and the unknown word of each form sum to one.
@@ -30,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.text import LOOKUP_BYTES, held_out, steps, whole, word_hashes, words_of
-from tidepanel.sources.staging import stage
+from tidepanel.llm.text import LOOKUP_BYTES, held_out, mix, steps, whole, word_hashes, words_of
+from tidepanel.sources.staging import stage, staging_path
 
 BLOCK_WORDS = 1_500_000
 #: Fewest training tokens of a word that is clustered.
@@ -40,8 +43,10 @@ CLASSES = 32
 SWEEPS = 9
 #: A sweep moves one part of the words in so many.
 PARTS = 3
-#: Clustered words of a bucket, about, and training tokens whose sums come to it at most, about.
-BUCKET_WORDS, BUCKET_TOKENS = 1 << 14, 1 << 25
+#: Clustered words of a bucket and training tokens of its words, about.
+BUCKET_WORDS, BUCKET_TOKENS = 1 << 14, 1 << 23
+#: A word's neighbours are dealt to one piece more for each so many of its training tokens.
+SLICE_TOKENS = 1 << 22
 #: Neighbour sums that are judged at a time.
 CELLS = 1 << 16
 #: Forms: end (letter, . or , or other) x short or long x hash of the last letters.
@@ -145,36 +150,115 @@ def _class_pairs(batches: Iterator[pa.RecordBatch], of: np.ndarray, last: int) -
 #: What a neighbour sum is of: classes behind a word, classes in front of it, the word behind itself.
 AFTER, BEFORE, OWN = range(3)
 
+#: Pairs in order of word and other: a word is its place among its part of the bucket's, twice, plus the kind.
+PIECES = "part int, bucket long, slice int, word binary, other binary, n binary"
 
-def _class_sums(batches: Iterator[pa.RecordBatch], of: np.ndarray, sweep: int, size: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The neighbour sums of this sweep's words, a row for each block and bucket."""
-    moves = np.zeros(len(of), bool)
-    moves[: size * buckets] = np.arange(size * buckets) % size % PARTS == sweep % PARTS
+
+def _piece(part: int, bucket: int, cut: int, word: np.ndarray, other: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    cells = [pa.array([part], pa.int32()), pa.array([bucket], pa.int64()), pa.array([cut], pa.int32())]
+    arrays = (word.astype(np.uint32), other.astype(np.uint32), n.astype(np.int64))
+    cells += [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+    return pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in PIECES.split(", ")])
+
+
+def _arrays(batch: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    word, other = (np.frombuffer(batch.column(c)[i].as_py(), np.uint32).astype(np.int64) for c in ("word", "other"))
+    return word, other, np.frombuffer(batch.column("n")[i].as_py(), np.int64)
+
+
+def _block_pieces(batches: Iterator[pa.RecordBatch], size: int, buckets: int, slice_tokens: int) -> Iterator[pa.RecordBatch]:
+    """The different training pairs of each block, dealt to the pieces of both words."""
+    slots = size * buckets
+    units = slots + FORMS + 1
     for batch in batches:
         for i in range(batch.num_rows):
-            x, y = _pairs(batch, i, len(of) - 1)
-            first, second, own = moves[x], moves[y], moves[x] & (x == y)
-            kinds = ((x[first], AFTER, of[y[first]]), (y[second], BEFORE, of[x[second]]), (x[own], OWN, np.uint8(0)))
-            code, n = np.unique(np.concatenate([(w * 3 + kind) * 256 + k for w, kind, k in kinds]), return_counts=True)
-            bucket = code // (768 * size)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            some = np.flatnonzero(np.diff(cuts))
-            code, n = (code - bucket * 768 * size).astype(np.int64), n.astype(np.int64)
-            spans = [(cuts[b], cuts[b + 1]) for b in some]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some, pa.int64()),
-                    pa.array([code[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
-                    pa.array([n[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
-                ],
-                names=["bucket", "code", "n"],
-            )
+            x, y = _pairs(batch, i, units - 1)
+            code, n = np.unique(x * units + y, return_counts=True)
+            x, y = code // units, code % units
+            first, second = x < slots, y < slots
+            word = np.concatenate([x[first], y[second]])
+            other = np.concatenate([y[first], x[second]])
+            kind = np.repeat([AFTER, BEFORE], [first.sum(), second.sum()])
+            n = np.concatenate([n[first], n[second]])
+            unit, c = _cells(batch, i)
+            often = (unit < slots) & (c >= slice_tokens)
+            cut = np.zeros(len(word), np.int64)
+            for hot, times in zip(unit[often], c[often] // slice_tokens + 1, strict=True):
+                here = np.flatnonzero(word == hot)
+                cut[here] = (mix(other[here].astype(np.uint64)) % np.uint64(times)).astype(np.int64)
+            bucket, place = word // size, word % size
+            part, short = place % PARTS, place // PARTS * 2 + kind
+            order = np.lexsort((other, short, cut, bucket, part))
+            home = np.stack([part, bucket, cut])[:, order]
+            cuts = np.flatnonzero((home[:, 1:] != home[:, :-1]).any(axis=0)) + 1
+            spans = [0, *cuts, len(order)] if len(order) else []
+            for a, b in zip(spans, spans[1:], strict=False):
+                at = order[a:b]
+                yield _piece(*home[:, a].tolist(), short[at], other[at], n[at])
+
+
+def _merged(rows: pa.Table, units: int) -> pa.Table:
+    """One piece of all blocks, equal pairs as one."""
+    word, other, n = (np.concatenate(x) for x in zip(*(_arrays(rows, i) for i in range(rows.num_rows)), strict=True))
+    code, which = np.unique(word * units + other, return_inverse=True)
+    n = np.bincount(which, n, len(code))
+    home = [rows.column(c)[0].as_py() for c in ("part", "bucket", "slice")]
+    return pa.Table.from_batches([_piece(*home, code // units, code % units, n)])
+
+
+def pair_pieces(lines: DataFrame, size: int, buckets: int, slice_tokens: int) -> DataFrame:
+    """The pieces of all blocks, written by part, since a sweep reads one part."""
+    units = size * buckets + FORMS + 1
+    pieces = lines.mapInArrow(lambda it: _block_pieces(it, size, buckets, slice_tokens), PIECES)
+    pieces = pieces.groupBy("part", "bucket", "slice").applyInArrow(lambda t: _merged(t, units), PIECES)
+    path = staging_path(lines.sparkSession, "pairs")
+    pieces.write.partitionBy("part").parquet(path)
+    return lines.sparkSession.read.schema(pieces.schema).parquet(path)
+
+
+def _class_sums(batches: Iterator[pa.RecordBatch], of: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """The neighbour sums of each piece's words."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part, bucket = batch.column("part")[i].as_py(), batch.column("bucket")[i].as_py()
+            word, other, n = _arrays(batch, i)
+            place = word // 2 * PARTS + part
+            sums = np.bincount(word * 256 + of[other], n)
+            some = np.flatnonzero(sums)
+            w, kind, k = some // 512, some // 256 % 2, some % 256
+            own = np.flatnonzero((word % 2 == AFTER) & (other == bucket * size + place))
+            code = np.concatenate([((w * PARTS + part) * 3 + kind) * 256 + k, (place[own] * 3 + OWN) * 256])
+            n = np.concatenate([sums[some].astype(np.int64), n[own]])
+            cells = [pa.array([bucket], pa.int64())]
+            cells += [pa.array([x.tobytes()], pa.binary()) for x in (code.astype(np.uint32), n)]
+            yield pa.RecordBatch.from_arrays(cells, names=["bucket", "code", "n"])
+
+
+def _class_changes(batches: Iterator[pa.RecordBatch], old: np.ndarray, new: np.ndarray, size: int, last: int) -> Iterator[pa.RecordBatch]:
+    """What the class pairs change by when one part of the words has moved, from the part's pieces."""
+    slots, table = len(old) - FORMS - 1, np.zeros(last * last)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part, bucket = batch.column("part")[i].as_py(), batch.column("bucket")[i].as_py()
+            word, other, n = _arrays(batch, i)
+            # Of a pair of two words of the part, the first one's piece has it too.
+            once = (word % 2 == AFTER) | (other >= slots) | (other % size % PARTS != part)
+            word, other, n = word[once], other[once], n[once]
+            unit, after = bucket * size + word // 2 * PARTS + part, word % 2 == AFTER
+            for of, sign in ((old, -1), (new, 1)):
+                mine, its = of[unit].astype(np.int64), of[other].astype(np.int64)
+                code = np.where(after, mine * last + its, its * last + mine)
+                table += sign * np.bincount(code, n, last * last)
+    code = np.flatnonzero(table)
+    n = pa.array(table[code].astype(np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array(code // last), pa.array(code % last), n], names=["x", "y", "n"])
 
 
 def _moved(rows: pa.Table, of: np.ndarray, table: np.ndarray, size: int, classes: int) -> pa.Table:
     """The classes of a bucket's words after a sweep."""
     bucket = rows.column("bucket")[0].as_py()
-    code, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint32).astype(np.int64) for c in ("code", "n"))
+    code = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint32).astype(np.int64)
+    n = np.frombuffer(b"".join(rows.column("n").to_pylist()), np.int64)
     code, which = np.unique(code, return_inverse=True)
     n = np.bincount(which, n)
     word, kind, k = code // 768, code // 256 % 3, code % 256
@@ -251,24 +335,6 @@ def best_classes(table: np.ndarray, g: np.ndarray, after: Sums, before: Sums, ow
     return np.where(gain[at, best] > gain[at, g] + 1e-6, best, g)
 
 
-def exchange(after: np.ndarray, before: np.ndarray, own: np.ndarray, of: np.ndarray, sweep: int, words: int, classes: int) -> int:
-    """One sweep: every third of the first ``words`` units moves to its best class, in place in ``of``.
-
-    after[w, g] and before[w, g] count class g behind and in front of w, own[w] counts w before itself.
-    All moves of a sweep are judged by the class counts at its start, which these sums belong to;
-    so only a part of the words moves in a sweep, another part in the next.
-    """
-    total = int(of.max()) + 1
-    table = np.zeros((total, total))
-    np.add.at(table, of, after)
-    w = np.arange(sweep % PARTS, words, PARTS)
-    sums = [(*np.nonzero(x[w]), x[w][np.nonzero(x[w])]) for x in (after, before)]
-    new = best_classes(table, of[w], *sums, own[w], classes)
-    moved = int((new != of[w]).sum())
-    of[w] = new
-    return moved
-
-
 class Model(NamedTuple):
     #: Class of each unit: slots of clustered words, forms, the end. Transition log10 by class; tokens of each class.
     of: np.ndarray
@@ -292,36 +358,49 @@ def _form_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def cluster(numbered: DataFrame, words: int, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each unit and the class pairs; the words have the slots bucket * size + place."""
+def cluster(numbered: DataFrame, words: int, size: int, buckets: int, slice_tokens: int = SLICE_TOKENS) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each unit and the class pairs; the words have the slots bucket * size + place.
+
+    All moves of a sweep are judged by the class pairs at its start, so only every third word moves in it.
+    """
     context = numbered.sparkSession.sparkContext
     classes = min(CLASSES, max(1, words))
     last, slots = classes + FORMS + 1, size * buckets
     of = np.concatenate([np.arange(slots) % size % classes, classes + np.arange(FORMS + 1)]).astype(np.uint8)
     lines = numbered.select("held", "lengths", "tokens", "units", "counts")
 
-    def pairs(told) -> np.ndarray:
-        sums = lines.mapInArrow(lambda it: _class_pairs(it, told.value, last), "x long, y long, n long")
+    def total(sums: DataFrame) -> np.ndarray:
         table = np.zeros((last, last))
         for r in sums.groupBy("x", "y").agg(F.sum("n").alias("n")).collect():  # classes x classes cells
             table[r["x"], r["y"]] = r["n"]
         return table
 
-    def moved(told, judged, sweep: int) -> DataFrame:
-        sums = lines.mapInArrow(lambda it: _class_sums(it, told.value, sweep, size, buckets), "bucket long, code binary, n binary")
+    def moved(pieces: DataFrame, told, judged) -> DataFrame:
+        sums = pieces.mapInArrow(lambda it: _class_sums(it, told.value, size), "bucket long, code binary, n binary")
         return sums.groupBy("bucket").applyInArrow(
             lambda t: _moved(t, told.value, judged.value, size, classes), "bucket long, classes binary"
         )
 
-    for sweep in range(SWEEPS if words > 1 else 0):
-        told = context.broadcast(of)
-        judged = context.broadcast(pairs(told))
+    def changes(pieces: DataFrame, before, after) -> DataFrame:
+        return pieces.mapInArrow(
+            lambda it: _class_changes(it, before.value, after.value, size, last), "x long, y long, n long"
+        )
+
+    told = context.broadcast(of)
+    table = total(lines.mapInArrow(lambda it: _class_pairs(it, told.value, last), "x long, y long, n long"))
+    if words < 2:
+        return of, table
+    pairs = pair_pieces(lines, size, buckets, slice_tokens)
+    for sweep in range(SWEEPS):
+        pieces, judged = pairs.filter(F.col("part") == sweep % PARTS), context.broadcast(table)
         of = of.copy()
-        for r in moved(told, judged, sweep).collect():  # a byte a word
+        for r in moved(pieces, told, judged).collect():  # a byte a word
             of[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["classes"], np.uint8)
-        told.unpersist()
+        before, told = told, context.broadcast(of)
+        table += total(changes(pieces, before, told))
+        before.unpersist()
         judged.unpersist()
-    return of, pairs(context.broadcast(of))
+    return of, table
 
 
 def fit(blocks: DataFrame, counts: DataFrame, cells: DataFrame) -> tuple[Model, DataFrame]:
