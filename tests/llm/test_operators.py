@@ -237,6 +237,8 @@ def test_brown_base_and_distribution(docs, empty):
         assert r.base_score == pytest.approx(base) and r.held_out == out(i) and r.train_tokens == n
         assert (r.n_tokens, r.n_known) == (len(w) + 1, sum(c[x] > 0 for x in [*w, None])) and r.score < 0
     assert brown.score(empty).count() == 0
+    blank = docs.sparkSession.createDataFrame([(1, ""), (2, None), (2, " \n")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens) for r in brown.score(blank).collect()) == [(1, 1), (2, 1), (2, 1)]
 
 
 def numbered_lines(spark, lines, block_words=500):
@@ -250,11 +252,18 @@ def numbered_lines(spark, lines, block_words=500):
     blocks = rows.mapInArrow(lambda it: brown._blocks(it, block_words), brown.BLOCKS)
 
     def found(words):
-        return [(at, c[w], slot[w]) for at, w in enumerate(words)]
-
-    told = F.udf(found, "array<struct<at: int, c: long, id: long>>")("words")
+        places = [slot[w] % size if slot[w] // size == b else None for b in range(2) for w in words]
+        cells = []
+        for b in range(2):
+            here = [(at, p) for at, p in enumerate(places[b * len(words) : (b + 1) * len(words)]) if p is not None]
+            at, place = (np.array([h[k] for h in here], t) for k, t in ((0, np.uint32), (1, np.int32)))
+            n = np.array([c[words[i]] for i in at], np.int64)
+            cells.append((b, brown._packed(at), brown._packed(place), brown._packed(n)))
+        return cells
+
+    told = F.udf(found, "array<struct<bucket: long, at: binary, place: binary, c: binary>>")("words")
     blocks = blocks.withColumn("found", told)
-    return blocks.mapInArrow(lambda it: brown._numbered(it, 2 * size), brown.NUMBERED).cache(), slot, size
+    return blocks.mapInArrow(lambda it: brown._numbered(it, size, 2 * size), brown.NUMBERED).cache(), slot, size
 
 
 def class_table(lines, slot, of, last):
@@ -292,7 +301,7 @@ def test_cluster_counts_class_pairs_and_raises_the_likelihood(spark, monkeypatch
     assert (again == of).all() and (pairs == table).all()
     pieces = brown.pair_pieces(numbered, size, 2, 20).collect()
     assert max(r.slice for r in pieces) > 20 and {r.part for r in pieces} == {0, 1, 2}
-    lists = [tuple(np.frombuffer(r[c], t) for c, t in (("word", np.uint32), ("other", np.uint32), ("n", np.int64))) for r in pieces]
+    lists = [tuple(brown._unpacked(r[c], t) for c, t in (("word", np.uint32), ("other", np.uint32), ("n", np.int64))) for r in pieces]
     counted = Counter()
     for r, (word, other, n) in zip(pieces, lists, strict=True):
         for w, o, k in zip(word.tolist(), other.tolist(), n.tolist(), strict=True):
@@ -317,13 +326,10 @@ def test_brown_clusters_every_word_of_five_tokens(spark):
     c = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split())
     rows = docs.select("doc_id", brown.held_out("doc_id", 7, 2).alias("held"), "text")
     blocks = rows.mapInArrow(lambda it: brown._blocks(it, 5000), brown.BLOCKS).cache()
-    cells = blocks.select("part", "seq", F.posexplode(F.arrays_zip("words", "train")).alias("at", "cell"))
-    cells = cells.select("part", "seq", "at", F.col("cell.words").alias("word"), F.col("cell.train").alias("n"))
-    counts = cells.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
-    model, numbered = brown.fit(blocks, counts, cells)
+    model, numbered = brown.fit(blocks)
     clustered, forms = set(), len(model.of) - 1 - brown.FORMS
     for r in numbered.collect():
-        units, n = np.frombuffer(r.units, np.uint32), np.frombuffer(r.counts, np.int64)
+        units, n = brown._unpacked(r.units, np.uint32), brown._unpacked(r.counts, np.int64)
         assert ((units < forms) == (n >= brown.MIN_COUNT)).all()
         clustered |= set(units[units < forms].tolist())
     assert len(clustered) == sum(n >= brown.MIN_COUNT for n in c.values()) > 2000

@@ -2,11 +2,12 @@
 
 1. Documents are packed into blocks: the block's different words, how often each occurs in training
    documents, and the texts as indexes into them. Blocks are written once.
-2. Word counts are summed over the blocks' words, not over tokens.
+2. The different words of all blocks are dealt to buckets by a hash. A bucket sums their counts, not
+   tokens, and gives each word of ``MIN_COUNT`` tokens or more a place, the others their form.
 3. Every word of ``MIN_COUNT`` tokens or more is put into one of ``CLASSES`` classes by exchange clustering.
-   Words are dealt to buckets by a hash. The blocks count pairs of neighbours once; a pair goes to the
-   pieces of both its words, and equal pairs of all blocks become one. A word of very many tokens has
-   its neighbours in several pieces. A sweep moves a part of the words: their pieces sum the classes of
+   The blocks count pairs of neighbours once; a pair goes to the pieces of both its words, by their
+   buckets, and equal pairs of all blocks become one. A word of very many tokens has its neighbours in
+   several pieces. A sweep moves a part of the words: their pieces sum the classes of
    the neighbours, the sums of a bucket meet in one task, and it moves its words to the class that
    raises the class-bigram likelihood most, judged against the class-by-class counts, which then change
    by the pairs of those pieces. One byte a word, its class, is what all tasks are told. Rarer words
@@ -15,8 +16,7 @@
 4. P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards the
    class unigrams; in form classes an absolute discount leaves mass for one unknown word. The
    probabilities of all known words, the end and the unknown word of each form sum to one.
-5. Counts and numbers of the words go back to the blocks by a join on (block, word), once; a block is
-   scored in one go.
+5. Places and counts go back to the blocks packed by bucket, once; a block is scored in one go.
 """
 
 from __future__ import annotations
@@ -30,25 +30,25 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.text import LOOKUP_BYTES, held_out, mix, steps, whole, word_hashes, words_of
+from tidepanel.llm.text import LOOKUP_BYTES, give_back, held_out, mix, steps, whole, word_hashes, words_of
 from tidepanel.sources.staging import stage, staging_path
 
-BLOCK_WORDS = 1_500_000
+BLOCK_WORDS = 750_000
 #: Fewest training tokens of a word that is clustered.
 MIN_COUNT = 5
 CLASSES = 32
 SWEEPS = 9
 #: A sweep moves one part of the words in so many.
 PARTS = 3
-#: Clustered words of a bucket and training tokens of its words, about.
-BUCKET_WORDS, BUCKET_TOKENS = 1 << 14, 1 << 23
+#: Tokens of a bucket's words, about.
+BUCKET_TOKENS = 1 << 22
 #: A word's neighbours are dealt to one piece more for each so many of its training tokens.
 SLICE_TOKENS = 1 << 22
-#: Neighbour sums that are judged at a time.
-CELLS = 1 << 16
+#: Neighbour sums that are judged at a time, and sides of words that are summed at a time.
+CELLS, SIDES = 1 << 16, 1 << 12
 #: Forms: end (letter, . or , or other) x short or long x hash of the last letters.
 SUFFIXES = 16
 FORMS = 3 * 2 * SUFFIXES
@@ -58,6 +58,16 @@ BACK = 50.0
 BLOCKS = "part int, seq int, doc_ids array<long>, held array<boolean>, lengths array<long>, words array<string>, train array<long>, tokens binary"
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Integers with bytes of the same weight together, compressed."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def _unpacked(cell: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(cell), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
     part, seq, held = TaskContext.get().partitionId(), 0, []
 
@@ -73,7 +83,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
         counts = np.bincount(index[train], minlength=len(coded.dictionary)).astype(np.int64)
         cells = [pa.array([part], pa.int32()), pa.array([seq], pa.int32())]
         cells += [one(pa.concat_arrays([d for _, _, _, d in held])), one(out), one(pa.array(lengths)), one(coded.dictionary)]
-        cells += [one(pa.array(counts)), pa.array([zlib.compress(index.tobytes(), 1)], pa.binary())]
+        cells += [one(pa.array(counts)), pa.array([_packed(index)], pa.binary())]
         return pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in BLOCKS.split(", ")])
 
     for batch in steps(batches, LOOKUP_BYTES):
@@ -100,31 +110,82 @@ def forms(words: pa.Array) -> np.ndarray:
     return (end * 2 + long_word) * SUFFIXES + suffix
 
 
+DEALT = "bucket long, part int, seq int, at binary, words array<string>, train array<long>"
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The words of each block by bucket, with where they are in the block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words, train = batch.column("words")[i].values, batch.column("train")[i].values
+            if not len(words):
+                continue
+            bucket = (word_hashes(words, 37) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(order)]])
+            offsets, at = pa.array(cuts, pa.int32()), order.astype(np.uint32)
+            cells = [pa.array(bucket[cuts[:-1]])]
+            cells += [pa.array([batch.column(c)[i].as_py()] * len(cells[0]), pa.int32()) for c in ("part", "seq")]
+            cells += [pa.array([_packed(at[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())]
+            cells += [pa.ListArray.from_arrays(offsets, x.take(pa.array(order))) for x in (words, train)]
+            yield pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in DEALT.split(", ")])
+    batch = None
+    give_back()
+
+
+#: Sums over the words of a bucket: clustered ones, those of training tokens, and by form, of those that are not
+#: clustered, tokens, words, words of one and of two tokens.
+SUMS = 2 + 4 * FORMS
+PLACED = "part int, seq int, bucket long, at binary, place binary, c binary, sums array<long>"
+
+
+def _placed(rows: pa.Table) -> pa.Table:
+    """The place of each word of a bucket in order of counts, or -1 - its form, for each block; sums are in the first row only."""
+    lists = whole(rows.column("words"))
+    coded = whole(lists.flatten()).dictionary_encode()
+    index, types = coded.indices.to_numpy(), coded.dictionary
+    c = np.bincount(index, whole(rows.column("train")).flatten().to_numpy(), len(types)).astype(np.int64)
+    order = pc.sort_indices(pa.table({"c": c, "word": types}), [("c", "descending"), ("word", "ascending")]).to_numpy()
+    order = order[c[order] >= MIN_COUNT].astype(np.int64)
+    form = forms(types)
+    place = (-1 - form).astype(np.int32)
+    place[order] = np.arange(len(order))
+    rare = (c > 0) & (c < MIN_COUNT)
+    sums = [np.bincount(form[rare], x[rare], FORMS) for x in (c, np.ones(len(c)), c == 1, c == 2)]
+    sums = np.concatenate([[len(order), (c > 0).sum()], *sums]).astype(np.int64)
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    spans = [index[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+    packed = [pa.array([_packed(x[span]) for span in spans], pa.binary()) for x in (place, c)]
+    told = pa.array([sums] + [None] * (len(spans) - 1), pa.list_(pa.int64()))
+    cells = [*(whole(rows.column(x)) for x in ("part", "seq", "bucket", "at")), *packed, told]
+    return pa.table(cells, names=[x.split()[0] for x in PLACED.split(", ")])
+
+
 NUMBERED = "doc_ids array<long>, held array<boolean>, lengths array<long>, tokens binary, units binary, counts binary"
 
 
-def _numbered(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
-    """Blocks with the unit and training count of each word: its number, or behind all slots its form."""
+def _numbered(batches: Iterator[pa.RecordBatch], size: int, slots: int) -> Iterator[pa.RecordBatch]:
+    """Blocks with the unit and training count of each word: its slot, or behind all slots its form."""
     for batch in batches:
         units, counts = [], []
-        for i in range(batch.num_rows):
-            words = batch.column("words")[i].values
-            unit = slots + forms(words) if len(words) else np.zeros(0, np.int64)
-            c = np.zeros(len(words), np.int64)
-            if batch.column("found")[i].is_valid:
-                cells = batch.column("found")[i].values
-                at, number = cells.field("at").to_numpy(), pc.fill_null(cells.field("id"), -1).to_numpy()
-                c[at] = cells.field("c").to_numpy()
-                unit[at[number >= 0]] = number[number >= 0]
-            units.append(unit.astype(np.uint32).tobytes())
-            counts.append(c.tobytes())
+        for found in batch.column("found").to_pylist():
+            pieces = [[_unpacked(f[x], kind) for x, kind in (("at", np.uint32), ("place", np.int32), ("c", np.int64))] for f in found or []]
+            unit, c = np.zeros(sum(len(at) for at, _, _ in pieces), np.uint32), np.zeros(sum(len(at) for at, _, _ in pieces), np.int64)
+            for f, (at, place, n) in zip(found or [], pieces, strict=True):
+                unit[at] = np.where(place >= 0, f["bucket"] * size + place, slots - 1 - place.astype(np.int64))
+                c[at] = n
+            units.append(_packed(unit))
+            counts.append(_packed(c))
         cells = [batch.column(c) for c in ("doc_ids", "held", "lengths", "tokens")] + [pa.array(x, pa.binary()) for x in (units, counts)]
         yield pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in NUMBERED.split(", ")])
+    batch = None
+    give_back()
 
 
 def _cells(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    units = np.frombuffer(batch.column("units")[i].as_py(), np.uint32).astype(np.int64)
-    return units, np.frombuffer(batch.column("counts")[i].as_py(), np.int64)
+    units = _unpacked(batch.column("units")[i].as_py(), np.uint32).astype(np.int64)
+    return units, _unpacked(batch.column("counts")[i].as_py(), np.int64)
 
 
 def _pairs(batch: pa.RecordBatch, i: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +206,8 @@ def _class_pairs(batches: Iterator[pa.RecordBatch], of: np.ndarray, last: int) -
             table += np.bincount(of[x].astype(np.int64) * last + of[y], minlength=last * last)
     code = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([pa.array(code // last), pa.array(code % last), pa.array(table[code])], names=["x", "y", "n"])
+    batch = None
+    give_back()
 
 
 #: What a neighbour sum is of: classes behind a word, classes in front of it, the word behind itself.
@@ -157,51 +220,57 @@ PIECES = "part int, bucket long, slice int, word binary, other binary, n binary"
 def _piece(part: int, bucket: int, cut: int, word: np.ndarray, other: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     cells = [pa.array([part], pa.int32()), pa.array([bucket], pa.int64()), pa.array([cut], pa.int32())]
     arrays = (word.astype(np.uint32), other.astype(np.uint32), n.astype(np.int64))
-    cells += [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+    cells += [pa.array([_packed(x)], pa.binary()) for x in arrays]
     return pa.RecordBatch.from_arrays(cells, names=[c.split()[0] for c in PIECES.split(", ")])
 
 
 def _arrays(batch: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    word, other = (np.frombuffer(batch.column(c)[i].as_py(), np.uint32).astype(np.int64) for c in ("word", "other"))
-    return word, other, np.frombuffer(batch.column("n")[i].as_py(), np.int64)
+    word, other = (_unpacked(batch.column(c)[i].as_py(), np.uint32).astype(np.int64) for c in ("word", "other"))
+    return word, other, _unpacked(batch.column("n")[i].as_py(), np.int64)
 
 
 def _block_pieces(batches: Iterator[pa.RecordBatch], size: int, buckets: int, slice_tokens: int) -> Iterator[pa.RecordBatch]:
     """The different training pairs of each block, dealt to the pieces of both words."""
-    slots = size * buckets
+    slots, wide = size * buckets, 2 * (size // PARTS + 1)
     units = slots + FORMS + 1
     for batch in batches:
         for i in range(batch.num_rows):
-            x, y = _pairs(batch, i, units - 1)
-            code, n = np.unique(x * units + y, return_counts=True)
-            x, y = code // units, code % units
-            first, second = x < slots, y < slots
-            word = np.concatenate([x[first], y[second]])
-            other = np.concatenate([y[first], x[second]])
-            kind = np.repeat([AFTER, BEFORE], [first.sum(), second.sum()])
-            n = np.concatenate([n[first], n[second]])
             unit, c = _cells(batch, i)
-            often = (unit < slots) & (c >= slice_tokens)
-            cut = np.zeros(len(word), np.int64)
-            for hot, times in zip(unit[often], c[often] // slice_tokens + 1, strict=True):
-                here = np.flatnonzero(word == hot)
-                cut[here] = (mix(other[here].astype(np.uint64)) % np.uint64(times)).astype(np.int64)
-            bucket, place = word // size, word % size
-            part, short = place % PARTS, place // PARTS * 2 + kind
-            order = np.lexsort((other, short, cut, bucket, part))
-            home = np.stack([part, bucket, cut])[:, order]
-            cuts = np.flatnonzero((home[:, 1:] != home[:, :-1]).any(axis=0)) + 1
-            spans = [0, *cuts, len(order)] if len(order) else []
-            for a, b in zip(spans, spans[1:], strict=False):
-                at = order[a:b]
-                yield _piece(*home[:, a].tolist(), short[at], other[at], n[at])
+            hot = {int(w): int(t) + 1 for w, t in zip(unit, c // slice_tokens, strict=True) if t and w < slots}
+            before, line = _pairs(batch, i, units - 1)
+            for kind, mine, its in ((AFTER, before, line), (BEFORE, line, before)):
+                clustered = mine < slots
+                mine, its = mine[clustered], its[clustered]
+                bucket, place = mine // size, mine % size
+                side = (place % PARTS * buckets + bucket) * wide + place // PARTS * 2 + kind
+                code, n = np.unique(side * units + its, return_counts=True)
+                side, other = code // units, code % units
+                home, word = side // wide, side % wide
+                cut = np.zeros(len(home), np.int64)
+                for w, times in hot.items():
+                    at = (w % size % PARTS * buckets + w // size) * wide + w % size // PARTS * 2 + kind
+                    a, b = np.searchsorted(side, [at, at + 1])
+                    cut[a:b] = (mix(other[a:b].astype(np.uint64)) % np.uint64(times)).astype(np.int64)
+                if hot:
+                    order = np.lexsort((cut, home))
+                    home, cut, word, other, n = (x[order] for x in (home, cut, word, other, n))
+                changes = (home[1:] != home[:-1]) | (cut[1:] != cut[:-1])
+                cuts = [0, *(np.flatnonzero(changes) + 1), len(home)] if len(home) else []
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    yield _piece(int(home[a] // buckets), int(home[a] % buckets), int(cut[a]), word[a:b], other[a:b], n[a:b])
+    batch = None
+    give_back()
 
 
 def _merged(rows: pa.Table, units: int) -> pa.Table:
     """One piece of all blocks, equal pairs as one."""
     word, other, n = (np.concatenate(x) for x in zip(*(_arrays(rows, i) for i in range(rows.num_rows)), strict=True))
-    code, which = np.unique(word * units + other, return_inverse=True)
-    n = np.bincount(which, n, len(code))
+    code = word * units + other
+    # Of sorted runs, one of each block.
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    begins = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    code, n = code[begins], np.add.reduceat(n, begins)
     home = [rows.column(c)[0].as_py() for c in ("part", "bucket", "slice")]
     return pa.Table.from_batches([_piece(*home, code // units, code % units, n)])
 
@@ -223,15 +292,24 @@ def _class_sums(batches: Iterator[pa.RecordBatch], of: np.ndarray, size: int) ->
             part, bucket = batch.column("part")[i].as_py(), batch.column("bucket")[i].as_py()
             word, other, n = _arrays(batch, i)
             place = word // 2 * PARTS + part
-            sums = np.bincount(word * 256 + of[other], n)
-            some = np.flatnonzero(sums)
+            some, sums = [], []
+            cuts = np.searchsorted(word, np.arange(0, word[-1] + 1 + SIDES, SIDES))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    dense = np.bincount((word[a:b] - word[a]) * 256 + of[other[a:b]], n[a:b])
+                    some.append(np.flatnonzero(dense))
+                    sums.append(dense[some[-1]])
+                    some[-1] = some[-1] + word[a] * 256
+            some, sums = np.concatenate(some), np.concatenate(sums)
             w, kind, k = some // 512, some // 256 % 2, some % 256
             own = np.flatnonzero((word % 2 == AFTER) & (other == bucket * size + place))
             code = np.concatenate([((w * PARTS + part) * 3 + kind) * 256 + k, (place[own] * 3 + OWN) * 256])
-            n = np.concatenate([sums[some].astype(np.int64), n[own]])
+            n = np.concatenate([sums.astype(np.int64), n[own]])
             cells = [pa.array([bucket], pa.int64())]
             cells += [pa.array([x.tobytes()], pa.binary()) for x in (code.astype(np.uint32), n)]
             yield pa.RecordBatch.from_arrays(cells, names=["bucket", "code", "n"])
+    batch = None
+    give_back()
 
 
 def _class_changes(batches: Iterator[pa.RecordBatch], old: np.ndarray, new: np.ndarray, size: int, last: int) -> Iterator[pa.RecordBatch]:
@@ -272,7 +350,7 @@ def _moved(rows: pa.Table, of: np.ndarray, table: np.ndarray, size: int, classes
 
 def _lines(batch: pa.RecordBatch, i: int, unit: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The block's tokens as numbers with an end after each document, where documents begin, and their words' indexes."""
-    index = np.frombuffer(zlib.decompress(batch.column("tokens")[i].as_py()), np.uint32)
+    index = _unpacked(batch.column("tokens")[i].as_py(), np.uint32)
     lengths = batch.column("lengths")[i].values.to_numpy()
     stops = np.cumsum(lengths)
     line = np.insert(unit[index] if len(index) else np.zeros(0, np.int64), stops, end)
@@ -349,15 +427,6 @@ class Model(NamedTuple):
     documents: int
 
 
-def _form_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        unit, c = forms(batch.column("word")), batch.column("c").to_numpy()
-        sums = [np.bincount(unit, w, FORMS).astype(np.int64) for w in (c, np.ones(len(c)), c == 1, c == 2)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(FORMS)), *[pa.array(x) for x in sums]], names=["form", "tokens", "types", "once", "twice"]
-        )
-
-
 def cluster(numbered: DataFrame, words: int, size: int, buckets: int, slice_tokens: int = SLICE_TOKENS) -> tuple[np.ndarray, np.ndarray]:
     """The class of each unit and the class pairs; the words have the slots bucket * size + place.
 
@@ -403,35 +472,31 @@ def cluster(numbered: DataFrame, words: int, size: int, buckets: int, slice_toke
     return of, table
 
 
-def fit(blocks: DataFrame, counts: DataFrame, cells: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of the blocks' training documents and the numbered blocks, given the word counts (word, c)."""
+def fit(blocks: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the blocks' training documents and the numbered blocks."""
     docs = F.size(F.filter("held", lambda h: ~h))
-    documents = blocks.agg(F.sum(docs)).first()[0] or 0
-    often = F.col("c") >= MIN_COUNT
-    total = counts.agg(F.sum("c"), F.count("*"), F.count_if(often)).first()
-    tokens, types = (total[0] or 0) + documents, total[1] + (documents > 0)
-    buckets = total[2] // BUCKET_WORDS + tokens // BUCKET_TOKENS + 1
-    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("c"), "word")) - 1
-    placed = stage(counts.withColumn("bucket", bucket).withColumn("place", place), "places")
-    size = (placed.filter(often).agg(F.max("place")).first()[0] or 0) + 1
-    known = placed.select("word", "c", F.when(often, F.col("bucket") * size + F.col("place")).alias("id"))
-    found = cells.select("part", "seq", "at", "word").join(known, "word")
-    # As many rows as the block has different words.
-    found = found.groupBy("part", "seq").agg(F.collect_list(F.struct("at", "c", "id")).alias("found"))
-    joined = blocks.select("part", "seq", "doc_ids", "held", "lengths", "words", "tokens").join(found, ["part", "seq"], "left")
-    numbered = stage(joined.drop("part", "seq").mapInArrow(lambda it: _numbered(it, size * buckets), NUMBERED), "numbered")
-
-    of, table = cluster(numbered, total[2], size, buckets)
+    all_tokens = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
+    train = F.aggregate("train", F.lit(0).cast("long"), lambda a, x: a + x)
+    documents, all_tokens, tokens = (x or 0 for x in blocks.agg(F.sum(docs), F.sum(all_tokens), F.sum(train)).first())
+    buckets = all_tokens // BUCKET_TOKENS + 1
+    dealt = blocks.select("part", "seq", "words", "train").mapInArrow(lambda it: _dealt(it, buckets), DEALT)
+    placed = stage(dealt.groupBy("bucket").applyInArrow(_placed, PLACED), "places")
+    sums = placed.filter("sums is not null").select(F.posexplode("sums").alias("i", "n"))
+    stats, most = np.zeros(SUMS), 0
+    for r in sums.groupBy("i").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect():  # SUMS rows
+        stats[r["i"]], most = r["n"], r["most"] if r["i"] == 0 else most
+    words, types, size = int(stats[0]), int(stats[1]) + (documents > 0), most + 1
+    tokens += documents
+    # As many rows as the block has buckets.
+    found = placed.groupBy("part", "seq").agg(F.collect_list(F.struct("bucket", "at", "place", "c")).alias("found"))
+    joined = blocks.select("part", "seq", "doc_ids", "held", "lengths", "tokens").join(found, ["part", "seq"], "left")
+    numbered = stage(joined.drop("part", "seq").mapInArrow(lambda it: _numbered(it, size, size * buckets), NUMBERED), "numbered")
+
+    of, table = cluster(numbered, words, size, buckets)
     last = len(table)
     unigram = (table.sum(axis=0) + 0.5) / (table.sum() + 0.5 * last)
     transition = np.log10((table + BACK * unigram) / (table.sum(axis=1, keepdims=True) + BACK))
-    named = ("tokens", "types", "once", "twice")
-    sums = counts.filter(~often).mapInArrow(_form_counts, "form long, " + ", ".join(f"{c} long" for c in named))
-    stats = np.zeros((4, FORMS))
-    for r in sums.groupBy("form").agg(*[F.sum(c).alias(c) for c in named]).collect():  # one row a form
-        stats[:, r["form"]] = [r[c] for c in named]
-    n, kinds, once, twice = stats
+    n, kinds, once, twice = stats[2:].reshape(4, FORMS)
     discount = np.clip((once + 0.5) / (once + 2 * twice + 1), 0.05, 0.95)
     unknown = np.where(n > 0, discount * kinds / np.maximum(n, 1), 1.0)
     # Every training token is behind another one or an end, so a class's column has all its tokens.
@@ -490,10 +555,6 @@ def score(docs: DataFrame, of: int = 7, remainder: int = 2, block_words: int = B
     """
     rows = docs.select("doc_id", held_out("doc_id", of, remainder).alias("held"), "text")
     blocks = stage(rows.mapInArrow(lambda it: _blocks(it, block_words), BLOCKS), "blocks")
-    cells = blocks.select("part", "seq", F.posexplode(F.arrays_zip("words", "train")).alias("at", "cell"))
-    cells = cells.select("part", "seq", "at", F.col("cell.words").alias("word"), F.col("cell.train").alias("n"))
-    counts = cells.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
-    counts = stage(counts, "counts")
-    model, numbered = fit(blocks, counts, cells)
+    model, numbered = fit(blocks)
     told = docs.sparkSession.sparkContext.broadcast(model)
     return numbered.mapInArrow(lambda it: _scored(it, told.value), SCORES)
