@@ -327,13 +327,24 @@ def test_brown_clusters_every_word_of_five_tokens(spark):
     rows = docs.select("doc_id", brown.held_out("doc_id", 7, 2).alias("held"), "text")
     blocks = rows.mapInArrow(lambda it: brown._blocks(it, 5000), brown.BLOCKS).cache()
     model, numbered = brown.fit(blocks)
-    clustered, forms = set(), len(model.of) - 1 - brown.FORMS
+    clustered, forms, often = set(), len(model.of) - 1 - brown.FORMS, {}
     for r in numbered.collect():
         units, n = brown._unpacked(r.units, np.uint32), brown._unpacked(r.counts, np.int64)
         assert ((units < forms) == (n >= brown.MIN_COUNT)).all()
         clustered |= set(units[units < forms].tolist())
+        often |= dict(zip(units[units < forms].tolist(), n[units < forms].tolist(), strict=True))
     assert len(clustered) == sum(n >= brown.MIN_COUNT for n in c.values()) > 2000
     assert model.class_tokens.sum() == model.tokens
+    # Probabilities sum to one: of classes behind each class, of the words of a class, of a form's words and its unknown one.
+    assert (10**model.transition).sum(axis=1) == pytest.approx(np.ones(len(model.transition)))
+    share = np.zeros(len(model.class_tokens))
+    for unit, n in often.items():
+        share[model.of[unit]] += n / model.class_tokens[model.of[unit]]
+    assert share[share > 0] == pytest.approx(np.ones((share > 0).sum())) and (share > 0).sum() == brown.CLASSES
+    rare = [w for w in c if c[w] < brown.MIN_COUNT]
+    form = brown.forms(pa.array(rare))
+    left = (np.array([c[w] for w in rare]) - model.discount[form]) / model.form_tokens[form]
+    assert np.bincount(form, left, brown.FORMS) + 10**model.unknown == pytest.approx(np.ones(brown.FORMS)) and rare
 
 
 def test_class_gains_equal_likelihoods(monkeypatch):

@@ -7,12 +7,12 @@
 3. Every word of ``MIN_COUNT`` tokens or more is put into one of ``CLASSES`` classes by exchange clustering.
    The blocks count pairs of neighbours once; a pair goes to the pieces of both its words, by their
    buckets, and equal pairs of all blocks become one. A word of very many tokens has its neighbours in
-   several pieces. A sweep moves a part of the words: their pieces sum the classes of
-   the neighbours, the sums of a bucket meet in one task, and it moves its words to the class that
-   raises the class-bigram likelihood most, judged against the class-by-class counts, which then change
-   by the pairs of those pieces. One byte a word, its class, is what all tasks are told. Rarer words
-   stand for the unknown ones: they belong to a class by their form, which is how they end, their
-   length and the hash of their last letters.
+   several pieces. A sweep moves a part of the words: their pieces sum the classes of the neighbours,
+   the sums of a bucket meet in one task, and it moves its words to the class that raises the
+   class-bigram likelihood most, judged against the class-by-class counts, which then change by the
+   pairs of those pieces. One byte a word, its class, is what all tasks are told. Rarer words stand for
+   the unknown ones: they belong to a class by their form, which is how they end, their length and the
+   hash of their last letters.
 4. P(word | previous) = P(class | previous class) * P(word | class). Transitions are smoothed towards the
    class unigrams; in form classes an absolute discount leaves mass for one unknown word. The
    probabilities of all known words, the end and the unknown word of each form sum to one.
