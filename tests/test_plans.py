@@ -297,3 +297,58 @@ def test_importance_file(spark, tmp_path):
     assert read_importance(spark, str(tmp_path / "none.json")) is None
     (tmp_path / "some.json").write_text('{"feature_a": 0.5,\n "feature_b": 2}')
     assert read_importance(spark, str(tmp_path / "some.json")) == {"feature_a": 0.5, "feature_b": 2.0}
+
+
+def test_histograms_grow_the_trees_of_mllib(spark, monkeypatch):
+    """The same trees, with gaps, early stopping and folds, also when nodes are judged in tasks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, f"{i % 15:02}", float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(rng.integers(0, 5, 1500), rng.normal(size=1500).round(2), rng.normal(size=1500), strict=True))]
+    df = spark.createDataFrame(rows, "id int, era string, a double, b double, c double")
+    df = df.withColumn("target", F.col("a") * 0.3 + F.sin("b") + F.col("c") * 0.2).withColumn("b", F.when(F.col("id") % 7 > 0, F.col("b"))).cache()
+    train, held = df.filter("id % 3 < 2"), df.filter("id % 3 = 2")
+    params = {"maxDepth": 3, "stepSize": 0.5}
+
+    def fits():
+        stopped = M.fit_boosted(train, ["a", "b"], "target", held, maxIter=6, patience=2, **params)
+        folds = M.fit_folds(df, ["a", "b"], "target", maxIter=3, final_rounds=2, **params)
+        scored = M.predict_folds(folds, ["a", "b"], stopped.transform(df).select("id", "a", "b", F.col("prediction").alias("one")))
+        made = scored.orderBy("id").select("one", "prediction").toPandas().to_numpy()
+        return made, [stopped.stages[-1].getNumTrees, *[m.getNumTrees for m in folds]], M.importance(stopped, ["a", "b"])
+
+    ours = fits()
+    monkeypatch.setattr("tidepanel.operators.histograms.TOLD_BYTES", 0)
+    again = fits()
+    monkeypatch.setattr(M, "fits_by_histograms", lambda learner: False)
+    theirs = fits()
+    for made in (ours, again):
+        assert np.allclose(made[0], theirs[0], atol=1e-9) and made[1] == theirs[1]
+        assert [n for n, _ in made[2]] == [n for n, _ in theirs[2]]
+        assert np.allclose([w for _, w in made[2]], [w for _, w in theirs[2]])
+
+
+def test_a_fit_spreads_rows_that_lie_in_one_file(spark):
+    """Columns of few values take few bytes, so a scan may give one task most rows."""
+    from tidepanel.operators import histograms as H
+
+    rows = spark.range(0, 60_000, 1, 1).select((F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("target"))
+    boosting = H.Boosting(rows, ["a"], [M.boosted("target", maxIter=1)], [F.lit(H.TRAIN)])
+    held = [r["n"] for r in boosting._blocks().select("n").collect()]
+    assert sum(held) == 60_000 and len(held) >= spark.sparkContext.defaultParallelism
+    assert M.dealt(rows.limit(500), 1).rdd.getNumPartitions() == 1
+
+
+def test_boosting_ends_with_its_patience(spark, monkeypatch):
+    """No round is fitted after the one at which early stopping ends."""
+    from tidepanel.operators import histograms as H
+
+    df = spark.createDataFrame([(float(i % 4), float(i % 2), float(i)) for i in range(400)], "f double, noise double, id double")
+    train, held = df.withColumn("target", F.col("f")), df.withColumn("target", -F.col("f"))
+    rounds, grow = [], H.Boosting._grow
+
+    def counted(self, fit, tree, found, level):
+        rounds.extend([1] if level == 0 else [])
+        grow(self, fit, tree, found, level)
+
+    monkeypatch.setattr(H.Boosting, "_grow", counted)
+    model = M.fit_boosted(train, ["f", "noise"], "target", held, maxIter=40, patience=3)
+    assert model.stages[-1].getNumTrees == 1 and len(rounds) <= 5
