@@ -1,5 +1,6 @@
 """Physical plans, models and sinks."""
 
+import datetime
 import importlib
 import sys
 from pathlib import Path
@@ -16,6 +17,7 @@ from tidepanel.operators.cross_section import peer_means, percent_rank, quintile
 from tidepanel.operators.indicators import PAIRS, PERIODS, WINDOW_KINDS
 from tidepanel.operators.recurrence import RECURRENCE_KINDS, recurrence_indicators
 from tidepanel.operators.asof import latest_within
+from tidepanel.plans import panel as P
 from tidepanel.plans.panel import indicators
 from tidepanel.shipping import ship
 from tidepanel.sources import fixtures as X
@@ -330,10 +332,10 @@ def test_a_fit_spreads_rows_that_lie_in_one_file(spark):
     """Columns of few values take few bytes, so a scan may give one task most rows."""
     from tidepanel.operators import histograms as H
 
-    rows = spark.range(0, 60_000, 1, 1).select((F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("target"))
+    rows = spark.range(0, 200_000, 1, 1).select((F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("target"))
     boosting = H.Boosting(rows, ["a"], [M.boosted("target", maxIter=1)], [F.lit(H.TRAIN)])
     held = [r["n"] for r in boosting._blocks().select("n").collect()]
-    assert sum(held) == 60_000 and len(held) >= spark.sparkContext.defaultParallelism
+    assert sum(held) == 200_000 and len(held) >= spark.sparkContext.defaultParallelism
     assert M.dealt(rows.limit(500), 1).rdd.getNumPartitions() == 1
 
 
@@ -352,3 +354,17 @@ def test_boosting_ends_with_its_patience(spark, monkeypatch):
     monkeypatch.setattr(H.Boosting, "_grow", counted)
     model = M.fit_boosted(train, ["f", "noise"], "target", held, maxIter=40, patience=3)
     assert model.stages[-1].getNumTrees == 1 and len(rounds) <= 5
+
+
+def test_crypto_targets_meet_the_narrow_panel(spark):
+    """Targets that come twice or not at all join as before, and the wide rows are shuffled by date only."""
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(i) for i in range(30)]
+    quotes = spark.createDataFrame([(d, k, float(10 + k + (i * (k + 3)) % 7)) for k in range(6) for i, d in enumerate(days)], "date date, symbol int, close double")
+    targets = [(days[25], 1, 1.0), (days[25], 1, 0.0), (days[26], 1, None), (days[27], 2, 0.5)]
+    targets = spark.createDataFrame(targets, "date date, symbol int, target double")
+    made = P.crypto_features(quotes, targets, min_rows=20, periods=(3,), pairs=(), recurrences=(), windows=("SMA", "MOM"), macd=False)
+    assert made._jdf.queryExecution().toString().count("Join ") == 0
+    found = [(r["date"], r["symbol"], r["target"]) for r in made.collect()]
+    assert len(found) == 6 * 27 + 1
+    assert sorted(t for d, k, t in found if (d, k) == (days[25], 1)) == [0.0, 1.0]
+    assert [t for d, k, t in found if (d, k) == (days[27], 2)] == [0.5] and sum(t is not None for *_, t in found) == 3
