@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidepanel.operators import models as M
@@ -368,3 +369,47 @@ def test_crypto_targets_meet_the_narrow_panel(spark):
     assert len(found) == 6 * 27 + 1
     assert sorted(t for d, k, t in found if (d, k) == (days[25], 1)) == [0.0, 1.0]
     assert [t for d, k, t in found if (d, k) == (days[27], 2)] == [0.5] and sum(t is not None for *_, t in found) == 3
+
+
+def test_trials_on_samples_of_rows_share_their_passes(spark, monkeypatch):
+    """A search and the choice of features fit by histograms too, and a round sees about its share of the rows."""
+    from tidepanel.operators import histograms as H
+
+    df = stage(synthetic(spark, 2000), "synthetic")
+    features = ["feature_a", "feature_b"]
+    learners = [M.boosted("target", maxIter=3, maxDepth=2, subsamplingRate=r) for r in (0.2, 0.2, 1.0)]
+    grown, passes, one = [], [], H.Boosting._pass
+
+    def seen(self, *asked):
+        passes.append(len(asked[2]))
+        return one(self, *asked)
+
+    monkeypatch.setattr(H.Boosting, "_pass", seen)
+    monkeypatch.setattr(H.Boosting, "_model", lambda self, fit, trees: grown.append([t.moments[0][0] for t in trees]))
+    boosting = H.Boosting(df, features, learners, [F.lit(H.TRAIN)] * 3)
+    boosting.fit([None] * 3)
+    total = df.filter("target is not null").count()
+    assert grown[2] == [total] * 3 and grown[0] == grown[1] and len(set(grown[0])) > 1
+    assert all(0.15 * total < n < 0.25 * total for n in grown[0])
+    packed = boosting.packed()
+    boosting.fit([None] * 3, {1: 2}, packed)
+    boosting.fit([None] * 3, {1: 3}, packed)
+    packed.unpersist()
+    assert grown[3] == grown[0][:2] and grown[4] == grown[0]
+    monkeypatch.undo()
+
+    def alone(self, *_):
+        raise AssertionError("a fit of its own")
+
+    monkeypatch.setattr(H.Boosting, "_pass", seen)
+    monkeypatch.setattr(M.GBTRegressor, "fit", alone)
+    passes.clear()
+    M.search(df, df, features, "target", staging_path(spark, "history"), trials=9, rounds=9)
+    assert max(passes) == 9 and len(passes) <= 5 * 13
+    assert M.most_important(df, features, "target", 1) in (["feature_a"], ["feature_b"])
+
+
+def test_a_round_that_draws_no_row_adds_nothing(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 0.0)], "a double, target double").coalesce(1)
+    model = M.fit_trees(df, ["a"], "target", maxIter=2, subsamplingRate=1e-9)
+    assert model.predict(Vectors.dense([1.0])) == 0.0
