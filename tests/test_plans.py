@@ -413,3 +413,19 @@ def test_a_round_that_draws_no_row_adds_nothing(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 0.0)], "a double, target double").coalesce(1)
     model = M.fit_trees(df, ["a"], "target", maxIter=2, subsamplingRate=1e-9)
     assert model.predict(Vectors.dense([1.0])) == 0.0
+
+
+def test_equity_indicators_are_not_written(spark, closes, monkeypatch):
+    """Only narrow rows are staged on the way to the feature table."""
+    staged, write = [], staging.stage
+
+    def seen(df, tag):
+        staged.append(df.columns)
+        return write(df, tag)
+
+    for module in ("operators.cross_section", "operators.lookup", "operators.skew", "plans.panel"):
+        monkeypatch.setattr(f"tidepanel.{module}.stage", seen)
+    made = P.equity_features(closes, X.ticker_map(spark, SF), X.sectors(spark, SF), periods=(3,), pairs=((2, 3),), recurrences=("EMA",), windows=("SMA",))
+    assert "SMA_3_quintile" in made.columns and {c for c in made.columns if "_ret" in c} >= {"sector_ret", "country_ret"}
+    assert staged and not [c for c in staged if {"SMA_3", "EMA_3"} & set(c)]
+    assert made.count() > 0
