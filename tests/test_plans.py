@@ -409,6 +409,20 @@ def test_trials_on_samples_of_rows_share_their_passes(spark, monkeypatch):
     assert M.most_important(df, features, "target", 1) in (["feature_a"], ["feature_b"])
 
 
+def test_samples_of_rows_are_those_of_mllib(spark, monkeypatch):
+    df = stage(synthetic(spark, 3000).repartition(3, "id"), "synthetic")
+    train, held = df.filter("id % 3 < 2"), df.filter("id % 3 = 2")
+    params = {"maxIter": 4, "maxDepth": 3, "subsamplingRate": 0.4, "minInstancesPerNode": 7}
+
+    def fits():
+        made = M.fit_boosted(train, ["feature_a", "feature_b"], "target", held, patience=3, **params).transform(df)
+        return np.sort(made.toPandas()["prediction"].to_numpy())
+
+    ours = fits()
+    monkeypatch.setattr(M, "fits_by_histograms", lambda learner: False)
+    assert np.allclose(ours, fits(), atol=1e-9)
+
+
 def test_a_round_that_draws_no_row_adds_nothing(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 0.0)], "a double, target double").coalesce(1)
     model = M.fit_trees(df, ["a"], "target", maxIter=2, subsamplingRate=1e-9)
