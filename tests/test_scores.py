@@ -132,6 +132,26 @@ def test_rows_stay_where_they_are_while_matrices_are_smaller(spark):
         N.stage = plain
 
 
+def test_factors_travel_as_one_array(spark, monkeypatch):
+    """Both passes hand Python one array a row, made outside whole-stage code; kinds of numbers and gaps as before."""
+    frame, by = wide_eras(1, 120, 225, 0.0)
+    kinds = {"feature_0": F.col("feature_0") > 0, "feature_1": (F.col("feature_1") * 9).cast("int"), "feature_2": F.col("feature_2").cast("decimal(9,3)")}
+    df = spark.createDataFrame(frame).withColumns(kinds).withColumn("feature_3", F.when(F.col("id") != 7, F.col("feature_3")))
+    df = stage(df.drop(*by[20:]), "kinds")
+    plans, plain = {}, N.stage
+    monkeypatch.setattr(N, "stage", lambda t, tag: plans.update({tag: t._jdf.queryExecution().executedPlan().toString()}) or plain(t, tag))
+    made = N.neutralize_full(df, keep=["id", "prediction"]).toPandas().set_index("id")["prediction"]
+    for tag in ("matrices", "residuals"):
+        sent = next(line for line in plans[tag].splitlines() if "MapInArrow" in line)
+        project = next(line for line in plans[tag].splitlines() if "Project" in line)
+        assert "_row" in sent and "feature_" not in sent and "*(" not in project
+    want = df.dropna().toPandas().astype(float)
+    assert np.isnan(made[7]) and made.isna().sum() == 1
+    left = residuals(want, by[:20], 1.0)
+    left -= left.mean()
+    np.testing.assert_allclose(made[want["id"]], left / left.std(ddof=1), rtol=1e-7, atol=1e-8)
+
+
 @pytest.mark.parametrize("limit", ["100000000", "10"])
 def test_many_factors(spark, limit):
     """225 factors, coefficients sent along or joined; a null key has no group."""

@@ -107,23 +107,31 @@ def _partial_schema(batch: pa.RecordBatch, names: Sequence[str]) -> pa.Schema:
     return pa.schema([*own, ("_n", pa.int64()), ("_mean", pa.binary()), ("_products", pa.binary())])
 
 
-def _matrix(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
-    """Columns as doubles, missing ones NaN."""
-    made = np.empty((batch.num_rows, len(columns)))
-    for i, c in enumerate(columns):
-        made[:, i] = batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False)
-    return made
+def _packed(columns: Sequence[str]) -> Column:
+    """The columns as one array of doubles, which Arrow hands to Python as rows of a matrix.
+
+    Hundreds of columns of their own cost several times as much: each value is written to another place,
+    and gathered again from there. The lambda keeps the array out of whole-stage code, which would be one
+    method too long for the JIT.
+    """
+    first, *others = (F.col(c).cast("double") for c in columns)
+    return F.array(F.transform(F.array(first), lambda x: x)[0], *others)
+
+
+def _matrix(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """The rows of ``_row``, missing values NaN."""
+    return batch.column("_row").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
 
 
 def _task_moments(
-    batches: Iterator[pa.RecordBatch], names: list[str], columns: list[str], limit: int
+    batches: Iterator[pa.RecordBatch], names: list[str], k: int, limit: int
 ) -> Iterator[pa.RecordBatch]:
     """One matrix per group of the task's complete rows; all are handed on whenever they fill ``limit`` bytes."""
     held: dict[tuple, Moments] = {}
     schema = None
     for batch in batches:
         schema = schema or _partial_schema(batch, names)
-        rows = _matrix(batch, columns)
+        rows = _matrix(batch, k)
         whole = np.isfinite(rows).all(axis=1)
         groups = [((), np.flatnonzero(whole))]
         if names:
@@ -134,11 +142,11 @@ def _task_moments(
         for key, at in groups:
             if not len(at):
                 continue
-            if key not in held and (len(held) + 1) * 8 * len(columns) ** 2 > limit:
+            if key not in held and (len(held) + 1) * 8 * k**2 > limit:
                 for known, m in held.items():
                     yield _record(known, schema, m)
                 held = {}
-            new = Moments.of(rows[at])
+            new = Moments.of(rows if len(at) == len(rows) else rows[at])
             if key in held:
                 held[key].add(new)
             else:
@@ -189,7 +197,8 @@ def _wide(
             placed = attach(rows.withColumn("_place", F.monotonically_increasing_id()), sizes, names)
             salt = F.pmod(F.xxhash64("_place"), F.coalesce("_salts", F.lit(1)))
             rows = placed.withColumn("_salt", salt).repartition(*names, "_salt").select(*names, *columns)
-    parts = rows.mapInArrow(lambda it: _task_moments(it, names, columns, HELD_BYTES), kinds + PARTIAL)
+    packed = rows.select(*names, _packed(columns).alias("_row"))
+    parts = packed.mapInArrow(lambda it: _task_moments(it, names, k, HELD_BYTES), kinds + PARTIAL)
     parts = stage(parts, "matrices")
 
     def added(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,11 +277,6 @@ def _explained(factors: Sequence[str], score: int) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _products(batch: pa.RecordBatch, factors: Sequence[str], cells: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Fitted parts (rows x scores) of a batch from coefficients (scores x factors) around the centers."""
-    return (_matrix(batch, factors) - centers) @ cells.T
-
-
 def _less_fitted(
     df: DataFrame, scores: list[str], factors: list[str], proportion: float, keys: list[str], constant: bool, keep: list[str]
 ) -> DataFrame:
@@ -280,7 +284,7 @@ def _less_fitted(
 
     Of the columns only those of ``keep`` are returned.
     """
-    k = len(factors)
+    k, s = len(factors), len(scores)
     fit = exposures(df, scores, factors, keys)
     if k <= WIDE:
         joined = attach(df, fit, keys) if keys else df.crossJoin(F.broadcast(stage(fit, "exposures")))  # one row
@@ -291,19 +295,21 @@ def _less_fitted(
         return joined.withColumns(changed).select(*keep)
 
     def unpack(mean: Sequence[float], beta: Sequence[Sequence[float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.array(mean[:k]), np.array(beta), np.array(mean[k:]) if constant else np.zeros(len(scores))
+        return np.array(mean[:k]), np.array(beta), np.array(mean[k:]) if constant else np.zeros(s)
 
+    # Factors and scores travel as one array; of the other columns, those that are kept or group the rows.
+    packed = df.select(*dict.fromkeys(c for c in [*keep, *keys] if c not in scores or c in keys), _packed([*factors, *scores]).alias("_row"))
     kinds = {f.name: f.dataType for f in df.schema}
     schema = T.StructType([T.StructField(c, T.DoubleType() if c in scores else kinds[c]) for c in keep])
 
-    def replaced(batch: pa.RecordBatch, fitted: np.ndarray) -> pa.RecordBatch:
-        left = _matrix(batch, scores) - proportion * fitted
+    def replaced(batch: pa.RecordBatch, rows: np.ndarray, fitted: np.ndarray) -> pa.RecordBatch:
+        left = rows[:, k:] - proportion * fitted
         made = {c: pa.array(left[:, i], from_pandas=True) for i, c in enumerate(scores)}
         return pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in keep], names=keep)
 
     fit = stage(fit, "exposures")
     # One group's coefficients are a row; those of many groups go along only if they are counted as small.
-    size = 8 * (k + len(scores)) * (1 + len(scores))
+    size = 8 * (k + s) * (1 + s)
     if not keys or fit.count() * size <= broadcast_limit(df.sparkSession):
         rows = fit.toArrow().to_pylist()
         told = {tuple(r[c] for c in keys): unpack(r["_mean"], r["_beta"]) for r in rows if all(r[c] is not None for c in keys)}
@@ -311,7 +317,8 @@ def _less_fitted(
 
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                fitted = np.full((batch.num_rows, len(scores)), np.nan)
+                rows = _matrix(batch, k + s)
+                fitted = np.full((batch.num_rows, s), np.nan)
                 groups = [((), np.arange(batch.num_rows))]
                 if keys:
                     table = pa.Table.from_arrays([*(batch.column(c) for c in keys), pa.array(np.arange(batch.num_rows))], names=[*keys, "_at"])
@@ -321,23 +328,24 @@ def _less_fitted(
                 for key, at in groups:
                     if key in shared.value:
                         centers, cells, mean = shared.value[key]
-                        part = batch if len(at) == batch.num_rows else batch.take(pa.array(at))
-                        fitted[at] = _products(part, factors, cells, centers) + mean
-                yield replaced(batch, fitted)
+                        part = rows if len(at) == batch.num_rows else rows[at]
+                        fitted[at] = (part[:, :k] - centers) @ cells.T + mean
+                yield replaced(batch, rows, fitted)
 
-        return df.mapInArrow(apply, schema)
+        return packed.mapInArrow(apply, schema)
 
     def apply_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fitted = np.full((batch.num_rows, len(scores)), np.nan)
+            rows = _matrix(batch, k + s)
+            fitted = np.full((batch.num_rows, s), np.nan)
             means, betas = batch.column("_mean").to_pylist(), batch.column("_beta").to_pylist()
             for i in range(batch.num_rows):
                 if means[i] is not None:
                     centers, cells, mean = unpack(means[i], betas[i])
-                    fitted[i] = _products(batch.slice(i, 1), factors, cells, centers)[0] + mean
-            yield replaced(batch, fitted)
+                    fitted[i] = (rows[i, :k] - centers) @ cells.T + mean
+            yield replaced(batch, rows, fitted)
 
-    return attach(df, fit, keys).mapInArrow(apply_joined, schema)
+    return attach(packed, fit, keys).mapInArrow(apply_joined, schema)
 
 
 def neutralize_full(
