@@ -1,6 +1,8 @@
 """Neutralization, metrics, scalar functions, as-of fill and feature helpers."""
 
+import ctypes
 import datetime as dt
+from pathlib import Path
 from statistics import NormalDist
 
 import numpy as np
@@ -152,6 +154,15 @@ def test_factors_travel_as_one_array(spark, monkeypatch):
     np.testing.assert_allclose(made[want["id"]], left / left.std(ddof=1), rtol=1e-7, atol=1e-8)
 
 
+def test_products_take_one_thread():
+    """Tasks of an executor do not each start as many threads as it has cores."""
+    for path in (Path(np.__file__).parent.parent / "numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        library.scipy_openblas_set_num_threads64_(ctypes.c_int(4))
+        N._one_thread()
+        assert library.scipy_openblas_get_num_threads64_() == 1
+
+
 @pytest.mark.parametrize("limit", ["100000000", "10"])
 def test_many_factors(spark, limit):
     """225 factors, coefficients sent along or joined; a null key has no group."""

@@ -9,7 +9,9 @@ Rows with a null score or factor take no part in the fit and get a null result.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -123,10 +125,23 @@ def _matrix(batch: pa.RecordBatch, k: int) -> np.ndarray:
     return batch.column("_row").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k)
 
 
+def _one_thread() -> None:
+    """Keep this worker's matrix products on one thread: Spark allows every task all cores of its executor.
+
+    Numpy's wheels bring the library along; any other keeps its own setting.
+    """
+    for path in (Path(np.__file__).parent.parent / "numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(ctypes.c_int(1))
+
+
 def _task_moments(
     batches: Iterator[pa.RecordBatch], names: list[str], k: int, limit: int
 ) -> Iterator[pa.RecordBatch]:
     """One matrix per group of the task's complete rows; all are handed on whenever they fill ``limit`` bytes."""
+    _one_thread()
     held: dict[tuple, Moments] = {}
     schema = None
     for batch in batches:
