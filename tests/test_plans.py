@@ -443,3 +443,29 @@ def test_equity_indicators_are_not_written(spark, closes, monkeypatch):
     assert "SMA_3_quintile" in made.columns and {c for c in made.columns if "_ret" in c} >= {"sector_ret", "country_ret"}
     assert staged and not [c for c in staged if {"SMA_3", "EMA_3"} & set(c)]
     assert made.count() > 0
+
+
+def test_rows_that_agree_in_features_and_roles_are_merged(spark, monkeypatch):
+    """Merged rows are few, and fits on them, draws and held-out rows too, are those on the rows themselves."""
+    from tidepanel.operators import histograms as H
+
+    rng = np.random.default_rng(12)
+    frame = pd.DataFrame({"a": rng.integers(0, 5, 4000), "b": rng.integers(0, 4, 4000) / 3, "held": rng.random(4000) < 0.2})
+    frame["target"] = np.sin(frame["a"]) * frame["b"] + rng.normal(size=4000)
+    rows = spark.createDataFrame(frame).repartition(3).cache()
+    learners = [M.boosted("target", maxIter=12, maxDepth=3), M.boosted("target", maxIter=4, maxDepth=2, subsamplingRate=0.5)]
+    roles = [F.when(F.col("held"), H.HELD).otherwise(H.TRAIN), F.lit(H.TRAIN)]
+
+    def fitted():
+        boosting = H.Boosting(rows, ["a", "b"], learners, roles)
+        models = boosting.fit([3, None])
+        scores = [[m.predict(Vectors.dense([a, b / 3])) for a in range(5) for b in range(4)] for m in models]
+        return boosting._blocks().agg(F.sum("n")).first()[0], [m.getNumTrees for m in models], np.array(scores)
+
+    count, single, scores = fitted()
+    assert count == len(frame)
+    monkeypatch.setattr(H, "MERGED_ROWS", 1000)
+    count, merged, same = fitted()
+    assert count == len(frame.drop_duplicates(["a", "b", "held"]))
+    assert merged == single
+    np.testing.assert_allclose(same, scores, rtol=1e-9)

@@ -3,7 +3,9 @@
 The learner is MLlib's, for squared errors: its thresholds, its gains, its stopping rules, and rows drawn
 anew for every round where it asks for a share of them.
 What differs is how rows lie. A task holds blocks of many rows, a byte a feature, with the running
-prediction of every fit, where MLlib keeps some objects a row for every fit. One pass over the blocks adds
+prediction of every fit, where MLlib keeps some objects a row for every fit. Rows that agree in all features
+and roles are told apart by no tree: where a count says that they are few, they are merged by one aggregate
+into a row with their number and the sums of targets and squares. One pass over the blocks adds
 up the histograms of the open nodes of all fits, and the errors of the round before on held-out rows, so
 that boosting ends as soon as a fit's patience does. Histograms of a node are added up and judged in one
 task; the driver sees the chosen splits.
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidepanel.operators.boosting import best_round
-from tidepanel.sources.staging import staging_path
+from tidepanel.sources.staging import stage, staging_path
 
 #: Roles of a row in a fit; without one it takes no part.
 TRAIN, HELD = 1, 2
@@ -36,6 +38,8 @@ FEW_ROWS, TASK_ROWS, TASK_CELLS = 100_000, 500_000, 8_000_000
 SAMPLE = 10_000
 #: Rounds up to which a fit on shares of the rows has its draws kept with them, a bit a row and round.
 DRAWN_ROUNDS = 100
+#: Of MERGED_ROWS or more, rows are merged where at most one in MERGED is left, and the sums of all draws, if any, take no more than DRAWN_BYTES.
+MERGED_ROWS, MERGED, DRAWN_BYTES = 1_000_000, 8, 64 << 20
 
 
 def dealt(rows: DataFrame, width: int) -> DataFrame:
@@ -176,10 +180,13 @@ class Boosting:
 
     def _learn_thresholds(self) -> None:
         fits = range(len(self.learners))
-        counted = self.rows.agg(*[F.count_if(F.col(f"_r{i}") == TRAIN).alias(f"_r{i}") for i in fits]).first()
+        kinds = F.approx_count_distinct(F.xxhash64(*self._told_apart()))
+        counted = self.rows.agg(F.count(F.lit(1)).alias("rows"), kinds.alias("kinds"), *[F.count_if(F.col(f"_r{i}") == TRAIN).alias(f"_r{i}") for i in fits]).first()
         totals = [counted[f"_r{i}"] for i in fits]
         if not all(totals):
             raise ValueError("a fit needs training rows with a target")
+        few = counted["rows"] >= MERGED_ROWS and counted["kinds"] * MERGED <= counted["rows"]
+        self.merged = few and 24 * len(self.draws) * counted["kinds"] <= DRAWN_BYTES
         bins = [min(x.getMaxBins(), n) for x, n in zip(self.learners, totals, strict=True)]
         shares = [min(1.0, max(b * b, SAMPLE) / n) for b, n in zip(bins, totals, strict=True)]
         share = max(shares)
@@ -201,11 +208,35 @@ class Boosting:
                 mask[f, : len(self.cuts[f])] = np.isin(self.cuts[f], own[i][f])
             self.allowed.append(mask)
 
+    def _told_apart(self) -> list[str]:
+        return [*[f"_x{i}" for i in range(self.width)], *[f"_r{i}" for i in range(len(self.learners))]]
+
+    def _sums(self, rows: DataFrame, seeds: Mapping[int, str]) -> tuple[DataFrame, list[str], list[str]]:
+        """One row for all that agree in features and roles: (number, sums, squares) of targets and of what is drawn."""
+        made = {"_n": F.count(F.lit(1))}
+        made |= {f"_s{i}": F.sum(f"_y{i}") for i in range(len(self.targets))}
+        made |= {f"_q{i}": F.sum(F.col(f"_y{i}") ** 2) for i in range(len(self.targets))}
+        drawn = {}
+        for k, ((fit, _), (seed, rate)) in enumerate(self.draws.items()):
+            y = F.when(F.col(seeds[seed]) < rate, F.col(f"_y{self.target[fit]}"))
+            drawn |= {f"_dn{k}": F.count(y), f"_ds{k}": F.sum(y), f"_dq{k}": F.sum(y**2)}
+        sums = [F.coalesce(v, F.lit(0)).cast("double").alias(c) for c, v in (made | drawn).items()]
+        return stage(rows.groupBy(*self._told_apart()).agg(*sums), "merged"), list(made), list(drawn)
+
     def _blocks(self) -> DataFrame:
-        """The rows as blocks: bins, targets and roles, features or fits one after the other."""
-        cuts, targets, fits, kind = self.cuts, len(self.targets), len(self.learners), self.kind
+        """The rows as blocks: bins, targets and roles, features or fits one after the other.
+
+        Of merged rows there are numbers and sums instead of targets, and the sums of every draw.
+        """
+        cuts, fits, kind, merged = self.cuts, len(self.learners), self.kind, self.merged
         draws = list(self.draws.values())
         seeds = {seed: f"_u{i}" for i, seed in enumerate(dict.fromkeys(seed for seed, _ in draws))}
+        rows = self.rows if merged and not draws else dealt(self.rows, self.width)
+        rows = rows.select("*", *[F.rand(seed).alias(name) for seed, name in seeds.items()])
+        told, sums = [f"_y{i}" for i in range(len(self.targets))], []
+        if merged:
+            rows, told, sums = self._sums(rows, seeds)
+            rows = dealt(rows, self.width + len(told) + len(sums))
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, count = [], 0
@@ -216,10 +247,13 @@ class Boosting:
                 made = {
                     "n": len(table),
                     "bins": np.array(bins, kind).tobytes(),
-                    "y": np.array([table.column(f"_y{i}").to_numpy() for i in range(targets)]).tobytes(),
+                    "y": np.array([table.column(c).to_numpy() for c in told]).tobytes(),
                     "roles": np.array([table.column(f"_r{i}").to_numpy() for i in range(fits)], np.int8).tobytes(),
-                    "drawn": b"".join(np.packbits(table.column(seeds[seed]).to_numpy() < rate).tobytes() for seed, rate in draws),
                 }
+                if merged:
+                    made["drawn"] = np.array([table.column(c).to_numpy() for c in sums]).tobytes()
+                else:
+                    made["drawn"] = b"".join(np.packbits(table.column(seeds[seed]).to_numpy() < rate).tobytes() for seed, rate in draws)
                 return pa.RecordBatch.from_pydict({k: [v] for k, v in made.items()})
 
             for batch in batches:
@@ -231,16 +265,16 @@ class Boosting:
             if count:
                 yield block()
 
-        rows = dealt(self.rows, self.width).select("*", *[F.rand(seed).alias(name) for seed, name in seeds.items()])
         return rows.mapInArrow(pack, "n long, bins binary, y binary, roles binary, drawn binary")
 
     def packed(self) -> RDD:
         """The blocks as (draws, bins, targets, roles), a row a round, feature or fit, persisted for any number of fits."""
-        kind = self.kind
+        kind, merged = self.kind, self.merged
 
         def opened(row: Row) -> tuple:
             bins, y, roles = (np.frombuffer(b, t).reshape(-1, row.n) for b, t in ((row.bins, kind), (row.y, float), (row.roles, np.int8)))
-            return np.frombuffer(row.drawn, np.uint8).reshape(-1, -(-row.n // 8)), bins, y, roles
+            drawn = np.frombuffer(row.drawn, float).reshape(-1, row.n) if merged else np.frombuffer(row.drawn, np.uint8).reshape(-1, -(-row.n // 8))
+            return drawn, bins, y, roles
 
         return self._blocks().rdd.map(opened).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -269,7 +303,7 @@ class Boosting:
 
         ``done`` is the number of rounds before, and ``at`` has every fit's row among the predictions.
         """
-        width, bins, target = self.width, self.bins, self.target
+        width, bins, target, targets, merged = self.width, self.bins, self.target, len(self.targets), self.merged
         draws = {fit: row for row, (fit, m) in enumerate(self.draws) if m == done}
         slots = {}
         for fit, tree in trees.items():
@@ -278,6 +312,10 @@ class Boosting:
         told = {fit: tree.told() for fit, tree in trees.items()}
         errors, count = list(errors), {fit: len(tree.open) for fit, tree in trees.items()}
 
+        def left(number: np.ndarray, total: np.ndarray, squares: np.ndarray, reached: np.ndarray) -> tuple:
+            """Of merged rows: their number, and the sums and squares of what a prediction leaves of their targets."""
+            return number, total - number * reached, squares - reached * (2 * total - number * reached)
+
         def add(blocks: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
             total = {fit: np.zeros((3, count[fit], width, bins)) for fit in told}
             wrong = {fit: np.zeros(2) for fit in errors}
@@ -285,21 +323,37 @@ class Boosting:
                 n = x.shape[1]
                 for fit in errors:
                     held = roles[fit] == HELD
-                    wrong[fit] += held.sum(), ((made[at[fit]][held] - y[target[fit]][held]) ** 2).sum()
+                    if merged:
+                        number, _, squares = left(y[0], y[1 + target[fit]], y[1 + targets + target[fit]], made[at[fit]])
+                        wrong[fit] += number[held].sum(), squares[held].sum()
+                    else:
+                        wrong[fit] += held.sum(), ((made[at[fit]][held] - y[target[fit]][held]) ** 2).sum()
                 for fit, tree in told.items():
                     slot = slots[fit][_walk(x, tree)]
                     used = (slot >= 0) & (roles[fit] == TRAIN)
-                    if fit in draws:
+                    if fit in draws and not merged:
                         used &= np.unpackbits(drawn[draws[fit]], count=n).astype(bool)
                     mine = np.flatnonzero(used)
                     whole = len(mine) == n
-                    wanted = y[target[fit]] if not done else 2 * (y[target[fit]] - made[at[fit]])
+                    number = None
+                    if merged:
+                        sums = drawn[3 * draws[fit] :][:3] if fit in draws else (y[0], y[1 + target[fit]], y[1 + targets + target[fit]])
+                        number, wanted, squares = left(*sums, made[at[fit]])
+                        if done:
+                            wanted, squares = 2 * wanted, 4 * squares
+                        if not whole:
+                            number, wanted, squares = number[mine], wanted[mine], squares[mine]
+                    else:
+                        wanted = y[target[fit]] if not done else 2 * (y[target[fit]] - made[at[fit]])
+                        if not whole:
+                            wanted = wanted[mine]
+                        squares = wanted * wanted
                     if not whole:
-                        slot, wanted = slot[mine], wanted[mine]
-                    base, squares = slot * bins, wanted * wanted
+                        slot = slot[mine]
+                    base = slot * bins
                     for f in range(width):
                         cell = base + (x[f] if whole else x[f][mine])
-                        for i, weights in enumerate((None, wanted, squares)):
+                        for i, weights in enumerate((number, wanted, squares)):
                             total[fit][i, :, f] += np.bincount(cell, weights, count[fit] * bins).reshape(-1, bins)
             for fit in told:
                 for s in range(count[fit]):
