@@ -162,3 +162,24 @@ def test_codes(spark):
     ]
     filled = fill_next_code(coded, ["code"])
     assert {r["code"] for r in filled.filter("v is null").collect()} == {3}
+
+
+@pytest.mark.parametrize("margin", [cross_section.MARGIN, 0.01])
+def test_rows_of_large_groups_are_labelled_where_they_are(spark, hot, monkeypatch, margin):
+    """The labels of the ordinary plan, with brackets that hold and with ones that miss; no row is written."""
+    rng = np.random.default_rng(8)
+    frame = table(20_000, 8, 30).assign(flat=1.0, none=np.nan)
+    frame["z"] = np.where(rng.random(len(frame)) < 0.3, np.nan, rng.normal(size=len(frame)))
+    df = stage(spark.createDataFrame(frame).withColumn("day", F.when(F.col("day") < 3, F.col("day"))).repartition(5), "t")
+    columns = ["x", "y", "z", "flat", "none"]
+    small = quintiles(df, ["day"], columns).toPandas().sort_values("id").reset_index(drop=True)
+    hot(6000)
+    staged = []
+    for module in ("cross_section", "skew"):
+        monkeypatch.setattr(f"tidepanel.operators.{module}.stage", lambda rows, tag: staged.append(rows.columns) or stage(rows, tag))
+    monkeypatch.setattr(cross_section, "COUNTED_ROWS", 1500)
+    monkeypatch.setattr(cross_section, "MARGIN", margin)
+    large = quintiles(df, ["day"], columns)
+    assert "_quintile" in large.columns[-1] and not [c for c in staged if {"x", "y"} & set(c)]
+    assert "Exchange" not in large._jdf.queryExecution().executedPlan().toString()
+    pd.testing.assert_frame_equal(small, large.toPandas().sort_values("id").reset_index(drop=True))
