@@ -201,3 +201,17 @@ def test_transform_series_that_is_never_cut(spark, hot):
     hot(50)
     with pytest.raises(ValueError, match="hotRows"):
         transform_series(df, "ticker", "date", "close", lambda x: x.cumsum(), "s", halo=None)
+
+
+def test_bare_indicators_are_the_same_rows(spark):
+    """Rows that miss an indicator are left out by the task, with the indicators or without them."""
+    from tidepanel.plans.panel import indicators
+
+    rows = [(k, i, float(10 + (i * (k + 3)) % 7)) for k in range(3) for i in range(12)]
+    df = spark.createDataFrame(rows, "ticker int, date int, close double")
+    how = ((3,), ((2, 3),), ("EMA",), ("SMA", "SR"), ((2, 3),), ())
+    full = indicators(df, "ticker", *how, returns="ret")
+    bare = indicators(df, "ticker", *how, returns="ret", bare=True)
+    assert bare.columns == ["ticker", "date", "close", "ret"]
+    assert sorted(bare.collect(), key=str) == sorted(full.select(bare.columns).collect(), key=str)
+    assert full.count() == full.dropna("any", subset=["EMA_3", "SMA_3", "SR_3", "APO_2_3"]).count() > 0
